@@ -1,26 +1,474 @@
 """DuckDB SQL equal in meaning to each registered query.
 
 Dialect notes: RE2 has no back-references and its ``\\s``/``\\d``/``\\w`` are
-ASCII; DuckDB rounds a double cast to int, so ``trunc`` comes first; list
-lambdas use the ``lambda x, i: ...`` form and 1-based indexes.
+ASCII, so a pattern with ``(['"])…\\1`` becomes one pattern per quote kind and
+name classes are spelled ``[\\p{L}\\p{N}_]``; DuckDB rounds a double cast to
+int, so ``trunc`` comes first; list lambdas use ``lambda x, i: …`` with
+1-based indexes.
 """
 
 from __future__ import annotations
 
+from callsmith import fixed
+
 ORACLE: dict[str, str] = {}
 
-NUM_RE = r"-?\d+\.?\d*"
+
+def q(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+NUM = q(fixed.NUMBER_PATTERN)
+ANY_QUOTED = q(fixed.ANY_QUOTED)
+# Python's str.strip() whitespace set (every code point whose isspace() is true).
+_PY_WS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+WS = q(_PY_WS)
+
+
+def strip(x: str) -> str:
+    return f"trim({x}, {WS})"
+
+
+def int_text(x: str) -> str:
+    return f"CAST(CAST(trunc({x}) AS INTEGER) AS VARCHAR)"
+
+
+def dec_text(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(12,2)) AS VARCHAR)"
+
+
+def sum_prompt(a: str, b: str) -> str:
+    return f"'What is the sum of ' || {int_text(a)} || ' and ' || CAST({b} AS VARCHAR) || '?'"
+
+
+def first_match(text: str, pattern: str, group: int) -> str:
+    return f"CASE WHEN regexp_matches({text}, {q(pattern)}) THEN regexp_extract({text}, {q(pattern)}, {group}) END"
+
+
+def distinct_in_order(lst: str) -> str:
+    return f"list_filter({lst}, lambda x, i: list_position({lst}, x) = i)"
+
+
+# --- RE2 forms of the extraction patterns ------------------------------------
+SUB_IN_WITH_1 = r"(?i)in\s+(?:the\s+)?(?:string\s+)?'(.*?)'\s+with"
+SUB_IN_WITH_2 = r'(?i)in\s+(?:the\s+)?(?:string\s+)?"(.*?)"\s+with'
+SUB_WITH_IN_1 = r"""(?i)with\s+['"][^'"]+['"]\s+in\s+'(.*?)'"""
+SUB_WITH_IN_2 = r"""(?i)with\s+['"][^'"]+['"]\s+in\s+"(.*?)\""""
+WORD_RE = r"""(?i)word\s+['"]([\p{L}\p{N}_]+)['"]"""
+REPL_RE = "(?i)" + fixed.REPLACEMENT_IN_QUOTES
+PAIR_VERB = "(?i)" + fixed.PAIR_AFTER_VERB
+PAIR_ANY = "(?i)" + fixed.PAIR_ANYWHERE
+GREET_RE = r"(?i)greet\s+([\p{L}\p{N}_\-]+)"
+
+
+def sub_source(p: str) -> str:
+    return (f"coalesce({first_match(p, SUB_IN_WITH_1, 1)}, {first_match(p, SUB_IN_WITH_2, 1)}, "
+            f"{first_match(p, SUB_WITH_IN_1, 1)}, {first_match(p, SUB_WITH_IN_2, 1)})")
+
+
+def contains_any(low: str, words) -> str:
+    return "(" + " OR ".join(f"contains({low}, {q(w)})" for w in words) + ")"
+
+
+def sub_regex(p: str) -> str:
+    low = f"lower({p})"
+    parts = [f"WHEN {contains_any(low, ws)} THEN {q(rx)}" for ws, rx in fixed.PATTERN_PHRASES]
+    word = first_match(p, WORD_RE, 1)
+    parts.append(f"WHEN contains({low}, 'word') THEN '\\b' || {word} || '\\b'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def sub_repl(p: str) -> str:
+    low = f"lower({p})"
+    parts = [f"WHEN regexp_matches({p}, {q(REPL_RE)}) THEN regexp_extract({p}, {q(REPL_RE)}, 1)"]
+    parts += [f"WHEN {contains_any(low, ws)} THEN {q(r)}" for ws, r in fixed.REPLACEMENT_PHRASES]
+    return "CASE " + " ".join(parts) + " END"
+
+
+def pair(p: str, which: int) -> str:
+    return (f"coalesce({first_match(p, PAIR_VERB, which)}, {first_match(p, PAIR_ANY, which)}, "
+            f"regexp_extract_all({p}, {ANY_QUOTED}, 1)[{which}])")
+
+
+def quoted_all(p: str) -> str:
+    return (f"list_concat(regexp_extract_all({p}, {q(fixed.SINGLE_QUOTED)}, 1), "
+            f"regexp_extract_all({p}, {q(fixed.DOUBLE_QUOTED)}, 1))")
+
+
+def longest(lst: str) -> str:
+    return f"list_reduce({lst}, lambda a, x: CASE WHEN length(x) > length(a) THEN x ELSE a END, '')"
+
+
+def greet(p: str) -> str:
+    return first_match(p, GREET_RE, 1)
+
+
+def py_int(v: str) -> str:
+    """int(float(v)) for a number text matched by the number pattern; '' → 0."""
+    return f"CASE WHEN {v} = '' THEN 0 ELSE CAST(trunc(CAST({v} AS DOUBLE)) AS BIGINT) END"
+
+
+def py_float(v: str) -> str:
+    return f"CASE WHEN {v} = '' THEN 0.0 ELSE CAST({v} AS DOUBLE) END"
+
+
+# --- request templates (same text as callsmith.sources.requests) ---------------
+
+def substitute_prompt() -> str:
+    return """CASE p_partkey % 5
+  WHEN 0 THEN 'Replace all vowels in ''' || p_name || ''' with asterisks'
+  WHEN 1 THEN 'Substitute the word ''' || split_part(p_name, ' ', 1) || ''' with ''' || p_brand
+              || ''' in ''' || p_name || ''''
+  WHEN 2 THEN 'Replace consonants in ''' || p_name || ''' with underscores'
+  WHEN 3 THEN 'Substitute spaces in ''' || p_name || ''' with nothing'
+  ELSE 'Substitute the digits in the string ''' || p_type || ' ' || CAST(p_size AS VARCHAR)
+       || ''' with ''' || p_brand || ''''
+END"""
+
+
+def part_prompt() -> str:
+    return """CASE p_partkey % 5
+  WHEN 0 THEN 'Reverse the string ''' || p_name || ''''
+  WHEN 1 THEN 'Replace all vowels in ''' || p_name || ''' with asterisks'
+  WHEN 2 THEN 'Concatenate ''' || p_name || ''' and ''' || p_brand || ''''
+  WHEN 3 THEN 'Is ' || CAST(p_size AS VARCHAR) || ' an even number?'
+  ELSE 'Substitute the word ''' || split_part(p_name, ' ', 1) || ''' with ''' || p_type
+       || ''' in ''' || p_name || ''''
+END"""
+
+
+def pair_prompt() -> str:
+    return """CASE p_partkey % 3
+  WHEN 0 THEN 'Concatenate ''' || p_name || ''' and ''' || p_brand || ''''
+  WHEN 1 THEN 'Please put ''' || p_name || ''' with ''' || p_type || ''' together'
+  ELSE 'Glue ''' || p_brand || ''' onto ''' || p_name || ''''
+END"""
+
+
+MIXED_REQUESTS = f"""
+  SELECT 'lineitem' AS src, CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS key,
+         {sum_prompt('l_quantity', 'l_linenumber')} AS prompt FROM lineitem
+  UNION ALL
+  SELECT 'orders', CAST(o_orderkey AS BIGINT), 'Find the max of ' || CAST(o_custkey % 10 AS VARCHAR)
+         || ' and ' || CAST(o_orderkey % 10 AS VARCHAR) FROM orders
+  UNION ALL
+  SELECT 'part', CAST(p_partkey AS BIGINT), {part_prompt()} FROM part
+  UNION ALL
+  SELECT 'nation', CAST(n_nationkey AS BIGINT), 'Greet ' || n_name FROM nation
+  UNION ALL
+  SELECT 'customer', CAST(c_custkey AS BIGINT), 'Greet ' || c_name FROM customer
+  UNION ALL
+  SELECT 'supplier', CAST(s_suppkey AS BIGINT), 'What is the absolute value of ' || {dec_text('s_acctbal')}
+         FROM supplier
+  UNION ALL
+  SELECT 'conversations', CAST(conv_id * 1000 + turn AS BIGINT), text FROM conversations
+"""
+
+
+def _keywords() -> list[tuple[int, str, list[str]]]:
+    out = []
+    for i, (name, _args, _ret) in enumerate(fixed.REFERENCE_CATALOG):
+        kws = {p for p in name.split("_") if p and p not in fixed.KEYWORD_STOPWORDS}
+        kws |= set(fixed.KEYWORD_ALIASES.get(name, ()))
+        out.append((i, name, sorted(kws)))
+    return out
+
+
+CATALOG_KEYWORDS = "VALUES " + ", ".join(
+    f"({i}, {q(n)}, [{', '.join(q(k) for k in kws)}])" for i, n, kws in _keywords())
+
+ARG_SPECS = "VALUES " + ", ".join(
+    f"({q(n)}, {j}, {q(a)}, {q(t)})"
+    for n, args, _r in fixed.REFERENCE_CATALOG for j, (a, t) in enumerate(args))
+
+CATALOG_LIST = "[" + ", ".join(
+    f"{{'ord': {i}, 'fn_name': {q(n)}, 'kws': [{', '.join(q(k) for k in kws)}]}}"
+    for i, n, kws in _keywords()) + "]"
+
+NUMERIC_ARG_COUNTS = "VALUES " + ", ".join(
+    f"({q(n)}, {sum(t in ('int', 'float') for _, t in args)})" for n, args, _r in fixed.REFERENCE_CATALOG)
+
+
+def selected(req_sql: str) -> str:
+    """CTEs ending in ``sel(src, key, prompt, fn_name, fn_score)``: the lexical scorer.
+
+    The argmax is taken in-row (first maximum in catalogue order), so request
+    keys need not be unique.
+    """
+    return f"""
+req AS ({req_sql}),
+w AS (SELECT src, key, prompt, list_distinct(regexp_extract_all(lower(prompt), '[a-z0-9_]+')) AS words
+      FROM req),
+b AS (SELECT src, key, prompt,
+             list_reduce(list_transform({CATALOG_LIST},
+                           lambda e: {{'score': len(list_intersect(e.kws, words)), 'fn_name': e.fn_name}}),
+                         lambda a, x: CASE WHEN x.score > a.score THEN x ELSE a END) AS best
+      FROM w),
+sel AS (SELECT src, key, prompt,
+               CASE WHEN best.score > 0 THEN best.fn_name ELSE {q(fixed.REFERENCE_CATALOG[0][0])} END AS fn_name,
+               CAST(best.score AS INTEGER) AS fn_score
+        FROM b)
+"""
+
+
+VALID_MIXED = (f"SELECT src, key, {strip('prompt')} AS prompt FROM ({MIXED_REQUESTS}) "
+               f"WHERE prompt IS NOT NULL AND length(prompt) > 0 AND {strip('prompt')} <> ''")
+
+
+# --- flagship -----------------------------------------------------------------
 
 ORACLE["bind_two_numbers"] = rf"""
 WITH r AS (
+  SELECT l_orderkey, l_linenumber, {sum_prompt('l_quantity', 'l_linenumber')} AS prompt FROM lineitem),
+n AS (SELECT *, regexp_extract_all(prompt, {NUM}) AS nums FROM r),
+d AS (SELECT *, {distinct_in_order('nums')} AS dn FROM n)
+SELECT l_orderkey, l_linenumber, 'fn_add_numbers' AS fn_name,
+       {py_float("coalesce(dn[1], '')")} AS a, {py_float("coalesce(dn[2], '')")} AS b
+FROM d
+"""
+
+# --- extraction -----------------------------------------------------------------
+
+ORACLE["extract_numbers_requests"] = f"""
+WITH r AS (
+  SELECT o_orderkey, 'Compare ' || {dec_text('o_totalprice')} || ' with -' || CAST(o_custkey AS VARCHAR)
+         || ' and ' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(o_custkey % 7 AS VARCHAR) AS prompt
+  FROM orders),
+n AS (SELECT o_orderkey, regexp_extract_all(prompt, {NUM}) AS nums FROM r),
+e AS (SELECT o_orderkey, nums, generate_subscripts(nums, 1) AS i FROM n)
+SELECT o_orderkey, CAST(i - 1 AS INTEGER) AS pos, nums[i] AS num FROM e
+"""
+
+ORACLE["extract_numbers_documents"] = f"""
+WITH d AS (SELECT lang, regexp_extract_all(text, {NUM}) AS nums FROM documents)
+SELECT lang, count(*) AS n_docs, count(*) FILTER (WHERE len(nums) > 0) AS n_docs_with_numbers,
+       CAST(sum(len(nums)) AS BIGINT) AS n_numbers,
+       CAST(sum(len(list_filter(nums, lambda x: starts_with(x, '-')))) AS BIGINT) AS n_negative,
+       CAST(sum(len(list_filter(nums, lambda x: contains(x, '.')))) AS BIGINT) AS n_decimal,
+       CAST(max(len(nums)) AS INTEGER) AS max_per_doc
+FROM d GROUP BY lang
+"""
+
+ORACLE["substitute_args"] = f"""
+WITH r AS (SELECT p_partkey, {substitute_prompt()} AS p FROM part)
+SELECT p_partkey, coalesce({sub_source('p')}, '') AS source_string,
+       coalesce({sub_regex('p')}, '') AS regex, coalesce({sub_repl('p')}, '') AS replacement
+FROM r
+"""
+
+ORACLE["quoted_pair"] = f"""
+WITH r AS (SELECT p_partkey, {pair_prompt()} AS p FROM part)
+SELECT p_partkey, coalesce({pair('p', 1)}, '') AS s1, coalesce({pair('p', 2)}, '') AS s2 FROM r
+"""
+
+ORACLE["longest_quoted_pages"] = f"""
+WITH r AS (SELECT page_id, {quoted_all('html')} AS qs FROM pages),
+l AS (SELECT page_id, qs, {longest('qs')} AS lg FROM r)
+SELECT page_id, CAST(len(qs) AS INTEGER) AS n_quoted, nullif(lg, '') AS longest,
+       CAST(length(lg) AS INTEGER) AS longest_len
+FROM l
+"""
+
+ORACLE["name_after_keyword"] = f"""
+WITH r AS (
+  SELECT 'nation' AS src, CAST(n_nationkey AS BIGINT) AS key, 'Greet ' || n_name AS p FROM nation
+  UNION ALL SELECT 'customer', CAST(c_custkey AS BIGINT), 'greet ' || c_name FROM customer
+  UNION ALL SELECT 'supplier', CAST(s_suppkey AS BIGINT), 'Please GREET  ' || s_name FROM supplier)
+SELECT src, key, coalesce({greet('p')}, '') AS name FROM r
+"""
+
+ORACLE["bind_mixed_fold"] = f"""
+WITH r AS (
+  SELECT p_partkey, 'Repeat ''' || CAST(p_size % 4 AS VARCHAR) || ''' ' || CAST(p_partkey % 4 AS VARCHAR)
+         || ' times, then ' || CAST(p_size % 3 AS VARCHAR) || ' more' AS p FROM part),
+a AS (SELECT p_partkey, regexp_extract_all(p, {NUM}) AS nums,
+             coalesce(regexp_extract_all(p, {ANY_QUOTED}, 1)[1], '') AS s FROM r),
+b AS (SELECT *, coalesce(list_filter(nums, lambda x: x <> s)[1], '') AS n FROM a),
+c AS (SELECT *, coalesce(list_filter(nums, lambda x: x <> s AND x <> n)[1], '') AS m FROM b)
+SELECT p_partkey, s, {py_int('n')} AS n, {py_float('m')} AS m FROM c
+"""
+
+ORACLE["bind_closed_form"] = f"""
+WITH r AS (SELECT o_orderkey, 'Find the max of ' || CAST(o_custkey % 10 AS VARCHAR) || ' and '
+                  || CAST(o_orderkey % 10 AS VARCHAR) AS p FROM orders),
+d AS (SELECT o_orderkey, {distinct_in_order('regexp_extract_all(p, ' + NUM + ')')} AS dn FROM r)
+SELECT o_orderkey, {py_float("coalesce(dn[1], '')")} AS a, {py_float("coalesce(dn[2], '')")} AS b FROM d
+"""
+
+# --- conversion -------------------------------------------------------------------
+
+_RAW_VALUES = ["5.", "-3.9", "abc", "", "yes", "TRUE", "1e3", "007"]
+
+ORACLE["convert_args"] = f"""
+WITH v AS (
   SELECT l_orderkey, l_linenumber,
-         'What is the sum of ' || CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR)
-           || ' and ' || CAST(l_linenumber AS VARCHAR) || '?' AS prompt
+    CASE l_linenumber % 4
+      WHEN 0 THEN {dec_text('l_extendedprice')}
+      WHEN 1 THEN '-' || {int_text('l_quantity')}
+      WHEN 2 THEN ([{', '.join(q(x) for x in _RAW_VALUES)}])[l_orderkey % {len(_RAW_VALUES)} + 1]
+      ELSE CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_returnflag END
+    END AS raw,
+    (['int', 'float', 'bool', 'str', 'date'])[l_orderkey % 5 + 1] AS arg_type
   FROM lineitem),
-n AS (SELECT *, regexp_extract_all(prompt, '{NUM_RE}') AS nums FROM r),
-d AS (SELECT *, list_filter(nums, lambda x, i: list_position(nums, x) = i) AS dn FROM n)
-SELECT l_orderkey, l_linenumber, 'fn_add_numbers' AS fn_name,
-       CASE WHEN len(dn) >= 1 THEN CAST(dn[1] AS DOUBLE) ELSE 0.0 END AS a,
-       CASE WHEN len(dn) >= 2 THEN CAST(dn[2] AS DOUBLE) ELSE 0.0 END AS b
+c AS (SELECT *, coalesce(raw, '') AS v, TRY_CAST(coalesce(raw, '') AS DOUBLE) AS d FROM v)
+SELECT l_orderkey, l_linenumber, arg_type, raw,
+  CASE WHEN arg_type = 'int' THEN CASE WHEN v = '' OR d IS NULL THEN 0
+                                       ELSE CAST(trunc(d) AS BIGINT) END END AS v_int,
+  CASE WHEN arg_type = 'float' THEN CASE WHEN v = '' OR d IS NULL THEN 0.0 ELSE d END END AS v_float,
+  CASE WHEN arg_type = 'bool' THEN lower(v) = 'true' END AS v_bool,
+  CASE WHEN arg_type = 'str' THEN v WHEN arg_type = 'date' THEN '' END AS v_str,
+  CASE WHEN arg_type = 'int' AND v <> '' AND d IS NULL THEN 'bad_int'
+       WHEN arg_type = 'float' AND v <> '' AND d IS NULL THEN 'bad_float'
+       WHEN arg_type = 'date' THEN 'unknown_type' END AS issue
+FROM c
+"""
+
+# --- validation ---------------------------------------------------------------------
+
+CONVERSATION_REQUESTS = """
+SELECT conv_id, turn,
+  CASE (conv_id + turn) % 11
+    WHEN 0 THEN '   ' WHEN 1 THEN '' WHEN 2 THEN NULL
+    WHEN 3 THEN chr(9) || ' ' || text || ' ' || chr(12288) || chr(10)
+    ELSE text END AS prompt
+FROM conversations
+"""
+
+
+def request_issue(p: str) -> str:
+    return (f"CASE WHEN {p} IS NULL THEN 'missing_prompt' WHEN length({p}) < 1 THEN 'empty_prompt' "
+            f"WHEN {strip(p)} = '' THEN 'blank_prompt' END")
+
+
+ORACLE["validate_requests"] = f"""
+WITH r AS ({CONVERSATION_REQUESTS}),
+c AS (SELECT conv_id, turn, prompt, {request_issue('prompt')} AS issue FROM r)
+SELECT conv_id, turn, issue, CASE WHEN issue IS NULL THEN {strip('prompt')} END AS prompt FROM c
+"""
+
+ORACLE["validation_report"] = f"""
+WITH r AS ({CONVERSATION_REQUESTS})
+SELECT coalesce({request_issue('prompt')}, 'valid') AS outcome, count(*) AS n_rows FROM r GROUP BY 1
+"""
+
+ORACLE["validate_catalog"] = """
+WITH d AS (
+  SELECT p_partkey,
+    CASE WHEN p_partkey % 9 = 0 THEN p_name WHEN p_partkey % 13 = 0 THEN ''
+         ELSE 'fn_' || replace(p_name, ' ', '_') END AS fn_name,
+    p_partkey % 7 <> 0 AS has_b,
+    CASE WHEN p_partkey % 11 = 0 THEN '' ELSE 'float' END AS return_type
+  FROM part)
+SELECT p_partkey, fn_name,
+  CASE WHEN fn_name IS NULL THEN 'missing_fn_name' WHEN length(fn_name) < 1 THEN 'empty_fn_name'
+       WHEN NOT starts_with(fn_name, 'fn_') THEN 'bad_fn_prefix'
+       WHEN return_type IS NULL THEN 'missing_return_type'
+       WHEN length(return_type) < 1 THEN 'empty_return_type'
+       WHEN NOT has_b THEN 'missing_arg_type:b' END AS issue
 FROM d
 """
+
+ORACLE["dedupe_catalog"] = """
+SELECT min(p_partkey) AS ord, 'fn_' || replace(p_name, ' ', '_') AS fn_name,
+       arg_max(p_brand, p_partkey) AS return_type, arg_max(lower(p_type), p_partkey) AS x_type
+FROM part GROUP BY p_name
+"""
+
+# --- selection and the whole job ---------------------------------------------------
+
+ORACLE["select_function"] = f"""
+WITH {selected(MIXED_REQUESTS)}
+SELECT src, key, fn_name, fn_score FROM sel
+"""
+ORACLE["select_function_join"] = ORACLE["select_function"]
+
+NUMERIC_FNS = [n for n, args, _ in fixed.REFERENCE_CATALOG
+               if all(t in ("int", "float") for _, t in args)]
+
+JOB_ARGS = f"""
+WITH raw AS ({MIXED_REQUESTS}), {selected(VALID_MIXED)},
+specs(fn_name, arg_ord, arg_name, arg_type) AS ({ARG_SPECS}),
+x AS (SELECT sel.*, {distinct_in_order('regexp_extract_all(prompt, ' + NUM + ')')} AS dn FROM sel),
+a AS (SELECT x.src, x.key, x.fn_name, x.prompt, x.dn, specs.arg_ord, specs.arg_name, specs.arg_type
+      FROM x JOIN specs USING (fn_name)),
+v AS (
+  SELECT *,
+    CASE
+      WHEN arg_type IN ('int', 'float') THEN coalesce(dn[arg_ord + 1], '')
+      WHEN fn_name = {q(fixed.FN_SUBSTITUTE)} THEN coalesce(CASE arg_name
+           WHEN 'source_string' THEN {sub_source('prompt')}
+           WHEN 'regex' THEN {sub_regex('prompt')}
+           WHEN 'replacement' THEN {sub_repl('prompt')} END, '')
+      WHEN fn_name = {q(fixed.FN_CONCATENATE)} THEN coalesce(CASE arg_name
+           WHEN 's1' THEN {pair('prompt', 1)} WHEN 's2' THEN {pair('prompt', 2)} END, '')
+      WHEN fn_name IN ({', '.join(q(f) for f in fixed.FN_UNARY_STRING)}) THEN {longest(quoted_all('prompt'))}
+      WHEN fn_name = {q(fixed.FN_GREET)} THEN coalesce({greet('prompt')}, '')
+      ELSE coalesce(regexp_extract_all(prompt, {ANY_QUOTED}, 1)[1], '')
+    END AS raw,
+    CASE WHEN arg_type IN ('int', 'float') THEN len(dn) > arg_ord ELSE true END AS has_cand
+  FROM a)
+"""
+
+ORACLE["run_job"] = JOB_ARGS + """
+SELECT src, key, fn_name, CAST(arg_ord AS INTEGER) AS arg_ord, arg_name, arg_type,
+  CASE WHEN arg_type = 'int' THEN CASE WHEN raw = '' THEN 0 ELSE CAST(trunc(CAST(raw AS DOUBLE)) AS BIGINT) END
+       END AS v_int,
+  CASE WHEN arg_type = 'float' THEN CASE WHEN raw = '' THEN 0.0 ELSE CAST(raw AS DOUBLE) END END AS v_float,
+  CASE WHEN arg_type = 'bool' THEN lower(raw) = 'true' END AS v_bool,
+  CASE WHEN arg_type NOT IN ('int', 'float', 'bool') THEN raw END AS v_str,
+  CAST(NULL AS VARCHAR) AS issue
+FROM v
+"""
+
+ORACLE["run_summary"] = JOB_ARGS + f""",
+nac(fn_name, n_numeric) AS ({NUMERIC_ARG_COUNTS}),
+allsel AS (SELECT sel.fn_score, nac.n_numeric > len(sel.dn) AS defaulted
+           FROM x AS sel JOIN nac USING (fn_name))
+SELECT count(*) AS n_calls, CAST(0 AS BIGINT) AS n_fallback,
+       count(*) FILTER (WHERE fn_score = 0) AS n_unmatched,
+       count(*) FILTER (WHERE defaulted) AS n_defaulted,
+       (SELECT count(*) FROM raw WHERE prompt IS NULL OR length(prompt) < 1 OR {strip('prompt')} = '')
+         AS n_rejected
+FROM allsel
+"""
+
+ORACLE["select_candidate"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(text, {ANY_QUOTED}, 1) AS qs, text FROM documents),
+c AS (SELECT doc_id, CASE WHEN len(qs) > 0 THEN qs ELSE regexp_extract_all(text, {NUM}) END AS cands
+      FROM d)
+SELECT doc_id, CAST(len(cands) AS INTEGER) AS n_cands, coalesce(cands[1], '') AS chosen FROM c
+"""
+
+# --- raw calls -------------------------------------------------------------------
+
+EVENT_NAMES = "('fn_click', 'fn_view', 'fn_purchase')"
+
+ORACLE["resolve_calls"] = f"""
+SELECT event_id, 'fn_' || event_type AS raw_fn,
+       CASE WHEN 'fn_' || event_type IN {EVENT_NAMES} THEN 'fn_' || event_type ELSE 'fn_click' END AS fn_name,
+       'fn_' || event_type NOT IN {EVENT_NAMES} AS fn_unknown
+FROM events
+"""
+
+ORACLE["unknown_calls"] = f"""
+SELECT event_id, 'fn_' || event_type AS raw_fn FROM events WHERE 'fn_' || event_type NOT IN {EVENT_NAMES}
+"""
+
+ORACLE["decode_calls"] = f"""
+WITH e AS (
+  SELECT event_id, CASE WHEN 'fn_' || event_type IN {EVENT_NAMES} THEN 'fn_' || event_type
+                        ELSE 'fn_click' END AS fn_name,
+         json_extract(props, '$.k') AS k FROM events),
+specs(fn_name, arg_ord, arg_name, arg_type) AS (VALUES
+  ('fn_click', 0, 'k', 'int'), ('fn_click', 1, 'v', 'float'), ('fn_view', 0, 'k', 'str'),
+  ('fn_purchase', 0, 'k', 'bool'), ('fn_purchase', 1, 'note', 'str'))
+SELECT event_id, fn_name, false AS is_fallback, CAST(arg_ord AS INTEGER) AS arg_ord, arg_name, arg_type,
+  CASE WHEN arg_type = 'int' THEN CAST(trunc(CAST(k AS DOUBLE)) AS BIGINT) END AS v_int,
+  CASE WHEN arg_type = 'float' THEN 0.0 END AS v_float,
+  CASE WHEN arg_type = 'bool' THEN CAST(k AS DOUBLE) <> 0 END AS v_bool,
+  CASE WHEN arg_type = 'str' AND arg_name = 'k' THEN CAST(k AS VARCHAR)
+       WHEN arg_type = 'str' THEN '' END AS v_str,
+  CASE WHEN arg_name IN ('v', 'note') THEN 'missing_arg' END AS issue
+FROM e JOIN specs USING (fn_name)
+"""

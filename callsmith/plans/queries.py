@@ -11,10 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsmith.operators.catalog import catalog_from_rows
-from callsmith.plans.job import propose_calls
+from callsmith.functions import text as X
+from callsmith.functions.convert import VALUE_FIELDS, convert_text
+from callsmith.operators import catalog as C
+from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
+from callsmith.operators.decode import decode_calls, resolve_function, unknown_calls
+from callsmith.operators.select import select_function
+from callsmith.operators.validate import validate_requests, validation_report
+from callsmith.plans.job import propose_calls, run_summary
 from callsmith.session import ensure_parallelism, table
-from callsmith.sources.requests import lineitem_sum_requests
+from callsmith.sources import requests as R
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -31,10 +37,304 @@ def _arg(i: int, field: str):
     return F.get(F.col("picks"), i)["c"][field]
 
 
+def _with_function(df: DataFrame, catalog: DataFrame, fn_name: str) -> DataFrame:
+    """Attach one catalogue entry's argument specs (the function is given)."""
+    entry = catalog.filter(F.col("fn_name") == fn_name).select(
+        F.col("fn_name"), C.arg_specs_column().alias("fn_args"))
+    return df.crossJoin(F.broadcast(entry))
+
+
+def _bound(df: DataFrame, spark: SparkSession, fn_name: str) -> DataFrame:
+    return type_picks(bind_arguments(_with_function(df, C.catalog_from_rows(spark), fn_name)))
+
+
+# --- flagship -----------------------------------------------------------------
+
 @register("bind_two_numbers")
 def bind_two_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: sum requests from lineitem → selected function and two typed numbers."""
-    req = ensure_parallelism(lineitem_sum_requests(table(spark, sf_dir, "lineitem")))
-    calls = propose_calls(req, catalog_from_rows(spark))
+    """Sum requests from lineitem → selected function and two typed numbers."""
+    req = ensure_parallelism(R.lineitem_sum_requests(table(spark, sf_dir, "lineitem")))
+    calls = propose_calls(req, C.catalog_from_rows(spark))
     return calls.select("l_orderkey", "l_linenumber", "fn_name",
                         _arg(0, "v_float").alias("a"), _arg(1, "v_float").alias("b"))
+
+
+# --- extraction -----------------------------------------------------------------
+
+@register("extract_numbers_requests")
+def extract_numbers_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + C9: every number of a request built from orders, with its position."""
+    o = table(spark, sf_dir, "orders")
+    req = o.select("o_orderkey", F.concat(
+        F.lit("Compare "), R.dec_text("o_totalprice"), F.lit(" with -"), R.s("o_custkey"),
+        F.lit(" and "), R.s("o_orderkey"), F.lit("-"), R.s(F.col("o_custkey") % 7)).alias("prompt"))
+    return (ensure_parallelism(req)
+            .select("o_orderkey", F.posexplode(X.extract_numbers(F.col("prompt"))).alias("pos", "num"))
+            .select("o_orderkey", F.col("pos").cast("int").alias("pos"), "num"))
+
+
+@register("extract_numbers_documents")
+def extract_numbers_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 over whole documents, summarised per language."""
+    d = ensure_parallelism(table(spark, sf_dir, "documents").select("lang", "text"))
+    nums = d.select("lang", X.extract_numbers(F.col("text")).alias("nums"))
+    return (nums.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(F.size("nums") > 0).alias("n_docs_with_numbers"),
+        F.sum(F.size("nums")).cast("bigint").alias("n_numbers"),
+        F.sum(F.size(F.filter("nums", lambda x: x.startswith("-")))).cast("bigint").alias("n_negative"),
+        F.sum(F.size(F.filter("nums", lambda x: x.contains(".")))).cast("bigint").alias("n_decimal"),
+        F.max(F.size("nums")).cast("int").alias("max_per_doc")))
+
+
+@register("substitute_args")
+def substitute_args(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source text, regex and replacement of substitution requests over part."""
+    req = table(spark, sf_dir, "part").select("p_partkey", R.substitute_prompt().alias("prompt"))
+    b = _bound(req, spark, "fn_substitute_string_with_regex")
+    return b.select("p_partkey", _arg(0, "v_str").alias("source_string"),
+                    _arg(1, "v_str").alias("regex"), _arg(2, "v_str").alias("replacement"))
+
+
+@register("quoted_pair")
+def quoted_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two strings of concatenation requests over part."""
+    req = table(spark, sf_dir, "part").select("p_partkey", R.pair_prompt().alias("prompt"))
+    b = _bound(req, spark, "fn_concatenate_strings")
+    return b.select("p_partkey", _arg(0, "v_str").alias("s1"), _arg(1, "v_str").alias("s2"))
+
+
+@register("longest_quoted_pages")
+def longest_quoted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest quoted string of each whole web page."""
+    p = ensure_parallelism(table(spark, sf_dir, "pages").select("page_id", "html"))
+    q = p.select("page_id", X.extract_quoted(F.col("html")).alias("q"))
+    longest = X.longest_of(F.col("q"))
+    return q.select("page_id", F.size("q").cast("int").alias("n_quoted"),
+                    F.nullif(longest, F.lit("")).alias("longest"),
+                    F.length(longest).cast("int").alias("longest_len"))
+
+
+@register("name_after_keyword")
+def name_after_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the name after 'greet' in requests over nation, customer and supplier."""
+    n = table(spark, sf_dir, "nation").select(F.lit("nation").alias("src"),
+                                              F.col("n_nationkey").cast("bigint").alias("key"),
+                                              F.concat(F.lit("Greet "), "n_name").alias("prompt"))
+    c = table(spark, sf_dir, "customer").select(F.lit("customer").alias("src"),
+                                                F.col("c_custkey").cast("bigint").alias("key"),
+                                                F.concat(F.lit("greet "), "c_name").alias("prompt"))
+    s = table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("src"),
+                                                F.col("s_suppkey").cast("bigint").alias("key"),
+                                                F.concat(F.lit("Please GREET  "), "s_name").alias("prompt"))
+    b = _bound(n.unionByName(c).unionByName(s), spark, "fn_greet")
+    return b.select("src", "key", _arg(0, "v_str").alias("name"))
+
+
+@register("bind_mixed_fold")
+def bind_mixed_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 fold with a mixed signature: a string argument's pick blocks an equal number later."""
+    cat = C.catalog_from_rows(spark, [("fn_repeat_text", [("s", "str"), ("n", "int"), ("m", "float")],
+                                       "str")])
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", F.concat(F.lit("Repeat '"), R.s(F.col("p_size") % 4), F.lit("' "),
+                              R.s(F.col("p_partkey") % 4), F.lit(" times, then "),
+                              R.s(F.col("p_size") % 3), F.lit(" more")).alias("prompt"))
+    b = type_picks(bind_arguments(_with_function(p, cat, "fn_repeat_text")))
+    return b.select("p_partkey", _arg(0, "v_str").alias("s"), _arg(1, "v_int").alias("n"),
+                    _arg(2, "v_float").alias("m"))
+
+
+@register("bind_closed_form")
+def bind_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 closed form (k-th distinct number) on max requests over orders; equal numbers give 0."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit("Find the max of "), R.s(F.col("o_custkey") % 10), F.lit(" and "),
+                               R.s(F.col("o_orderkey") % 10)).alias("prompt"))
+    cat = C.catalog_from_rows(spark)
+    b = type_picks(bind_arguments(_with_function(o, cat, "fn_max_of_two"), method="closed"))
+    return b.select("o_orderkey", _arg(0, "v_float").alias("a"), _arg(1, "v_float").alias("b"))
+
+
+# --- conversion -------------------------------------------------------------------
+
+_RAW_VALUES = ["5.", "-3.9", "abc", "", "yes", "TRUE", "1e3", "007"]
+
+
+@register("convert_args")
+def convert_args(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M7: typed conversion of text values spread over all of lineitem."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_linenumber") % 4
+    raw = (F.when(k == 0, R.dec_text("l_extendedprice"))
+           .when(k == 1, F.concat(F.lit("-"), R.int_text("l_quantity")))
+           .when(k == 2, F.element_at(F.array(*[F.lit(v) for v in _RAW_VALUES]),
+                                      (F.col("l_orderkey") % len(_RAW_VALUES) + 1).cast("int")))
+           .otherwise(F.when(F.col("l_orderkey") % 3 == 0, F.lit(None).cast("string"))
+                      .otherwise(F.col("l_returnflag"))))
+    types = F.array(*[F.lit(t) for t in ("int", "float", "bool", "str", "date")])
+    arg_type = F.element_at(types, (F.col("l_orderkey") % 5 + 1).cast("int"))
+    df = li.select("l_orderkey", "l_linenumber", raw.alias("raw"), arg_type.alias("arg_type"))
+    c = convert_text(F.col("raw"), F.col("arg_type"))
+    return df.select("l_orderkey", "l_linenumber", "arg_type", "raw",
+                     *[c[v].alias(v) for v in VALUE_FIELDS], c["issue"].alias("issue"))
+
+
+# --- validation ---------------------------------------------------------------------
+
+def _conversation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cv = table(spark, sf_dir, "conversations")
+    k = (F.col("conv_id") + F.col("turn")) % 11
+    prompt = (F.when(k == 0, F.lit("   "))
+              .when(k == 1, F.lit(""))
+              .when(k == 2, F.lit(None).cast("string"))
+              .when(k == 3, F.concat(F.lit("\t "), "text", F.lit(" 　\n")))
+              .otherwise(F.col("text")))
+    return cv.select("conv_id", "turn", prompt.alias("prompt"))
+
+
+@register("validate_requests")
+def validate_requests_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation turn as a request; blanks and nulls become rejects."""
+    req = _conversation_requests(spark, sf_dir)
+    valid, rejects = validate_requests(req)
+    return (valid.select("conv_id", "turn", F.lit(None).cast("string").alias("issue"), "prompt")
+            .unionByName(rejects.select("conv_id", "turn", "issue",
+                                        F.lit(None).cast("string").alias("prompt"))))
+
+
+@register("validation_report")
+def validation_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid / rejected counts by reason."""
+    req = _conversation_requests(spark, sf_dir)
+    from callsmith.operators.validate import request_issue
+    return validation_report(req.withColumn("issue", request_issue(F.col("prompt"))))
+
+
+def _part_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    name = F.concat(F.lit("fn_"), F.regexp_replace("p_name", " ", "_"))
+    fn_name = (F.when(F.col("p_partkey") % 9 == 0, F.col("p_name"))
+               .when(F.col("p_partkey") % 13 == 0, F.lit(""))
+               .otherwise(name))
+    args_names = F.array(F.lit("a"), F.lit("b"))
+    args_types = F.when(F.col("p_partkey") % 7 == 0,
+                        F.create_map(F.lit("a"), F.lit("float")))\
+        .otherwise(F.create_map(F.lit("a"), F.lit("float"), F.lit("b"), F.lower("p_type")))
+    ret = F.when(F.col("p_partkey") % 11 == 0, F.lit("")).otherwise(F.lit("float"))
+    return p.select(F.col("p_partkey").alias("ord"), fn_name.alias("fn_name"),
+                    args_names.alias("args_names"), args_types.alias("args_types"),
+                    ret.alias("return_type"))
+
+
+@register("validate_catalog")
+def validate_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions built from part, some broken; the first failed rule per row."""
+    defs = _part_definitions(spark, sf_dir)
+    valid, rejects = C.validate_catalog(defs, strict=False)
+    return (valid.select(F.col("ord").alias("p_partkey"), "fn_name",
+                         F.lit(None).cast("string").alias("issue"))
+            .unionByName(rejects.select(F.col("ord").alias("p_partkey"), "fn_name", "issue")))
+
+
+@register("dedupe_catalog")
+def dedupe_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: part names as function names; last definition wins at the first position."""
+    p = table(spark, sf_dir, "part")
+    defs = p.select(F.col("p_partkey").alias("ord"),
+                    F.concat(F.lit("fn_"), F.regexp_replace("p_name", " ", "_")).alias("fn_name"),
+                    F.array(F.lit("x")).alias("args_names"),
+                    F.create_map(F.lit("x"), F.lower("p_type")).alias("args_types"),
+                    F.col("p_brand").alias("return_type"))
+    d = C.dedupe_catalog(defs)
+    return d.select("ord", "fn_name", "return_type",
+                    F.element_at("args_types", F.lit("x")).alias("x_type"))
+
+
+# --- selection and the whole job ---------------------------------------------------
+
+@register("select_function")
+def select_function_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lexical closed-set selection over requests from seven tables."""
+    req = ensure_parallelism(R.mixed_requests(spark, sf_dir))
+    sel = select_function(req, C.catalog_from_rows(spark))
+    return sel.select("src", "key", "fn_name", F.col("fn_score").cast("int").alias("fn_score"))
+
+
+@register("select_function_join")
+def select_function_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 keyword-join form (used for catalogues too large to ship to every task)."""
+    req = R.mixed_requests(spark, sf_dir)
+    sel = select_function(req, C.catalog_from_rows(spark), key_cols=["src", "file_id", "row_index"],
+                          method="join")
+    return sel.select("src", "key", "fn_name", F.col("fn_score").cast("int").alias("fn_score"))
+
+
+def _mixed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = ensure_parallelism(R.mixed_requests(spark, sf_dir))
+    valid, _ = validate_requests(req)
+    return propose_calls(valid, C.catalog_from_rows(spark))
+
+
+@register("run_job")
+def run_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the whole pipeline on mixed requests, one row per (call, argument)."""
+    calls = _mixed_job(spark, sf_dir)
+    return explode_picks(calls, ["src", "key", "fn_name"])
+
+
+@register("run_summary")
+def run_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over the whole job's calls."""
+    req = ensure_parallelism(R.mixed_requests(spark, sf_dir))
+    valid, rejects = validate_requests(req)
+    calls = propose_calls(valid, C.catalog_from_rows(spark))
+    return run_summary(calls, rejects)
+
+
+@register("select_candidate")
+def select_candidate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2, T5: candidates from whole documents (quoted strings, else numbers); first wins."""
+    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    quoted = X.extract_any_quoted(F.col("text"))
+    cands = F.when(F.size(quoted) > 0, quoted).otherwise(X.extract_numbers(F.col("text")))
+    from callsmith.operators.select import select_candidate
+    return d.select("doc_id", F.size(cands).cast("int").alias("n_cands"),
+                    select_candidate(cands).alias("chosen"))
+
+
+# --- raw calls: resolve, anti-join, decode -----------------------------------------
+
+EVENT_CATALOG = [
+    ("fn_click", [("k", "int"), ("v", "float")], "bool"),
+    ("fn_view", [("k", "str")], "str"),
+    ("fn_purchase", [("k", "bool"), ("note", "str")], "float"),
+]
+
+
+def _raw_event_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", F.concat(F.lit("fn_"), "event_type").alias("raw_fn"),
+                     F.try_parse_json("props").alias("raw_args"))
+
+
+@register("resolve_calls")
+def resolve_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call names from events resolved against a 3-entry catalogue."""
+    r = resolve_function(_raw_event_calls(spark, sf_dir),
+                         C.catalog_from_rows(spark, EVENT_CATALOG))
+    return r.select("event_id", "raw_fn", "fn_name", "fn_unknown")
+
+
+@register("unknown_calls")
+def unknown_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls whose name is not in the catalogue."""
+    u = unknown_calls(_raw_event_calls(spark, sf_dir), C.catalog_from_rows(spark, EVENT_CATALOG))
+    return u.select("event_id", "raw_fn")
+
+
+@register("decode_calls")
+def decode_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events' props as raw arguments, typed per declared argument."""
+    d = decode_calls(_raw_event_calls(spark, sf_dir), C.catalog_from_rows(spark, EVENT_CATALOG))
+    return explode_picks(d, ["event_id", "fn_name", "is_fallback"])
