@@ -92,21 +92,25 @@ def bind_arguments(df: DataFrame, text_col: str = "prompt", fn_col: str = "fn_na
             F.coalesce(F.get(distinct, a["arg_ord"]), F.lit("")).alias("raw"),
             F.greatest(F.size(distinct) - a["arg_ord"], F.lit(0)).cast("int").alias("n_cands")))
         return df.withColumn("picks", picks)
+    # The features ride in the fold's accumulator: an outer column referenced
+    # from inside a lambda would be inlined there by Catalyst and recomputed for
+    # every argument.
     feats = candidate_features(text, fn, args)
-    staged = df.withColumn("_f", F.struct(*[c.alias(k) for k, c in feats.items()]))
-    f = {k: F.col(f"_f.{k}") for k in feats}
-    init = F.struct(_empty().alias("used"), F.array().cast(f"array<{PICK_TYPE}>").alias("picks"))
+    init = F.struct(_empty().alias("used"), F.array().cast(f"array<{PICK_TYPE}>").alias("picks"),
+                    F.struct(*[c.alias(k) for k, c in feats.items()]).alias("f"))
 
     def step(acc, a):
+        f = {k: acc["f"][k] for k in feats}
         cands = candidates(f, fn, a, acc["used"])
         value = F.coalesce(F.get(cands, 0), F.lit(""))
         pick = F.struct(a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
                         a["arg_type"].alias("arg_type"), value.alias("raw"),
                         F.size(cands).cast("int").alias("n_cands"))
         return F.struct(F.concat(acc["used"], F.array(value)).alias("used"),
-                        F.concat(acc["picks"], F.array(pick)).alias("picks"))
+                        F.concat(acc["picks"], F.array(pick)).alias("picks"),
+                        acc["f"].alias("f"))
 
-    return staged.withColumn("picks", F.aggregate(args, init, step)["picks"]).drop("_f")
+    return df.withColumn("picks", F.aggregate(args, init, step)["picks"])
 
 
 def type_picks(df: DataFrame, picks_col: str = "picks") -> DataFrame:
@@ -120,8 +124,14 @@ def type_picks(df: DataFrame, picks_col: str = "picks") -> DataFrame:
 
 
 def explode_picks(df: DataFrame, keep: list[str], picks_col: str = "picks") -> DataFrame:
-    """Long form: one row per (call, argument) with four typed value columns."""
-    return (df.select(*keep, F.explode(picks_col).alias("p"))
+    """Long form: one row per (call, argument) with four typed value columns.
+
+    ``explode_outer`` + a filter above it: a plain ``explode`` makes Catalyst
+    infer ``size(picks) > 0`` and push it below the projections, which would
+    inline (and so repeat) the whole binding expression inside the filter.
+    """
+    return (df.select(*keep, F.explode_outer(picks_col).alias("p"))
+            .filter(F.col("p").isNotNull())
             .select(*keep, "p.arg_ord", "p.arg_name", "p.arg_type",
                     *[F.col(f"p.c.{v}").alias(v) for v in VALUE_FIELDS],
                     F.col("p.c.issue").alias("issue")))

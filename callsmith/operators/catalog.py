@@ -105,6 +105,51 @@ def arg_specs_column() -> Column:
                                              F.element_at(F.col("args_types"), a).alias("arg_type")))
 
 
+ARG_SPEC_TYPE = "array<struct<arg_ord:int,arg_name:string,arg_type:string>>"
+
+
+_ENTRY_CACHE: dict[int, tuple[DataFrame, list | None]] = {}
+
+
+def collect_entries(catalog: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> list | None:
+    """The catalogue as driver-side rows in ``ord`` order, or None if it exceeds ``limit``.
+
+    Only a size-checked catalogue is ever collected; the requests never are.
+    One read per catalogue DataFrame (memoised on the object).
+    """
+    hit = _ENTRY_CACHE.get(id(catalog))
+    if hit is not None and hit[0] is catalog:
+        return hit[1]
+    rows = catalog.select("ord", "fn_name", "args_names", "args_types").limit(limit + 1).collect()
+    entries = None if len(rows) > limit else sorted(rows, key=lambda r: r["ord"])
+    _ENTRY_CACHE[id(catalog)] = (catalog, entries)
+    return entries
+
+
+def args_literal(args_names, args_types) -> Column:
+    specs = [F.struct(F.lit(i).alias("arg_ord"), F.lit(a).alias("arg_name"),
+                      F.lit((args_types or {}).get(a)).cast("string").alias("arg_type"))
+             for i, a in enumerate(args_names or [])]
+    return F.array(*specs).cast(ARG_SPEC_TYPE)
+
+
+def entry_literal(row, kws=None) -> Column:
+    """One catalogue entry as a constant struct (ord, fn_name, kws, args)."""
+    return F.struct(F.lit(row["ord"]).cast("bigint").alias("ord"), F.lit(row["fn_name"]).alias("fn_name"),
+                    F.array(*[F.lit(k) for k in sorted(kws or [])]).cast("array<string>").alias("kws"),
+                    args_literal(row["args_names"], row["args_types"]).alias("args"))
+
+
+def first_entry_literal(catalog: DataFrame) -> Column:
+    """W1 as a constant: the lowest-``ord`` definition (one row read on the driver)."""
+    entries = collect_entries(catalog)
+    row = entries[0] if entries else \
+        fallback_definition(catalog).select("ord", "fn_name", "args_names", "args_types").first()
+    if row is None:
+        raise CatalogError("function catalogue is empty")
+    return entry_literal(row)
+
+
 def explode_arg_specs(catalog: DataFrame) -> DataFrame:
     """Long table ``(ord, fn_name, arg_ord, arg_name, arg_type)``."""
     return (catalog.select("ord", "fn_name", F.posexplode("args_names").alias("arg_ord", "arg_name"),

@@ -13,8 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsmith.functions.convert import VALUE_FIELDS, convert_variant, default_for_type
+
+PICK_TYPE = ("struct<arg_ord:int,arg_name:string,arg_type:string,raw:string,n_cands:int,"
+             "c:struct<v_int:bigint,v_float:double,v_bool:boolean,v_str:string,issue:string,"
+             "fatal:boolean>>")
 from callsmith.operators.catalog import (MAX_BROADCAST_CATALOG, arg_specs_column,
-                                         bounded_count, fallback_definition)
+                                         bounded_count, first_entry_literal)
 
 
 def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> DataFrame:
@@ -31,9 +35,8 @@ def fallback_picks(args: Column) -> Column:
 
 
 def with_first_function(df: DataFrame, catalog: DataFrame) -> DataFrame:
-    first = fallback_definition(catalog).select(
-        F.struct(F.col("ord"), F.col("fn_name"), arg_specs_column().alias("args")).alias("_first"))
-    return df.crossJoin(F.broadcast(first))
+    """Attach the fallback definition (W1) as a constant column ``_first``."""
+    return df.withColumn("_first", first_entry_literal(catalog))
 
 
 def apply_fallback(df: DataFrame, fatal_col: str = "call_fatal") -> DataFrame:
@@ -86,18 +89,27 @@ def decode_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_
     """
     resolved = resolve_function(raw_calls, catalog, name_col)
     kind = F.schema_of_variant(F.col(args_col))
-    raw_map = F.try_variant_get(F.col(args_col), "$", "map<string,variant>")
     bad_payload = F.col(args_col).isNotNull() & (kind != "VOID") & ~kind.startswith("OBJECT")
-    picks = F.transform(F.col("fn_args"), lambda a: F.struct(
-        a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
-        a["arg_type"].alias("arg_type"), F.lit(None).cast("string").alias("raw"),
-        F.lit(1).alias("n_cands"),
-        convert_variant(F.try_element_at(raw_map, a["arg_name"]), a["arg_type"]).alias("c")))
-    out = (resolved.withColumn("picks", picks)
+    staged = with_first_function(resolved.withColumn("_bad", bad_payload), catalog)
+    # The parsed payload rides in the fold's accumulator so it is parsed once
+    # per call, not once per argument.
+    init = F.struct(F.try_variant_get(F.col(args_col), "$", "map<string,variant>").alias("m"),
+                    F.array().cast(f"array<{PICK_TYPE}>").alias("picks"))
+
+    def step(acc, a):
+        pick = F.struct(
+            a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
+            a["arg_type"].alias("arg_type"), F.lit(None).cast("string").alias("raw"),
+            F.lit(1).alias("n_cands"),
+            convert_variant(F.try_element_at(acc["m"], a["arg_name"]), a["arg_type"]).alias("c"))
+        return F.struct(acc["m"].alias("m"), F.concat(acc["picks"], F.array(pick)).alias("picks"))
+
+    picks = F.aggregate(F.col("fn_args"), init, step)["picks"]
+    out = (staged.withColumn("picks", picks)
            .withColumn("is_fallback", F.lit(False))
-           .withColumn("call_fatal", bad_payload |
+           .withColumn("call_fatal", F.col("_bad") |
                        F.exists(F.col("picks"), lambda p: p["c"]["fatal"])))
-    return apply_fallback(with_first_function(out, catalog)).drop("fn_args")
+    return apply_fallback(out).drop("fn_args", "_bad")
 
 
 def json_scalar(x: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from callsmith import fixed
 from callsmith.operators.catalog import (MAX_BROADCAST_CATALOG, arg_specs_column,
-                                         bounded_count)
+                                         collect_entries, entry_literal)
 
 WORD_PATTERN = "[a-z0-9_]+"
 _ORD_BITS = 2 ** 32
@@ -49,6 +49,16 @@ def default_keywords(catalog: DataFrame, aliases: dict | None = None) -> DataFra
     return parts.unionByName(extra).distinct()
 
 
+def default_keyword_sets(names, aliases: dict | None = None) -> dict[str, set[str]]:
+    """The same rule as ``default_keywords`` for a collected (small) catalogue."""
+    aliases = fixed.KEYWORD_ALIASES if aliases is None else aliases
+    out = {}
+    for n in names:
+        kws = {p for p in n.split("_") if p and p not in fixed.KEYWORD_STOPWORDS}
+        out[n] = kws | set(aliases.get(n, ()))
+    return out
+
+
 class LexicalScorer:
     """Keyword-count scorer; ``keywords`` is a ``(fn_name, keyword)`` DataFrame."""
 
@@ -63,24 +73,14 @@ class LexicalScorer:
             return self.keywords
         return default_keywords(catalog, self.aliases)
 
-
-def _catalog_row(catalog: DataFrame, keywords: DataFrame) -> DataFrame:
-    kw = keywords.groupBy("fn_name").agg(F.array_sort(F.collect_set("keyword")).alias("kws"))
-    entries = (catalog.join(kw, "fn_name", "left")
-               .select(F.struct(F.col("ord"), F.col("fn_name"),
-                                F.coalesce("kws", F.array().cast("array<string>")).alias("kws"),
-                                arg_specs_column().alias("args")).alias("e")))
-    return entries.agg(F.collect_list("e").alias("cat"), F.min_by("e", F.col("e.ord")).alias("first"))
-
-
-def _chosen(best: Column, first: Column) -> Column:
-    use_best = best["score"] > 0
-    return F.struct(
-        F.when(use_best, best["ord"]).otherwise(first["ord"]).alias("fn_ord"),
-        F.when(use_best, best["fn_name"]).otherwise(first["fn_name"]).alias("fn_name"),
-        F.when(use_best, best["args"]).otherwise(first["args"]).alias("fn_args"),
-        F.coalesce(best["score"], F.lit(0)).alias("fn_score"),
-        (~F.coalesce(use_best, F.lit(False))).alias("fn_fallback"))
+    def keyword_sets(self, entries) -> dict[str, set[str]]:
+        """Keywords of a collected catalogue, without a Spark job for the default rule."""
+        if self.keywords is None:
+            return default_keyword_sets([e["fn_name"] for e in entries], self.aliases)
+        kw: dict[str, set[str]] = {}
+        for r in self.keywords.collect():
+            kw.setdefault(r["fn_name"], set()).add(r["keyword"])
+        return kw
 
 
 def select_function(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
@@ -92,30 +92,41 @@ def select_function(requests: DataFrame, catalog: DataFrame, scorer: LexicalScor
     keyword-join form.
     """
     scorer = scorer or LexicalScorer()
-    keywords = scorer.keyword_table(catalog)
-    if method == "auto":
-        n = bounded_count(catalog, MAX_BROADCAST_CATALOG)
-        method = "inrow" if n <= MAX_BROADCAST_CATALOG else "join"
-    if method == "inrow":
-        return _select_inrow(requests, catalog, keywords, text_col)
+    entries = collect_entries(catalog) if method in ("auto", "inrow") else None
+    if method == "inrow" and entries is None:
+        raise ValueError("catalogue too large for the in-row form")
+    if entries is not None:
+        return _select_inrow(requests, entries, scorer.keyword_sets(entries), text_col)
     if not key_cols:
         raise ValueError("the keyword-join form needs key_cols")
-    return _select_join(requests, catalog, keywords, text_col, key_cols)
-
-
-def _select_inrow(requests, catalog, keywords, text_col):
-    cat = F.broadcast(_catalog_row(catalog, keywords))
-    words = request_words(F.col(text_col))
-    scored = F.transform(F.col("cat"), lambda e: F.struct(
-        F.size(F.array_intersect(e["kws"], words)).alias("score"),
-        (-e["ord"]).alias("neg_ord"),
-        e["ord"].alias("ord"), e["fn_name"].alias("fn_name"), e["args"].alias("args")))
-    out = (requests.crossJoin(cat)
-           .withColumn("_sel", _chosen(F.array_max(scored), F.col("first")))
-           .drop("cat", "first"))
-    return out.select(*requests.columns, *[F.col(f"_sel.{c}").alias(c) for c in
-                                           ("fn_ord", "fn_name", "fn_args", "fn_score",
-                                            "fn_fallback")])
+    return _select_join(requests, catalog, scorer.keyword_table(catalog), text_col, key_cols)
+
+
+def _select_inrow(requests, entries, kw, text_col):
+    """Argmax over a constant catalogue array, folded in-row.
+
+    The request's words ride in the fold's accumulator, so they are computed
+    once per request (an outer column referenced in a lambda would be inlined
+    and recomputed per entry).  Entries are in ``ord`` order and only a
+    strictly higher score replaces the best, so ties keep the lowest ``ord``.
+    """
+    cat = F.array(*[entry_literal(e, kw.get(e["fn_name"])) for e in entries])
+    first = entry_literal(entries[0], kw.get(entries[0]["fn_name"]))
+    none = F.struct(F.lit(0).alias("score"), first["ord"].alias("ord"),
+                    first["fn_name"].alias("fn_name"), first["args"].alias("args"))
+    init = F.struct(request_words(F.col(text_col)).alias("w"), none.alias("best"))
+
+    def step(acc, e):
+        score = F.size(F.array_intersect(e["kws"], acc["w"]))
+        cand = F.struct(score.alias("score"), e["ord"].alias("ord"), e["fn_name"].alias("fn_name"),
+                        e["args"].alias("args"))
+        return F.struct(acc["w"].alias("w"),
+                        F.when(score > acc["best"]["score"], cand).otherwise(acc["best"]).alias("best"))
+
+    best = F.aggregate(cat, init, step)["best"]
+    return requests.select("*", *[c.alias(n) for n, c in (
+        ("fn_ord", best["ord"]), ("fn_name", best["fn_name"]), ("fn_args", best["args"]),
+        ("fn_score", best["score"]), ("fn_fallback", best["score"] == 0))])
 
 
 def _select_join(requests, catalog, keywords, text_col, key_cols):

@@ -38,10 +38,10 @@ def _arg(i: int, field: str):
 
 
 def _with_function(df: DataFrame, catalog: DataFrame, fn_name: str) -> DataFrame:
-    """Attach one catalogue entry's argument specs (the function is given)."""
-    entry = catalog.filter(F.col("fn_name") == fn_name).select(
-        F.col("fn_name"), C.arg_specs_column().alias("fn_args"))
-    return df.crossJoin(F.broadcast(entry))
+    """Attach one catalogue entry's argument specs as constants (the function is given)."""
+    row = catalog.filter(F.col("fn_name") == fn_name).first()
+    return df.select("*", F.lit(fn_name).alias("fn_name"),
+                     C.args_literal(row["args_names"], row["args_types"]).alias("fn_args"))
 
 
 def _bound(df: DataFrame, spark: SparkSession, fn_name: str) -> DataFrame:
@@ -69,7 +69,8 @@ def extract_numbers_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Compare "), R.dec_text("o_totalprice"), F.lit(" with -"), R.s("o_custkey"),
         F.lit(" and "), R.s("o_orderkey"), F.lit("-"), R.s(F.col("o_custkey") % 7)).alias("prompt"))
     return (ensure_parallelism(req)
-            .select("o_orderkey", F.posexplode(X.extract_numbers(F.col("prompt"))).alias("pos", "num"))
+            .select("o_orderkey", F.posexplode_outer(X.extract_numbers(F.col("prompt"))).alias("pos", "num"))
+            .filter(F.col("num").isNotNull())
             .select("o_orderkey", F.col("pos").cast("int").alias("pos"), "num"))
 
 
