@@ -472,3 +472,101 @@ SELECT event_id, fn_name, false AS is_fallback, CAST(arg_ord AS INTEGER) AS arg_
   CASE WHEN arg_name IN ('v', 'note') THEN 'missing_arg' END AS issue
 FROM e JOIN specs USING (fn_name)
 """
+
+# --- prefix index ------------------------------------------------------------------
+
+TOKENS = q(r"[^\t\n\x0b\f\r ]+")
+
+DOC_PREFIX_ROWS = f"""
+t AS (SELECT doc_id, regexp_extract_all(text, {TOKENS}) AS toks FROM documents),
+e AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, toks[i] AS tok
+      FROM (SELECT doc_id, toks, generate_subscripts(toks, 1) AS i FROM t)),
+h AS (SELECT *, sum(hash(tok, n)) OVER (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS k
+      FROM e)
+"""
+
+ORACLE["allowed_next_tokens"] = f"""
+WITH {DOC_PREFIX_ROWS},
+p AS (SELECT doc_id, n, tok, k - hash(tok, n) AS pk FROM h),
+edges AS (SELECT n, pk, tok, count(*) AS n_seqs, min(doc_id) AS child_seq FROM p GROUP BY n, pk, tok)
+SELECT min(child_seq) OVER (PARTITION BY n, pk) AS node_seq, n AS depth, tok AS next_token,
+       n_seqs, child_seq
+FROM edges
+"""
+
+ORACLE["shortest_unique_prefix"] = f"""
+WITH {DOC_PREFIX_ROWS},
+g AS (SELECT n + 1 AS len, count(*) AS c, min(doc_id) AS doc_id FROM h GROUP BY n, k)
+SELECT doc_id AS seq_id, CAST(min(len) AS INTEGER) AS sup_len FROM g WHERE c = 1 GROUP BY doc_id
+"""
+
+PERMITTED = """
+c AS (SELECT vec_id, embedding, i FROM embeddings, range(0, 72) r(i)
+      WHERE i % (label + 2) = vec_id % (label + 2) AND i < len(embedding)),
+s AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS score FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, i ASC) AS rn FROM s)
+"""
+
+ORACLE["masked_argmax"] = f"""
+WITH {PERMITTED}
+SELECT e.vec_id, CAST(r.i AS INTEGER) AS token_id, r.score
+FROM embeddings e LEFT JOIN r ON e.vec_id = r.vec_id AND r.rn = 1
+"""
+
+ORACLE["masked_argmax_long"] = f"""
+WITH {PERMITTED}
+SELECT vec_id, CAST(i AS INTEGER) AS token_id, score FROM r WHERE rn = 1
+"""
+
+# --- token tables -------------------------------------------------------------------
+
+
+def normalize_sql(x: str) -> str:
+    out = x
+    for special, repl in fixed.TOKEN_REPLACEMENTS:
+        out = f"replace({out}, {q(special)}, {q(repl)})"
+    return out
+
+
+RAW_TOKENS = f"""
+t AS (SELECT doc_id, regexp_extract_all(text, {TOKENS}) AS toks FROM documents),
+e AS (SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, toks[i] AS w
+      FROM (SELECT doc_id, toks, generate_subscripts(toks, 1) AS i FROM t)),
+rt AS (SELECT CASE pos % 3 WHEN 0 THEN 'Ġ' || w WHEN 1 THEN '▁' || w ELSE w || '</w>' END AS token,
+              doc_id * 1048576 + pos AS o FROM e),
+raw AS (SELECT min(o) AS ord, token, min(o) AS token_id FROM rt GROUP BY token),
+norm AS (SELECT {normalize_sql('token')} AS token, token_id, ord FROM raw),
+vocab AS (SELECT token, arg_max(token_id, ord) AS token_id, count(*) AS n_raw FROM norm GROUP BY token)
+"""
+
+ORACLE["normalize_tokens"] = f"""
+WITH {RAW_TOKENS}
+SELECT token, token_id, n_raw FROM vocab
+"""
+
+ORACLE["token_table_report"] = f"""
+WITH {RAW_TOKENS}
+SELECT (SELECT count(DISTINCT token) FROM raw) AS n_raw_tokens,
+       (SELECT count(DISTINCT token) FROM vocab) AS n_tokens
+"""
+
+ORACLE["invert_tokens"] = f"""
+WITH {RAW_TOKENS},
+pairs AS (SELECT CASE WHEN ord % 10 = 0 THEN 'x' || CAST(ord AS VARCHAR)
+                      ELSE CAST(ord % 4096 AS VARCHAR) END AS key, token AS value, ord FROM raw),
+k AS (SELECT TRY_CAST(trim(key) AS INTEGER) AS token_id, value, ord FROM pairs)
+SELECT token_id, arg_max(value, ord) AS token FROM k WHERE token_id IS NOT NULL GROUP BY token_id
+"""
+
+ORACLE["encode_tokens"] = f"""
+WITH {RAW_TOKENS},
+bt AS (SELECT item_id, regexp_extract_all(text, {TOKENS}) AS toks FROM benchmark),
+be AS (SELECT item_id, i - 1 AS pos, toks[i] AS w
+       FROM (SELECT item_id, toks, generate_subscripts(toks, 1) AS i FROM bt)),
+lk AS (SELECT be.item_id, be.pos, vocab.token_id, vocab.token
+       FROM be LEFT JOIN vocab ON vocab.token = CASE WHEN be.pos > 0 THEN ' ' || be.w ELSE be.w END)
+SELECT item_id, count(*) AS n_tokens, count(*) FILTER (WHERE token_id IS NULL) AS n_unknown,
+       string_agg(CAST(coalesce(token_id, -1) AS VARCHAR), ' ' ORDER BY pos) AS ids,
+       string_agg(coalesce(token, ''), '' ORDER BY pos) AS decoded
+FROM lk GROUP BY item_id
+"""

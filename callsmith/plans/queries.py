@@ -339,3 +339,112 @@ def decode_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events' props as raw arguments, typed per declared argument."""
     d = decode_calls(_raw_event_calls(spark, sf_dir), C.catalog_from_rows(spark, EVENT_CATALOG))
     return explode_picks(d, ["event_id", "fn_name", "is_fallback"])
+
+
+# --- prefix index over whole documents ------------------------------------------
+
+def _document_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsmith.operators.prefix import word_tokens
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("seq_id"), word_tokens(F.col("text")).alias("tokens"))
+
+
+@register("allowed_next_tokens")
+def allowed_next_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trie edge of the documents' whole token sequences."""
+    from callsmith.operators.prefix import allowed_next
+    return allowed_next(_document_sequences(spark, sf_dir))
+
+
+@register("shortest_unique_prefix")
+def shortest_unique_prefix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, A4: where a greedy walk along each document's tokens becomes unique."""
+    from callsmith.operators.prefix import shortest_unique_prefix
+    return shortest_unique_prefix(_document_sequences(spark, sf_dir))
+
+
+def _permitted(vec_id, label):
+    return F.filter(F.sequence(F.lit(0), F.lit(71)),
+                    lambda i: i % (label + 2) == vec_id % (label + 2))
+
+
+@register("masked_argmax")
+def masked_argmax_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best permitted token per score vector (embeddings as scores), in-row."""
+    from callsmith.operators.prefix import masked_argmax
+    e = table(spark, sf_dir, "embeddings")
+    best = masked_argmax(F.col("embedding"), _permitted(F.col("vec_id"), F.col("label")))
+    return e.select("vec_id", best["token_id"].alias("token_id"), best["score"].alias("score"))
+
+
+@register("masked_argmax_long")
+def masked_argmax_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 long form: semi-join of exploded scores with the permitted table, max per key."""
+    from callsmith.operators.prefix import masked_argmax_long
+    e = table(spark, sf_dir, "embeddings")
+    scores = e.select(F.col("vec_id").alias("req_id"),
+                      F.posexplode("embedding").alias("token_id", "score"))
+    permitted = e.select(F.col("vec_id").alias("req_id"),
+                         F.explode(_permitted(F.col("vec_id"), F.col("label"))).alias("token_id"))
+    return masked_argmax_long(scores, permitted).withColumnRenamed("req_id", "vec_id")
+
+
+# --- token tables ------------------------------------------------------------------
+
+def _raw_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary-like table from whole documents: marker-decorated tokens, first occurrence order."""
+    from callsmith.operators.prefix import word_tokens
+    d = table(spark, sf_dir, "documents")
+    t = (d.select("doc_id", F.posexplode_outer(word_tokens(F.col("text"))).alias("pos", "w"))
+         .filter(F.col("w").isNotNull()))
+    k = F.col("pos") % 3
+    raw = (F.when(k == 0, F.concat(F.lit("Ġ"), "w")).when(k == 1, F.concat(F.lit("▁"), "w"))
+           .otherwise(F.concat("w", F.lit("</w>"))))
+    ordkey = F.col("doc_id") * F.lit(1 << 20) + F.col("pos")
+    return (t.select(raw.alias("token"), ordkey.alias("o")).groupBy("token")
+            .agg(F.min("o").alias("ord"))
+            .select("ord", "token", F.col("ord").alias("token_id")))
+
+
+@register("normalize_tokens")
+def normalize_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised vocabulary; the last entry wins on collisions."""
+    from callsmith.operators.tokens import normalize_token_table
+    n = normalize_token_table(_raw_token_table(spark, sf_dir))
+    return n.select("token", "token_id", "n_raw")
+
+
+@register("token_table_report")
+def token_table_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct raw and normalised tokens."""
+    from callsmith.operators.tokens import normalize_token_table, token_table_report
+    raw = _raw_token_table(spark, sf_dir)
+    return (token_table_report(raw).withColumnRenamed("n_tokens", "n_raw_tokens")
+            .crossJoin(token_table_report(normalize_token_table(raw))))
+
+
+@register("invert_tokens")
+def invert_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id-keyed entries (some keys not integers) → id to token, last entry wins."""
+    from callsmith.operators.tokens import invert_token_table
+    raw = _raw_token_table(spark, sf_dir)
+    key = (F.when(F.col("ord") % 10 == 0, F.concat(F.lit("x"), F.col("ord").cast("string")))
+           .otherwise((F.col("ord") % 4096).cast("string")))
+    pairs = raw.select(key.alias("key"), F.col("token").alias("value"), "ord")
+    return invert_token_table(pairs)
+
+
+@register("encode_tokens")
+def encode_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark texts encoded with the documents' normalised table, and decoded back."""
+    from callsmith.operators.tokens import (decode_with_table, encode_with_table,
+                                            normalize_token_table)
+    vocab = normalize_token_table(_raw_token_table(spark, sf_dir)).select("token", "token_id")
+    b = table(spark, sf_dir, "benchmark")
+    enc = encode_with_table(b, vocab, "item_id")
+    dec = decode_with_table(enc, vocab, "item_id")
+    return (enc.join(dec, "item_id")
+            .select("item_id", F.col("n_tokens").cast("bigint").alias("n_tokens"),
+                    F.col("n_unknown").cast("bigint").alias("n_unknown"),
+                    F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"),
+                    F.col("text").alias("decoded")))
