@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsmith import fixed
-from callsmith.operators.catalog import (MAX_BROADCAST_CATALOG, arg_specs_column,
-                                         collect_entries, entry_literal)
+from callsmith.operators.catalog import MAX_BROADCAST_CATALOG, arg_specs_column, collect_entries
 
 WORD_PATTERN = "[a-z0-9_]+"
 _ORD_BITS = 2 ** 32
@@ -102,16 +101,26 @@ def select_function(requests: DataFrame, catalog: DataFrame, scorer: LexicalScor
     return _select_join(requests, catalog, scorer.keyword_table(catalog), text_col, key_cols)
 
 
+ENTRY_TYPE = ("struct<ord:bigint,fn_name:string,kws:array<string>,"
+              "args:array<struct<arg_ord:int,arg_name:string,arg_type:string>>>")
+
+
 def _select_inrow(requests, entries, kw, text_col):
-    """Argmax over a constant catalogue array, folded in-row.
+    """Argmax over the catalogue array, folded in-row.
 
-    The request's words ride in the fold's accumulator, so they are computed
-    once per request (an outer column referenced in a lambda would be inlined
-    and recomputed per entry).  Entries are in ``ord`` order and only a
-    strictly higher score replaces the best, so ties keep the lowest ``ord``.
+    The (size-checked) catalogue travels as one broadcast row.  The request's
+    words ride in the fold's accumulator, so they are computed once per
+    request (an outer expression referenced in a lambda would be inlined and
+    recomputed per entry).  Entries are in ``ord`` order and only a strictly
+    higher score replaces the best, so ties keep the lowest ``ord``.
     """
-    cat = F.array(*[entry_literal(e, kw.get(e["fn_name"])) for e in entries])
-    first = entry_literal(entries[0], kw.get(entries[0]["fn_name"]))
+    def entry(e):
+        args = [(i, a, (e["args_types"] or {}).get(a)) for i, a in enumerate(e["args_names"] or [])]
+        return (e["ord"], e["fn_name"], sorted(kw.get(e["fn_name"], ())), args)
+
+    spark = requests.sparkSession
+    const = spark.createDataFrame([([entry(e) for e in entries],)], f"_cat array<{ENTRY_TYPE}>")
+    first = F.get(F.col("_cat"), 0)
     none = F.struct(F.lit(0).alias("score"), first["ord"].alias("ord"),
                     first["fn_name"].alias("fn_name"), first["args"].alias("args"))
     init = F.struct(request_words(F.col(text_col)).alias("w"), none.alias("best"))
@@ -123,10 +132,13 @@ def _select_inrow(requests, entries, kw, text_col):
         return F.struct(acc["w"].alias("w"),
                         F.when(score > acc["best"]["score"], cand).otherwise(acc["best"]).alias("best"))
 
-    best = F.aggregate(cat, init, step)["best"]
-    return requests.select("*", *[c.alias(n) for n, c in (
-        ("fn_ord", best["ord"]), ("fn_name", best["fn_name"]), ("fn_args", best["args"]),
-        ("fn_score", best["score"]), ("fn_fallback", best["score"] == 0))])
+    # Materialise the argmax once, then read its fields.
+    chosen = (requests.crossJoin(F.broadcast(const))
+              .withColumn("_b", F.aggregate(F.col("_cat"), init, step)["best"]))
+    b = F.col("_b")
+    return chosen.select(*requests.columns, *[c.alias(n) for n, c in (
+        ("fn_ord", b["ord"]), ("fn_name", b["fn_name"]), ("fn_args", b["args"]),
+        ("fn_score", b["score"]), ("fn_fallback", b["score"] == 0))])
 
 
 def _select_join(requests, catalog, keywords, text_col, key_cols):

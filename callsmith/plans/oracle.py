@@ -570,3 +570,11 @@ SELECT item_id, count(*) AS n_tokens, count(*) FILTER (WHERE token_id IS NULL) A
        string_agg(coalesce(token, ''), '' ORDER BY pos) AS decoded
 FROM lk GROUP BY item_id
 """
+
+ORACLE["catalog_fingerprints"] = """
+SELECT p_partkey AS ord, 'fn_' || replace(p_name, ' ', '_') AS fn_name,
+  sha256('{"fn_name":"fn_' || replace(p_name, ' ', '_') || '","args_names":["x","n"],'
+         || '"args_types":[{"key":"n","value":"int"},{"key":"x","value":"' || lower(p_type) || '"}],'
+         || '"return_type":"' || p_brand || '"}') AS fingerprint
+FROM part
+"""

@@ -448,3 +448,30 @@ def encode_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_unknown").cast("bigint").alias("n_unknown"),
                     F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"),
                     F.col("text").alias("decoded")))
+
+
+# --- prefix-mode selection -----------------------------------------------------------
+
+@register("constrained_walk")
+def constrained_walk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 prefix mode, K9, T3: each embedding row walks the tokenised catalogue greedily.
+
+    Iterative, so no SQL oracle; tests compare it with a brute-force walk.
+    """
+    from callsmith.operators.walk import constrained_walk
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    w = constrained_walk(e, C.catalog_from_rows(spark), "embedding")
+    return w.select("vec_id", "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"),
+                    "walk_unique")
+
+
+@register("catalog_fingerprints")
+def catalog_fingerprints_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-insensitive fingerprint of every definition built from part."""
+    p = table(spark, sf_dir, "part")
+    defs = p.select(F.col("p_partkey").alias("ord"),
+                    F.concat(F.lit("fn_"), F.regexp_replace("p_name", " ", "_")).alias("fn_name"),
+                    F.array(F.lit("x"), F.lit("n")).alias("args_names"),
+                    F.create_map(F.lit("x"), F.lower("p_type"), F.lit("n"), F.lit("int")).alias("args_types"),
+                    F.col("p_brand").alias("return_type"))
+    return defs.select("ord", "fn_name", C.definition_fingerprint().alias("fingerprint"))
