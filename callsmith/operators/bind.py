@@ -80,18 +80,38 @@ def bind_arguments(df: DataFrame, text_col: str = "prompt", fn_col: str = "fn_na
 
     ``method='fold'`` is the general recurrence.  ``'closed'`` is valid only
     when every argument is numeric: the k-th argument is the k-th distinct
-    number (first-occurrence order), or '' when there are fewer.
+    number (first-occurrence order), or '' when there are fewer.  ``'auto'``
+    picks per row.
     """
     text, fn, args = F.col(text_col), F.col(fn_col), F.col(args_col)
     if method == "closed":
-        nums = X.extract_numbers(text)
-        distinct = F.array_distinct(nums)
-        picks = F.transform(args, lambda a: F.struct(
+        return df.withColumn("picks", _closed_picks(text, args))
+    if method == "auto":
+        # Rows whose function takes only numbers use the closed form; the
+        # rest fold.  CASE evaluates one branch per row.
+        all_numeric = F.forall(args, lambda a: a["arg_type"].isin(*_NUMERIC))
+        return df.withColumn("picks", F.when(all_numeric, _closed_picks(text, args))
+                             .otherwise(_fold_picks(text, fn, args)))
+    return df.withColumn("picks", _fold_picks(text, fn, args))
+
+
+def _closed_picks(text: Column, args: Column) -> Column:
+    distinct = F.array_distinct(X.extract_numbers(text))
+    # The distinct numbers ride in an accumulator so the regex runs once per row.
+    init = F.struct(distinct.alias("d"), F.array().cast(f"array<{PICK_TYPE}>").alias("picks"))
+
+    def step(acc, a):
+        pick = F.struct(
             a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
             a["arg_type"].alias("arg_type"),
-            F.coalesce(F.get(distinct, a["arg_ord"]), F.lit("")).alias("raw"),
-            F.greatest(F.size(distinct) - a["arg_ord"], F.lit(0)).cast("int").alias("n_cands")))
-        return df.withColumn("picks", picks)
+            F.coalesce(F.get(acc["d"], a["arg_ord"]), F.lit("")).alias("raw"),
+            F.greatest(F.size(acc["d"]) - a["arg_ord"], F.lit(0)).cast("int").alias("n_cands"))
+        return F.struct(acc["d"].alias("d"), F.concat(acc["picks"], F.array(pick)).alias("picks"))
+
+    return F.aggregate(args, init, step)["picks"]
+
+
+def _fold_picks(text: Column, fn: Column, args: Column) -> Column:
     # The features ride in the fold's accumulator: an outer column referenced
     # from inside a lambda would be inlined there by Catalyst and recomputed for
     # every argument.
@@ -110,7 +130,7 @@ def bind_arguments(df: DataFrame, text_col: str = "prompt", fn_col: str = "fn_na
                         F.concat(acc["picks"], F.array(pick)).alias("picks"),
                         acc["f"].alias("f"))
 
-    return df.withColumn("picks", F.aggregate(args, init, step)["picks"])
+    return F.aggregate(args, init, step)["picks"]
 
 
 def type_picks(df: DataFrame, picks_col: str = "picks") -> DataFrame:

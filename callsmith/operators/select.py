@@ -106,39 +106,41 @@ ENTRY_TYPE = ("struct<ord:bigint,fn_name:string,kws:array<string>,"
 
 
 def _select_inrow(requests, entries, kw, text_col):
-    """Argmax over the catalogue array, folded in-row.
-
-    The (size-checked) catalogue travels as one broadcast row.  The request's
-    words ride in the fold's accumulator, so they are computed once per
-    request (an outer expression referenced in a lambda would be inlined and
-    recomputed per entry).  Entries are in ``ord`` order and only a strictly
-    higher score replaces the best, so ties keep the lowest ``ord``.
+    """Argmax over a broadcast catalogue, in-row, touching only the entries hit.
+
+    The (size-checked) catalogue travels as one broadcast row holding the
+    entries in ``ord`` order, the set of all keywords and a keyword → entry
+    positions map.  Per request: one ``array_intersect`` of its words with
+    the keyword set (codegen'd), then positions of the hit entries are
+    counted and the best taken — work grows with the hits, not with the
+    catalogue.  Ties go to the lowest position, i.e. the lowest ``ord``.
     """
     def entry(e):
         args = [(i, a, (e["args_types"] or {}).get(a)) for i, a in enumerate(e["args_names"] or [])]
         return (e["ord"], e["fn_name"], sorted(kw.get(e["fn_name"], ())), args)
 
+    rows = [entry(e) for e in entries]
+    kw2pos: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        for k in r[2]:
+            kw2pos.setdefault(k, []).append(i)
     spark = requests.sparkSession
-    const = spark.createDataFrame([([entry(e) for e in entries],)], f"_cat array<{ENTRY_TYPE}>")
-    first = F.get(F.col("_cat"), 0)
-    none = F.struct(F.lit(0).alias("score"), first["ord"].alias("ord"),
-                    first["fn_name"].alias("fn_name"), first["args"].alias("args"))
-    init = F.struct(request_words(F.col(text_col)).alias("w"), none.alias("best"))
-
-    def step(acc, e):
-        score = F.size(F.array_intersect(e["kws"], acc["w"]))
-        cand = F.struct(score.alias("score"), e["ord"].alias("ord"), e["fn_name"].alias("fn_name"),
-                        e["args"].alias("args"))
-        return F.struct(acc["w"].alias("w"),
-                        F.when(score > acc["best"]["score"], cand).otherwise(acc["best"]).alias("best"))
-
-    # Materialise the argmax once, then read its fields.
-    chosen = (requests.crossJoin(F.broadcast(const))
-              .withColumn("_b", F.aggregate(F.col("_cat"), init, step)["best"]))
-    b = F.col("_b")
+    const = spark.createDataFrame(
+        [(rows, sorted(kw2pos), kw2pos)],
+        f"_cat array<{ENTRY_TYPE}>, _kw array<string>, _kw2pos map<string,array<int>>")
+    hits = F.array_intersect(request_words(F.col(text_col)), F.col("_kw"))
+    staged = (requests.crossJoin(F.broadcast(const))
+              .withColumn("_pos", F.flatten(F.transform(hits, lambda w: F.element_at(F.col("_kw2pos"), w)))))
+    # (score, -position) of every hit entry; the maximum is the winner.
+    best = F.array_max(F.transform(F.array_distinct(F.col("_pos")), lambda i: F.struct(
+        F.size(F.filter(F.col("_pos"), lambda x: x == i)).alias("score"), (-i).alias("neg"))))
+    chosen = staged.withColumn("_b", best)
+    pos = F.coalesce(-F.col("_b.neg"), F.lit(0))
+    e = F.get(F.col("_cat"), pos)
+    score = F.coalesce(F.col("_b.score"), F.lit(0))
     return chosen.select(*requests.columns, *[c.alias(n) for n, c in (
-        ("fn_ord", b["ord"]), ("fn_name", b["fn_name"]), ("fn_args", b["args"]),
-        ("fn_score", b["score"]), ("fn_fallback", b["score"] == 0))])
+        ("fn_ord", e["ord"]), ("fn_name", e["fn_name"]), ("fn_args", e["args"]),
+        ("fn_score", score), ("fn_fallback", score == 0))])
 
 
 def _select_join(requests, catalog, keywords, text_col, key_cols):

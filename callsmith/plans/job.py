@@ -21,7 +21,7 @@ from callsmith.operators.validate import validate_requests
 
 def propose_calls(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
                   text_col: str = "prompt", key_cols: list[str] | None = None,
-                  bind_method: str = "fold") -> DataFrame:
+                  bind_method: str = "auto") -> DataFrame:
     """K4: one call per request: ``fn_ord, fn_name, fn_score, fn_fallback, is_fallback, picks``."""
     selected = select_function(requests, catalog, scorer, text_col=text_col, key_cols=key_cols)
     bound = bind_arguments(selected, text_col=text_col, method=bind_method)
@@ -50,7 +50,7 @@ class JobResult:
 
 def run_job(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
             text_col: str = "prompt", key_cols: list[str] | None = None,
-            bind_method: str = "fold") -> JobResult:
+            bind_method: str = "auto") -> JobResult:
     """K7: validated requests → calls, plus the rejected requests."""
     valid, rejects = validate_requests(requests, text_col)
     calls = propose_calls(valid, catalog, scorer, text_col, key_cols, bind_method)
