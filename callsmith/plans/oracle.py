@@ -578,3 +578,5 @@ SELECT p_partkey AS ord, 'fn_' || replace(p_name, ' ', '_') AS fn_name,
          || '"return_type":"' || p_brand || '"}') AS fingerprint
 FROM part
 """
+
+ORACLE["stream_calls"] = ORACLE["bind_two_numbers"]

@@ -475,3 +475,21 @@ def catalog_fingerprints_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.create_map(F.lit("x"), F.lower("p_type"), F.lit("n"), F.lit("int")).alias("args_types"),
                     F.col("p_brand").alias("return_type"))
     return defs.select("ord", "fn_name", C.definition_fingerprint().alias("fingerprint"))
+
+
+# --- streaming -----------------------------------------------------------------------
+
+@register("stream_calls")
+def stream_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum requests from lineitem read as a file stream, processed to a parquet sink
+    (availableNow), then read back; same result as ``bind_two_numbers``."""
+    from callsmith.streaming.stream import run_stream_to_parquet, stream_calls
+    path = f"{sf_dir}/lineitem.parquet"
+    schema = spark.read.parquet(path).schema
+    src = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    calls = stream_calls(R.lineitem_sum_requests(src), C.catalog_from_rows(spark))
+    flat = calls.select("l_orderkey", "l_linenumber", "fn_name",
+                        _arg(0, "v_float").alias("a"), _arg(1, "v_float").alias("b"))
+    query, out = run_stream_to_parquet(spark, flat, "sum")
+    query.awaitTermination()
+    return spark.read.parquet(out)
