@@ -143,10 +143,20 @@ def _select_inrow(requests, entries, kw, text_col):
         ("fn_score", score), ("fn_fallback", score == 0))])
 
 
+MAX_BROADCAST_KEYWORDS = 1_000_000
+
+
 def _select_join(requests, catalog, keywords, text_col, key_cols):
+    """Keyword equi-join form for catalogues too large to ship whole.
+
+    Sides that grow with the requests are joined with shuffle-merge hints so
+    no runtime estimate can turn them into a broadcast; the keyword table is
+    broadcast only behind a bounded count.
+    """
+    from callsmith.operators.decode import maybe_broadcast
     kw = keywords.join(catalog.select("fn_name", "ord"), "fn_name").select("keyword", "ord")
     words = requests.select(*key_cols, F.explode(request_words(F.col(text_col))).alias("keyword"))
-    hits = words.join(kw, "keyword")
+    hits = words.join(maybe_broadcast(kw, MAX_BROADCAST_KEYWORDS), "keyword")
     best = (hits.groupBy(*key_cols, "ord").agg(F.count(F.lit(1)).alias("score"))
             .groupBy(*key_cols)
             .agg(F.max(F.col("score") * F.lit(_ORD_BITS) - F.col("ord")).alias("packed")))
@@ -157,8 +167,8 @@ def _select_join(requests, catalog, keywords, text_col, key_cols):
                            arg_specs_column().alias("best_args"))
     first = catalog.select(F.min_by(F.struct("ord", "fn_name", arg_specs_column().alias("args")),
                                     F.col("ord")).alias("first"))
-    out = (requests.join(best, key_cols, "left")
-           .join(specs, "best_ord", "left")
+    out = (requests.join(best.hint("shuffle_merge"), key_cols, "left")
+           .join(specs.hint("shuffle_merge"), "best_ord", "left")
            .crossJoin(F.broadcast(first)))
     use_best = F.coalesce(F.col("fn_score"), F.lit(0)) > 0
     return out.select(

@@ -77,24 +77,30 @@ def load_token_table(spark, path: str) -> DataFrame:
 
 def encode_with_table(texts: DataFrame, table: DataFrame, id_col: str, text_col: str = "text",
                       lead_space: bool = True, unknown_id: int = -1) -> DataFrame:
-    """X3 encode: ``(id, n_tokens, n_unknown, ids ARRAY<INT>)`` in text order.
+    """X3 encode: ``(id, n_tokens, n_unknown, ids ARRAY<BIGINT>)`` in text order.
 
     With ``lead_space`` every token after the first is looked up with a
-    leading space (the convention of space-marker vocabularies).
+    leading space (the convention of space-marker vocabularies).  The lookup
+    is an inner join, so AQE can broadcast whichever side is small (usually
+    the texts, not the vocabulary); unknown positions are filled afterwards.
     """
+    sized = texts.select(F.col(id_col).alias("_id"), F.size(word_tokens(F.col(text_col))).alias("n"))
     toks = (texts.select(F.col(id_col).alias("_id"), F.posexplode_outer(word_tokens(F.col(text_col)))
                          .alias("pos", "w"))
             .filter(F.col("w").isNotNull()))
     key = F.when((F.col("pos") > 0) & F.lit(lead_space), F.concat(F.lit(" "), "w")).otherwise(F.col("w"))
-    looked = toks.select("_id", "pos", key.alias("token")).join(
-        table.select("token", "token_id"), "token", "left")
-    per_text = looked.groupBy("_id").agg(
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.count_if(F.col("token_id").isNull()).alias("n_unknown"),
-        F.sort_array(F.collect_list(F.struct("pos", F.coalesce("token_id", F.lit(unknown_id))
-                                             .cast("int").alias("id")))).alias("seq"))
-    return per_text.select(F.col("_id").alias(id_col), "n_tokens", "n_unknown",
-                           F.col("seq.id").alias("ids"))
+    known = (toks.select("_id", "pos", key.alias("token"))
+             .join(table.select("token", F.col("token_id").cast("bigint").alias("token_id")), "token")
+             .groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token_id"))).alias("m"),
+                                 F.count(F.lit(1)).alias("n_known")))
+    joined = sized.join(known, "_id", "left")
+    positions = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1)).otherwise(
+        F.array().cast("array<int>"))
+    ids = F.transform(positions, lambda p: F.coalesce(F.element_at(F.col("m"), p),
+                                                       F.lit(unknown_id)).cast("bigint"))
+    return joined.select(F.col("_id").alias(id_col), F.col("n").cast("bigint").alias("n_tokens"),
+                         (F.col("n") - F.coalesce("n_known", F.lit(0))).cast("bigint").alias("n_unknown"),
+                         ids.alias("ids"))
 
 
 def decode_with_table(seqs: DataFrame, inverse: DataFrame, id_col: str, ids_col: str = "ids") -> DataFrame:

@@ -493,3 +493,22 @@ def stream_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     query, out = run_stream_to_parquet(spark, flat, "sum")
     query.awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("model_walk")
+def model_walk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1, X2 + K1 prefix mode: a model scorer (Arrow batches) scores every mixed request
+    over the catalogue vocabulary, then each request walks the catalogue trie.
+
+    The scorer is Python, so there is no SQL oracle; the walk itself is
+    checked against brute force in the tests.
+    """
+    from callsmith.operators.scorer import substring_count_model
+    from callsmith.operators.walk import catalog_sequences, constrained_walk
+    cat = C.catalog_from_rows(spark)
+    vocab = sorted({t for r in catalog_sequences(cat).select("tokens").collect() for t in r["tokens"]})
+    req = ensure_parallelism(R.mixed_requests(spark, sf_dir).select("src", "key", "prompt"))
+    scored = substring_count_model().scores(req, "prompt", vocab)
+    w = constrained_walk(scored, cat, "scores")
+    return w.select("src", "key", "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"),
+                    "walk_unique")
