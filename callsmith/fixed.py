@@ -65,10 +65,6 @@ TOKEN_REPLACEMENTS = [
     ("<mask>", ""),
 ]
 
-# --- Fixed values: Python's str.isspace() set beyond Java's White_Space ------
-# Java (?U)\s misses U+001C..U+001F, which Python strips.
-PY_EXTRA_SPACE = "\x1c\x1d\x1e\x1f"
-
 # --- Fixed values: the reference's 20-function catalogue, in order -----------
 # (fn_name, [(arg_name, arg_type), ...], return_type)
 REFERENCE_CATALOG = [

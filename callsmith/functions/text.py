@@ -48,16 +48,21 @@ def as_array(value: Column) -> Column:
 
 
 # --- P2: strip like Python's str.strip() ------------------------------------
-_WS = r"[\s" + "".join(f"\\x{ord(c):02x}" for c in fixed.PY_EXTRA_SPACE) + "]"
+# Every code point whose str.isspace() is true (the highest is U+3000).
+PY_WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def strip_ws(text: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace (Spark ``trim`` removes only U+0020)."""
-    return F.regexp_replace(text, F.lit(f"(?U)^{_WS}+|{_WS}+$"), F.lit(""))
+    """Remove leading and trailing Python whitespace.
+
+    Spark's one-argument ``trim`` removes only U+0020; with an explicit
+    character set it strips like ``str.strip()``, without a regex.
+    """
+    return F.trim(text, F.lit(PY_WHITESPACE))
 
 
 def is_blank(text: Column) -> Column:
-    return F.regexp_like(text, F.lit(f"(?U)^{_WS}*$"))
+    return strip_ws(text) == ""
 
 
 # --- F1: signed decimal literals ---------------------------------------------

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsmith.session import table
+from callsmith.session import ensure_parallelism, table
 
 
 def s(x) -> Column:
@@ -93,8 +93,10 @@ def mixed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     the test data); ``(src, file_id, row_index)`` identifies a row exactly.
     """
     def t(name):
+        # Each source is checked for parallelism on its own: a union of
+        # enough partitions can still hold one huge single-split source.
         df = table(spark, sf_dir, name)
-        return df.select("*", *row_identity())
+        return ensure_parallelism(df.select("*", *row_identity()))
     parts = [
         t("lineitem").select(lit("lineitem").alias("src"),
                              (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("key"),
