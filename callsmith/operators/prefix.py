@@ -43,14 +43,21 @@ def _g2(tok: Column, pos: Column) -> Column:
     return F.xxhash64(pos, tok, F.lit("#")).cast("decimal(20,0)")
 
 
-def prefix_rows(seqs: DataFrame, id_col: str = "seq_id", tokens_col: str = "tokens") -> DataFrame:
+def _tokens(tokens_col) -> Column:
+    return tokens_col if isinstance(tokens_col, Column) else F.col(tokens_col)
+
+
+def prefix_rows(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
     """One row per (sequence, position): ``seq_id, n, tok, p1, p2, k1, k2``.
 
     ``(p1, p2)`` keys the prefix of the ``n`` tokens before ``tok``;
     ``(k1, k2)`` keys the prefix of ``n + 1`` tokens ending with ``tok``.
+    ``tokens_col`` may be a Column expression over the input (e.g. a
+    tokenizer over a text column): it is evaluated after the repartition,
+    so the (single) shuffle moves raw rows and tokenising runs in parallel.
     """
-    parted = seqs.select(F.col(id_col).alias("seq_id"), F.col(tokens_col).alias("tokens")) \
-                 .repartition("seq_id")
+    parted = seqs.repartition(F.col(id_col)) \
+                 .select(F.col(id_col).alias("seq_id"), _tokens(tokens_col).alias("tokens"))
     rows = parted.select("seq_id", F.posexplode_outer("tokens").alias("n", "tok")) \
                  .filter(F.col("tok").isNotNull())
     w = Window.partitionBy("seq_id").orderBy("n").rowsBetween(Window.unboundedPreceding,
@@ -63,7 +70,7 @@ def prefix_rows(seqs: DataFrame, id_col: str = "seq_id", tokens_col: str = "toke
                         (F.col("k2") - F.col("g2")).alias("p2"), "k1", "k2")
 
 
-def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col: str = "tokens") -> DataFrame:
+def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
     """Trie edges ``(node_seq, depth, next_token, n_seqs, child_seq)``.
 
     A node is the prefix of ``depth`` tokens, named by the smallest id of the
@@ -80,7 +87,7 @@ def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col: str = "tok
                         "n_seqs", "child_seq")
 
 
-def unique_prefixes(seqs: DataFrame, id_col: str = "seq_id", tokens_col: str = "tokens") -> DataFrame:
+def unique_prefixes(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
     """A3: ``(seq_id, n)`` for every prefix length ``n`` matched by exactly one sequence."""
     rows = prefix_rows(seqs, id_col, tokens_col)
     return (rows.groupBy("n", "k1", "k2")
@@ -90,13 +97,13 @@ def unique_prefixes(seqs: DataFrame, id_col: str = "seq_id", tokens_col: str = "
 
 
 def shortest_unique_prefix(seqs: DataFrame, id_col: str = "seq_id",
-                           tokens_col: str = "tokens") -> DataFrame:
+                           tokens_col="tokens") -> DataFrame:
     """A4: ``(seq_id, sup_len)``; sequences that are duplicates or prefixes of others get no row."""
     return (unique_prefixes(seqs, id_col, tokens_col)
             .groupBy("seq_id").agg(F.min("n").cast("int").alias("sup_len")))
 
 
-def prefix_collisions(seqs: DataFrame, id_col: str = "seq_id", tokens_col: str = "tokens") -> DataFrame:
+def prefix_collisions(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
     """Prefix keys that would mix two different prefixes (expected empty).
 
     By induction on the length, keys are exact iff every key has one parent

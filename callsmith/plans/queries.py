@@ -343,24 +343,27 @@ def decode_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- prefix index over whole documents ------------------------------------------
 
-def _document_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _document_sequences(spark: SparkSession, sf_dir: str):
+    """Documents and their whole-text token expression (tokenised after the shuffle)."""
     from callsmith.operators.prefix import word_tokens
-    d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("seq_id"), word_tokens(F.col("text")).alias("tokens"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d, word_tokens(F.col("text"))
 
 
 @register("allowed_next_tokens")
 def allowed_next_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every trie edge of the documents' whole token sequences."""
     from callsmith.operators.prefix import allowed_next
-    return allowed_next(_document_sequences(spark, sf_dir))
+    d, toks = _document_sequences(spark, sf_dir)
+    return allowed_next(d, "doc_id", toks)
 
 
 @register("shortest_unique_prefix")
 def shortest_unique_prefix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3, A4: where a greedy walk along each document's tokens becomes unique."""
     from callsmith.operators.prefix import shortest_unique_prefix
-    return shortest_unique_prefix(_document_sequences(spark, sf_dir))
+    d, toks = _document_sequences(spark, sf_dir)
+    return shortest_unique_prefix(d, "doc_id", toks)
 
 
 def _permitted(vec_id, label):
@@ -394,7 +397,7 @@ def masked_argmax_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _raw_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary-like table from whole documents: marker-decorated tokens, first occurrence order."""
     from callsmith.operators.prefix import word_tokens
-    d = table(spark, sf_dir, "documents")
+    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
     t = (d.select("doc_id", F.posexplode_outer(word_tokens(F.col("text"))).alias("pos", "w"))
          .filter(F.col("w").isNotNull()))
     k = F.col("pos") % 3
@@ -440,7 +443,7 @@ def encode_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from callsmith.operators.tokens import (decode_with_table, encode_with_table,
                                             normalize_token_table)
     vocab = normalize_token_table(_raw_token_table(spark, sf_dir)).select("token", "token_id")
-    b = table(spark, sf_dir, "benchmark")
+    b = ensure_parallelism(table(spark, sf_dir, "benchmark"))
     enc = encode_with_table(b, vocab, "item_id")
     dec = decode_with_table(enc, vocab, "item_id")
     return (enc.join(dec, "item_id")
