@@ -91,7 +91,8 @@ def extract_numbers_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("substitute_args")
 def substitute_args(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source text, regex and replacement of substitution requests over part."""
-    req = table(spark, sf_dir, "part").select("p_partkey", R.substitute_prompt().alias("prompt"))
+    req = ensure_parallelism(table(spark, sf_dir, "part")).select("p_partkey",
+                                                                  R.substitute_prompt().alias("prompt"))
     b = _bound(req, spark, "fn_substitute_string_with_regex")
     return b.select("p_partkey", _arg(0, "v_str").alias("source_string"),
                     _arg(1, "v_str").alias("regex"), _arg(2, "v_str").alias("replacement"))
@@ -100,7 +101,8 @@ def substitute_args(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("quoted_pair")
 def quoted_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two strings of concatenation requests over part."""
-    req = table(spark, sf_dir, "part").select("p_partkey", R.pair_prompt().alias("prompt"))
+    req = ensure_parallelism(table(spark, sf_dir, "part")).select("p_partkey",
+                                                                  R.pair_prompt().alias("prompt"))
     b = _bound(req, spark, "fn_concatenate_strings")
     return b.select("p_partkey", _arg(0, "v_str").alias("s1"), _arg(1, "v_str").alias("s2"))
 
@@ -149,7 +151,7 @@ def bind_mixed_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("bind_closed_form")
 def bind_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 closed form (k-th distinct number) on max requests over orders; equal numbers give 0."""
-    o = table(spark, sf_dir, "orders").select(
+    o = ensure_parallelism(table(spark, sf_dir, "orders")).select(
         "o_orderkey", F.concat(F.lit("Find the max of "), R.s(F.col("o_custkey") % 10), F.lit(" and "),
                                R.s(F.col("o_orderkey") % 10)).alias("prompt"))
     cat = C.catalog_from_rows(spark)
@@ -165,7 +167,7 @@ _RAW_VALUES = ["5.", "-3.9", "abc", "", "yes", "TRUE", "1e3", "007"]
 @register("convert_args")
 def convert_args(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1-M7: typed conversion of text values spread over all of lineitem."""
-    li = table(spark, sf_dir, "lineitem")
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))
     k = F.col("l_linenumber") % 4
     raw = (F.when(k == 0, R.dec_text("l_extendedprice"))
            .when(k == 1, F.concat(F.lit("-"), R.int_text("l_quantity")))
@@ -314,7 +316,7 @@ EVENT_CATALOG = [
 
 
 def _raw_event_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = ensure_parallelism(table(spark, sf_dir, "events"))
     return ev.select("event_id", F.concat(F.lit("fn_"), "event_type").alias("raw_fn"),
                      F.try_parse_json("props").alias("raw_args"))
 
@@ -462,7 +464,7 @@ def constrained_walk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     Iterative, so no SQL oracle; tests compare it with a brute-force walk.
     """
     from callsmith.operators.walk import constrained_walk
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    e = ensure_parallelism(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     w = constrained_walk(e, C.catalog_from_rows(spark), "embedding")
     return w.select("vec_id", "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"),
                     "walk_unique")
