@@ -68,3 +68,23 @@ def run_summary(calls: DataFrame, rejects: DataFrame | None = None) -> DataFrame
     if rejects is not None:
         agg = agg.crossJoin(rejects.agg(F.count(F.lit(1)).alias("n_rejected")))
     return agg
+
+
+def summarize_requests(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
+                       text_col: str = "prompt") -> DataFrame:
+    """A9/S13 in one pass over the requests: rejected rows ride along (flagged)
+    instead of being counted from a second scan of the input."""
+    from callsmith.functions.text import strip_ws
+    from callsmith.operators.validate import request_issue
+    checked = (requests.withColumn("_issue", request_issue(F.col(text_col)))
+               .withColumn(text_col, F.when(F.col("_issue").isNull(), strip_ws(F.col(text_col)))
+                           .otherwise(F.lit(""))))
+    calls = propose_calls(checked, catalog, scorer, text_col)
+    ok = F.col("_issue").isNull()
+    defaulted = F.exists(F.col("picks"), lambda p: p["c"]["issue"].isNotNull() | (p["n_cands"] == 0))
+    return calls.agg(
+        F.count_if(ok).alias("n_calls"),
+        F.count_if(ok & F.col("is_fallback")).alias("n_fallback"),
+        F.count_if(ok & F.col("fn_fallback")).alias("n_unmatched"),
+        F.count_if(ok & defaulted).alias("n_defaulted"),
+        F.count_if(~ok).alias("n_rejected"))

@@ -288,11 +288,9 @@ def run_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("run_summary")
 def run_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts over the whole job's calls."""
-    req = ensure_parallelism(R.mixed_requests(spark, sf_dir))
-    valid, rejects = validate_requests(req)
-    calls = propose_calls(valid, C.catalog_from_rows(spark))
-    return run_summary(calls, rejects)
+    """Counts over the whole job's calls and rejects, in one pass."""
+    from callsmith.plans.job import summarize_requests
+    return summarize_requests(R.mixed_requests(spark, sf_dir), C.catalog_from_rows(spark))
 
 
 @register("select_candidate")
@@ -421,11 +419,11 @@ def normalize_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("token_table_report")
 def token_table_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct raw and normalised tokens."""
-    from callsmith.operators.tokens import normalize_token_table, token_table_report
+    """Distinct raw and normalised tokens, from one pass over the raw table."""
+    from callsmith.operators.tokens import normalize_token
     raw = _raw_token_table(spark, sf_dir)
-    return (token_table_report(raw).withColumnRenamed("n_tokens", "n_raw_tokens")
-            .crossJoin(token_table_report(normalize_token_table(raw))))
+    return raw.agg(F.count(F.lit(1)).alias("n_raw_tokens"),
+                   F.count_distinct(normalize_token(F.col("token"))).alias("n_tokens"))
 
 
 @register("invert_tokens")
