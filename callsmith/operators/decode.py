@@ -81,15 +81,19 @@ def known_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_f
 
 
 def decode_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_fn",
-                 args_col: str = "raw_args") -> DataFrame:
+                 args_col: str = "raw_args", text_col: str | None = None) -> DataFrame:
     """K5: validated calls with ``picks`` (typed values) and ``is_fallback``.
 
     ``args_col`` is a VARIANT holding an object (or NULL = no arguments).  A
-    non-object payload cannot be read and turns the call into the fallback.
+    non-object payload cannot be read and turns the call into the fallback,
+    as does a blank request text when ``text_col`` is given (P12, P13).
     """
     resolved = resolve_function(raw_calls, catalog, name_col)
     kind = F.schema_of_variant(F.col(args_col))
     bad_payload = F.col(args_col).isNotNull() & (kind != "VOID") & ~kind.startswith("OBJECT")
+    if text_col is not None:
+        from callsmith.functions.text import is_blank
+        bad_payload = bad_payload | F.coalesce(is_blank(F.col(text_col)), F.lit(True))
     staged = with_first_function(resolved.withColumn("_bad", bad_payload), catalog)
     # The parsed payload rides in the fold's accumulator so it is parsed once
     # per call, not once per argument.

@@ -87,6 +87,34 @@ def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -
                         "n_seqs", "child_seq")
 
 
+def prefix_key(tokens: Column) -> Column:
+    """Key ``struct(n, p1, p2)`` of a whole token array, equal to ``prefix_rows``' key
+    of the same prefix (so a generated prefix can be looked up by equi-join)."""
+    g = F.aggregate(tokens, F.struct(F.lit(0).alias("i"), F.lit(0).cast("decimal(38,0)").alias("a"),
+                                     F.lit(0).cast("decimal(38,0)").alias("b")),
+                    lambda acc, t: F.struct((acc["i"] + 1).alias("i"),
+                                            (acc["a"] + _g1(t, acc["i"])).cast("decimal(38,0)").alias("a"),
+                                            (acc["b"] + _g2(t, acc["i"])).cast("decimal(38,0)").alias("b")))
+    return F.struct(F.size(tokens).alias("n"), g["a"].alias("p1"), g["b"].alias("p2"))
+
+
+def allowed_next_for(prefixes: DataFrame, seqs: DataFrame, key: str = "req_id",
+                     prefix_col: str = "prefix", id_col: str = "seq_id",
+                     tokens_col="tokens") -> DataFrame:
+    """``(key, next_token)`` — the tokens permitted after each generated prefix.
+
+    An equi-join of the prefixes' keys with the trie edges (no theta join);
+    a prefix matched by no sequence gets no rows (the walk stops).
+    """
+    edges = (prefix_rows(seqs, id_col, tokens_col)
+             .select("n", F.col("p1").cast("decimal(38,0)").alias("p1"),
+                     F.col("p2").cast("decimal(38,0)").alias("p2"), "tok").distinct())
+    k = prefixes.select(F.col(key), prefix_key(F.col(prefix_col)).alias("k"))
+    return (k.join(edges, (F.col("k.n") == edges["n"]) & (F.col("k.p1") == edges["p1"])
+                   & (F.col("k.p2") == edges["p2"]))
+            .select(key, F.col("tok").alias("next_token")))
+
+
 def unique_prefixes(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
     """A3: ``(seq_id, n)`` for every prefix length ``n`` matched by exactly one sequence."""
     rows = prefix_rows(seqs, id_col, tokens_col)

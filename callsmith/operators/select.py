@@ -191,6 +191,13 @@ def select_candidate(cands: Column, policy: str = "first") -> Column:
     return F.coalesce(F.get(cands, 0), F.lit(""))
 
 
+def resolve_candidate(generated: Column, candidate_tokens: Column, candidates: Column) -> Column:
+    """The candidate whose token list equals the generated tokens; the first one
+    wins on equal lists; NULL when none matches."""
+    pos = F.array_position(F.transform(candidate_tokens, lambda t: t == generated), F.lit(True))
+    return F.when(pos > 0, F.element_at(candidates, pos.cast("int")))
+
+
 def scoring_context(text: Column, arg_name: Column, cands: Column) -> Column:
     """The context string shown to a scorer; only the first 5 candidates."""
     shown = F.array_join(F.transform(F.slice(cands, 1, 5),

@@ -160,3 +160,12 @@ def test_sink_json_lines(spark, catalog):
     pq = os.path.join(_tmpdir(), "pq")
     assert write_calls(propose_calls(req, catalog), pq) == 2
     assert spark.read.parquet(pq).count() == 2
+
+
+def test_decode_blank_prompt_falls_back(spark, catalog):
+    raw = spark.createDataFrame([(1, "  ", "fn_greet", '{"name": "x"}'), (2, "hi", "fn_greet", '{"name": "x"}')],
+                                "id int, prompt string, raw_fn string, j string") \
+        .withColumn("raw_args", F.parse_json("j"))
+    out = {r.id: r for r in decode_calls(raw, catalog, text_col="prompt").collect()}
+    assert out[1].is_fallback and out[1].fn_name == "fn_add_numbers"
+    assert not out[2].is_fallback and out[2].picks[0].c.v_str == "x"
