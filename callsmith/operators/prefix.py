@@ -10,9 +10,11 @@ before it, and the questions become aggregations:
 * ``shortest_unique_prefix`` — the earliest such prefix per sequence, i.e.
   where a greedy walk along that sequence stops.
 
-Prefix identity is the pair of running sums of two independent 64-bit hashes
-of (token, position), summed exactly as DECIMAL, so a prefix key is O(1) to
-extend and the whole index costs O(total tokens) rather than O(length²).
+Prefix identity is four running sums of 32-bit hash values of (token,
+position) — the two halves of two independent 64-bit hashes, 128 bits in all.
+Each sum fits a BIGINT exactly for any sequence shorter than 2^31 tokens, so
+keys are fixed-width longs, a prefix key is O(1) to extend and the whole index
+costs O(total tokens) rather than O(length²).
 ``prefix_collisions`` checks that no key mixes two different prefixes.
 
 Partitioning: sequences are hash-partitioned by id *before* exploding, so the
@@ -35,12 +37,16 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def _g1(tok: Column, pos: Column) -> Column:
-    return F.xxhash64(tok, pos).cast("decimal(20,0)")
+_MASK32 = 0xFFFFFFFF
+KEYS = ("h1", "h2", "h3", "h4")
 
 
-def _g2(tok: Column, pos: Column) -> Column:
-    return F.xxhash64(pos, tok, F.lit("#")).cast("decimal(20,0)")
+def _parts(tok: Column, pos: Column) -> list[Column]:
+    """Four 32-bit values (as BIGINT) from two independent 64-bit hashes."""
+    a = F.xxhash64(tok, pos)
+    b = F.xxhash64(pos, tok, F.lit("#"))
+    return [F.shiftrightunsigned(a, 32), a.bitwiseAND(F.lit(_MASK32)),
+            F.shiftrightunsigned(b, 32), b.bitwiseAND(F.lit(_MASK32))]
 
 
 def _tokens(tokens_col) -> Column:
@@ -48,10 +54,10 @@ def _tokens(tokens_col) -> Column:
 
 
 def prefix_rows(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
-    """One row per (sequence, position): ``seq_id, n, tok, p1, p2, k1, k2``.
+    """One row per (sequence, position): ``seq_id, n, tok, p0..p3, k0..k3``.
 
-    ``(p1, p2)`` keys the prefix of the ``n`` tokens before ``tok``;
-    ``(k1, k2)`` keys the prefix of ``n + 1`` tokens ending with ``tok``.
+    ``(p0..p3)`` keys the prefix of the ``n`` tokens before ``tok``;
+    ``(k0..k3)`` keys the prefix of ``n + 1`` tokens ending with ``tok``.
     ``tokens_col`` may be a Column expression over the input (e.g. a
     tokenizer over a text column): it is evaluated after the repartition,
     so the (single) shuffle moves raw rows and tokenising runs in parallel.
@@ -62,12 +68,18 @@ def prefix_rows(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") ->
                  .filter(F.col("tok").isNotNull())
     w = Window.partitionBy("seq_id").orderBy("n").rowsBetween(Window.unboundedPreceding,
                                                               Window.currentRow)
-    g1, g2 = _g1(F.col("tok"), F.col("n")), _g2(F.col("tok"), F.col("n"))
+    parts = _parts(F.col("tok"), F.col("n"))
     keyed = rows.select("seq_id", F.col("n").cast("int").alias("n"), "tok",
-                        g1.alias("g1"), g2.alias("g2"),
-                        F.sum(g1).over(w).alias("k1"), F.sum(g2).over(w).alias("k2"))
-    return keyed.select("seq_id", "n", "tok", (F.col("k1") - F.col("g1")).alias("p1"),
-                        (F.col("k2") - F.col("g2")).alias("p2"), "k1", "k2")
+                        *[g.alias(f"g{i}") for i, g in enumerate(parts)],
+                        *[F.sum(g).over(w).alias(f"k{i}") for i, g in enumerate(parts)])
+    # (k*) keys the prefix ending with tok; (p*) = (k*) - (g*) keys the one before it.
+    return keyed.select("seq_id", "n", "tok",
+                        *[(F.col(f"k{i}") - F.col(f"g{i}")).alias(f"p{i}") for i in range(4)],
+                        *[F.col(f"k{i}") for i in range(4)])
+
+
+PARENT = [f"p{i}" for i in range(4)]
+SELF = [f"k{i}" for i in range(4)]
 
 
 def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
@@ -79,23 +91,28 @@ def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -
     permitted-next-token set of that prefix.
     """
     rows = prefix_rows(seqs, id_col, tokens_col)
-    edges = rows.groupBy("n", "p1", "p2", "tok").agg(
+    edges = rows.groupBy("n", *PARENT, "tok").agg(
         F.count(F.lit(1)).alias("n_seqs"), F.min("seq_id").alias("child_seq"))
-    node = Window.partitionBy("n", "p1", "p2")
+    node = Window.partitionBy("n", *PARENT)
     return edges.select(F.min("child_seq").over(node).alias("node_seq"),
                         F.col("n").alias("depth"), F.col("tok").alias("next_token"),
                         "n_seqs", "child_seq")
 
 
 def prefix_key(tokens: Column) -> Column:
-    """Key ``struct(n, p1, p2)`` of a whole token array, equal to ``prefix_rows``' key
-    of the same prefix (so a generated prefix can be looked up by equi-join)."""
-    g = F.aggregate(tokens, F.struct(F.lit(0).alias("i"), F.lit(0).cast("decimal(38,0)").alias("a"),
-                                     F.lit(0).cast("decimal(38,0)").alias("b")),
-                    lambda acc, t: F.struct((acc["i"] + 1).alias("i"),
-                                            (acc["a"] + _g1(t, acc["i"])).cast("decimal(38,0)").alias("a"),
-                                            (acc["b"] + _g2(t, acc["i"])).cast("decimal(38,0)").alias("b")))
-    return F.struct(F.size(tokens).alias("n"), g["a"].alias("p1"), g["b"].alias("p2"))
+    """Key ``struct(n, p0..p3)`` of a whole token array, equal to ``prefix_rows``'
+    parent key of a row at position ``n`` (so a generated prefix can be looked
+    up by equi-join)."""
+    zero = F.lit(0).cast("bigint")
+    init = F.struct(F.lit(0).alias("i"), *[zero.alias(f"p{j}") for j in range(4)])
+
+    def step(acc, t):
+        parts = _parts(t, acc["i"])
+        return F.struct((acc["i"] + 1).alias("i"),
+                        *[(acc[f"p{j}"] + parts[j]).alias(f"p{j}") for j in range(4)])
+
+    g = F.aggregate(tokens, init, step)
+    return F.struct(F.size(tokens).alias("n"), *[g[f"p{j}"].alias(f"p{j}") for j in range(4)])
 
 
 def allowed_next_for(prefixes: DataFrame, seqs: DataFrame, key: str = "req_id",
@@ -106,19 +123,18 @@ def allowed_next_for(prefixes: DataFrame, seqs: DataFrame, key: str = "req_id",
     An equi-join of the prefixes' keys with the trie edges (no theta join);
     a prefix matched by no sequence gets no rows (the walk stops).
     """
-    edges = (prefix_rows(seqs, id_col, tokens_col)
-             .select("n", F.col("p1").cast("decimal(38,0)").alias("p1"),
-                     F.col("p2").cast("decimal(38,0)").alias("p2"), "tok").distinct())
+    edges = prefix_rows(seqs, id_col, tokens_col).select("n", *PARENT, "tok").distinct()
     k = prefixes.select(F.col(key), prefix_key(F.col(prefix_col)).alias("k"))
-    return (k.join(edges, (F.col("k.n") == edges["n"]) & (F.col("k.p1") == edges["p1"])
-                   & (F.col("k.p2") == edges["p2"]))
-            .select(key, F.col("tok").alias("next_token")))
+    cond = F.col("k.n") == edges["n"]
+    for c in PARENT:
+        cond = cond & (F.col(f"k.{c}") == edges[c])
+    return k.join(edges, cond).select(key, F.col("tok").alias("next_token"))
 
 
 def unique_prefixes(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
     """A3: ``(seq_id, n)`` for every prefix length ``n`` matched by exactly one sequence."""
     rows = prefix_rows(seqs, id_col, tokens_col)
-    return (rows.groupBy("n", "k1", "k2")
+    return (rows.groupBy("n", *SELF)
             .agg(F.count(F.lit(1)).alias("c"), F.min("seq_id").alias("seq_id"))
             .filter(F.col("c") == 1)
             .select("seq_id", (F.col("n") + 1).alias("n")))
@@ -138,11 +154,12 @@ def prefix_collisions(seqs: DataFrame, id_col: str = "seq_id", tokens_col="token
     key and one last token.
     """
     rows = prefix_rows(seqs, id_col, tokens_col)
-    return (rows.groupBy("n", "k1", "k2")
-            .agg(F.min("p1").alias("a1"), F.max("p1").alias("b1"), F.min("p2").alias("a2"),
-                 F.max("p2").alias("b2"), F.min("tok").alias("ta"), F.max("tok").alias("tb"))
-            .filter((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))
-                    | (F.col("ta") != F.col("tb"))))
+    aggs = [f(c).alias(f"{f.__name__}_{c}") for c in PARENT + ["tok"] for f in (F.min, F.max)]
+    mixed = None
+    for c in PARENT + ["tok"]:
+        d = F.col(f"min_{c}") != F.col(f"max_{c}")
+        mixed = d if mixed is None else (mixed | d)
+    return rows.groupBy("n", *SELF).agg(*aggs).filter(mixed)
 
 
 def masked_argmax(scores: Column, permitted: Column) -> Column:
