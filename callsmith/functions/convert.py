@@ -25,11 +25,21 @@ _PY_FLOAT = (rf"(?i)^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
              rf"(?:e[+-]?{_DIGITS})?|inf|infinity|nan)$")
 
 
+# Characters where Java's double syntax and Python's differ (hex, d/f suffixes,
+# digit separators).  Text without them that Spark parses, Python parses too.
+_SUSPECT = "xXpPdDfF_"
+
+
 def py_float(text: Column) -> Column:
-    """``float(text)`` or NULL where Python raises ``ValueError``."""
+    """``float(text)`` or NULL where Python raises ``ValueError``.
+
+    Fast path: a plain cast when the text has none of the suspect characters;
+    otherwise (or when the cast fails) the full Python-syntax check.
+    """
+    fast = F.when(F.length(F.translate(text, _SUSPECT, "")) == F.length(text), text.try_cast("double"))
     t = strip_ws(text)
-    return F.when(F.regexp_like(t, F.lit(_PY_FLOAT)),
-                  F.regexp_replace(t, "_", "").try_cast("double"))
+    slow = F.when(F.regexp_like(t, F.lit(_PY_FLOAT)), F.regexp_replace(t, "_", "").try_cast("double"))
+    return F.coalesce(fast, slow)
 
 
 def default_for_type(arg_type: Column) -> Column:
