@@ -180,15 +180,62 @@ def _select_join(requests, catalog, keywords, text_col, key_cols):
         (~use_best).alias("fn_fallback"))
 
 
-def select_candidate(cands: Column, policy: str = "first") -> Column:
-    """K2: 0 candidates → '', 1 → it, many → first (the lexical policy).
+def select_candidate(cands: Column, policy: str = "first", scores: Column | None = None) -> Column:
+    """K2: 0 candidates → '', 1 → it, many → by policy.
 
-    A lexical scorer cannot tell ``2`` from ``3``, so the default keeps the
-    first; a model scorer can re-rank the multi-candidate rows only.
+    ``first`` keeps the first candidate (a lexical scorer cannot tell ``2``
+    from ``3``).  ``scored`` walks the candidates' token sequences greedily
+    under ``scores`` (see ``walk_candidates``); only multi-candidate rows walk.
     """
-    if policy != "first":
-        raise ValueError(f"unknown candidate policy {policy!r}")
-    return F.coalesce(F.get(cands, 0), F.lit(""))
+    first = F.coalesce(F.get(cands, 0), F.lit(""))
+    if policy == "first":
+        return first
+    if policy == "scored":
+        if scores is None:
+            raise ValueError("the scored policy needs a scores column")
+        return F.when(F.size(cands) > 1, walk_candidates(cands, scores)).otherwise(first)
+    raise ValueError(f"unknown candidate policy {policy!r}")
+
+
+def char_tokens(text: Column) -> Column:
+    """Character-level token ids (code points) of a string."""
+    return F.transform(F.split(text, ""), lambda ch: F.ascii(ch))
+
+
+def walk_candidates(cands: Column, scores: Column, tokens=char_tokens, extra_steps: int = 5) -> Column:
+    """K2 scored mode / J7: greedy constrained walk over a row's candidates.
+
+    At each step the permitted tokens are the next tokens of the candidates
+    that still match; the best-scoring one wins (lowest id on ties, ids beyond
+    the score vector are not permitted).  The walk returns the first candidate
+    whose whole token list equals the generated prefix, so a shorter candidate
+    (``1``) wins over a longer one sharing its prefix (``12``).  No permitted
+    token or no exact match within the bound → the first candidate.
+    """
+    toks = F.transform(cands, tokens)
+    longest = F.aggregate(toks, F.lit(0), lambda m, t: F.greatest(m, F.size(t)))
+    init = F.struct(toks.alias("t"), cands.alias("c"), scores.alias("s"),
+                    F.array().cast("array<int>").alias("g"), F.lit(False).alias("done"),
+                    F.lit(None).cast("string").alias("res"))
+
+    def step(acc, _i):
+        n = F.size(acc["g"])
+        live = F.filter(acc["t"], lambda t: (F.size(t) > n) & (F.slice(t, 1, n) == acc["g"]))
+        allowed = F.filter(F.array_distinct(F.transform(live, lambda t: F.get(t, n))),
+                           lambda i: i < F.size(acc["s"]))
+        best = F.array_max(F.transform(allowed, lambda i: F.struct(
+            F.get(acc["s"], i).cast("double").alias("score"), (-i).alias("neg"))))
+        g2 = F.concat(acc["g"], F.array((-best["neg"]).cast("int")))
+        pos = F.array_position(F.transform(acc["t"], lambda t: t == g2), F.lit(True))
+        moved = F.struct(acc["t"].alias("t"), acc["c"].alias("c"), acc["s"].alias("s"),
+                         g2.alias("g"), (pos > 0).alias("done"),
+                         F.when(pos > 0, F.element_at(acc["c"], pos.cast("int"))).alias("res"))
+        stopped = F.struct(acc["t"].alias("t"), acc["c"].alias("c"), acc["s"].alias("s"),
+                           acc["g"].alias("g"), F.lit(True).alias("done"), acc["res"].alias("res"))
+        return F.when(acc["done"], acc).when(best.isNull(), stopped).otherwise(moved)
+
+    walked = F.aggregate(F.sequence(F.lit(1), longest + extra_steps), init, step)
+    return F.coalesce(walked["res"], F.get(cands, 0), F.lit(""))
 
 
 def resolve_candidate(generated: Column, candidate_tokens: Column, candidates: Column) -> Column:

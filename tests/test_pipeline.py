@@ -169,3 +169,38 @@ def test_decode_blank_prompt_falls_back(spark, catalog):
     out = {r.id: r for r in decode_calls(raw, catalog, text_col="prompt").collect()}
     assert out[1].is_fallback and out[1].fn_name == "fn_add_numbers"
     assert not out[2].is_fallback and out[2].picks[0].c.v_str == "x"
+
+
+def _brute_candidate(cands, scores, extra=5):
+    if not cands:
+        return ""
+    if len(cands) == 1:
+        return cands[0]
+    toks = [[ord(ch) for ch in c] for c in cands]
+    g = []
+    for _ in range(max(len(t) for t in toks) + extra):
+        allowed = {t[len(g)] for t in toks if len(t) > len(g) and t[:len(g)] == g}
+        allowed = [i for i in allowed if i < len(scores)]
+        if not allowed:
+            break
+        best = max(scores[i] for i in allowed)
+        g.append(min(i for i in allowed if scores[i] == best))
+        for i, t in enumerate(toks):
+            if t == g:
+                return cands[i]
+    return cands[0]
+
+
+def test_scored_candidate_walk(spark):
+    from callsmith.operators.select import select_candidate
+    import random
+    rnd = random.Random(7)
+    rows = [(["12", "1", "123"], [0.0] * 128), (["2", "3"], [float(i % 5) for i in range(128)]),
+            (["abc"], [0.0] * 128), ([], [0.0] * 128)]
+    for _ in range(40):
+        cands = [str(rnd.randint(0, 150)) for _ in range(rnd.randint(0, 4))]
+        rows.append((cands, [float(rnd.randint(0, 3)) for _ in range(rnd.randint(40, 128))]))
+    df = spark.createDataFrame(rows, "c array<string>, s array<double>")
+    got = [r.x for r in df.select(select_candidate(F.col("c"), "scored", F.col("s")).alias("x")).collect()]
+    assert got == [_brute_candidate(c, s) for c, s in rows]
+    assert got[0] == "1"  # the shorter candidate completes first
