@@ -580,3 +580,55 @@ FROM part
 """
 
 ORACLE["stream_calls"] = ORACLE["bind_two_numbers"]
+
+# --- constrained walk: a recursive CTE over the catalogue's token sequences ---------
+
+
+def _catalog_token_ids() -> list[list[int]]:
+    """K9 computed independently: compact JSON of each definition, word tokens,
+    ids = ranks of the distinct tokens."""
+    import json
+    import re
+    docs = [json.dumps({"fn_name": n, "args_names": [a for a, _ in args],
+                        "args_types": {a: t for a, t in args}, "return_type": r},
+                       separators=(",", ":")) for n, args, r in fixed.REFERENCE_CATALOG]
+    toks = [re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]", d) for d in docs]
+    rank = {t: i for i, t in enumerate(sorted({t for ts in toks for t in ts}))}
+    return [[rank[t] for t in ts] for ts in toks]
+
+
+def _walk_sql() -> str:
+    seqs = _catalog_token_ids()
+    seq_list = "[" + ", ".join("[" + ", ".join(map(str, s)) + "]" for s in seqs) + "]"
+    seq_ord = "[" + ", ".join(f"{{'o': {i}, 'ids': [{', '.join(map(str, s))}]}}"
+                              for i, s in enumerate(seqs)) + "]"
+    names = "[" + ", ".join(q(n) for n, _a, _r in fixed.REFERENCE_CATALOG) + "]"
+    max_steps = max(len(s) for s in seqs) + 20
+    allowed = (f"list_filter(list_distinct(list_transform(list_filter({seq_list}, "
+               f"lambda x: len(x) > len(g) AND x[1:len(g)] = g), lambda x: x[len(g) + 1])), "
+               f"lambda t: t < len(s))")
+    best = (f"list_reduce({allowed}, lambda a, b: CASE WHEN a < 0 OR s[b + 1] > s[a + 1] "
+            f"OR (s[b + 1] = s[a + 1] AND b < a) THEN b ELSE a END, -1)")
+    return f"""
+WITH RECURSIVE walk(vec_id, s, g, done, res, steps, k) AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]), CAST([] AS INTEGER[]), false, CAST(-1 AS BIGINT), 0, 0
+  FROM embeddings
+  UNION ALL
+  SELECT vec_id, s,
+         CASE WHEN nxt < 0 THEN g ELSE g2 END,
+         nxt < 0 OR len(m) = 1,
+         CASE WHEN nxt >= 0 AND len(m) = 1 THEN CAST(m[1].o AS BIGINT) ELSE res END,
+         CASE WHEN nxt < 0 THEN steps ELSE steps + 1 END,
+         k + 1
+  FROM (SELECT *, list_filter({seq_ord}, lambda e: len(e.ids) >= len(g2) AND e.ids[1:len(g2)] = g2) AS m
+        FROM (SELECT *, list_append(g, CAST(nxt AS INTEGER)) AS g2
+              FROM (SELECT *, {best} AS nxt FROM walk WHERE NOT done AND k < {max_steps}) a) b) c
+)
+SELECT vec_id,
+       CASE WHEN res >= 0 THEN ({names})[res + 1] ELSE {q(fixed.REFERENCE_CATALOG[0][0])} END AS fn_name,
+       CAST(steps AS INTEGER) AS walk_steps, res >= 0 AS walk_unique
+FROM walk WHERE done OR k >= {max_steps}
+"""
+
+
+ORACLE["constrained_walk"] = _walk_sql()

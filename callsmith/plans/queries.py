@@ -459,7 +459,7 @@ def encode_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def constrained_walk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 prefix mode, K9, T3: each embedding row walks the tokenised catalogue greedily.
 
-    Iterative, so no SQL oracle; tests compare it with a brute-force walk.
+    The oracle is a recursive CTE; tests also compare it with a brute-force walk.
     """
     from callsmith.operators.walk import constrained_walk
     e = ensure_parallelism(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
