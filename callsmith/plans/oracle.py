@@ -597,24 +597,25 @@ def _catalog_token_ids() -> list[list[int]]:
     return [[rank[t] for t in ts] for ts in toks]
 
 
-def _walk_sql() -> str:
+def _walk_sql(source: str, ids: list[str]) -> str:
+    """Greedy walk for every row of ``source`` (columns ``ids`` and ``s DOUBLE[]``)."""
     seqs = _catalog_token_ids()
-    seq_list = "[" + ", ".join("[" + ", ".join(map(str, s)) + "]" for s in seqs) + "]"
-    seq_ord = "[" + ", ".join(f"{{'o': {i}, 'ids': [{', '.join(map(str, s))}]}}"
-                              for i, s in enumerate(seqs)) + "]"
+    seq_list = "[" + ", ".join("[" + ", ".join(map(str, x)) + "]" for x in seqs) + "]"
+    seq_ord = "[" + ", ".join(f"{{'o': {i}, 'ids': [{', '.join(map(str, x))}]}}"
+                              for i, x in enumerate(seqs)) + "]"
     names = "[" + ", ".join(q(n) for n, _a, _r in fixed.REFERENCE_CATALOG) + "]"
-    max_steps = max(len(s) for s in seqs) + 20
+    max_steps = max(len(x) for x in seqs) + 20
     allowed = (f"list_filter(list_distinct(list_transform(list_filter({seq_list}, "
                f"lambda x: len(x) > len(g) AND x[1:len(g)] = g), lambda x: x[len(g) + 1])), "
                f"lambda t: t < len(s))")
     best = (f"list_reduce({allowed}, lambda a, b: CASE WHEN a < 0 OR s[b + 1] > s[a + 1] "
             f"OR (s[b + 1] = s[a + 1] AND b < a) THEN b ELSE a END, -1)")
+    cols = ", ".join(ids)
     return f"""
-WITH RECURSIVE walk(vec_id, s, g, done, res, steps, k) AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]), CAST([] AS INTEGER[]), false, CAST(-1 AS BIGINT), 0, 0
-  FROM embeddings
+WITH RECURSIVE walk({cols}, s, g, done, res, steps, k) AS (
+  SELECT {cols}, s, CAST([] AS INTEGER[]), false, CAST(-1 AS BIGINT), 0, 0 FROM ({source}) src
   UNION ALL
-  SELECT vec_id, s,
+  SELECT {cols}, s,
          CASE WHEN nxt < 0 THEN g ELSE g2 END,
          nxt < 0 OR len(m) = 1,
          CASE WHEN nxt >= 0 AND len(m) = 1 THEN CAST(m[1].o AS BIGINT) ELSE res END,
@@ -624,11 +625,31 @@ WITH RECURSIVE walk(vec_id, s, g, done, res, steps, k) AS (
         FROM (SELECT *, list_append(g, CAST(nxt AS INTEGER)) AS g2
               FROM (SELECT *, {best} AS nxt FROM walk WHERE NOT done AND k < {max_steps}) a) b) c
 )
-SELECT vec_id,
+SELECT {cols},
        CASE WHEN res >= 0 THEN ({names})[res + 1] ELSE {q(fixed.REFERENCE_CATALOG[0][0])} END AS fn_name,
        CAST(steps AS INTEGER) AS walk_steps, res >= 0 AS walk_unique
 FROM walk WHERE done OR k >= {max_steps}
 """
 
 
-ORACLE["constrained_walk"] = _walk_sql()
+ORACLE["constrained_walk"] = _walk_sql(
+    "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS s FROM embeddings", ["vec_id"])
+
+
+def _vocab_list() -> str:
+    import json
+    import re
+    docs = [json.dumps({"fn_name": n, "args_names": [a for a, _ in args],
+                        "args_types": {a: t for a, t in args}, "return_type": r},
+                       separators=(",", ":")) for n, args, r in fixed.REFERENCE_CATALOG]
+    vocab = sorted({t for d in docs for t in re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]", d)})
+    return "[" + ", ".join(q(v.lower()) for v in vocab) + "]"
+
+
+# The model double: score of a vocabulary token = its non-overlapping occurrences
+# in the lower-cased request (as Python's str.count).
+ORACLE["model_walk"] = _walk_sql(f"""
+  SELECT src, key, list_transform({_vocab_list()},
+           lambda v: CAST((length(lower(prompt)) - length(replace(lower(prompt), v, ''))) // length(v)
+                          AS DOUBLE)) AS s
+  FROM ({MIXED_REQUESTS}) r""", ["src", "key"])

@@ -503,8 +503,9 @@ def model_walk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1, X2 + K1 prefix mode: a model scorer (Arrow batches) scores every mixed request
     over the catalogue vocabulary, then each request walks the catalogue trie.
 
-    The scorer is Python, so there is no SQL oracle; the walk itself is
-    checked against brute force in the tests.
+    The oracle recomputes the double's scores in SQL (non-overlapping
+    substring counts) and walks with the same recursive CTE as
+    ``constrained_walk``.
     """
     from callsmith.operators.scorer import substring_count_model
     from callsmith.operators.walk import catalog_sequences, constrained_walk
