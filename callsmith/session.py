@@ -73,8 +73,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     row group scans as one task.  Large inputs already arrive as thousands of
     splits, so the check is cheap planning only and no shuffle is added there.
     """
-    want = min_partitions or default_parallelism(df.sparkSession)
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or default_parallelism(df.sparkSession)
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session has no RDD view; leave the plan as is
+        return df
     if have >= want:
         return df
     return df.repartition(want)
