@@ -107,7 +107,7 @@ KEYWORD_ALIASES = {
     "fn_reverse_string": ("reverse", "backwards"),
     "fn_to_uppercase": ("uppercase", "upper"),
     "fn_to_lowercase": ("lowercase", "lower"),
-    "fn_string_length": ("length", "characters"),
+    "fn_string_length": ("length", "characters", "long"),
     "fn_greet": ("greet", "hello"),
     "fn_substitute_string_with_regex": ("substitute", "replace"),
     "fn_concatenate_strings": ("concatenate", "join", "combine"),
