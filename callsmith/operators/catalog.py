@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsmith import fixed
-from callsmith.functions.convert import KNOWN_TYPES
 
 CATALOG_SCHEMA = T.StructType([
     T.StructField("ord", T.LongType(), False),
@@ -42,14 +41,6 @@ def bounded_count(df: DataFrame, limit: int) -> int:
     return df.limit(limit + 1).count()
 
 
-def require_broadcastable(df: DataFrame, limit: int = MAX_BROADCAST_CATALOG,
-                          what: str = "catalogue") -> int:
-    n = bounded_count(df, limit)
-    if n > limit:
-        raise CatalogError(f"{what} has more than {limit} rows; use the join path")
-    return n
-
-
 def catalog_issue() -> Column:
     """First failed rule of a definition, NULL when valid."""
     missing_types = F.filter(F.coalesce(F.col("args_names"), F.array().cast("array<string>")),
@@ -172,8 +163,3 @@ def definition_fingerprint() -> Column:
                                F.array_sort(F.map_entries(F.col("args_types"))).alias("args_types"),
                                F.col("return_type")))
     return F.sha2(canon, 256)
-
-
-def unknown_type_args(catalog: DataFrame) -> DataFrame:
-    """Arguments whose declared type is not one of int/float/bool/str."""
-    return explode_arg_specs(catalog).filter(~F.col("arg_type").isin(*KNOWN_TYPES))

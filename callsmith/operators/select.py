@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsmith import fixed
-from callsmith.operators.catalog import MAX_BROADCAST_CATALOG, arg_specs_column, collect_entries
+from callsmith.operators.catalog import arg_specs_column, collect_entries
 
 WORD_PATTERN = "[a-z0-9_]+"
 _ORD_BITS = 2 ** 32
