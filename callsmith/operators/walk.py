@@ -115,3 +115,64 @@ def constrained_walk(requests: DataFrame, catalog: DataFrame, scores_col: str) -
     return walked.select(*requests.columns, fn_ord.alias("fn_ord"),
                          F.element_at(F.col("_names"), fn_ord).alias("fn_name"),
                          F.col("_w.steps").alias("walk_steps"), found.alias("walk_unique"))
+
+
+def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataFrame,
+                           key: str = "req_id") -> DataFrame:
+    """K1 prefix mode with step-dependent scores (a model that re-scores after each token).
+
+    ``scores(key, step, token_id, score)`` holds the scores each walker sees
+    at each step (0-based); a token without a score row at that step is not
+    permitted, like an id beyond the score vector.  Each step is a join of the
+    still-walking rows with the (broadcast, size-checked) trie edges and that
+    step's score rows, then a per-walker argmax (best score, lowest id), so no
+    walker's data is ever collected.  Finished walkers leave the loop.  Each
+    step's state (key plus four small columns per walker) is cut with a
+    reliable ``checkpoint()`` into ``spark.checkpoint.dir``: a step reads its
+    walkers twice (scoring and join-back), so without the cut the plan would
+    double with every step.  The driver only loops over steps (at most the
+    longest sequence + 20) and counts the walkers left.
+    Returns ``(key, fn_ord, fn_name, walk_steps, walk_unique)``.
+    """
+    from callsmith.session import ensure_checkpoint_dir
+    spark = walkers.sparkSession
+    entries = collect_entries(catalog)
+    if entries is None:
+        raise ValueError("catalogue too large for the broadcast trie")
+    ensure_checkpoint_dir(spark)
+    seq_rows = catalog_sequences(catalog).select("ord", "ids").collect()
+    nodes, max_len = build_trie([(r["ord"], r["ids"]) for r in seq_rows])
+    edges = F.broadcast(spark.createDataFrame(
+        [(i, t, c, u) for i, es in enumerate(nodes) for t, c, u in es],
+        "node int, token_id int, child int, uniq bigint"))
+    names = F.broadcast(spark.createDataFrame([(e["ord"], e["fn_name"]) for e in entries],
+                                              "fn_ord bigint, fn_name string"))
+    active = walkers.select(key, F.lit(0).alias("node"), F.lit(False).alias("done"),
+                            F.lit(-1).cast("bigint").alias("res"), F.lit(0).alias("steps"))
+    finished: list[DataFrame] = []
+    for step in range(max_len + EXTRA_STEPS):
+        step_scores = scores.filter(F.col("step") == step).select(key, "token_id", "score")
+        cand = active.join(edges, "node").join(step_scores, [key, "token_id"])
+        best = (cand.groupBy(key)
+                .agg(F.max(F.struct(F.col("score").cast("double").alias("score"),
+                                    (-F.col("token_id")).alias("neg"), "child", "uniq")).alias("b")))
+        stop = F.col("b").isNull()
+        new = active.join(best, key, "left").select(
+            key,
+            F.when(stop, F.col("node")).otherwise(F.col("b.child")).alias("node"),
+            (stop | (F.col("b.uniq") >= 0)).alias("done"),
+            F.when(stop, F.col("res")).otherwise(F.col("b.uniq")).alias("res"),
+            F.when(stop, F.col("steps")).otherwise(F.col("steps") + 1).alias("steps")).checkpoint()
+        finished.append(new.filter(F.col("done")))
+        active = new.filter(~F.col("done"))
+        if active.count() == 0:
+            break
+    out = active
+    for part in finished:
+        out = out.unionByName(part)
+    found = F.col("res") >= 0
+    fn_ord = F.when(found, F.col("res")).otherwise(F.lit(entries[0]["ord"]))
+    return (out.select(key, fn_ord.alias("fn_ord"), F.col("steps").alias("walk_steps"),
+                       found.alias("walk_unique"))
+            .join(names, "fn_ord")
+            .select(key, "fn_ord", "fn_name", "walk_steps", "walk_unique"))

@@ -597,8 +597,13 @@ def _catalog_token_ids() -> list[list[int]]:
     return [[rank[t] for t in ts] for ts in toks]
 
 
-def _walk_sql(source: str, ids: list[str]) -> str:
-    """Greedy walk for every row of ``source`` (columns ``ids`` and ``s DOUBLE[]``)."""
+def _walk_sql(source: str, ids: list[str], permit: str = "{t} < len(s)",
+              score: str = "s[{t} + 1]") -> str:
+    """Greedy walk for every row of ``source`` (columns ``ids`` and ``s DOUBLE[]``).
+
+    ``permit`` / ``score`` are SQL templates over a token ``{t}``; they may use
+    ``k``, the step number, for step-dependent scores.
+    """
     seqs = _catalog_token_ids()
     seq_list = "[" + ", ".join("[" + ", ".join(map(str, x)) + "]" for x in seqs) + "]"
     seq_ord = "[" + ", ".join(f"{{'o': {i}, 'ids': [{', '.join(map(str, x))}]}}"
@@ -607,9 +612,10 @@ def _walk_sql(source: str, ids: list[str]) -> str:
     max_steps = max(len(x) for x in seqs) + 20
     allowed = (f"list_filter(list_distinct(list_transform(list_filter({seq_list}, "
                f"lambda x: len(x) > len(g) AND x[1:len(g)] = g), lambda x: x[len(g) + 1])), "
-               f"lambda t: t < len(s))")
-    best = (f"list_reduce({allowed}, lambda a, b: CASE WHEN a < 0 OR s[b + 1] > s[a + 1] "
-            f"OR (s[b + 1] = s[a + 1] AND b < a) THEN b ELSE a END, -1)")
+               f"lambda t: {permit.format(t='t')})")
+    sa, sb = score.format(t="a"), score.format(t="b")
+    best = (f"list_reduce({allowed}, lambda a, b: CASE WHEN a < 0 OR {sb} > {sa} "
+            f"OR ({sb} = {sa} AND b < a) THEN b ELSE a END, -1)")
     cols = ", ".join(ids)
     return f"""
 WITH RECURSIVE walk({cols}, s, g, done, res, steps, k) AS (
@@ -653,3 +659,11 @@ ORACLE["model_walk"] = _walk_sql(f"""
            lambda v: CAST((length(lower(prompt)) - length(replace(lower(prompt), v, ''))) // length(v)
                           AS DOUBLE)) AS s
   FROM ({MIXED_REQUESTS}) r""", ["src", "key"])
+
+
+# Step-dependent scores: token t at step k scores embedding[(t + k) % 64]; token 7 has
+# no score (is not permitted) at even steps.
+ORACLE["walk_step_scores"] = _walk_sql(
+    "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS s FROM embeddings", ["vec_id"],
+    permit="NOT ({t} = 7 AND k % 2 = 0)", score="s[(({t} + k) % 64) + 1]").replace(
+    "SELECT vec_id,\n       CASE", "SELECT vec_id,\n       CASE", 1)
