@@ -47,6 +47,25 @@ class ModelScorer:
         return requests.mapInPandas(run, schema)
 
 
+    def step_scores(self, walkers: DataFrame, text_col: str, generated_col: str, vocab: list[str],
+                    out_col: str = "scores") -> DataFrame:
+        """Per-step form: ``score(model, texts, generated, vocab)`` also sees the
+        token ids generated so far (the reference's logits-from-input-ids hook)."""
+        load, score, key = self.load, self.score, self.name
+        schema = T.StructType(walkers.schema.fields + [
+            T.StructField(out_col, T.ArrayType(T.FloatType()), True)])
+
+        def run(batches):
+            model = _WORKER_MODELS.get(key)
+            if model is None:
+                model = _WORKER_MODELS[key] = load()
+            for pdf in batches:
+                pdf[out_col] = score(model, pdf[text_col], pdf[generated_col], vocab)
+                yield pdf
+
+        return walkers.mapInPandas(run, schema)
+
+
 def _count_scores(_model, texts, vocab):
     import numpy as np
     out = []
@@ -58,3 +77,22 @@ def _count_scores(_model, texts, vocab):
 
 def substring_count_model() -> ModelScorer:
     return ModelScorer(lambda: None, _count_scores, name="substring_count")
+
+
+def _prefix_aware_scores(_model, texts, generated, vocab):
+    """Substring counts minus 0.5 for every time the token was already generated."""
+    import numpy as np
+    base = _count_scores(None, texts, vocab)
+    out = []
+    for vec, g in zip(base, generated):
+        v = vec.copy()
+        for t in (g if g is not None else []):
+            if 0 <= t < len(v):
+                v[t] -= 0.5
+        out.append(v.astype(np.float32))
+    return out
+
+
+def prefix_aware_model() -> ModelScorer:
+    """Test double whose scores change with the generated prefix."""
+    return ModelScorer(lambda: None, _prefix_aware_scores, name="prefix_aware")

@@ -176,3 +176,64 @@ def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataF
                        found.alias("walk_unique"))
             .join(names, "fn_ord")
             .select(key, "fn_ord", "fn_name", "walk_steps", "walk_unique"))
+
+
+def constrained_walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
+                           key: str) -> DataFrame:
+    """K1 prefix mode with a live model: at every step the scorer is called (Arrow
+    batches via ``mapInPandas``) with each walker's text and generated ids, and
+    the walk advances by a masked argmax over the node's edges in-row.
+
+    Walker state (key, text, node, generated ids, flags) is checkpointed
+    reliably each step, so the plan stays one step deep; finished walkers
+    leave the loop.  Returns ``(key, fn_ord, fn_name, walk_steps, walk_unique)``.
+    """
+    from callsmith.session import ensure_checkpoint_dir
+    spark = requests.sparkSession
+    entries = collect_entries(catalog)
+    if entries is None:
+        raise ValueError("catalogue too large for the broadcast trie")
+    ensure_checkpoint_dir(spark)
+    seqs = catalog_sequences(catalog)
+    vocab = sorted({t for r in seqs.select("tokens").collect() for t in r["tokens"]})
+    nodes, max_len = build_trie([(r["ord"], r["ids"]) for r in seqs.select("ord", "ids").collect()])
+    const = F.broadcast(spark.createDataFrame(
+        [(nodes, {e["ord"]: e["fn_name"] for e in entries})],
+        f"_trie {TRIE_TYPE}, _names map<bigint,string>"))
+    active = requests.select(key, F.col(text_col).alias("_text"), F.lit(0).alias("node"),
+                             F.array().cast("array<int>").alias("g"), F.lit(False).alias("done"),
+                             F.lit(-1).cast("bigint").alias("res"), F.lit(0).alias("steps"))
+    cols = [key, "_text", "node", "g", "done", "res", "steps"]
+    finished: list[DataFrame] = []
+    for _step in range(max_len + EXTRA_STEPS):
+        scored = scorer.step_scores(active, "_text", "g", vocab, "_s").crossJoin(const)
+        edges = F.element_at(F.col("_trie"), F.col("node") + 1)
+        usable = F.filter(edges, lambda e: e["tok"] < F.size(F.col("_s")))
+        best = F.array_max(F.transform(usable, lambda e: F.struct(
+            F.get(F.col("_s"), e["tok"]).cast("double").alias("score"), (-e["tok"]).alias("neg"),
+            e["child"].alias("child"), e["uniq"].alias("uniq"))))
+        stepped = scored.withColumn("_b", best)
+        stop = F.col("_b").isNull()
+        new = stepped.select(
+            key, "_text",
+            F.when(stop, F.col("node")).otherwise(F.col("_b.child")).alias("node"),
+            F.when(stop, F.col("g")).otherwise(
+                F.concat(F.col("g"), F.array((-F.col("_b.neg")).cast("int")))).alias("g"),
+            (stop | (F.col("_b.uniq") >= 0)).alias("done"),
+            F.when(stop, F.col("res")).otherwise(F.col("_b.uniq")).alias("res"),
+            F.when(stop, F.col("steps")).otherwise(F.col("steps") + 1).alias("steps")).checkpoint()
+        finished.append(new.filter(F.col("done")).select(*cols))
+        active = new.filter(~F.col("done")).select(*cols)
+        if active.count() == 0:
+            break
+    out = active
+    for part in finished:
+        out = out.unionByName(part)
+    found = F.col("res") >= 0
+    fn_ord = F.when(found, F.col("res")).otherwise(F.lit(entries[0]["ord"]))
+    names = F.broadcast(spark.createDataFrame([(e["ord"], e["fn_name"]) for e in entries],
+                                              "fn_ord bigint, fn_name string"))
+    return (out.select(key, fn_ord.alias("fn_ord"), F.col("steps").alias("walk_steps"),
+                       found.alias("walk_unique"))
+            .join(names, "fn_ord")
+            .select(key, "fn_ord", "fn_name", "walk_steps", "walk_unique"))

@@ -667,3 +667,11 @@ ORACLE["walk_step_scores"] = _walk_sql(
     "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS s FROM embeddings", ["vec_id"],
     permit="NOT ({t} = 7 AND k % 2 = 0)", score="s[(({t} + k) % 64) + 1]").replace(
     "SELECT vec_id,\n       CASE", "SELECT vec_id,\n       CASE", 1)
+
+# Live model double: substring counts minus 0.5 per earlier generation of the token.
+ORACLE["model_walk_steps"] = _walk_sql(f"""
+  SELECT p_partkey, list_transform({_vocab_list()},
+           lambda v: CAST((length(lower(p)) - length(replace(lower(p), v, ''))) // length(v)
+                          AS DOUBLE)) AS s
+  FROM (SELECT p_partkey, {part_prompt()} AS p FROM part) r""", ["p_partkey"],
+    score="(s[{t} + 1] - 0.5 * len(list_filter(g, lambda z: z = {t})))")

@@ -547,3 +547,18 @@ def walk_step_scores_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = constrained_walk_table(e.select("vec_id"), cat, spark.read.parquet(path), key="vec_id")
     return w.select("vec_id", "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"),
                     "walk_unique")
+
+
+@register("model_walk_steps")
+def model_walk_steps_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 + K1 prefix mode with a live model: part requests walk the catalogue
+    while a model scorer (mapInPandas) re-scores every step given the ids
+    generated so far.  The oracle recomputes the double's scores in the CTE."""
+    from callsmith.operators.scorer import prefix_aware_model
+    from callsmith.operators.walk import constrained_walk_model
+    req = ensure_parallelism(table(spark, sf_dir, "part")).select("p_partkey",
+                                                                  R.part_prompt().alias("prompt"))
+    w = constrained_walk_model(req, C.catalog_from_rows(spark), prefix_aware_model(), "prompt",
+                               "p_partkey")
+    return w.select("p_partkey", "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"),
+                    "walk_unique")
