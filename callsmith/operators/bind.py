@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from callsmith import fixed
 from callsmith.functions import text as X
 from callsmith.functions.convert import VALUE_FIELDS, convert_text
+from callsmith.operators.select import select_candidate
 
 PICK_TYPE = "struct<arg_ord:int,arg_name:string,arg_type:string,raw:string,n_cands:int>"
 
@@ -75,15 +76,23 @@ def candidates(f: dict[str, Column], fn: Column, arg: Column, used: Column) -> C
 
 
 def bind_arguments(df: DataFrame, text_col: str = "prompt", fn_col: str = "fn_name",
-                   args_col: str = "fn_args", method: str = "fold") -> DataFrame:
+                   args_col: str = "fn_args", method: str = "fold",
+                   policy: str = "first", scores_col: str | None = None) -> DataFrame:
     """Add ``picks`` = array<struct(arg_ord, arg_name, arg_type, raw, n_cands)>.
 
     ``method='fold'`` is the general recurrence.  ``'closed'`` is valid only
     when every argument is numeric: the k-th argument is the k-th distinct
     number (first-occurrence order), or '' when there are fewer.  ``'auto'``
     picks per row.
+
+    ``policy='scored'`` (with ``scores_col``, a score vector per request)
+    chooses among several candidates by the greedy candidate walk (K2); it
+    always uses the fold, since a scored pick changes what later arguments see.
     """
     text, fn, args = F.col(text_col), F.col(fn_col), F.col(args_col)
+    if policy != "first":
+        scores = F.col(scores_col) if scores_col else None
+        return df.withColumn("picks", _fold_picks(text, fn, args, policy, scores))
     if method == "closed":
         return df.withColumn("picks", _closed_picks(text, args))
     if method == "auto":
@@ -111,7 +120,8 @@ def _closed_picks(text: Column, args: Column) -> Column:
     return F.aggregate(args, init, step)["picks"]
 
 
-def _fold_picks(text: Column, fn: Column, args: Column) -> Column:
+def _fold_picks(text: Column, fn: Column, args: Column, policy: str = "first",
+                scores: Column | None = None) -> Column:
     # The features ride in the fold's accumulator: an outer column referenced
     # from inside a lambda would be inlined there by Catalyst and recomputed for
     # every argument.
@@ -122,7 +132,7 @@ def _fold_picks(text: Column, fn: Column, args: Column) -> Column:
     def step(acc, a):
         f = {k: acc["f"][k] for k in feats}
         cands = candidates(f, fn, a, acc["used"])
-        value = F.coalesce(F.get(cands, 0), F.lit(""))
+        value = select_candidate(cands, policy, scores)
         pick = F.struct(a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
                         a["arg_type"].alias("arg_type"), value.alias("raw"),
                         F.size(cands).cast("int").alias("n_cands"))

@@ -204,3 +204,19 @@ def test_scored_candidate_walk(spark):
     got = [r.x for r in df.select(select_candidate(F.col("c"), "scored", F.col("s")).alias("x")).collect()]
     assert got == [_brute_candidate(c, s) for c, s in rows]
     assert got[0] == "1"  # the shorter candidate completes first
+
+
+def test_scored_policy_in_binding(spark, catalog):
+    from callsmith.operators.bind import bind_arguments, type_picks
+    from callsmith.operators.catalog import args_literal
+    spec = {r.fn_name: r for r in catalog.collect()}
+    add = spec["fn_add_numbers"]
+    scores = [0.0] * 128
+    scores[ord("3")] = 5.0          # the scorer prefers '3'
+    df = spark.createDataFrame([("What is the sum of 2 and 3?", scores)], "prompt string, s array<double>") \
+        .select("prompt", "s", F.lit("fn_add_numbers").alias("fn_name"),
+                args_literal(add.args_names, add.args_types).alias("fn_args"))
+    first = type_picks(bind_arguments(df)).first().picks
+    scored = type_picks(bind_arguments(df, policy="scored", scores_col="s")).first().picks
+    assert [p.c.v_float for p in first] == [2.0, 3.0]
+    assert [p.c.v_float for p in scored] == [3.0, 2.0]
