@@ -21,10 +21,16 @@ from callsmith.operators.validate import validate_requests
 
 def propose_calls(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
                   text_col: str = "prompt", key_cols: list[str] | None = None,
-                  bind_method: str = "auto") -> DataFrame:
-    """K4: one call per request: ``fn_ord, fn_name, fn_score, fn_fallback, is_fallback, picks``."""
+                  bind_method: str = "auto", candidate_policy: str = "first",
+                  scores_col: str | None = None) -> DataFrame:
+    """K4: one call per request: ``fn_ord, fn_name, fn_score, fn_fallback, is_fallback, picks``.
+
+    ``candidate_policy='scored'`` with ``scores_col`` (a score vector per
+    request) picks among several candidates by the greedy candidate walk.
+    """
     selected = select_function(requests, catalog, scorer, text_col=text_col, key_cols=key_cols)
-    bound = bind_arguments(selected, text_col=text_col, method=bind_method)
+    bound = bind_arguments(selected, text_col=text_col, method=bind_method,
+                           policy=candidate_policy, scores_col=scores_col)
     typed = type_picks(bound).withColumn("is_fallback", F.lit(False))
     return apply_fallback(with_first_function(typed, catalog)).drop("fn_args", "call_fatal")
 
@@ -50,10 +56,12 @@ class JobResult:
 
 def run_job(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
             text_col: str = "prompt", key_cols: list[str] | None = None,
-            bind_method: str = "auto") -> JobResult:
+            bind_method: str = "auto", candidate_policy: str = "first",
+            scores_col: str | None = None) -> JobResult:
     """K7: validated requests → calls, plus the rejected requests."""
     valid, rejects = validate_requests(requests, text_col)
-    calls = propose_calls(valid, catalog, scorer, text_col, key_cols, bind_method)
+    calls = propose_calls(valid, catalog, scorer, text_col, key_cols, bind_method,
+                          candidate_policy, scores_col)
     return JobResult(calls=calls, rejects=rejects)
 
 
