@@ -465,7 +465,7 @@ specs(fn_name, arg_ord, arg_name, arg_type) AS (VALUES
   ('fn_purchase', 0, 'k', 'bool'), ('fn_purchase', 1, 'note', 'str'))
 SELECT event_id, fn_name, false AS is_fallback, CAST(arg_ord AS INTEGER) AS arg_ord, arg_name, arg_type,
   CASE WHEN arg_type = 'int' THEN CAST(trunc(CAST(k AS DOUBLE)) AS BIGINT) END AS v_int,
-  CASE WHEN arg_type = 'float' THEN 0.0 END AS v_float,
+  CASE WHEN arg_type = 'float' THEN CAST(0.0 AS DOUBLE) END AS v_float,
   CASE WHEN arg_type = 'bool' THEN CAST(k AS DOUBLE) <> 0 END AS v_bool,
   CASE WHEN arg_type = 'str' AND arg_name = 'k' THEN CAST(k AS VARCHAR)
        WHEN arg_type = 'str' THEN '' END AS v_str,
