@@ -14,6 +14,10 @@ from check_oracle import TABLES, rows_of  # noqa: E402
 import __spark_entry__ as entry_mod  # noqa: E402
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -41,3 +45,6 @@ def test_query_matches_oracle(spark, duck, name):
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
     assert rows_of(df.columns, srows) == rows_of(dcols, drows)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    assert spark_types == duck_types
