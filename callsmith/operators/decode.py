@@ -18,7 +18,7 @@ PICK_TYPE = ("struct<arg_ord:int,arg_name:string,arg_type:string,raw:string,n_ca
              "c:struct<v_int:bigint,v_float:double,v_bool:boolean,v_str:string,issue:string,"
              "fatal:boolean>>")
 from callsmith.operators.catalog import (MAX_BROADCAST_CATALOG, arg_specs_column,
-                                         bounded_count, first_entry_literal)
+                                         bounded_count, collect_entries, first_entry_literal)
 
 
 def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> DataFrame:
@@ -26,6 +26,12 @@ def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> DataFr
     return F.broadcast(df) if bounded_count(df, limit) <= limit else df
 
 
+def _catalog_side(catalog: DataFrame, side: DataFrame) -> DataFrame:
+    """A projection of the catalogue, broadcast when the catalogue passed the size
+    check (``collect_entries``, cached per catalogue, so no extra job)."""
+    return F.broadcast(side) if collect_entries(catalog) is not None else side
+
+
 def fallback_picks(args: Column) -> Column:
     """K6: every declared argument with its typed default."""
     return F.transform(args, lambda a: F.struct(
@@ -55,8 +61,9 @@ def apply_fallback(df: DataFrame, fatal_col: str = "call_fatal") -> DataFrame:
 
 def resolve_function(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_fn") -> DataFrame:
     """Add ``fn_ord, fn_name, fn_args, fn_unknown``; unknown/missing names → first function."""
-    cat = maybe_broadcast(catalog.select(F.col("fn_name").alias("_name"), F.col("ord").alias("_ord"),
-                                         arg_specs_column().alias("_args")))
+    cat = _catalog_side(catalog, catalog.select(F.col("fn_name").alias("_name"),
+                                                F.col("ord").alias("_ord"),
+                                                arg_specs_column().alias("_args")))
     joined = with_first_function(raw_calls.join(cat, F.col(name_col) == F.col("_name"), "left"),
                                  catalog)
     unknown = F.col("_name").isNull()
@@ -70,13 +77,13 @@ def resolve_function(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "
 
 def unknown_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_fn") -> DataFrame:
     """Calls whose name is not in the catalogue (anti-join)."""
-    cat = maybe_broadcast(catalog.select(F.col("fn_name").alias("_name")))
+    cat = _catalog_side(catalog, catalog.select(F.col("fn_name").alias("_name")))
     return raw_calls.join(cat, F.col(name_col) == F.col("_name"), "left_anti")
 
 
 def known_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_fn") -> DataFrame:
     """Calls whose name is in the catalogue (semi-join)."""
-    cat = maybe_broadcast(catalog.select(F.col("fn_name").alias("_name")))
+    cat = _catalog_side(catalog, catalog.select(F.col("fn_name").alias("_name")))
     return raw_calls.join(cat, F.col(name_col) == F.col("_name"), "left_semi")
 
 
