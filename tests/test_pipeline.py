@@ -220,3 +220,29 @@ def test_scored_policy_in_binding(spark, catalog):
     scored = type_picks(bind_arguments(df, policy="scored", scores_col="s")).first().picks
     assert [p.c.v_float for p in first] == [2.0, 3.0]
     assert [p.c.v_float for p in scored] == [3.0, 2.0]
+
+
+@pytest.mark.parametrize("defs", [
+    ['fn_add', {"fn_name": "fn_ok", "return_type": "int"}],                   # a bare string
+    [{"fn_name": "add", "return_type": "int"}],                               # no fn_ prefix
+    [{"fn_name": "fn_x", "args_names": ["a"], "args_types": {}, "return_type": "int"}],  # untyped arg
+    [{"fn_name": "fn_x", "return_type": ""}],                                 # empty return type
+    [],                                                                       # empty catalogue
+])
+def test_catalog_file_gate_aborts(spark, defs):
+    d = _tmpdir()
+    path = os.path.join(d, "defs.json")
+    with open(path, "w") as f:
+        json.dump(defs, f)
+    with pytest.raises(CatalogError):
+        load_catalog(spark, path)
+
+
+def test_catalog_file_without_args_is_valid(spark):
+    d = _tmpdir()
+    path = os.path.join(d, "defs.json")
+    with open(path, "w") as f:
+        json.dump([{"fn_name": "fn_now", "return_type": "str", "extra": True}], f)
+    cat = load_catalog(spark, path)
+    r = cat.first()
+    assert (r.fn_name, r.args_names, r.args_types) == ("fn_now", [], {})
