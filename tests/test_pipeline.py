@@ -246,3 +246,23 @@ def test_catalog_file_without_args_is_valid(spark):
     cat = load_catalog(spark, path)
     r = cat.first()
     assert (r.fn_name, r.args_names, r.args_types) == ("fn_now", [], {})
+
+
+def test_calls_wide_keeps_declared_order(spark, catalog):
+    from callsmith.plans.job import calls_wide
+    req = spark.createDataFrame([(1, "Replace all vowels in 'ab c' with asterisks")], "k int, prompt string")
+    r = calls_wide(propose_calls(req, catalog), ["k"]).first()
+    assert r.fn_name == "fn_substitute_string_with_regex"
+    assert r.args == '{"source_string":"ab c","regex":"[aeiouAEIOU]","replacement":"*"}'
+    assert list(json.loads(r.args)) == ["source_string", "regex", "replacement"]
+
+
+def test_fingerprint_ignores_type_order(spark):
+    from callsmith.operators.catalog import definition_fingerprint
+    rows = [(0, "fn_a", ["x", "y"], {"x": "int", "y": "str"}, "int"),
+            (1, "fn_a", ["x", "y"], {"y": "str", "x": "int"}, "int"),
+            (2, "fn_a", ["x", "y"], {"x": "int", "y": "int"}, "int")]
+    df = spark.createDataFrame(rows, "ord bigint, fn_name string, args_names array<string>, "
+                                     "args_types map<string,string>, return_type string")
+    fp = {r.ord: r.f for r in df.select("ord", definition_fingerprint().alias("f")).collect()}
+    assert fp[0] == fp[1] != fp[2]
