@@ -442,7 +442,13 @@ def encode_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts encoded with the documents' normalised table, and decoded back."""
     from callsmith.operators.tokens import (decode_with_table, encode_with_table,
                                             normalize_token_table)
-    vocab = normalize_token_table(_raw_token_table(spark, sf_dir)).select("token", "token_id")
+    from callsmith.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # The vocabulary is built from every document once and cut with a reliable
+    # checkpoint (shared folder): both the encode and the decode join read it,
+    # instead of each re-scanning the corpus.
+    vocab = normalize_token_table(_raw_token_table(spark, sf_dir)).select("token", "token_id") \
+        .checkpoint()
     b = ensure_parallelism(table(spark, sf_dir, "benchmark"))
     enc = encode_with_table(b, vocab, "item_id")
     dec = decode_with_table(enc, vocab, "item_id")
