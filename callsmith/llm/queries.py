@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callsmith.llm import chat, decontaminate, packing, simhash, token_files
+from callsmith.llm import (ann, chat, decontaminate, html_blocks, langid, licenses, packing, pii,
+                           simhash, token_files)
 from callsmith.llm.common import shared_path
 from callsmith.session import table
 
@@ -49,6 +50,38 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.train(docs))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.spans_text(F.col("spans")).alias("spans"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"))
+    found = langid.identify(docs.select("doc_id", "text"), langid.train(docs.filter(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+                        F.col("lang_rejected").alias("rejected"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token_files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path,
@@ -57,5 +90,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_decontaminate, op2_simhash, op3_packing, op4_chat,
-                                    op10_token_files)}
+REGISTRY = {f.__name__: f for f in (
+    op1_decontaminate, op2_simhash, op3_packing, op4_chat, op5_licenses, op6_pii, op7_language,
+    op8_html, op9_neighbours, op10_token_files)}
