@@ -5,8 +5,8 @@ letter is one space), hashed to ``BINS`` bins, weighted by tf-idf and
 normalised.  Document frequencies come from every training document; each language's
 vectors in a bounded sample are clustered into several centroids, in one task
 a language.  A text gets the language of the nearest centroid by cosine.  It is
-rejected where its cosine is below the least one of that language's training sample by
-``margin``, or where it has no letter.
+rejected where its cosine is below ``margin`` times the least one of that language's
+training sample, or where it has no letter.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 without training rows every text is ``und``; equal cosines go to the language
@@ -138,7 +138,7 @@ def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
                  {r["lang"]: r["floor"] for r in fitted}, idf)
 
 
-def identify(docs: DataFrame, model: Model, margin: float = 0.5) -> DataFrame:
+def identify(docs: DataFrame, model: Model, margin: float = 0.2) -> DataFrame:
     """``docs`` with lang_pred, lang_score and lang_rejected; only the text is read."""
     centres = model.centres.T
 
