@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from callsmith.llm.common import reliable
+from callsmith.llm.common import reliable, shuffle_partitions
 from callsmith.llm.components import connected_components
 
 HOT = 4096
@@ -116,7 +116,8 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
            .select("s", "value", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("b"))
            .select((F.col("s") * 32 + F.col("b")).alias("slot"), "value")
            .select(_key(mask)).distinct().withColumn("hot", F.lit(True)))
-    slots = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("slot"))
+    # 64 rows a fingerprint follow, so the small input is spread first.
+    slots = fps.repartition(shuffle_partitions(spark)).select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("slot"))
     value = F.when(F.col("slot") < 32, segment(0)).otherwise(segment(1))
     other = F.when(F.col("slot") < 32, segment(1)).otherwise(segment(0))
     index = slots.select("fp", "slot", value.alias("value"), other.alias("other")).select(
