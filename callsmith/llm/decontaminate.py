@@ -148,5 +148,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) ->
     Rows that share a doc_id are dropped together; a row without one is kept
     (nothing names it)."""
     bad = contamination(docs, benchmark, window).filter("n_hit > 0").select(
-        F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("bad_id"), "left_anti")
+        F.col("doc_id").alias("_benchmark_hit")).distinct()
+    return docs.join(bad, docs["doc_id"] == F.col("_benchmark_hit"), "left_anti")

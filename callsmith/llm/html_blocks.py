@@ -177,6 +177,8 @@ LABELLED = [
     (0, 0, 0, 0, 4, 0.0, 60, 0.0, 45, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 30, 0.0, 25, 0.0, 1),
     (0, 0, 0, 1, 8, 0.0, 2, 1.0, 70, 0.0, 1), (0, 0, 0, 1, 5, 0.0, 60, 0.0, 50, 0.0, 1),
     (0, 0, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (0, 0, 0, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
+    (0, 0, 0, 0, 1, 1.0, 80, 0.0, 1, 1.0, 0), (0, 0, 0, 0, 2, 1.0, 40, 0.0, 50, 0.0, 0),
+    (0, 0, 0, 0, 60, 0.0, 50, 0.0, 1, 1.0, 1), (0, 0, 0, 0, 80, 0.0, 0, 0.0, 1, 1.0, 1),
     (0, 0, 0, 0, 12, 0.8, 2, 1.0, 10, 0.9, 0), (0, 0, 0, 0, 30, 0.9, 3, 1.0, 20, 0.8, 0),
     (0, 0, 0, 0, 3, 0.0, 2, 1.0, 4, 1.0, 0), (0, 0, 0, 0, 5, 0.0, 4, 1.0, 0, 0.0, 0),
     (0, 0, 0, 0, 6, 0.4, 3, 0.0, 0, 0.0, 0), (0, 0, 0, 0, 25, 0.7, 40, 0.0, 3, 1.0, 0),

@@ -120,7 +120,7 @@ def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         counts = [c for c in map(gram_counts, pdf["text"]) if c is not None]
         if not counts:
-            return pd.DataFrame({"lang": [], "floor": [], "centre": []})
+            return pd.DataFrame({"lang": [], "floor": [], "centre": []}, dtype=object)
         vectors = np.stack([_unit(c, idf) for c in counts])
         centres = cluster(vectors, centroids)
         floor = float((vectors @ centres.T).max(axis=1).min())
@@ -138,8 +138,7 @@ def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
                  {r["lang"]: r["floor"] for r in fitted}, idf)
 
 
-def identify(docs: DataFrame, model: Model, margin: float = 0.2) -> DataFrame:
-    """``docs`` with lang_pred, lang_score and lang_rejected; only the text is read."""
+def _predict(model: Model, margin: float):
     centres = model.centres.T
 
     @F.pandas_udf("lang string, score double, rejected boolean")
@@ -156,7 +155,17 @@ def identify(docs: DataFrame, model: Model, margin: float = 0.2) -> DataFrame:
             out.append((lang, score, score < margin * model.floors[lang]))
         return pd.DataFrame(out, columns=["lang", "score", "rejected"])
 
-    found = docs.withColumn("lang_found", predict(F.col("text").cast("string")))
-    return found.select(*docs.columns, F.col("lang_found.lang").alias("lang_pred"),
-                        F.col("lang_found.score").alias("lang_score"),
-                        F.col("lang_found.rejected").alias("lang_rejected"))
+    return predict(F.col("text").cast("string"))
+
+
+def identify(docs: DataFrame, model: Model, margin: float = 0.2) -> DataFrame:
+    """Per row of ``docs``: doc_id, lang_pred, lang_score, lang_rejected; only the text is read."""
+    return docs.select("doc_id", _predict(model, margin).alias("found")).select(
+        "doc_id", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("lang_score"),
+        F.col("found.rejected").alias("lang_rejected"))
+
+
+def accepted(docs: DataFrame, model: Model, margin: float = 0.2) -> DataFrame:
+    """``docs`` without the rows that are rejected."""
+    return docs.withColumn("_langid_found", _predict(model, margin)).filter(
+        ~F.col("_langid_found.rejected")).select(*docs.columns)

@@ -176,9 +176,9 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
 
     Rows without a doc_id cannot be told apart and are kept."""
     kept = (near_duplicates(docs, shingle, distance)
-            .filter("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).count())
+            .filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_simhash_kept")).count())
     kept = reliable(kept)
-    out = docs.join(kept.select("kept_id"), docs["doc_id"] == F.col("kept_id"), "left_semi")
+    out = docs.join(kept.select("_simhash_kept"), docs["doc_id"] == F.col("_simhash_kept"), "left_semi")
     if not kept.filter("count > 1").isEmpty():  # rows that repeat an id
         out = out.dropDuplicates(["doc_id"])
     return out.unionByName(docs.filter("doc_id is null"))

@@ -17,7 +17,8 @@ from __future__ import annotations
 import re
 from array import array
 
-CACHE_ENTRIES = 600_000
+RUN_ENTRIES = 600_000
+PIECE_ENTRIES = 150_000
 
 # Runs that carry their white space the way the byte-level pre-tokenizer does.
 _BYTE_RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -56,11 +57,11 @@ class TextEncoder:
             pieces = re.compile(f" ?[{_LATIN}]+| ?[0-9]+| ?[^{_LATIN}0-9 \n]+|\n").findall
 
         class Cache(dict):
-            def __init__(self, ids):
-                self.ids = ids
+            def __init__(self, ids, most: int):
+                self.ids, self.most = ids, most
 
             def __missing__(self, key: str) -> bytes:
-                if len(self) >= CACHE_ENTRIES:
+                if len(self) >= self.most:
                     self.clear()
                 packed = self.ids(key)
                 if len(key) <= 64:
@@ -72,14 +73,14 @@ class TextEncoder:
                 piece = "".join([to_letters[b] for b in piece.encode()])
             return array("I", [t.id for t in model.tokenize(piece)]).tobytes()
 
-        by_piece = Cache(piece_ids)
+        by_piece = Cache(piece_ids, PIECE_ENTRIES)
 
         def run_ids(run: str) -> bytes:
             if not plain.fullmatch(run):
                 return array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
             return b"".join([by_piece[p] for p in pieces(run.lower() if words else run)])
 
-        self.cache = Cache(run_ids)
+        self.cache = Cache(run_ids, RUN_ENTRIES)
 
     def packed(self, text: str | None) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""

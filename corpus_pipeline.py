@@ -20,7 +20,7 @@ from callsmith.session import table
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that the language ID rejects go."""
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
-    return langid.identify(docs, model).filter(~F.col("lang_rejected")).select(*docs.columns)
+    return langid.accepted(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
