@@ -3,9 +3,12 @@
 Fit, on a bounded sample of distinct vectors: the sample's neighbour graph is cut into balanced
 partitions (balanced start along the main directions, then moves to where
 most neighbours are, under a size limit), and a small softmax network learns to name
-a vector's partition.  Index: every row goes to its most probable partition.
-Search: a query goes to its most probable partitions, as many as hold the wanted
-probability and enough candidates, and their rows are ranked by the exact inner product.
+a vector's partition.  A quarter of the sample is held out; on it the probability
+that a query's partitions must hold together is set for the wanted recall, so
+vectors without clusters are searched in most partitions.  Index: every row goes to
+its most probable partition.  Search: a query goes to its most probable
+partitions, as many as hold that probability and enough candidates, and their
+rows are ranked by the exact inner product.
 
 Skew: a partition is dealt into blocks of at most ``BLOCK`` rows by a hash, and its queries
 into blocks of at most ``QUERIES``, so one group is bounded however many rows
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from callsmith.llm.common import reliable
 
-BLOCK = 4096
+BLOCK = 16_384
 QUERIES = 2048
 
 
@@ -46,6 +49,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 class Router:
     hidden: np.ndarray
     output: np.ndarray
+    probability: float = 1.0  # of the partitions that a query visits
 
     @property
     def partitions(self) -> int:
@@ -141,7 +145,23 @@ def fit_router(x: np.ndarray, parts: int, hidden: int = 96, epochs: int = 200) -
     return Router(*weights)
 
 
-def fit(rows: DataFrame, sample: int = 4096, per_partition: int = 1024, most: int = 64) -> Router | None:
+def calibrate(router: Router, x: np.ndarray, recall: float, k: int = 5) -> float:
+    """The least probability (in steps) with which vectors not used for training find their neighbours."""
+    near = neighbour_graph(x, k)
+    p = router.probabilities(x)
+    order = np.argsort(-p, axis=1, kind="stable")
+    held = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
+    place = np.argsort(order, axis=1, kind="stable")  # of each partition in a query's order
+    needed = np.take_along_axis(place, p.argmax(axis=1)[near], axis=1)
+    for probability in (0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999):
+        visited = 1 + (held < probability).sum(axis=1)
+        if (needed < visited[:, None]).mean() >= recall:
+            return probability
+    return 1.0
+
+
+def fit(rows: DataFrame, sample: int = 6144, per_partition: int = 4096, most: int = 64,
+        recall: float = 0.95) -> Router | None:
     """A router from about ``sample`` rows drawn by a hash of their ids; ``rows`` as of ``usable``."""
     total = rows.count()
     if not total:
@@ -149,17 +169,21 @@ def fit(rows: DataFrame, sample: int = 4096, per_partition: int = 1024, most: in
     share = min(1.0, sample / total)
     drawn = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) <= int(share * 1_000_000)).select("v")
     x = np.unique(np.array([r["v"] for r in drawn.collect()], float), axis=0)
-    parts = int(min(most, max(1, total // per_partition), max(1, len(x) // 32)))
-    if parts == 1:
-        return Router(np.zeros((len(x[0]) + 1, 1)), np.zeros((2, 1)))
+    x = np.random.default_rng(3).permutation(x)
+    held, x = x[:len(x) // 4], x[len(x) // 4:]
+    parts = int(min(most, total // per_partition, len(x) // 32))
+    if parts < 2 or len(held) < 50:
+        width = rows.select(F.size("v")).first()[0]
+        return Router(np.zeros((width + 1, 1)), np.zeros((2, 1)))
     scale = 1 / max(float(np.sqrt((x * x).mean())), 1e-300)
     router = fit_router(x * scale, parts)
     router.hidden[:-1] *= scale
+    router.probability = calibrate(router, held, recall)
     return router
 
 
 def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = None,
-           probability: float = 0.97, least_probes: int = 3) -> DataFrame:
+           least_probes: int = 2) -> DataFrame:
     """query_id, rank, vec_id, score of the rows for which the column ``is_query`` (of vec_id) holds."""
     rows = usable(vectors)
     router = router or fit(rows)
@@ -181,7 +205,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
         out = []
         for one in p:
             order = np.argsort(-np.asarray(one), kind="stable")
-            enough = max(least_probes, 1 + int(np.searchsorted(np.cumsum(np.asarray(one)[order]), probability)))
+            enough = max(least_probes, 1 + int(np.searchsorted(np.cumsum(np.asarray(one)[order]),
+                                                               router.probability)))
             held = np.cumsum(counts[order])
             enough = max(enough, 1 + int(np.searchsorted(held, min(4 * k + 1, held[-1]))))
             out.append(order[:enough].astype(np.int32))
