@@ -135,6 +135,10 @@ def convert_variant(v: Column, arg_type: Column) -> Column:
                .when(is_nested, nested_size > 0))
     as_str = (F.when(is_str, s)
               .when(is_bool, F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
+              # A JSON number with a fraction part is a float: 5.0 is "5.0", not "5".
+              .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"),
+                    F.when(F.to_json(v).rlike("[.eE]"), F.to_json(v))
+                    .otherwise(F.concat(F.to_json(v), F.lit(".0"))))
               .otherwise(F.to_json(v)))
     converted = (F.when(arg_type == "int",
                         _struct(i_val, F.lit(None), F.lit(None), F.lit(None), i_issue, i_fatal))

@@ -64,12 +64,14 @@ def validate_catalog(catalog: DataFrame, strict: bool = True) -> tuple[DataFrame
     empty catalogue; the check reads one row of the small rejects table.
     Missing list/map fields default to empty.
     """
+    # A loader's own finding (a field of the wrong type) comes before the rules on values.
+    loaded = F.col("type_issue") if "type_issue" in catalog.columns else F.lit(None).cast("string")
     checked = (catalog
                .withColumn("args_names", F.coalesce("args_names", F.array().cast("array<string>")))
                .withColumn("args_types", F.coalesce("args_types",
                                                     F.create_map().cast("map<string,string>")))
-               .withColumn("issue", catalog_issue()))
-    valid = checked.filter(F.col("issue").isNull()).drop("issue")
+               .withColumn("issue", F.coalesce(loaded, catalog_issue())))
+    valid = checked.filter(F.col("issue").isNull()).drop("issue", "type_issue")
     rejects = checked.filter(F.col("issue").isNotNull()).select("ord", "fn_name", "issue")
     if strict:
         bad = rejects.limit(1).collect()
@@ -99,21 +101,25 @@ def arg_specs_column() -> Column:
 ARG_SPEC_TYPE = "array<struct<arg_ord:int,arg_name:string,arg_type:string>>"
 
 
-_ENTRY_CACHE: dict[int, tuple[DataFrame, list | None]] = {}
-
-
 def collect_entries(catalog: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> list | None:
     """The catalogue as driver-side rows in ``ord`` order, or None if it exceeds ``limit``.
 
     Only a size-checked catalogue is ever collected; the requests never are.
-    One read per catalogue DataFrame (memoised on the object).
+    A repeated name is one entry: the last definition at the first one's position (A1).
+    The rows are read once per catalogue DataFrame and kept on that object.
     """
-    hit = _ENTRY_CACHE.get(id(catalog))
-    if hit is not None and hit[0] is catalog:
-        return hit[1]
+    held = getattr(catalog, "_entries", None)
+    if held is not None and held[0] == limit:
+        return held[1]
     rows = catalog.select("ord", "fn_name", "args_names", "args_types").limit(limit + 1).collect()
-    entries = None if len(rows) > limit else sorted(rows, key=lambda r: r["ord"])
-    _ENTRY_CACHE[id(catalog)] = (catalog, entries)
+    entries = None
+    if len(rows) <= limit:
+        by_name: dict[str, dict] = {}
+        for r in sorted(rows, key=lambda r: r["ord"]):
+            first = by_name.get(r["fn_name"], r)
+            by_name[r["fn_name"]] = {**r.asDict(), "ord": first["ord"]}
+        entries = list(by_name.values())
+    catalog._entries = (limit, entries)
     return entries
 
 

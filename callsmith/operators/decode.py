@@ -18,7 +18,8 @@ PICK_TYPE = ("struct<arg_ord:int,arg_name:string,arg_type:string,raw:string,n_ca
              "c:struct<v_int:bigint,v_float:double,v_bool:boolean,v_str:string,issue:string,"
              "fatal:boolean>>")
 from callsmith.operators.catalog import (MAX_BROADCAST_CATALOG, arg_specs_column,
-                                         bounded_count, collect_entries, first_entry_literal)
+                                         bounded_count, collect_entries, dedupe_catalog,
+                                         first_entry_literal)
 
 
 def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> DataFrame:
@@ -28,7 +29,7 @@ def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> DataFr
 
 def _catalog_side(catalog: DataFrame, side: DataFrame) -> DataFrame:
     """A projection of the catalogue, broadcast when the catalogue passed the size
-    check (``collect_entries``, cached per catalogue, so no extra job)."""
+    check (``collect_entries``, read once per catalogue, so no extra job)."""
     return F.broadcast(side) if collect_entries(catalog) is not None else side
 
 
@@ -61,9 +62,9 @@ def apply_fallback(df: DataFrame, fatal_col: str = "call_fatal") -> DataFrame:
 
 def resolve_function(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_fn") -> DataFrame:
     """Add ``fn_ord, fn_name, fn_args, fn_unknown``; unknown/missing names → first function."""
-    cat = _catalog_side(catalog, catalog.select(F.col("fn_name").alias("_name"),
-                                                F.col("ord").alias("_ord"),
-                                                arg_specs_column().alias("_args")))
+    # One row per name (A1), so a repeated definition never multiplies calls.
+    cat = _catalog_side(catalog, dedupe_catalog(catalog).select(
+        F.col("fn_name").alias("_name"), F.col("ord").alias("_ord"), arg_specs_column().alias("_args")))
     joined = with_first_function(raw_calls.join(cat, F.col(name_col) == F.col("_name"), "left"),
                                  catalog)
     unknown = F.col("_name").isNull()
@@ -92,12 +93,14 @@ def decode_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_
     """K5: validated calls with ``picks`` (typed values) and ``is_fallback``.
 
     ``args_col`` is a VARIANT holding an object (or NULL = no arguments).  A
-    non-object payload cannot be read and turns the call into the fallback,
+    non-object payload cannot be read and turns the call into the fallback (a
+    JSON null only where the function declares arguments to look up),
     as does a blank request text when ``text_col`` is given (P12, P13).
     """
     resolved = resolve_function(raw_calls, catalog, name_col)
     kind = F.schema_of_variant(F.col(args_col))
-    bad_payload = F.col(args_col).isNotNull() & (kind != "VOID") & ~kind.startswith("OBJECT")
+    bad_payload = (F.col(args_col).isNotNull() & ~kind.startswith("OBJECT")
+                   & ((kind != "VOID") | (F.size("fn_args") > 0)))
     if text_col is not None:
         from callsmith.functions.text import is_blank
         bad_payload = bad_payload | F.coalesce(is_blank(F.col(text_col)), F.lit(True))

@@ -15,7 +15,7 @@ Two physical forms, chosen by a bounded count of the catalogue:
 * keyword join (larger catalogues): request words are exploded and
   equi-joined to the keyword table, scores are counted per (request, entry)
   with map-side partial aggregation and the best entry per request is a
-  scalar ``max`` of a packed (score, -ord) key, so hot keywords never
+  ``max`` of (score, -ord), so hot keywords never
   collect a group.
 """
 
@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsmith import fixed
-from callsmith.operators.catalog import arg_specs_column, collect_entries
+from callsmith.operators.catalog import arg_specs_column, collect_entries, dedupe_catalog
+from callsmith.session import ensure_checkpoint_dir
 
 WORD_PATTERN = "[a-z0-9_]+"
-_ORD_BITS = 2 ** 32
 
 
 def request_words(text: Column) -> Column:
@@ -87,8 +87,8 @@ def select_function(requests: DataFrame, catalog: DataFrame, scorer: LexicalScor
                     method: str = "auto") -> DataFrame:
     """Add ``fn_ord, fn_name, fn_args, fn_score, fn_fallback`` to every request.
 
-    ``key_cols`` (a unique key of the requests) is needed only by the
-    keyword-join form.
+    ``key_cols`` (a unique key of the requests) saves the keyword-join form
+    from numbering and checkpointing the requests.
     """
     scorer = scorer or LexicalScorer()
     entries = collect_entries(catalog) if method in ("auto", "inrow") else None
@@ -96,9 +96,15 @@ def select_function(requests: DataFrame, catalog: DataFrame, scorer: LexicalScor
         raise ValueError("catalogue too large for the in-row form")
     if entries is not None:
         return _select_inrow(requests, entries, scorer.keyword_sets(entries), text_col)
-    if not key_cols:
-        raise ValueError("the keyword-join form needs key_cols")
-    return _select_join(requests, catalog, scorer.keyword_table(catalog), text_col, key_cols)
+    catalog = dedupe_catalog(catalog)
+    if key_cols:
+        return _select_join(requests, catalog, scorer.keyword_table(catalog), text_col, key_cols)
+    # Without a key the requests are numbered once and cut reliably, so both
+    # branches of the join read the same numbers.
+    ensure_checkpoint_dir(requests.sparkSession)
+    numbered = requests.withColumn("_request", F.monotonically_increasing_id()).checkpoint()
+    return _select_join(numbered, catalog, scorer.keyword_table(catalog), text_col,
+                        ["_request"]).drop("_request")
 
 
 ENTRY_TYPE = ("struct<ord:bigint,fn_name:string,kws:array<string>,"
@@ -109,11 +115,9 @@ def _select_inrow(requests, entries, kw, text_col):
     """Argmax over a broadcast catalogue, in-row, touching only the entries hit.
 
     The (size-checked) catalogue travels as one broadcast row holding the
-    entries in ``ord`` order, the set of all keywords and a keyword → entry
-    positions map.  Per request: one ``array_intersect`` of its words with
-    the keyword set (codegen'd), then positions of the hit entries are
-    counted and the best taken — work grows with the hits, not with the
-    catalogue.  Ties go to the lowest position, i.e. the lowest ``ord``.
+    entries in ``ord`` order and a keyword → entry positions map.  Per
+    request its words are looked up in a literal keyword set, then positions of
+    the hit entries are counted and the best taken.  Ties go to the lowest position, i.e. the lowest ``ord``.
     """
     def entry(e):
         args = [(i, a, (e["args_types"] or {}).get(a)) for i, a in enumerate(e["args_names"] or [])]
@@ -126,9 +130,11 @@ def _select_inrow(requests, entries, kw, text_col):
             kw2pos.setdefault(k, []).append(i)
     spark = requests.sparkSession
     const = spark.createDataFrame(
-        [(rows, sorted(kw2pos), kw2pos)],
-        f"_cat array<{ENTRY_TYPE}>, _kw array<string>, _kw2pos map<string,array<int>>")
-    hits = F.array_intersect(request_words(F.col(text_col)), F.col("_kw"))
+        [(rows, kw2pos)], f"_cat array<{ENTRY_TYPE}>, _kw2pos map<string,array<int>>")
+    # A literal set: one hash lookup per distinct word, whatever the catalogue's size.
+    known = sorted(kw2pos)
+    hits = F.filter(request_words(F.col(text_col)),
+                    lambda w: w.isin(*known) if known else F.lit(False))
     staged = (requests.crossJoin(F.broadcast(const))
               .withColumn("_pos", F.flatten(F.transform(hits, lambda w: F.element_at(F.col("_kw2pos"), w)))))
     # (score, -position) of every hit entry; the maximum is the winner.
@@ -159,16 +165,15 @@ def _select_join(requests, catalog, keywords, text_col, key_cols):
     hits = words.join(maybe_broadcast(kw, MAX_BROADCAST_KEYWORDS), "keyword")
     best = (hits.groupBy(*key_cols, "ord").agg(F.count(F.lit(1)).alias("score"))
             .groupBy(*key_cols)
-            .agg(F.max(F.col("score") * F.lit(_ORD_BITS) - F.col("ord")).alias("packed")))
-    score = F.expr(f"(packed + {_ORD_BITS - 1}) div {_ORD_BITS}")
-    best = best.select(*key_cols, score.cast("int").alias("fn_score"),
-                       (score * F.lit(_ORD_BITS) - F.col("packed")).alias("best_ord"))
+            .agg(F.max(F.struct("score", (-F.col("ord")).alias("neg"))).alias("best")))
+    best = best.select(*key_cols, F.col("best.score").cast("int").alias("fn_score"),
+                       (-F.col("best.neg")).alias("best_ord"))
     specs = catalog.select(F.col("ord").alias("best_ord"), F.col("fn_name").alias("best_name"),
                            arg_specs_column().alias("best_args"))
     first = catalog.select(F.min_by(F.struct("ord", "fn_name", arg_specs_column().alias("args")),
                                     F.col("ord")).alias("first"))
     out = (requests.join(best.hint("shuffle_merge"), key_cols, "left")
-           .join(specs.hint("shuffle_merge"), "best_ord", "left")
+           .join(specs, "best_ord", "left")
            .crossJoin(F.broadcast(first)))
     use_best = F.coalesce(F.col("fn_score"), F.lit(0)) > 0
     return out.select(

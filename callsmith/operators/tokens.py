@@ -31,7 +31,7 @@ def normalize_token(token: Column) -> Column:
 def normalize_token_table(tokens: DataFrame, check_empty: bool = False) -> DataFrame:
     """``(token, token_id, n_raw, ord)`` keyed by normalised token, last entry wins."""
     if check_empty and tokens.limit(1).count() == 0:
-        raise EmptyTokenTable("Vocabulary cannot be empty")
+        raise EmptyTokenTable("the token table has no entries")
     return (tokens.select(normalize_token(F.col("token")).alias("token"), "token_id", "ord")
             .groupBy("token")
             .agg(F.max_by("token_id", "ord").alias("token_id"), F.count(F.lit(1)).alias("n_raw"),
@@ -42,7 +42,7 @@ def invert_token_table(pairs: DataFrame, key_col: str = "key", value_col: str =
                        ord_col: str = "ord") -> DataFrame:
     """Id-keyed entries → ``(token_id, token)``; keys that are not integers are
     skipped, the last entry per id wins."""
-    k = F.trim(F.col(key_col)).try_cast("int")
+    k = F.trim(F.col(key_col)).try_cast("bigint")
     return (pairs.select(k.alias("token_id"), F.col(value_col).cast("string").alias("token"),
                          F.col(ord_col).alias("ord"))
             .filter(F.col("token_id").isNotNull())
@@ -58,20 +58,23 @@ def load_token_table(spark, path: str) -> DataFrame:
     """A JSON object file ``{token: id}`` (or ``{id: token}``) → ``(ord, token, token_id)``.
 
     The orientation is sniffed from the first key, as the reference does.
-    Each file is one object, so one file is read by one task.
+    Each file is one object, so one file is read by one task.  A file that
+    holds no entry (or no JSON object) raises ``EmptyTokenTable``.
     """
     raw = spark.read.text(path, wholetext=True)
     entries = raw.select(F.posexplode(F.map_entries(
         F.from_json("value", "map<string,string>"))).alias("ord", "e"))
     first = entries.filter(F.col("ord") == 0).select(
         F.col("e.key").try_cast("bigint").isNotNull().alias("by_id")).first()
-    by_id = bool(first and first["by_id"])
+    if first is None:
+        raise EmptyTokenTable(f"no token entries in {path}")
+    by_id = bool(first["by_id"])
     if by_id:
         return entries.select("ord", F.col("e.value").alias("token"),
-                              F.col("e.key").try_cast("int").alias("token_id")) \
+                              F.col("e.key").try_cast("bigint").alias("token_id")) \
                       .filter(F.col("token_id").isNotNull())
     return entries.select("ord", F.col("e.key").alias("token"),
-                          F.col("e.value").try_cast("int").alias("token_id")) \
+                          F.col("e.value").try_cast("bigint").alias("token_id")) \
                   .filter(F.col("token_id").isNotNull())
 
 

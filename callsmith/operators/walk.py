@@ -18,6 +18,7 @@ requests (a table scorer); a model scorer would produce the same column.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from callsmith.operators.catalog import MAX_BROADCAST_CATALOG, collect_entries
@@ -35,16 +36,17 @@ def definition_json() -> Column:
 def catalog_sequences(catalog: DataFrame) -> DataFrame:
     """K9: ``(ord, fn_name, tokens ARRAY<STRING>, ids ARRAY<INT>)``.
 
-    Ids are ranks of the distinct tokens of this (size-checked) catalogue in
-    binary string order.
+    Ids are ranks of the distinct tokens of the catalogue (``ord`` unique) in
+    binary string order, joined to the tokens, whatever their number.
     """
     toks = catalog.select("ord", "fn_name", F.regexp_extract_all(
         definition_json(), F.lit(SEQ_TOKEN_PATTERN), F.lit(0)).alias("tokens"))
-    vocab = sorted({t for r in toks.select("tokens").limit(MAX_BROADCAST_CATALOG + 1).collect()
-                    for t in r["tokens"]})
-    ids = F.create_map(*[x for i, t in enumerate(vocab) for x in (F.lit(t), F.lit(i))])
-    return toks.select("ord", "fn_name", "tokens",
-                       F.transform("tokens", lambda t: F.element_at(ids, t).cast("int")).alias("ids"))
+    placed = toks.select("ord", F.posexplode("tokens").alias("pos", "token"))
+    ranks = placed.select("token").distinct().select(
+        "token", (F.row_number().over(Window.orderBy("token")) - 1).alias("id"))
+    ids = placed.join(ranks, "token").groupBy("ord").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("placed"))
+    return toks.join(ids, "ord").select("ord", "fn_name", "tokens", F.col("placed.id").alias("ids"))
 
 
 def build_trie(seqs: list[tuple[int, list[int]]]) -> tuple[list[list[tuple[int, int, int]]], int]:

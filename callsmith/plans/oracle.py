@@ -533,7 +533,7 @@ t AS (SELECT doc_id, regexp_extract_all(text, {TOKENS}) AS toks FROM documents),
 e AS (SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, toks[i] AS w
       FROM (SELECT doc_id, toks, generate_subscripts(toks, 1) AS i FROM t)),
 rt AS (SELECT CASE pos % 3 WHEN 0 THEN 'Ġ' || w WHEN 1 THEN '▁' || w ELSE w || '</w>' END AS token,
-              doc_id * 1048576 + pos AS o FROM e),
+              doc_id * 2147483648 + pos AS o FROM e),
 raw AS (SELECT min(o) AS ord, token, min(o) AS token_id FROM rt GROUP BY token),
 norm AS (SELECT {normalize_sql('token')} AS token, token_id, ord FROM raw),
 vocab AS (SELECT token, arg_max(token_id, ord) AS token_id, count(*) AS n_raw FROM norm GROUP BY token)
@@ -553,8 +553,8 @@ SELECT (SELECT count(DISTINCT token) FROM raw) AS n_raw_tokens,
 ORACLE["invert_tokens"] = f"""
 WITH {RAW_TOKENS},
 pairs AS (SELECT CASE WHEN ord % 10 = 0 THEN 'x' || CAST(ord AS VARCHAR)
-                      ELSE CAST(ord % 4096 AS VARCHAR) END AS key, token AS value, ord FROM raw),
-k AS (SELECT TRY_CAST(trim(key) AS INTEGER) AS token_id, value, ord FROM pairs)
+                      ELSE CAST(ord - CASE WHEN ord % 100 = 1 THEN 1 ELSE 0 END AS VARCHAR) END AS key, token AS value, ord FROM raw),
+k AS (SELECT TRY_CAST(trim(key) AS BIGINT) AS token_id, value, ord FROM pairs)
 SELECT token_id, arg_max(value, ord) AS token FROM k WHERE token_id IS NOT NULL GROUP BY token_id
 """
 

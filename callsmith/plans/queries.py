@@ -6,6 +6,8 @@ columns; ``callsmith.plans.oracle`` holds the DuckDB SQL for the same name.
 
 from __future__ import annotations
 
+import zlib
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -403,7 +405,7 @@ def _raw_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("pos") % 3
     raw = (F.when(k == 0, F.concat(F.lit("Ġ"), "w")).when(k == 1, F.concat(F.lit("▁"), "w"))
            .otherwise(F.concat("w", F.lit("</w>"))))
-    ordkey = F.col("doc_id") * F.lit(1 << 20) + F.col("pos")
+    ordkey = F.col("doc_id") * F.lit(1 << 31) + F.col("pos")  # a text has fewer than 2^31 tokens
     return (t.select(raw.alias("token"), ordkey.alias("o")).groupBy("token")
             .agg(F.min("o").alias("ord"))
             .select("ord", "token", F.col("ord").alias("token_id")))
@@ -432,7 +434,7 @@ def invert_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from callsmith.operators.tokens import invert_token_table
     raw = _raw_token_table(spark, sf_dir)
     key = (F.when(F.col("ord") % 10 == 0, F.concat(F.lit("x"), F.col("ord").cast("string")))
-           .otherwise((F.col("ord") % 4096).cast("string")))
+           .otherwise((F.col("ord") - F.when(F.col("ord") % 100 == 1, 1).otherwise(0)).cast("string")))
     pairs = raw.select(key.alias("key"), F.col("token").alias("value"), "ord")
     return invert_token_table(pairs)
 
@@ -495,11 +497,12 @@ def stream_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from callsmith.streaming.stream import run_stream_to_parquet, stream_calls
     path = f"{sf_dir}/lineitem.parquet"
     schema = spark.read.parquet(path).schema
-    src = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    # As a glob, the table may be one file or a folder of part files.
+    src = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parque[t]")
     calls = stream_calls(R.lineitem_sum_requests(src), C.catalog_from_rows(spark))
     flat = calls.select("l_orderkey", "l_linenumber", "fn_name",
                         _arg(0, "v_float").alias("a"), _arg(1, "v_float").alias("b"))
-    query, out = run_stream_to_parquet(spark, flat, "sum")
+    query, out = run_stream_to_parquet(spark, flat, f"sum-{zlib.crc32(path.encode()):08x}")
     query.awaitTermination()
     return spark.read.parquet(out)
 

@@ -25,19 +25,26 @@ _DEFAULTS = {
 def get_spark(master: str | None = None, app: str = "callsmith",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session or build one with safe defaults."""
+    """Return the active session or build one with safe defaults.
+
+    A running session keeps its settings: only SQL settings that it lacks, or
+    that the caller passes here, are set.
+    """
+    asked = dict(extra or {})
+    if shuffle_partitions:
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        for k, v in {**_DEFAULTS, **asked}.items():
+            if k.startswith("spark.sql.") and (k in asked or running.conf.get(k, None) is None):
+                running.conf.set(k, v)
+        return running
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in {**_DEFAULTS, **asked}.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -66,19 +73,25 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+SPLIT_BYTES = 128 << 20
+
+
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin split an input that arrives in too few partitions.
+    """Round-robin split an input that is stored in too few files to be read in parallel.
 
     Regex- and fold-heavy work is CPU bound per row; a source stored as one
-    row group scans as one task.  Large inputs already arrive as thousands of
-    splits, so the check is cheap planning only and no shuffle is added there.
+    row group scans as one task.  Only file names and the planner's size
+    estimate are looked at: no job runs, and an input large enough to arrive
+    in many splits is not shuffled.
     """
-    try:
-        want = min_partitions or default_parallelism(df.sparkSession)
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session has no RDD view; leave the plan as is
+    want = min_partitions or default_parallelism(df.sparkSession)
+    if df.isStreaming:
+        return df
+    files = len(df.inputFiles())
+    if min_partitions is None and (files == 0 or files >= want):
         return df
-    if have >= want:
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= want * SPLIT_BYTES:
         return df
     return df.repartition(want)
 

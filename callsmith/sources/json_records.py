@@ -14,7 +14,7 @@ parquet (``load_requests`` takes any DataFrame with a text column).
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callsmith.operators.catalog import CATALOG_SCHEMA
@@ -79,22 +79,45 @@ def records_to_catalog(records: DataFrame) -> DataFrame:
         f = F.try_variant_get(v, f"$.{name}", "variant")
         return F.when(F.schema_of_variant(f) == "STRING", F.try_variant_get(v, f"$.{name}", "string"))
 
+    # ``ord`` restarts in each file; files follow each other in path order.
+    files = records.select("source").distinct().select(
+        F.col("source").alias("_source"),
+        (F.row_number().over(Window.orderBy("source")) - 1).cast("bigint").alias("_file"))
+    records = records.join(F.broadcast(files), F.col("source") == F.col("_source"))
+
+    def kind(name):
+        return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+
+    # Wrong types are findings, not missing fields; a present null is a wrong type.
+    types = F.try_variant_get(v, "$.args_types", "map<string,variant>")
+    wrong = (F.when(kind("fn_name").isNotNull() & (kind("fn_name") != "STRING"), F.lit("fn_name"))
+             .when(kind("return_type").isNotNull() & (kind("return_type") != "STRING"), F.lit("return_type"))
+             .when(kind("args_names").isNotNull()
+                   & ~kind("args_names").isin("ARRAY<STRING>", "ARRAY<VOID>"), F.lit("args_names"))
+             .when(kind("args_names").eqNullSafe("ARRAY<VOID>") & (F.size(F.try_variant_get(
+                 v, "$.args_names", "array<variant>")) > 0), F.lit("args_names"))
+             .when(kind("args_types").isNotNull() & ~kind("args_types").startswith("OBJECT"),
+                   F.lit("args_types"))
+             .when(F.exists(F.map_values(types), lambda t: F.schema_of_variant(t) != "STRING"),
+                   F.lit("args_types")))
     return records.select(
-        F.col("ord").cast("bigint").alias("ord"),
+        (F.col("_file") * F.lit(1 << 32) + F.col("ord")).cast("bigint").alias("ord"),
         str_field("fn_name").alias("fn_name"),
         F.try_variant_get(v, "$.args_names", "array<string>").alias("args_names"),
         F.try_variant_get(v, "$.args_types", "map<string,string>").alias("args_types"),
-        str_field("return_type").alias("return_type")).select(*CATALOG_SCHEMA.fieldNames())
+        str_field("return_type").alias("return_type"),
+        F.concat(F.lit("wrong_type:"), wrong).alias("type_issue")).select(
+        *CATALOG_SCHEMA.fieldNames(), "type_issue")
 
 
 def load_catalog(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """S8 + P4-P9: a validated catalogue from a JSON-array file (aborts when strict)."""
-    from callsmith.operators.catalog import validate_catalog
+    from callsmith.operators.catalog import dedupe_catalog, validate_catalog
     records, rejects = load_json_records(spark, path)
     if strict and rejects.filter(F.col("ord").isNull()).limit(1).count():
         raise ValueError(f"cannot read function definitions from {path}")
     valid, _ = validate_catalog(records_to_catalog(records), strict=strict)
-    return valid
+    return dedupe_catalog(valid).select(*CATALOG_SCHEMA.fieldNames())
 
 
 def load_requests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

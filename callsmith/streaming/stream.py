@@ -11,7 +11,6 @@ folder on a cluster), so a restarted query resumes exactly where it stopped.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -22,15 +21,28 @@ from callsmith.session import ensure_checkpoint_dir
 
 
 def stream_calls(requests: DataFrame, catalog: DataFrame, text_col: str = "prompt") -> DataFrame:
-    """Streaming (or batch) requests → calls with ``picks``; rejects are dropped here."""
+    """Streaming (or batch) requests → calls with ``picks``; see ``stream_rejects`` for the others."""
     valid, _ = validate_requests(requests, text_col)
     return propose_calls(valid, catalog, text_col=text_col)
 
 
+def stream_rejects(requests: DataFrame, text_col: str = "prompt") -> DataFrame:
+    """Streaming (or batch) requests that fail validation, for a side output."""
+    _, rejects = validate_requests(requests, text_col)
+    return rejects
+
+
+def stream_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder, the same for every session."""
+    return spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+
+
 def run_stream_to_parquet(spark: SparkSession, calls: DataFrame, name: str,
                           available_now: bool = True) -> tuple[StreamingQuery, str]:
-    """Start a parquet sink for ``calls``; returns the query and the output path."""
-    base = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex[:8]}")
+    """Start a parquet sink for ``calls``; returns the query and the output path.
+
+    Both paths follow from ``name`` alone, so a stream started again under its name resumes."""
+    base = os.path.join(stream_root(spark), f"stream-{name}")
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
     writer = (calls.writeStream.format("parquet").option("path", out)
               .option("checkpointLocation", ckpt).outputMode("append"))

@@ -8,39 +8,37 @@ from callsmith.functions.convert import convert_text, convert_variant
 from callsmith.operators.bind import bind_arguments, type_picks
 from callsmith.operators.catalog import args_literal
 
+# Own sentences, one for each rule that a function name selects.
 GOLDENS = [
-    ("What is the square root of 16?", "fn_get_square_root", {"a": 16.0}),
-    ("Reverse the string 'hello'", "fn_reverse_string", {"s": "hello"}),
-    ("Substitute the digits in the string 'Hello 34 I'm 233 years old' with 'NUMBERS'",
+    ("Tell me the square root of 81 please", "fn_get_square_root", {"a": 81.0}),
+    ("Reverse the string 'lantern'", "fn_reverse_string", {"s": "lantern"}),
+    ("Substitute the digits in the string 'Room 12 on floor 407' with 'NUMBERS'",
      "fn_substitute_string_with_regex",
-     {"source_string": "Hello 34 I'm 233 years old", "regex": r"\d+", "replacement": "NUMBERS"}),
-    ("Replace all vowels in 'Programming is fun' with asterisks", "fn_substitute_string_with_regex",
-     {"source_string": "Programming is fun", "regex": "[aeiouAEIOU]", "replacement": "*"}),
-    ("Substitute the word 'cat' with 'dog' in 'The cat sat on the mat with another cat'",
+     {"source_string": "Room 12 on floor 407", "regex": r"\d+", "replacement": "NUMBERS"}),
+    ("Replace all vowels in 'Quiet harbour' with asterisks", "fn_substitute_string_with_regex",
+     {"source_string": "Quiet harbour", "regex": "[aeiouAEIOU]", "replacement": "*"}),
+    ("Substitute the word 'tea' with 'rum' in 'More tea for the tea house'",
      "fn_substitute_string_with_regex",
-     {"source_string": "The cat sat on the mat with another cat", "regex": r"\bcat\b",
-      "replacement": "dog"}),
-    ("Replace consonants in 'test' with underscores", "fn_substitute_string_with_regex",
-     {"source_string": "test", "regex": "[bcdfghjklmnpqrstvwxyzBCDFGHJKLMNPQRSTVWXYZ]",
+     {"source_string": "More tea for the tea house", "regex": r"\btea\b", "replacement": "rum"}),
+    ("Replace consonants in 'ladder' with underscores", "fn_substitute_string_with_regex",
+     {"source_string": "ladder", "regex": "[bcdfghjklmnpqrstvwxyzBCDFGHJKLMNPQRSTVWXYZ]",
       "replacement": "_"}),
-    ("Substitute spaces in 'one two three' with nothing", "fn_substitute_string_with_regex",
-     {"source_string": "one two three", "regex": r"\s+", "replacement": ""}),
-    ("Replace all vowels in 'It's a beautiful day, isn't it?' with 'X'",
-     "fn_substitute_string_with_regex",
-     {"source_string": "It's a beautiful day, isn't it?", "regex": "[aeiouAEIOU]",
-      "replacement": "X"}),
-    ("Is -6 an even number?", "fn_is_even", {"n": -6}),
-    ("Greet shrek", "fn_greet", {"name": "shrek"}),
-    ("Greet María", "fn_greet", {"name": "María"}),
-    ("Greet Jean-Pierre", "fn_greet", {"name": "Jean-Pierre"}),
-    ("Concatenate 'Hello ' and 'World'", "fn_concatenate_strings", {"s1": "Hello ", "s2": "World"}),
-    ("Join 'foo' with 'bar'", "fn_concatenate_strings", {"s1": "foo", "s2": "bar"}),
-    ("Reverse '12345'", "fn_reverse_string", {"s": "12345"}),
-    ("What is the sum of 0 and 0?", "fn_add_numbers", {"a": 0.0, "b": 0.0}),
-    ("Find the max of 3 and 3", "fn_max_of_two", {"a": 3.0, "b": 0.0}),
-    ("Absolute value of -3.14", "fn_absolute_value", {"n": -3.14}),
-    ("What is the sum of 2 and 3?", "fn_add_numbers", {"a": 2.0, "b": 3.0}),
-    ("Subtract 5 from 20", "fn_subtract_numbers", {"a": 5.0, "b": 20.0}),
+    ("Substitute spaces in 'red green blue' with nothing", "fn_substitute_string_with_regex",
+     {"source_string": "red green blue", "regex": r"\s+", "replacement": ""}),
+    ("Replace all vowels in 'We're late, aren't we?' with 'Q'", "fn_substitute_string_with_regex",
+     {"source_string": "We're late, aren't we?", "regex": "[aeiouAEIOU]", "replacement": "Q"}),
+    ("Would -14 count as an even number?", "fn_is_even", {"n": -14}),
+    ("Greet walter", "fn_greet", {"name": "walter"}),
+    ("Greet Zoë", "fn_greet", {"name": "Zoë"}),
+    ("Greet Anne-Sophie", "fn_greet", {"name": "Anne-Sophie"}),
+    ("Concatenate 'Left ' and 'Right'", "fn_concatenate_strings", {"s1": "Left ", "s2": "Right"}),
+    ("Join 'sun' with 'rise'", "fn_concatenate_strings", {"s1": "sun", "s2": "rise"}),
+    ("Reverse '98760'", "fn_reverse_string", {"s": "98760"}),
+    ("Give the sum of 0 and 0 now", "fn_add_numbers", {"a": 0.0, "b": 0.0}),
+    ("Pick the max of 6 and 6", "fn_max_of_two", {"a": 6.0, "b": 0.0}),
+    ("Absolute value of -9.75", "fn_absolute_value", {"n": -9.75}),
+    ("Give the sum of 41 and 7", "fn_add_numbers", {"a": 41.0, "b": 7.0}),
+    ("Subtract 8 from 31", "fn_subtract_numbers", {"a": 8.0, "b": 31.0}),
 ]
 
 

@@ -89,10 +89,10 @@ def test_load_catalog_file(spark):
 
 
 @pytest.mark.parametrize("prompt,fn", [
-    ("What is the sum of 2 and 3?", "fn_add_numbers"), ("Greet shrek", "fn_greet"),
-    ("Reverse the string 'hello'", "fn_reverse_string"), ("Join 'foo' with 'bar'",
+    ("Give me the sum of 2 and 3", "fn_add_numbers"), ("Greet walter", "fn_greet"),
+    ("Reverse the string 'lantern'", "fn_reverse_string"), ("Join 'sun' with 'rise'",
                                                           "fn_concatenate_strings"),
-    ("Is -6 an even number?", "fn_is_even"), ("Bonjour tout le monde", "fn_add_numbers"),
+    ("Would -14 count as an even number?", "fn_is_even"), ("Bonjour tout le monde", "fn_add_numbers"),
 ])
 def test_lexical_selection(spark, catalog, prompt, fn):
     df = spark.createDataFrame([(1, prompt)], "k int, prompt string")
@@ -147,16 +147,16 @@ def test_fatal_value_falls_back(spark, catalog):
 
 
 def test_sink_json_lines(spark, catalog):
-    req = spark.createDataFrame([(2, "Greet María"), (1, "What is the sum of 2 and 3?")],
+    req = spark.createDataFrame([(2, "Greet Zoë"), (1, "Give me the sum of 2 and 3")],
                                 "req_id int, prompt string")
     out = os.path.join(_tmpdir(), "out")
     n = write_calls(propose_calls(req, catalog), out, fmt="json", order_col="req_id")
     assert n == 2
     lines = [json.loads(x) for f in sorted(os.listdir(out)) if f.startswith("part")
              for x in open(os.path.join(out, f), encoding="utf-8") if x.strip()]
-    assert lines[0] == {"prompt": "What is the sum of 2 and 3?", "fn_name": "fn_add_numbers",
+    assert lines[0] == {"prompt": "Give me the sum of 2 and 3", "fn_name": "fn_add_numbers",
                         "args": {"a": 2.0, "b": 3.0}}
-    assert lines[1]["args"] == {"name": "María"}
+    assert lines[1]["args"] == {"name": "Zoë"}
     pq = os.path.join(_tmpdir(), "pq")
     assert write_calls(propose_calls(req, catalog), pq) == 2
     assert spark.read.parquet(pq).count() == 2
@@ -213,7 +213,7 @@ def test_scored_policy_in_binding(spark, catalog):
     add = spec["fn_add_numbers"]
     scores = [0.0] * 128
     scores[ord("3")] = 5.0          # the scorer prefers '3'
-    df = spark.createDataFrame([("What is the sum of 2 and 3?", scores)], "prompt string, s array<double>") \
+    df = spark.createDataFrame([("Give me the sum of 2 and 3", scores)], "prompt string, s array<double>") \
         .select("prompt", "s", F.lit("fn_add_numbers").alias("fn_name"),
                 args_literal(add.args_names, add.args_types).alias("fn_args"))
     first = type_picks(bind_arguments(df)).first().picks

@@ -37,8 +37,8 @@ def test_query_matches_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SMALL)
     srows = [tuple(r) for r in df.collect()]
     sql = entry_mod.oracle_sql().get(name)
-    if sql is None:
-        assert len(srows) >= 0
+    if sql is None:  # compared by brute force elsewhere
+        assert srows
         return
     res = duck.execute(sql)
     dcols = [d[0] for d in res.description]
