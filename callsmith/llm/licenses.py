@@ -64,7 +64,7 @@ class Scanner:
         for piece, places in at.items():
             self.automaton.add_word(piece, (len(piece), places))
         self.automaton.make_automaton()
-        self.fuzzy = [regex.compile(rf"(?b)(?:{regex.escape(n)}){{e<={e}}}") for n, _, e in notices]
+        self.fuzzy = [regex.compile(rf"(?e)(?:{regex.escape(n)}){{e<={e}}}") for n, _, e in notices]
 
     def fuzzy_spans(self, text: str) -> list[tuple[int, int, int, int]]:
         """(start, end, notice, edits) of the notices, by start."""
