@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from callsmith.llm.common import reliable
+from callsmith.llm.common import reliable, sampled
 
 BLOCK = 16_384
 QUERIES = 2048
@@ -162,12 +162,13 @@ def calibrate(router: Router, x: np.ndarray, recall: float, k: int = 5) -> float
 
 def fit(rows: DataFrame, sample: int = 6144, per_partition: int = 4096, most: int = 64,
         recall: float = 0.95) -> Router | None:
-    """A router from about ``sample`` rows drawn by a hash of their ids; ``rows`` as of ``usable``."""
+    """A router from about ``sample`` rows drawn by a hash of their vectors (equal ones count
+    once); ``rows`` as of ``usable``."""
     total = rows.count()
     if not total:
         return None
     share = min(1.0, sample / total)
-    drawn = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) <= int(share * 1_000_000)).select("v")
+    drawn = rows.filter(sampled(F.col("v"), share)).select("v").distinct()
     x = np.unique(np.array([r["v"] for r in drawn.collect()], float), axis=0)
     x = np.random.default_rng(3).permutation(x)
     held, x = x[:len(x) // 4], x[len(x) // 4:]

@@ -24,6 +24,18 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sampled(key: Column, share: Column | float) -> Column:
+    """Whether ``key``'s hash falls into the first ``share`` (0 to 1) of the hash range, which is
+    fine enough for a small sample of any table."""
+    whole = 1 << 53
+    return F.pmod(F.xxhash64(key), F.lit(whole)) < (F.lit(share) if isinstance(share, float) else share) * whole
+
+
+def text_hash(text: Column) -> Column:
+    """A hash of a text (null: empty) that tells rows with one doc_id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table in the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
-from callsmith.llm.common import ascii_lower, reliable
+from callsmith.llm.common import ascii_lower, reliable, text_hash
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHINGLE = 3
@@ -77,7 +77,8 @@ def _elements(windows: DataFrame, sizes: list[int]) -> DataFrame:
 def _exploded(docs: DataFrame, sizes: list[int]) -> DataFrame:
     """One row per document word (one for a document without words) and shingle size."""
     base = docs.select(F.monotonically_increasing_id().alias("row"),
-                       F.col("doc_id").alias("doc_id"), words_of(F.col("text")).alias("ws"))
+                       F.col("doc_id").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"),
+                       words_of(F.col("text")).alias("ws"))
     base = base.select("*", F.size("ws").alias("n"))
     out = base.select("*", F.posexplode_outer("ws").alias("q", "w"))
     if len(sizes) == 1:
@@ -108,7 +109,7 @@ def prefix_index(docs: DataFrame, windows: DataFrame, sizes: list[int]) -> DataF
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Per row of ``docs``: row, doc_id, n_words, n_hit, n_items, items (sorted strings)."""
+    """Per row of ``docs``: row, doc_id, text_hash, n_words, n_hit, n_items, items (sorted strings)."""
     windows = reliable(benchmark_windows(benchmark, window))
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect()) or [SHINGLE]
     index = reliable(prefix_index(docs, windows, sizes).withColumn(
@@ -126,9 +127,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
         hits = d.join(i, verified, "left")
         carrier = F.coalesce(F.col("q"), F.lit(0)) == 0 if b == 0 else F.lit(False)
         parts.append(hits.filter(F.col("win_n").isNotNull() | carrier).select(
-            "row", "doc_id", "n", F.when(F.col("win_n").isNotNull(), F.struct(
+            "row", "doc_id", "text_hash", "n", F.when(F.col("win_n").isNotNull(), F.struct(
                 start.alias("a"), (start + F.col("win_n")).alias("z"))).alias("span"), "items"))
-    rows = reduce(DataFrame.union, parts).groupBy("row", "doc_id", "n").agg(
+    rows = reduce(DataFrame.union, parts).groupBy("row", "doc_id", "text_hash", "n").agg(
         F.collect_set("span").alias("spans"), F.collect_set("items").alias("lists"))
     covered = F.aggregate(
         F.sort_array("spans"), F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("n")),
@@ -136,7 +137,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
             F.greatest(acc["end"], s["z"]).alias("end"),
             (acc["n"] + F.greatest(s["z"] - F.greatest(s["a"], acc["end"]), F.lit(0))).alias("n")),
         lambda acc: acc["n"])
-    return rows.select("row", "doc_id", F.col("n").cast("bigint").alias("n_words"),
+    return rows.select("row", "doc_id", "text_hash", F.col("n").cast("bigint").alias("n_words"),
                        covered.alias("n_hit"),
                        F.array_sort(F.array_distinct(F.flatten("lists"))).alias("items")).select(
         "*", F.size("items").cast("bigint").alias("n_items"))
@@ -145,8 +146,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window.
 
-    Rows that share a doc_id are dropped together; a row without one is kept
-    (nothing names it)."""
+    Rows are matched by doc_id and text, so a clean row that repeats the id of a
+    contaminated one stays, and a contaminated row without an id goes."""
     bad = contamination(docs, benchmark, window).filter("n_hit > 0").select(
-        F.col("doc_id").alias("_benchmark_hit")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("_benchmark_hit"), "left_anti")
+        F.col("doc_id").alias("_benchmark_id"), F.col("text_hash").alias("_benchmark_hash")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_benchmark_id"))
+                     & (text_hash(docs["text"]) == F.col("_benchmark_hash")), "left_anti")

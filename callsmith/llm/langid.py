@@ -24,6 +24,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from callsmith.llm.common import sampled
+
 BINS = 8192
 _STEP = 1 << 20
 
@@ -93,9 +95,8 @@ def held_out(doc_id) -> "F.Column":
 
 def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
     """Fit on (doc_id, text, lang) rows with a non-null lang; about ``sample`` documents a
-    language, drawn by a hash of their ids, are clustered; idf counts all rows."""
-    rows = docs.select(F.col("doc_id").cast("string").alias("id"),
-                       F.col("text").cast("string").alias("text"),
+    language, drawn by a hash of their texts (copies count once), are clustered; idf counts all rows."""
+    rows = docs.select(F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).filter("lang is not null")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,9 +129,9 @@ def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
                              "centre": [c.tolist() for c in centres]})
 
     share = rows.groupBy("lang").count().select(
-        F.col("lang").alias("of"), (F.lit(float(sample)) / F.col("count") * 1_000_000).alias("cut"))
+        F.col("lang").alias("of"), (F.lit(float(sample)) / F.col("count")).alias("share"))
     drawn = rows.join(F.broadcast(share), rows.lang == F.col("of")).filter(
-        F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("cut")).select("lang", "text")
+        sampled(F.col("text"), F.col("share"))).select("lang", "text").distinct()
     fitted = drawn.groupBy("lang").applyInPandas(
         fit, "lang string, floor double, centre array<double>").orderBy("lang").collect()
     return Model([r["lang"] for r in fitted],

@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from callsmith.llm.common import reliable, shuffle_partitions
+from callsmith.llm.common import reliable, shuffle_partitions, text_hash
 from callsmith.llm.components import connected_components
 
 HOT = 4096
@@ -68,14 +68,15 @@ def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``."""
+    """(doc_id, fp, text_hash): one row per row of ``docs``."""
 
     @F.pandas_udf("bigint")
     def of_texts(texts: pd.Series) -> pd.Series:
         return pd.Series([simhash(t, shingle) for t in texts], dtype="int64")
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       of_texts(F.col("text").cast("string")).alias("fp"))
+                       of_texts(F.col("text").cast("string")).alias("fp"),
+                       text_hash(F.col("text")).alias("text_hash"))
 
 
 def _forest(fps: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
@@ -158,27 +159,38 @@ def _key(mask):
         F.col("value").bitwiseAND(F.bitwise_not(mask))).alias("key")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the least doc_id reachable over
-    links of at most ``distance`` bits, the document itself included."""
+def _grouped(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
+    """(doc_id, fp, text_hash, root, component_id): ``root`` is the component's least fingerprint."""
     prints = reliable(fingerprints(docs, shingle))
     fps = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     found = connected_components(links(fps.select("fp"), distance))
     rooted = fps.join(found, fps.fp == found.node, "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = rooted.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.select("fp", "root").join(ids, "root")
+    return prints.join(classes, "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the least doc_id reachable over
+    links of at most ``distance`` bits, the document itself included."""
+    return _grouped(docs, shingle, distance).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """One document of each near-duplicate group: the one with the least doc_id.
-
-    Rows without a doc_id cannot be told apart and are kept."""
-    kept = (near_duplicates(docs, shingle, distance)
-            .filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_simhash_kept")).count())
-    kept = reliable(kept)
-    out = docs.join(kept.select("_simhash_kept"), docs["doc_id"] == F.col("_simhash_kept"), "left_semi")
-    if not kept.filter("count > 1").isEmpty():  # rows that repeat an id
-        out = out.dropDuplicates(["doc_id"])
-    return out.unionByName(docs.filter("doc_id is null"))
+    """One document of each near-duplicate group: the one with the least doc_id, or a
+    row without one where no member has one.
+
+    Rows are told apart by doc_id and text, so rows of different groups that share an
+    id each stay for their group; of rows equal in both one stays."""
+    rows = _grouped(docs, shingle, distance).groupBy("root", "doc_id", "text_hash").count()
+    kept = reliable(rows.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "count")).alias("k")).select(
+        F.col("k.doc_id").alias("_simhash_id"), F.col("k.text_hash").alias("_simhash_hash"),
+        F.col("k.count").alias("_simhash_count")))
+    out = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_simhash_id"))
+                    & (text_hash(docs["text"]) == F.col("_simhash_hash")), "left_semi")
+    if not kept.filter("_simhash_count > 1").isEmpty():  # rows that repeat id and text
+        key = out.withColumn("_simhash_text", text_hash(out["text"]))
+        out = key.dropDuplicates(["doc_id", "_simhash_text"]).drop("_simhash_text")
+    return out

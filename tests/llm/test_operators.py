@@ -11,6 +11,7 @@ from pyspark.sql import functions as F, types as T
 
 from callsmith.llm import ann, chat, decontaminate, html_blocks, langid, licenses, packing, pii
 from callsmith.llm import simhash, token_files
+from callsmith.llm.common import sampled
 from callsmith.llm.queries import tokenizer_file
 from callsmith.llm.tokenizing import TextEncoder
 from conftest import SMALL
@@ -112,6 +113,26 @@ def test_simhash_against_brute_force(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_filters_tell_rows_of_one_id_apart(spark):
+    one, two = "a b c d e f g h i j k l", "quite other words stand in this one text here"
+    rows = [(7, one), (7, two), (7, two), (None, one), (None, "only rows without an id hold this"),
+            (None, "only rows without an id hold this"), (8, one)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("root", F.lit("x"))
+    kept = sorted((str(r.doc_id), r.text) for r in simhash.keep_one(frame).collect())
+    assert kept == sorted([("7", one), ("7", two), ("None", rows[4][1])])
+    bench = spark.createDataFrame([(1, one)], "item_id bigint, text string")
+    clean = [(r.doc_id, r.text) for r in decontaminate.clean_documents(frame, bench).collect()]
+    assert sorted(map(str, clean)) == sorted(str(r) for r in rows if r[1] != one)
+
+
+def test_samples_stay_small_on_any_table(spark):
+    rows = spark.range(200_000).withColumn("k", F.col("id").cast("string"))
+    for share in (1.0, 0.5, 1e-3):
+        n = rows.filter(sampled(F.col("k"), share)).count()
+        assert abs(n - 200_000 * share) <= 5 * (200_000 * share) ** 0.5 * (share < 1)
+    assert rows.filter(sampled(F.col("k"), 1e-12)).count() == 0
+
+
 def test_hot_segments_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "HOT", 8)
     rng = random.Random(3)
@@ -208,6 +229,8 @@ def test_licenses(docs, empty):
     typo = scan("under the GNU Genral Publik License; Mozila public license")
     assert typo["labels"] == "gpl,mpl" and typo["n_base"] == 0 and 0.9 < typo["score"] < 1
     assert [(s["first"], s["last"]) for s in typo["spans"]] == [(2, 5), (6, 8)]
+    both = scan("gnu genral public licens and the gnu general public license")
+    assert [(s["first"], s["edits"]) for s in both["spans"] if not s["base"]] == [(0, 2), (6, 0)]
     assert scan("nothing of the kind")["labels"] == "" and scan(None)["score"] == 0
 
 
