@@ -117,3 +117,7 @@ KEYWORD_ALIASES = {
     "fn_min_of_two": ("min", "minimum", "smaller"),
     "fn_modulo": ("modulo", "remainder", "mod"),
 }
+
+# The texts shown to a model scorer, for a function and for an argument.
+SELECTION_CONTEXT = "Available functions: {functions}. User request: {prompt}. Select best function: "
+ARGUMENT_CONTEXT = "Select %s from: %s. Context: %s. Answer: "

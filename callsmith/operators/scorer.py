@@ -3,9 +3,10 @@
 A model is two callables: ``load()`` runs once per Python worker (the result
 is cached in the worker), ``score(model, texts, vocab)`` maps a pandas Series
 of texts to one float vector per text, indexed by token id of ``vocab``.
-Batches arrive through ``mapInPandas`` (Arrow), so the model sees whole
-batches, never single rows, and Spark partitions the work.  The scores
-column feeds ``constrained_walk`` (prefix mode) or ``masked_argmax``.
+Batches arrive through Arrow, so the model sees whole batches, never single
+rows, and Spark partitions the work.  The scores column feeds
+``constrained_walk`` (prefix mode) or ``masked_argmax``; given to
+``propose_calls`` or ``run_job`` a scorer walks the catalogue itself.
 
 ``substring_count_model`` is the deterministic test double: the score of a
 vocabulary token is how often it occurs in the lower-cased text.
@@ -24,10 +25,12 @@ _WORKER_MODELS: dict[str, object] = {}
 class ModelScorer:
     name = "model"
 
-    def __init__(self, load: Callable[[], object], score: Callable, name: str = "model"):
+    def __init__(self, load: Callable[[], object], score: Callable, name: str = "model",
+                 per_step: bool = False):
         self.load = load
         self.score = score
         self.name = name
+        self.per_step = per_step
 
     def scores(self, requests: DataFrame, text_col: str, vocab: list[str],
                out_col: str = "scores") -> DataFrame:
@@ -46,24 +49,33 @@ class ModelScorer:
 
         return requests.mapInPandas(run, schema)
 
+    def vectors(self, texts, generated, vocab: list[str]) -> list:
+        """In a worker: one score vector a text.  With ``per_step`` the model also sees
+        the token ids generated so far (the logits-from-input-ids hook)."""
+        model = _WORKER_MODELS.get(self.name)
+        if model is None:
+            model = _WORKER_MODELS[self.name] = self.load()
+        if self.per_step:
+            return list(self.score(model, texts, generated, vocab))
+        return list(self.score(model, texts, vocab))
 
-    def step_scores(self, walkers: DataFrame, text_col: str, generated_col: str, vocab: list[str],
-                    out_col: str = "scores") -> DataFrame:
-        """Per-step form: ``score(model, texts, generated, vocab)`` also sees the
-        token ids generated so far (the reference's logits-from-input-ids hook)."""
-        load, score, key = self.load, self.score, self.name
-        schema = T.StructType(walkers.schema.fields + [
-            T.StructField(out_col, T.ArrayType(T.FloatType()), True)])
+    def walk(self, requests: DataFrame, catalog: DataFrame, text_col: str) -> DataFrame:
+        """K1 prefix mode: the model scores the selection context at every branch."""
+        from callsmith.operators.walk import walk_model
+        return walk_model(requests, catalog, self, text_col, context=True)
 
-        def run(batches):
-            model = _WORKER_MODELS.get(key)
-            if model is None:
-                model = _WORKER_MODELS[key] = load()
-            for pdf in batches:
-                pdf[out_col] = score(model, pdf[text_col], pdf[generated_col], vocab)
-                yield pdf
 
-        return walkers.mapInPandas(run, schema)
+class TableScorer:
+    """Scores from a column of the requests: one vector each, indexed by token id."""
+
+    name = "table"
+
+    def __init__(self, scores_col: str):
+        self.scores_col = scores_col
+
+    def walk(self, requests: DataFrame, catalog: DataFrame, text_col: str) -> DataFrame:
+        from callsmith.operators.walk import constrained_walk
+        return constrained_walk(requests, catalog, self.scores_col)
 
 
 def _count_scores(_model, texts, vocab):
@@ -95,4 +107,4 @@ def _prefix_aware_scores(_model, texts, generated, vocab):
 
 def prefix_aware_model() -> ModelScorer:
     """Test double whose scores change with the generated prefix."""
-    return ModelScorer(lambda: None, _prefix_aware_scores, name="prefix_aware")
+    return ModelScorer(lambda: None, _prefix_aware_scores, name="prefix_aware", per_step=True)

@@ -88,9 +88,21 @@ def select_function(requests: DataFrame, catalog: DataFrame, scorer: LexicalScor
     """Add ``fn_ord, fn_name, fn_args, fn_score, fn_fallback`` to every request.
 
     ``key_cols`` (a unique key of the requests) saves the keyword-join form
-    from numbering and checkpointing the requests.
+    from numbering and checkpointing the requests.  A scorer with a ``walk`` method
+    (``TableScorer``, ``ModelScorer``) selects by a constrained walk; ``fn_score`` is then the
+    number of tokens walked and ``fn_failed`` says that the scorer raised for the request.
     """
     scorer = scorer or LexicalScorer()
+    if hasattr(scorer, "walk"):
+        specs = dedupe_catalog(catalog).select(F.col("ord").alias("_ord"),
+                                               arg_specs_column().alias("fn_args"))
+        # The walk has checked the catalogue's size.
+        walked = scorer.walk(requests, catalog, text_col).join(
+            F.broadcast(specs), F.col("fn_ord") == F.col("_ord"))
+        return walked.select(*requests.columns, "fn_ord", "fn_name", "fn_args",
+                             F.col("walk_steps").alias("fn_score"),
+                             (~F.col("walk_unique")).alias("fn_fallback"),
+                             F.col("walk_failed").alias("fn_failed"))
     entries = collect_entries(catalog) if method in ("auto", "inrow") else None
     if method == "inrow" and entries is None:
         raise ValueError("catalogue too large for the in-row form")
@@ -254,4 +266,4 @@ def scoring_context(text: Column, arg_name: Column, cands: Column) -> Column:
     """The context string shown to a scorer; only the first 5 candidates."""
     shown = F.array_join(F.transform(F.slice(cands, 1, 5),
                                      lambda c: F.concat(F.lit('"'), c, F.lit('"'))), ", ")
-    return F.format_string("Select %s from: %s. Context: %s. Answer: ", arg_name, shown, text)
+    return F.format_string(fixed.ARGUMENT_CONTEXT, arg_name, shown, text)

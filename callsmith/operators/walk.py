@@ -6,26 +6,41 @@ Those sequences form a trie.  A request walks it greedily: at each node the
 permitted next tokens are the node's edges; the one with the highest score
 wins (lowest id on ties; ids beyond the score vector are not permitted); the
 walk stops with a result as soon as one sequence is left, and without one
-when nothing permitted is left or the step bound is reached (then the first
-function is the fallback).
+when nothing permitted is left (then the first function is the fallback).
 
-The trie is built from the size-checked catalogue on the driver and shipped
-as a constant; every request walks it in-row (a bounded ``aggregate`` over
-steps), so the requests are never shuffled.  The scores are a column of the
-requests (a table scorer); a model scorer would produce the same column.
+The sequences, whose size is checked, are shipped sorted to every task.  A
+stretch of prefixes is then a range of rows, so the trie needs no nodes: a
+walk jumps from branch to branch, and only branches that are reached are
+ever looked at.  Each batch of requests walks to its end in one pass,
+whatever the source of the scores (a vector a request, a score table, a
+model asked at every branch); no shuffle, driver loop or checkpoint.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from callsmith.operators.catalog import MAX_BROADCAST_CATALOG, collect_entries
+from callsmith import fixed
+from callsmith.operators.catalog import CatalogError, dedupe_catalog
 
 SEQ_TOKEN_PATTERN = r"[A-Za-z0-9]+|[^A-Za-z0-9\s]"
-MAX_TRIE_NODES = 200_000
-EXTRA_STEPS = 20
+# Largest catalogue (characters of its compact JSON) whose sequences are shipped to every task.
+MAX_WALK_CHARS = 1 << 28
+
+WALK_FIELDS = [T.StructField("fn_ord", T.LongType()), T.StructField("fn_name", T.StringType()),
+               T.StructField("walk_steps", T.IntegerType()), T.StructField("walk_unique", T.BooleanType()),
+               T.StructField("walk_failed", T.BooleanType())]
+_ARROW_TYPES = [pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_()]
 
 
 def definition_json() -> Column:
@@ -49,74 +64,137 @@ def catalog_sequences(catalog: DataFrame) -> DataFrame:
     return toks.join(ids, "ord").select("ord", "fn_name", "tokens", F.col("placed.id").alias("ids"))
 
 
-def build_trie(seqs: list[tuple[int, list[int]]]) -> tuple[list[list[tuple[int, int, int]]], int]:
-    """Driver-side trie of a small sequence set.
+Branch = tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]
 
-    Returns ``nodes`` where ``nodes[i]`` lists ``(token, child, unique_ord)``
-    (``unique_ord`` = the only sequence with that prefix, or -1), and the
-    longest sequence length.
-    """
-    children: list[dict[int, int]] = [{}]
-    members: list[list[int]] = [[]]
-    for ord_, ids in seqs:
-        node = 0
-        for tok in ids:
-            nxt = children[node].get(tok)
-            if nxt is None:
-                nxt = len(children)
-                children[node][tok] = nxt
-                children.append({})
-                members.append([])
-            members[nxt].append(ord_)
-            node = nxt
-            if len(children) > MAX_TRIE_NODES:
-                raise ValueError("catalogue trie too large to ship to every task")
-    nodes = [[(tok, child, members[child][0] if len(members[child]) == 1 else -1)
-              for tok, child in sorted(ch.items())] for ch in children]
-    return nodes, max((len(ids) for _, ids in seqs), default=0)
-
-
-TRIE_TYPE = "array<array<struct<tok:int,child:int,uniq:bigint>>>"
+
+@dataclass
+class Paths:
+    """The sorted token sequences of a catalogue, as arrays."""
+    flat: np.ndarray       # all tokens, sequence by sequence
+    begin: np.ndarray      # where each sequence starts in ``flat``; one more entry at the end
+    ords: list[int]
+    names: list[str]
+    first: int             # place of the fallback definition (lowest ord)
+    vocab: list[str]
+    _seen: dict = field(default_factory=dict, repr=False, compare=False)
+
+    @classmethod
+    def of(cls, rows: list[tuple[int, str, list[int]]], vocab: list[str] | None = None) -> Paths:
+        """From ``(ord, name, ids)`` rows."""
+        rows = sorted(rows, key=lambda r: (r[2], r[0]))
+        begin = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum([len(r[2]) for r in rows], out=begin[1:])
+        flat = np.fromiter((t for r in rows for t in r[2]), np.int32, int(begin[-1]))
+        ords = [r[0] for r in rows]
+        return cls(flat, begin, ords, [r[1] for r in rows], ords.index(min(ords)), vocab or [])
+
+    def branch(self, lo: int, hi: int, depth: int) -> Branch:
+        """Of the sequences lo..hi-1, which share ``depth`` tokens: the further tokens that all
+        share, the tokens that may follow these (ascending), and the range of each."""
+        found = self._seen.get((lo, hi, depth))
+        if found is None:
+            a = self.flat[self.begin[lo] + depth:self.begin[lo + 1]]
+            z = self.flat[self.begin[hi - 1] + depth:self.begin[hi]]
+            n = min(len(a), len(z))
+            differ = np.flatnonzero(a[:n] != z[:n])
+            shared = 0 if hi - lo == 1 else int(differ[0]) if len(differ) else n
+            at = depth + shared
+            tokens, ranges, i = [], [], lo
+            while i < hi and self.begin[i] + at >= self.begin[i + 1]:  # sequences that end here
+                i += 1
+            while i < hi:
+                token = int(self.flat[self.begin[i] + at])
+                after = bisect_right(range(i, hi), token,
+                                     key=lambda j: self.flat[self.begin[j] + at]) + i
+                tokens.append(token)
+                ranges.append((i, after))
+                i = after
+            found = self._seen[lo, hi, depth] = (a[:shared], np.array(tokens, np.int64), ranges)
+        return found
+
+    def walk(self, permitted: Callable[[int, np.ndarray], int],
+             choose: Callable[[int, np.ndarray], int | None]) -> tuple[int, int]:
+        """(place of the sequence found or -1, tokens walked).  ``permitted(step, tokens)`` says
+        how many of the forced tokens from ``step`` on may be walked, ``choose(step, tokens)``
+        which of a branch's tokens is taken."""
+        lo, hi, depth = 0, len(self.ords), 0
+        while True:
+            shared, tokens, ranges = self.branch(lo, hi, depth)
+            if len(shared):
+                walked = permitted(depth, shared)
+                depth += walked
+                if walked < len(shared):
+                    return -1, depth
+            pick = choose(depth, tokens) if len(tokens) else None
+            if pick is None:
+                return -1, depth
+            lo, hi = ranges[pick]
+            depth += 1
+            if hi - lo == 1:
+                return lo, depth
+
+    def result(self, place: int, steps: int, failed: bool = False) -> tuple:
+        at = place if place >= 0 else self.first
+        return self.ords[at], self.names[at], steps, place >= 0, failed
+
+
+def load_paths(catalog: DataFrame) -> Paths:
+    """The sequences of a catalogue (a repeated name once, A1), whose size is checked first."""
+    size = catalog.agg(F.sum(F.length(definition_json())).alias("n")).first()["n"]
+    if not size:
+        raise CatalogError("function catalogue is empty")
+    if size > MAX_WALK_CHARS:
+        raise ValueError(f"catalogue of {size} characters is too large to ship to every task")
+    rows = catalog_sequences(dedupe_catalog(catalog)).collect()
+    vocab = sorted({t for r in rows for t in r["tokens"]})
+    return Paths.of([(r["ord"], r["fn_name"], r["ids"]) for r in rows], vocab)
+
+
+def walk_vector(paths: Paths, scores: np.ndarray) -> tuple[int, int]:
+    """One request's walk under one score vector (lowest id on ties, NaN above all)."""
+    def permitted(_step, tokens):
+        beyond = np.flatnonzero(tokens >= len(scores))
+        return int(beyond[0]) if len(beyond) else len(tokens)
+
+    def choose(_step, tokens):
+        usable = tokens[:np.searchsorted(tokens, len(scores))]
+        return int(np.argmax(scores[usable])) if len(usable) else None
+
+    return paths.walk(permitted, choose)
+
+
+def _with_results(requests: DataFrame, results: Callable[[pa.RecordBatch], list[tuple]]) -> DataFrame:
+    """The requests with the columns of ``WALK_FIELDS`` from ``results`` of each batch."""
+    names = [f.name for f in WALK_FIELDS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = list(zip(*results(b))) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, *(pa.array(c, t) for c, t in zip(cols, _ARROW_TYPES))],
+                [*b.schema.names, *names])
+
+    return requests.mapInArrow(run, T.StructType([*requests.schema.fields, *WALK_FIELDS]))
 
 
 def constrained_walk(requests: DataFrame, catalog: DataFrame, scores_col: str) -> DataFrame:
-    """Add ``fn_ord, fn_name, walk_steps, walk_unique`` to every request."""
-    entries = collect_entries(catalog)
-    if entries is None:
-        raise ValueError("catalogue too large for the in-row walk")
-    spark = requests.sparkSession
-    seq_rows = catalog_sequences(catalog).select("ord", "ids").collect()
-    nodes, max_len = build_trie([(r["ord"], r["ids"]) for r in seq_rows])
-    # One row holding the trie and the names, shipped once by broadcast.
-    const = spark.createDataFrame(
-        [(nodes, {e["ord"]: e["fn_name"] for e in entries})],
-        f"_trie {TRIE_TYPE}, _names map<bigint,string>")
-    steps = F.sequence(F.lit(1), F.lit(max_len + EXTRA_STEPS))
-    init = F.struct(F.col(scores_col).alias("s"), F.lit(0).alias("node"), F.lit(False).alias("done"),
-                    F.lit(-1).cast("bigint").alias("result"), F.lit(0).alias("steps"))
-
-    def step(acc, _i):
-        edges = F.element_at(F.col("_trie"), acc["node"] + 1)
-        usable = F.filter(edges, lambda e: e["tok"] < F.size(acc["s"]))
-        best = F.array_max(F.transform(usable, lambda e: F.struct(
-            F.get(acc["s"], e["tok"]).cast("double").alias("score"), (-e["tok"]).alias("neg"),
-            e["child"].alias("child"), e["uniq"].alias("uniq"))))
-        moved = F.struct(
-            acc["s"].alias("s"), best["child"].alias("node"), (best["uniq"] >= 0).alias("done"),
-            best["uniq"].alias("result"), (acc["steps"] + 1).alias("steps"))
-        stopped = F.struct(acc["s"].alias("s"), acc["node"].alias("node"), F.lit(True).alias("done"),
-                           acc["result"].alias("result"), acc["steps"].alias("steps"))
-        # Finished walks skip the remaining steps (CASE is evaluated lazily).
-        return F.when(acc["done"], acc).when(best.isNull(), stopped).otherwise(moved)
-
-    # The walk is materialised once, then its fields are read.
-    walked = (requests.crossJoin(F.broadcast(const))
-              .withColumn("_w", F.aggregate(steps, init, step)))
-    found = F.col("_w.result") >= 0
-    fn_ord = F.when(found, F.col("_w.result")).otherwise(F.lit(entries[0]["ord"]))
-    return walked.select(*requests.columns, fn_ord.alias("fn_ord"),
-                         F.element_at(F.col("_names"), fn_ord).alias("fn_name"),
-                         F.col("_w.steps").alias("walk_steps"), found.alias("walk_unique"))
+    """Add ``fn_ord, fn_name, walk_steps, walk_unique, walk_failed`` to every request.
+
+    ``scores_col`` is a score vector a request; a null score ranks below all
+    others, a null vector permits nothing.
+    """
+    paths = load_paths(catalog)
+    place = requests.columns.index(scores_col)
+
+    def results(b: pa.RecordBatch) -> list[tuple]:
+        vectors = b.column(place)
+        flat = pc.fill_null(vectors.values.cast(pa.float64()), float("-inf")).to_numpy(
+            zero_copy_only=False)
+        at, known = vectors.offsets.to_numpy(), vectors.is_valid().to_numpy(zero_copy_only=False)
+        return [paths.result(*walk_vector(paths, flat[at[i]:at[i + 1] if known[i] else at[i]]))
+                for i in range(b.num_rows)]
+
+    return _with_results(requests, results)
 
 
 def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataFrame,
@@ -125,117 +203,121 @@ def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataF
 
     ``scores(key, step, token_id, score)`` holds the scores each walker sees
     at each step (0-based); a token without a score row at that step is not
-    permitted, like an id beyond the score vector.  Each step is a join of the
-    still-walking rows with the (broadcast, size-checked) trie edges and that
-    step's score rows, then a per-walker argmax (best score, lowest id), so no
-    walker's data is ever collected.  Finished walkers leave the loop.  Each
-    step's state (key plus four small columns per walker) is cut with a
-    reliable ``checkpoint()`` into ``spark.checkpoint.dir``: a step reads its
-    walkers twice (scoring and join-back), so without the cut the plan would
-    double with every step.  The driver only loops over steps (at most the
-    longest sequence + 20) and counts the walkers left.
-    Returns ``(key, fn_ord, fn_name, walk_steps, walk_unique)``.
+    permitted, like an id beyond the score vector.  One shuffle by ``key``
+    brings a walker and its own scores together (a group is one walker: at
+    most steps x vocabulary rows).  Returns
+    ``(key, fn_ord, fn_name, walk_steps, walk_unique, walk_failed)``.
     """
-    from callsmith.session import ensure_checkpoint_dir
-    spark = walkers.sparkSession
-    entries = collect_entries(catalog)
-    if entries is None:
-        raise ValueError("catalogue too large for the broadcast trie")
-    ensure_checkpoint_dir(spark)
-    seq_rows = catalog_sequences(catalog).select("ord", "ids").collect()
-    nodes, max_len = build_trie([(r["ord"], r["ids"]) for r in seq_rows])
-    edges = F.broadcast(spark.createDataFrame(
-        [(i, t, c, u) for i, es in enumerate(nodes) for t, c, u in es],
-        "node int, token_id int, child int, uniq bigint"))
-    names = F.broadcast(spark.createDataFrame([(e["ord"], e["fn_name"]) for e in entries],
-                                              "fn_ord bigint, fn_name string"))
-    active = walkers.select(key, F.lit(0).alias("node"), F.lit(False).alias("done"),
-                            F.lit(-1).cast("bigint").alias("res"), F.lit(0).alias("steps"))
-    finished: list[DataFrame] = []
-    for step in range(max_len + EXTRA_STEPS):
-        step_scores = scores.filter(F.col("step") == step).select(key, "token_id", "score")
-        cand = active.join(edges, "node").join(step_scores, [key, "token_id"])
-        best = (cand.groupBy(key)
-                .agg(F.max(F.struct(F.col("score").cast("double").alias("score"),
-                                    (-F.col("token_id")).alias("neg"), "child", "uniq")).alias("b")))
-        stop = F.col("b").isNull()
-        new = active.join(best, key, "left").select(
-            key,
-            F.when(stop, F.col("node")).otherwise(F.col("b.child")).alias("node"),
-            (stop | (F.col("b.uniq") >= 0)).alias("done"),
-            F.when(stop, F.col("res")).otherwise(F.col("b.uniq")).alias("res"),
-            F.when(stop, F.col("steps")).otherwise(F.col("steps") + 1).alias("steps")).checkpoint()
-        finished.append(new.filter(F.col("done")))
-        active = new.filter(~F.col("done"))
-        if active.count() == 0:
-            break
-    out = active
-    for part in finished:
-        out = out.unionByName(part)
-    found = F.col("res") >= 0
-    fn_ord = F.when(found, F.col("res")).otherwise(F.lit(entries[0]["ord"]))
-    return (out.select(key, fn_ord.alias("fn_ord"), F.col("steps").alias("walk_steps"),
-                       found.alias("walk_unique"))
-            .join(names, "fn_ord")
-            .select(key, "fn_ord", "fn_name", "walk_steps", "walk_unique"))
+    paths = load_paths(catalog)
+    names = [f.name for f in WALK_FIELDS]
 
+    def walk(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        table: dict[tuple[int, int], float] = {}
+        for step, token, score in zip(rows["step"], rows["token_id"], rows["score"]):
+            table[step, token] = max(score, table.get((step, token), score))
 
-def constrained_walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
-                           key: str) -> DataFrame:
-    """K1 prefix mode with a live model: at every step the scorer is called (Arrow
-    batches via ``mapInPandas``) with each walker's text and generated ids, and
-    the walk advances by a masked argmax over the node's edges in-row.
+        def permitted(step, tokens):
+            walked = 0
+            while walked < len(tokens) and (step + walked, int(tokens[walked])) in table:
+                walked += 1
+            return walked
+
+        def choose(step, tokens):
+            here = [(table[step, t], -i) for i, t in enumerate(tokens.tolist()) if (step, t) in table]
+            return -max(here)[1] if here else None
 
-    Walker state (key, text, node, generated ids, flags) is checkpointed
-    reliably each step, so the plan stays one step deep; finished walkers
-    leave the loop.  Returns ``(key, fn_ord, fn_name, walk_steps, walk_unique)``.
+        result = paths.result(*paths.walk(permitted, choose)) if len(own) else ()
+        return pd.DataFrame([(k, *result) for k in own[key]], columns=[key, *names])
+
+    known = scores.select(key, "step", "token_id", F.coalesce(
+        F.col("score").cast("double"), F.lit(float("-inf"))).alias("score"))
+    schema = T.StructType([walkers.schema[key], *WALK_FIELDS])
+    return walkers.select(key).groupBy(key).cogroup(known.groupBy(key)).applyInPandas(walk, schema)
+
+
+def walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
+               context: bool = False) -> DataFrame:
+    """Add the walk's columns to every request; a live model (``ModelScorer``) gives the scores.
+
+    A batch's walkers go on together from branch to branch.  At each branch with more than
+    one edge the model is asked once for all walkers there, with their texts
+    and the ids generated so far; where one token is permitted it is not asked.
+    A request for which the model raises, or gives no vector, ends with
+    ``walk_failed`` and the first function; the others of its batch go on.  With
+    ``context`` the model is shown the selection context (F20) instead of the bare text.
     """
-    from callsmith.session import ensure_checkpoint_dir
-    spark = requests.sparkSession
-    entries = collect_entries(catalog)
-    if entries is None:
-        raise ValueError("catalogue too large for the broadcast trie")
-    ensure_checkpoint_dir(spark)
-    seqs = catalog_sequences(catalog)
-    vocab = sorted({t for r in seqs.select("tokens").collect() for t in r["tokens"]})
-    nodes, max_len = build_trie([(r["ord"], r["ids"]) for r in seqs.select("ord", "ids").collect()])
-    const = F.broadcast(spark.createDataFrame(
-        [(nodes, {e["ord"]: e["fn_name"] for e in entries})],
-        f"_trie {TRIE_TYPE}, _names map<bigint,string>"))
-    active = requests.select(key, F.col(text_col).alias("_text"), F.lit(0).alias("node"),
-                             F.array().cast("array<int>").alias("g"), F.lit(False).alias("done"),
-                             F.lit(-1).cast("bigint").alias("res"), F.lit(0).alias("steps"))
-    cols = [key, "_text", "node", "g", "done", "res", "steps"]
-    finished: list[DataFrame] = []
-    for _step in range(max_len + EXTRA_STEPS):
-        scored = scorer.step_scores(active, "_text", "g", vocab, "_s").crossJoin(const)
-        edges = F.element_at(F.col("_trie"), F.col("node") + 1)
-        usable = F.filter(edges, lambda e: e["tok"] < F.size(F.col("_s")))
-        best = F.array_max(F.transform(usable, lambda e: F.struct(
-            F.get(F.col("_s"), e["tok"]).cast("double").alias("score"), (-e["tok"]).alias("neg"),
-            e["child"].alias("child"), e["uniq"].alias("uniq"))))
-        stepped = scored.withColumn("_b", best)
-        stop = F.col("_b").isNull()
-        new = stepped.select(
-            key, "_text",
-            F.when(stop, F.col("node")).otherwise(F.col("_b.child")).alias("node"),
-            F.when(stop, F.col("g")).otherwise(
-                F.concat(F.col("g"), F.array((-F.col("_b.neg")).cast("int")))).alias("g"),
-            (stop | (F.col("_b.uniq") >= 0)).alias("done"),
-            F.when(stop, F.col("res")).otherwise(F.col("_b.uniq")).alias("res"),
-            F.when(stop, F.col("steps")).otherwise(F.col("steps") + 1).alias("steps")).checkpoint()
-        finished.append(new.filter(F.col("done")).select(*cols))
-        active = new.filter(~F.col("done")).select(*cols)
-        if active.count() == 0:
-            break
-    out = active
-    for part in finished:
-        out = out.unionByName(part)
-    found = F.col("res") >= 0
-    fn_ord = F.when(found, F.col("res")).otherwise(F.lit(entries[0]["ord"]))
-    names = F.broadcast(spark.createDataFrame([(e["ord"], e["fn_name"]) for e in entries],
-                                              "fn_ord bigint, fn_name string"))
-    return (out.select(key, fn_ord.alias("fn_ord"), F.col("steps").alias("walk_steps"),
-                       found.alias("walk_unique"))
-            .join(names, "fn_ord")
-            .select(key, "fn_ord", "fn_name", "walk_steps", "walk_unique"))
+    paths = load_paths(catalog)
+    place = requests.columns.index(text_col)
+    functions = ", ".join(n for _, n in sorted(zip(paths.ords, paths.names)))
+
+    def vectors(texts: pd.Series, ids: list[list[int]]) -> list[np.ndarray | None]:
+        def ask(some: slice) -> list[np.ndarray]:
+            own = texts.iloc[some].reset_index(drop=True)
+            given = scorer.vectors(own, pd.Series(ids[some], dtype=object), paths.vocab)
+            given = [np.asarray(v, np.float64).reshape(-1) for v in given]
+            if len(given) != len(own):
+                raise ValueError("the scorer must give one vector a text")
+            return given
+
+        try:
+            return ask(slice(None))
+        except Exception:  # a scorer is user code: only the rows it cannot score fail
+            out: list[np.ndarray | None] = []
+            for i in range(len(texts)):
+                try:
+                    out += ask(slice(i, i + 1))
+                except Exception:
+                    out.append(None)
+            return out
+
+    def results(b: pa.RecordBatch) -> list[tuple]:
+        texts = b.column(place).to_pylist()
+        if context:
+            texts = [fixed.SELECTION_CONTEXT.format(functions=functions, prompt=t or "") for t in texts]
+        texts = pd.Series(texts, dtype=object)
+        out: list = [None] * len(texts)
+        at = {i: (0, len(paths.ords)) for i in range(len(texts))}
+        ids: list[list[int]] = [[] for _ in range(len(texts))]
+
+        def move(i: int, token: int, to: tuple[int, int]) -> None:
+            ids[i].append(token)
+            at[i] = to
+            if to[1] - to[0] == 1:
+                del at[i]
+                out[i] = paths.result(to[0], len(ids[i]))
+
+        while at:
+            asked = []
+            for i in list(at):
+                shared, tokens, ranges = paths.branch(*at[i], len(ids[i]))
+                if len(tokens) > 1:
+                    asked.append((i, shared, tokens, ranges))
+                    continue
+                ids[i].extend(shared.tolist())
+                if len(tokens):
+                    move(i, int(tokens[0]), ranges[0])
+                else:
+                    del at[i]
+                    out[i] = paths.result(-1, len(ids[i]))
+            for i, shared, _, _ in asked:
+                ids[i].extend(shared.tolist())
+            rows = [a[0] for a in asked]
+            scored = vectors(texts.iloc[rows], [ids[i] for i in rows]) if rows else []
+            for (i, _, tokens, ranges), v in zip(asked, scored):
+                usable = tokens[:np.searchsorted(tokens, len(v))] if v is not None else tokens[:0]
+                if len(usable):
+                    pick = int(np.argmax(v[usable]))
+                    move(i, int(tokens[pick]), ranges[pick])
+                else:
+                    del at[i]
+                    out[i] = paths.result(-1, len(ids[i]), v is None)
+        return out
+
+    return _with_results(requests, results)
+
+
+def constrained_walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
+                           key: str) -> DataFrame:
+    """``walk_model`` for the key alone: ``(key, fn_ord, fn_name, walk_steps, walk_unique)``."""
+    return walk_model(requests.select(key, text_col), catalog, scorer, text_col).select(
+        key, "fn_ord", "fn_name", "walk_steps", "walk_unique")

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
 from callsmith.operators.decode import apply_fallback, pack_arguments, with_first_function
-from callsmith.operators.select import LexicalScorer, select_function
+from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests
 
 
-def propose_calls(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
+def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
                   text_col: str = "prompt", key_cols: list[str] | None = None,
                   bind_method: str = "auto", candidate_policy: str = "first",
                   scores_col: str | None = None) -> DataFrame:
@@ -27,11 +27,15 @@ def propose_calls(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer
 
     ``candidate_policy='scored'`` with ``scores_col`` (a score vector per
     request) picks among several candidates by the greedy candidate walk.
+    ``scorer`` is lexical by default; a ``TableScorer`` or ``ModelScorer`` selects by a
+    constrained walk, and a request it raises for becomes the fallback call.
     """
     selected = select_function(requests, catalog, scorer, text_col=text_col, key_cols=key_cols)
     bound = bind_arguments(selected, text_col=text_col, method=bind_method,
                            policy=candidate_policy, scores_col=scores_col)
     typed = type_picks(bound).withColumn("is_fallback", F.lit(False))
+    if "fn_failed" in selected.columns:  # K8: a request the scorer raised for becomes the fallback call
+        typed = typed.withColumn("call_fatal", F.col("call_fatal") | F.col("fn_failed")).drop("fn_failed")
     return apply_fallback(with_first_function(typed, catalog)).drop("fn_args", "call_fatal")
 
 
@@ -54,7 +58,7 @@ class JobResult:
         return run_summary(self.calls, self.rejects)
 
 
-def run_job(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
+def run_job(requests: DataFrame, catalog: DataFrame, scorer=None,
             text_col: str = "prompt", key_cols: list[str] | None = None,
             bind_method: str = "auto", candidate_policy: str = "first",
             scores_col: str | None = None) -> JobResult:
@@ -78,7 +82,7 @@ def run_summary(calls: DataFrame, rejects: DataFrame | None = None) -> DataFrame
     return agg
 
 
-def summarize_requests(requests: DataFrame, catalog: DataFrame, scorer: LexicalScorer | None = None,
+def summarize_requests(requests: DataFrame, catalog: DataFrame, scorer=None,
                        text_col: str = "prompt") -> DataFrame:
     """A9/S13 in one pass over the requests: rejected rows ride along (flagged)
     instead of being counted from a second scan of the input."""

@@ -386,8 +386,11 @@ ORACLE["select_function_join"] = ORACLE["select_function"]
 NUMERIC_FNS = [n for n, args, _ in fixed.REFERENCE_CATALOG
                if all(t in ("int", "float") for _, t in args)]
 
-JOB_ARGS = f"""
-WITH raw AS ({MIXED_REQUESTS}), {selected(VALID_MIXED)},
+
+def job_args(sel: str) -> str:
+    """CTEs ending in ``v``: the raw argument texts of ``sel(src, key, prompt, fn_name)``."""
+    return f"""
+WITH {sel},
 specs(fn_name, arg_ord, arg_name, arg_type) AS ({ARG_SPECS}),
 x AS (SELECT sel.*, {distinct_in_order('regexp_extract_all(prompt, ' + NUM + ')')} AS dn FROM sel),
 a AS (SELECT x.src, x.key, x.fn_name, x.prompt, x.dn, specs.arg_ord, specs.arg_name, specs.arg_type
@@ -410,8 +413,10 @@ v AS (
   FROM a)
 """
 
-ORACLE["run_job"] = JOB_ARGS + """
-SELECT src, key, fn_name, CAST(arg_ord AS INTEGER) AS arg_ord, arg_name, arg_type,
+
+JOB_ARGS = job_args(f"raw AS ({MIXED_REQUESTS}), {selected(VALID_MIXED)}")
+
+JOB_VALUES = """fn_name, CAST(arg_ord AS INTEGER) AS arg_ord, arg_name, arg_type,
   CASE WHEN arg_type = 'int' THEN CASE WHEN raw = '' THEN 0 ELSE CAST(trunc(CAST(raw AS DOUBLE)) AS BIGINT) END
        END AS v_int,
   CASE WHEN arg_type = 'float' THEN CASE WHEN raw = '' THEN 0.0 ELSE CAST(raw AS DOUBLE) END END AS v_float,
@@ -421,6 +426,8 @@ SELECT src, key, fn_name, CAST(arg_ord AS INTEGER) AS arg_ord, arg_name, arg_typ
 FROM v
 """
 
+ORACLE["run_job"] = f"{JOB_ARGS} SELECT src, key, {JOB_VALUES}"
+
 ORACLE["run_summary"] = JOB_ARGS + f""",
 nac(fn_name, n_numeric) AS ({NUMERIC_ARG_COUNTS}),
 allsel AS (SELECT sel.fn_score, nac.n_numeric > len(sel.dn) AS defaulted
@@ -665,8 +672,7 @@ ORACLE["model_walk"] = _walk_sql(f"""
 # no score (is not permitted) at even steps.
 ORACLE["walk_step_scores"] = _walk_sql(
     "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS s FROM embeddings", ["vec_id"],
-    permit="NOT ({t} = 7 AND k % 2 = 0)", score="s[(({t} + k) % 64) + 1]").replace(
-    "SELECT vec_id,\n       CASE", "SELECT vec_id,\n       CASE", 1)
+    permit="NOT ({t} = 7 AND k % 2 = 0)", score="s[(({t} + k) % 64) + 1]")
 
 # Live model double: substring counts minus 0.5 per earlier generation of the token.
 ORACLE["model_walk_steps"] = _walk_sql(f"""
@@ -675,3 +681,40 @@ ORACLE["model_walk_steps"] = _walk_sql(f"""
                           AS DOUBLE)) AS s
   FROM (SELECT p_partkey, {part_prompt()} AS p FROM part) r""", ["p_partkey"],
     score="(s[{t} + 1] - 0.5 * len(list_filter(g, lambda z: z = {t})))")
+
+# The whole job with a score vector a request (none: nothing is permitted, the first function).
+_SCORED = _walk_sql(f"""
+  SELECT p_partkey AS key, {strip('prompt')} AS prompt, coalesce(CAST(embedding AS DOUBLE[]), []) AS s
+  FROM (SELECT p_partkey, {part_prompt()} AS prompt FROM part) r
+  LEFT JOIN embeddings ON vec_id = p_partkey""", ["key", "prompt"])
+ORACLE["run_job_scored"] = (job_args(f"sel AS (SELECT 'part' AS src, key, prompt, fn_name FROM ({_SCORED}) w)")
+                            + f"SELECT key AS p_partkey, {JOB_VALUES}")
+
+# A catalogue of all of part: prefixes as a table, and the walk joined to it step by step.
+ORACLE["walk_part_catalog"] = r"""
+WITH RECURSIVE defs AS (
+  SELECT min(p_partkey) AS ord, 'fn_' || replace(p_name, ' ', '_') AS fn_name,
+         arg_max(lower(p_type), p_partkey) AS x, arg_max(p_brand, p_partkey) AS ret
+  FROM part GROUP BY p_name),
+seqs AS (SELECT ord, regexp_extract_all('{"fn_name":"' || fn_name || '","args_names":["x","n"],"args_types":{"x":"'
+           || x || '","n":"int"},"return_type":"' || ret || '"}', '[A-Za-z0-9]+|[^A-Za-z0-9\s]') AS toks FROM defs),
+placed AS (SELECT ord, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM seqs),
+voc AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS id FROM (SELECT DISTINCT token FROM placed)),
+ids AS (SELECT ord, list(id ORDER BY pos) AS ids FROM placed JOIN voc USING (token) GROUP BY ord),
+pre AS (SELECT ord, ids[1:k] AS g, ids[k + 1] AS t FROM ids, unnest(range(len(ids))) AS r(k)),
+edge AS (SELECT g, t, count(*) AS n, min(ord) AS o FROM pre GROUP BY g, t),
+node AS (SELECT g AS stem, list({'t': t, 'n': n, 'o': o} ORDER BY t) AS es FROM edge GROUP BY g),
+v AS (SELECT vec_id, flatten(list_transform(range(32), lambda i: CAST(embedding AS DOUBLE[]))) AS s FROM embeddings),
+walk(vec_id, s, g, res, steps, done) AS (
+  SELECT vec_id, s, CAST([] AS BIGINT[]), CAST(-1 AS BIGINT), 0, false FROM v
+  UNION ALL
+  SELECT vec_id, s, CASE WHEN b IS NULL THEN g ELSE list_append(g, b.t) END,
+         CASE WHEN b.n = 1 THEN CAST(b.o AS BIGINT) ELSE -1 END,
+         CASE WHEN b IS NULL THEN steps ELSE steps + 1 END, b IS NULL OR b.n = 1
+  FROM (SELECT vec_id, s, g, steps, CASE WHEN len(us) > 0 THEN list_reduce(us,
+                 lambda a, e: CASE WHEN s[e.t + 1] > s[a.t + 1] THEN e ELSE a END) END AS b
+        FROM (SELECT walk.*, list_filter(es, lambda e: e.t < len(s)) AS us
+              FROM walk LEFT JOIN node ON stem = g WHERE NOT done) c) d)
+SELECT vec_id, fn_name, CAST(steps AS INTEGER) AS walk_steps, res >= 0 AS walk_unique
+FROM walk JOIN defs ON ord = CASE WHEN res >= 0 THEN res ELSE (SELECT min(ord) FROM defs) END WHERE done
+"""

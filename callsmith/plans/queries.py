@@ -20,7 +20,7 @@ from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
 from callsmith.operators.decode import decode_calls, resolve_function, unknown_calls
 from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests, validation_report
-from callsmith.plans.job import propose_calls
+from callsmith.plans.job import propose_calls, run_job
 from callsmith.session import ensure_parallelism, table
 from callsmith.sources import requests as R
 
@@ -288,6 +288,19 @@ def run_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_picks(calls, ["src", "key", "fn_name"])
 
 
+@register("run_job_scored")
+def run_job_scored_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 with a table scorer (X2): each part request walks the catalogue under the embedding of
+    its id and its arguments are bound; parts without one get the first function."""
+    from callsmith.operators.scorer import TableScorer
+    req = ensure_parallelism(table(spark, sf_dir, "part")).select("p_partkey",
+                                                                  R.part_prompt().alias("prompt"))
+    scores = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("p_partkey"), "embedding")
+    job = run_job(req.join(scores, "p_partkey", "left"), C.catalog_from_rows(spark),
+                  scorer=TableScorer("embedding"))
+    return explode_picks(job.calls, ["p_partkey", "fn_name"])
+
+
 @register("run_summary")
 def run_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over the whole job's calls and rejects, in one pass."""
@@ -476,16 +489,31 @@ def constrained_walk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "walk_unique")
 
 
+def _part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A definition for every row of part (names repeat)."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("ord"),
+        F.concat(F.lit("fn_"), F.regexp_replace("p_name", " ", "_")).alias("fn_name"),
+        F.array(F.lit("x"), F.lit("n")).alias("args_names"),
+        F.create_map(F.lit("x"), F.lower("p_type"), F.lit("n"), F.lit("int")).alias("args_types"),
+        F.col("p_brand").alias("return_type"))
+
+
+@register("walk_part_catalog")
+def walk_part_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 prefix mode, K9, A1 over a catalogue that grows with the data: a definition for every
+    part; each embedding, repeated to cover the vocabulary, is a score vector."""
+    from callsmith.operators.walk import constrained_walk
+    e = ensure_parallelism(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", F.flatten(F.array_repeat("embedding", 32)).alias("scores"))
+    return constrained_walk(e, _part_catalog(spark, sf_dir), "scores").select(
+        "vec_id", "fn_name", "walk_steps", "walk_unique")
+
+
 @register("catalog_fingerprints")
 def catalog_fingerprints_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-insensitive fingerprint of every definition built from part."""
-    p = table(spark, sf_dir, "part")
-    defs = p.select(F.col("p_partkey").alias("ord"),
-                    F.concat(F.lit("fn_"), F.regexp_replace("p_name", " ", "_")).alias("fn_name"),
-                    F.array(F.lit("x"), F.lit("n")).alias("args_names"),
-                    F.create_map(F.lit("x"), F.lower("p_type"), F.lit("n"), F.lit("int")).alias("args_types"),
-                    F.col("p_brand").alias("return_type"))
-    return defs.select("ord", "fn_name", C.definition_fingerprint().alias("fingerprint"))
+    return _part_catalog(spark, sf_dir).select("ord", "fn_name", C.definition_fingerprint().alias("fingerprint"))
 
 
 # --- streaming -----------------------------------------------------------------------

@@ -266,3 +266,22 @@ def test_fingerprint_ignores_type_order(spark):
                                      "args_types map<string,string>, return_type string")
     fp = {r.ord: r.f for r in df.select("ord", definition_fingerprint().alias("f")).collect()}
     assert fp[0] == fp[1] != fp[2]
+
+
+def test_job_with_a_model_scorer(spark, catalog):
+    from callsmith.operators.scorer import ModelScorer
+    from callsmith.plans.job import run_job
+
+    def counts(_model, texts, vocab):  # local, so that it is pickled by value
+        if any("broken" in t for t in texts):
+            raise RuntimeError("no scores")
+        return [[float(t.split("request: ")[1].lower().count(v)) for v in vocab] for t in texts]
+
+    prompts = ["fn_reverse_string of 'abc' please: reverse the string", "this one is broken 5", "fn_greet Bob: greet"]
+    frame = spark.createDataFrame(list(enumerate(prompts)), "k int, prompt string")
+    scorer = ModelScorer(lambda: None, counts, name="counts")
+    got = {r.k: r for r in run_job(frame, catalog, scorer=scorer).calls.collect()}
+    first = catalog.orderBy("ord").first()["fn_name"]
+    assert [got[k].is_fallback for k in range(3)] == [False, True, False]
+    assert got[1].fn_name == first and all(p.n_cands == 0 for p in got[1].picks)
+    assert {got[0].fn_name, got[2].fn_name}.isdisjoint({None})
