@@ -93,9 +93,11 @@ def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -
     rows = prefix_rows(seqs, id_col, tokens_col)
     edges = rows.groupBy("n", *PARENT, "tok").agg(
         F.count(F.lit(1)).alias("n_seqs"), F.min("seq_id").alias("child_seq"))
-    node = Window.partitionBy("n", *PARENT)
-    return edges.select(F.min("child_seq").over(node).alias("node_seq"),
-                        F.col("n").alias("depth"), F.col("tok").alias("next_token"),
+    # Named by a second combinable minimum and an equi-join (which the skew-join rule can
+    # split), not a window: the root alone has an edge for every distinct first token.
+    nodes = edges.groupBy("n", *PARENT).agg(F.min("child_seq").alias("node_seq"))
+    return edges.join(nodes, ["n", *PARENT]).select(
+                        "node_seq", F.col("n").alias("depth"), F.col("tok").alias("next_token"),
                         "n_seqs", "child_seq")
 
 

@@ -382,7 +382,8 @@ def shortest_unique_prefix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _permitted(vec_id, label):
-    return F.filter(F.sequence(F.lit(0), F.lit(71)),
+    # Some ids beyond the vector, which are not permitted.
+    return F.filter(F.sequence(F.lit(0), F.size("embedding") + 7),
                     lambda i: i % (label + 2) == vec_id % (label + 2))
 
 
@@ -560,28 +561,22 @@ def walk_step_scores_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 prefix mode with step-dependent scores from a long score table.
 
     Token t at step k scores ``embedding[(t + k) % 64]``; token 7 has no score
-    row at even steps.  The walk is an iterative join (see
+    row at even steps.  One shuffle by walker (see
     ``constrained_walk_table``); the oracle is a recursive CTE.
     """
     from callsmith.operators.walk import catalog_sequences, constrained_walk_table
     cat = C.catalog_from_rows(spark)
-    vocab = len({t for r in catalog_sequences(cat).select("tokens").collect() for t in r["tokens"]})
+    seqs = catalog_sequences(cat).select("ids").collect()  # the constant 20-entry catalogue
+    vocab = 1 + max(max(r["ids"]) for r in seqs)
     e = ensure_parallelism(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
-    steps = F.sequence(F.lit(0), F.lit(80))
+    steps = F.sequence(F.lit(0), F.lit(max(len(r["ids"]) for r in seqs) - 1))
     toks = F.sequence(F.lit(0), F.lit(vocab - 1))
     scores = (e.select("vec_id", "embedding", F.explode(steps).alias("step"))
               .select("vec_id", "step", "embedding", F.explode(toks).alias("token_id"))
               .filter(~((F.col("token_id") == 7) & (F.col("step") % 2 == 0)))
               .select("vec_id", "step", "token_id",
                       F.get("embedding", (F.col("token_id") + F.col("step")) % 64).alias("score")))
-    # The derived score table is written once, partitioned by step, into the
-    # shared checkpoint folder; each walk step then reads one partition.
-    import os
-    import uuid
-    from callsmith.session import ensure_checkpoint_dir
-    path = os.path.join(ensure_checkpoint_dir(spark), f"step-scores-{uuid.uuid4().hex[:8]}")
-    scores.write.partitionBy("step").parquet(path)
-    w = constrained_walk_table(e.select("vec_id"), cat, spark.read.parquet(path), key="vec_id")
+    w = constrained_walk_table(e.select("vec_id"), cat, scores, key="vec_id")
     return w.select("vec_id", "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"),
                     "walk_unique")
 

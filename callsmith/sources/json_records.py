@@ -7,8 +7,9 @@ not an array, becomes one reject row; other files still load.  A missing
 path gives empty tables and one ``missing_path`` reject.
 
 A JSON array cannot be split, so each file is read whole by one task; many
-files are read in parallel.  Large inputs should come as JSON Lines or
-parquet (``load_requests`` takes any DataFrame with a text column).
+files are read in parallel.  Large inputs should come as JSON Lines (one
+value a line, ``form="lines"``, split like any text) or as a DataFrame of a
+parquet file or table, which ``load_catalog`` and ``load_requests`` also take.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callsmith.operators.catalog import CATALOG_SCHEMA
+from callsmith.operators.catalog import CATALOG_SCHEMA, CatalogError
 from callsmith.operators.validate import validate_requests
 
 RECORDS_SCHEMA = "source string, ord bigint, v variant"
@@ -27,8 +28,9 @@ REJECTS_SCHEMA = "source string, ord bigint, issue string"
 def load_json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``(records(source, ord, v), rejects(source, ord, issue))``."""
     try:
-        raw = spark.read.text(path, wholetext=True).select(
-            F.col("_metadata.file_path").alias("source"), "value")
+        raw = spark.read.format("binaryFile").load(path).select(
+            F.col("_metadata.file_path").alias("source"), F.col("content").cast("string").alias("bytes"))
+        raw = raw.select("source", F.try_validate_utf8("bytes").alias("value"))
         raw.schema  # resolve the path now
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
@@ -39,11 +41,33 @@ def load_json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     doc = F.try_parse_json(F.col("value"))
     arr = F.try_variant_get(doc, "$", "array<variant>")
     files = raw.select("source", arr.alias("arr"),
-                       F.when(doc.isNull(), F.lit("bad_json"))
+                       F.when(F.col("value").isNull(), F.lit("bad_utf8"))
+                       .when(doc.isNull(), F.lit("bad_json"))
                        .when(arr.isNull(), F.lit("not_array")).alias("issue"))
     elements = (files.filter(F.col("issue").isNull())
                 .select("source", F.posexplode_outer("arr").alias("ord", "v"))
                 .filter(F.col("ord").isNotNull()))
+    records, skipped = _as_records(elements)
+    return records, skipped.unionByName(
+        files.filter(F.col("issue").isNotNull())
+        .select("source", F.lit(None).cast("bigint").alias("ord"), "issue"))
+
+
+def load_json_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``load_json_records`` for one JSON value a line.  ``ord`` is unique and grows in file
+    order within a split; blank lines are skipped; a line that is not JSON is one reject."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("ord"),
+        F.try_validate_utf8("value").alias("value")).filter("value is null or trim(value) <> ''")
+    parsed = lines.select("source", "ord", F.try_parse_json("value").alias("v"),
+                          F.when(F.col("value").isNull(), F.lit("bad_utf8")).otherwise(F.lit("bad_json"))
+                          .alias("issue"))
+    records, skipped = _as_records(parsed.filter("v is not null"))
+    return records, skipped.unionByName(parsed.filter("v is null").select("source", "ord", "issue"))
+
+
+def _as_records(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(source, ord, v)`` elements → records and rejects by shape."""
     kind = F.schema_of_variant(F.col("v"))
     as_record = (F.when(kind.startswith("OBJECT"), F.col("v"))
                  .when(kind == "STRING", F.to_variant_object(
@@ -53,9 +77,7 @@ def load_json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     records = typed.filter(F.col("rec").isNotNull()).select("source", "ord", F.col("rec").alias("v"))
     rejects = (typed.filter(F.col("rec").isNull())
                .select("source", "ord", F.concat(F.lit("skipped_"), F.lower(
-                   F.regexp_extract("kind", r"^([A-Z]+)", 1))).alias("issue"))
-               .unionByName(files.filter(F.col("issue").isNotNull())
-                            .select("source", F.lit(None).cast("bigint").alias("ord"), "issue")))
+                   F.regexp_extract("kind", r"^([A-Z]+)", 1))).alias("issue")))
     return records, rejects
 
 
@@ -110,19 +132,46 @@ def records_to_catalog(records: DataFrame) -> DataFrame:
         *CATALOG_SCHEMA.fieldNames(), "type_issue")
 
 
-def load_catalog(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """S8 + P4-P9: a validated catalogue from a JSON-array file (aborts when strict)."""
+def table_to_catalog(definitions: DataFrame) -> DataFrame:
+    """Definitions from a typed table (parquet, a catalogue table, ...); a column of
+    another type than the catalogue's raises.  Without ``ord`` rows keep the order they are read in."""
+    for f in CATALOG_SCHEMA.fields[1:]:
+        if f.name in definitions.columns and (
+                definitions.schema[f.name].dataType.simpleString() != f.dataType.simpleString()):
+            raise CatalogError(f"column {f.name} is {definitions.schema[f.name].dataType.simpleString()}, "
+                               f"not {f.dataType.simpleString()}")
+    ord_ = F.col("ord").cast("bigint") if "ord" in definitions.columns else F.monotonically_increasing_id()
+    return definitions.select(ord_.alias("ord"), *[
+        (F.col(f.name) if f.name in definitions.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in CATALOG_SCHEMA.fields[1:]])
+
+
+def load_catalog(spark: SparkSession, source: str | DataFrame, strict: bool = True,
+                 form: str = "array") -> DataFrame:
+    """S8 + P4-P9: a validated catalogue (aborts when strict) from a path to JSON arrays, to JSON
+    Lines (``form="lines"``), or from a DataFrame."""
     from callsmith.operators.catalog import dedupe_catalog, validate_catalog
-    records, rejects = load_json_records(spark, path)
-    if strict and rejects.filter(F.col("ord").isNull()).limit(1).count():
-        raise ValueError(f"cannot read function definitions from {path}")
-    valid, _ = validate_catalog(records_to_catalog(records), strict=strict)
+    if isinstance(source, DataFrame):
+        definitions = table_to_catalog(source)
+    else:
+        records, rejects = (load_json_lines if form == "lines" else load_json_records)(spark, source)
+        unread = rejects if form == "lines" else rejects.filter(F.col("ord").isNull())
+        if strict and unread.limit(1).count():
+            raise ValueError(f"cannot read function definitions from {source}")
+        definitions = records_to_catalog(records)
+    valid, _ = validate_catalog(definitions, strict=strict)
     return dedupe_catalog(valid).select(*CATALOG_SCHEMA.fieldNames())
 
 
-def load_requests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """S9 + P1/P2/P16: ``(valid(source, req_id, prompt), rejects)``; ``req_id`` is 1-based."""
-    records, load_rejects = load_json_records(spark, path)
+def load_requests(spark: SparkSession, source: str | DataFrame, form: str = "array",
+                  text_col: str = "prompt") -> tuple[DataFrame, DataFrame]:
+    """S9 + P1/P2/P16: ``(valid(source, req_id, prompt), rejects)``; ``req_id`` is 1-based.
+
+    From a path to JSON arrays, to JSON Lines (``form="lines"``, ``req_id`` unique only), or from a
+    DataFrame, whose other columns stay and whose rejects keep them with their ``issue``."""
+    if isinstance(source, DataFrame):
+        return validate_requests(source.withColumnRenamed(text_col, "prompt"), "prompt")
+    records, load_rejects = (load_json_lines if form == "lines" else load_json_records)(spark, source)
     p = F.try_variant_get(F.col("v"), "$.prompt", "variant")
     reqs = records.select("source", (F.col("ord") + 1).alias("req_id"),
                           F.try_variant_get(F.col("v"), "$.prompt", "string").alias("prompt"),

@@ -99,3 +99,34 @@ def test_session_keeps_its_settings_and_planning_runs_no_job(spark, tmp_path):
 def test_validation_without_loader_findings(spark):
     valid, rejects = validate_catalog(catalog_from_rows(spark, [("fn_a", [], "int"), ("bad", [], "int")]), strict=False)
     assert valid.count() == 1 and rejects.count() == 1
+
+
+def test_bad_utf8_is_rejected(spark, tmp_path):
+    from callsmith.sources.json_records import load_json_records
+    (tmp_path / "a.json").write_bytes(b'[{"prompt": "caf\xff"}]')
+    records, rejects = load_json_records(spark, str(tmp_path / "a.json"))
+    assert records.count() == 0 and [r.issue for r in rejects.collect()] == ["bad_utf8"]
+
+
+def test_lines_and_tables_as_sources(spark, tmp_path):
+    from callsmith.operators.catalog import CatalogError, catalog_from_rows
+    from callsmith.sources.json_records import load_catalog, load_requests
+    (tmp_path / "r.jsonl").write_text('{"prompt": " one "}\n\n"two"\n3\n{bad\n{"prompt": ""}\n')
+    valid, rejects = load_requests(spark, str(tmp_path / "r.jsonl"), form="lines")
+    assert sorted(r.prompt for r in valid.collect()) == ["one", "two"]
+    assert sorted(r.issue for r in rejects.collect()) == ["bad_json", "empty_prompt", "skipped_bigint"]
+    (tmp_path / "c.jsonl").write_text(
+        '{"fn_name": "fn_a", "args_names": ["x"], "args_types": {"x": "int"}, "return_type": "int"}\n')
+    assert [r.fn_name for r in load_catalog(spark, str(tmp_path / "c.jsonl"), form="lines").collect()] == ["fn_a"]
+    (tmp_path / "c.jsonl").write_text("{bad\n")
+    with pytest.raises(ValueError):
+        load_catalog(spark, str(tmp_path / "c.jsonl"), form="lines")
+    table = catalog_from_rows(spark, [("fn_a", [("x", "int")], "int"), ("fn_a", [("y", "str")], "str")])
+    table.write.parquet(str(tmp_path / "c"))
+    loaded = load_catalog(spark, spark.read.parquet(str(tmp_path / "c"))).collect()
+    assert [(r.ord, r.fn_name, r.args_names) for r in loaded] == [(0, "fn_a", ["y"])]
+    with pytest.raises(CatalogError):
+        load_catalog(spark, table.selectExpr("ord", "fn_name", "args_types as args_names", "args_types", "return_type"))
+    texts = spark.createDataFrame([(1, " hi "), (2, " ")], "k int, body string")
+    valid, rejects = load_requests(spark, texts, text_col="body")
+    assert [(r.k, r.prompt) for r in valid.collect()] == [(1, "hi")] and rejects.count() == 1
