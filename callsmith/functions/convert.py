@@ -66,7 +66,9 @@ def _struct(v_int, v_float, v_bool, v_str, issue, fatal) -> Column:
 def _int_from_double(d: Column):
     """int(d) truncating; (value, issue, fatal)."""
     inf = F.isnotnull(d) & (F.abs(d) == F.lit(float("inf")))
-    as_long = d.try_cast("bigint")
+    # The cast takes 2^63 itself, one beyond BIGINT, for the largest BIGINT.
+    as_long = F.when(d < F.lit(2.0 ** 63), d.try_cast("bigint")).when(
+        F.isnan(d), F.lit(0).cast("bigint"))
     value = F.when(inf, F.lit(None)).otherwise(F.coalesce(as_long, F.lit(0)))
     issue = (F.when(d.isNull(), F.lit("bad_int"))
              .when(inf, F.lit("int_overflow_fatal"))
@@ -108,24 +110,43 @@ def convert_text(value: Column, arg_type: Column) -> Column:
 _NUMERIC_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 
 
+def read_variant(v: Column) -> Column:
+    """struct(v, kind, s): a raw JSON value with its kind and, for a string, its text."""
+    kind = F.schema_of_variant(v)
+    return F.struct(v.alias("v"), kind.alias("kind"),
+                    F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).alias("s"))
+
+
+def read_number(r: Column) -> Column:
+    """struct(r, d) of a ``read_variant``: the value as a double where it has one."""
+    kind = r["kind"]
+    is_num = kind.isin(*_NUMERIC_KINDS) | kind.startswith("DECIMAL")
+    d = (F.when(is_num, F.try_variant_get(r["v"], "$", "double"))
+         .when(kind == "BOOLEAN", F.try_variant_get(r["v"], "$", "boolean").cast("double"))
+         .when(kind == "STRING", py_float(r["s"])))
+    return F.struct(r.alias("r"), d.alias("d"))
+
+
 def convert_variant(v: Column, arg_type: Column) -> Column:
-    """Convert a raw JSON value (VARIANT) as the call decoder does (M6).
+    """Convert one raw JSON value (VARIANT)."""
+    return convert_read(read_number(read_variant(v)), arg_type)
+
+
+def convert_read(n: Column, arg_type: Column) -> Column:
+    """Convert a raw JSON value, staged by ``read_variant`` and ``read_number`` so that each part
+    is read once, as the call decoder does (M6).
 
     NULL/missing → default.  int: ``int(float(v))``; float: ``float(v)``;
     bool: bool kept, strings in (true, 1, yes), other values by truthiness;
     str: the string, or the value's text.  Objects and arrays cannot be
     numbers → default with an issue.
     """
-    kind = F.schema_of_variant(v)
+    v, kind, s, d = n["r"]["v"], n["r"]["kind"], n["r"]["s"], n["d"]
     is_num = kind.isin(*_NUMERIC_KINDS) | kind.startswith("DECIMAL")
     is_str = kind == "STRING"
     is_bool = kind == "BOOLEAN"
     is_nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     missing = v.isNull() | (kind == "VOID")
-    s = F.try_variant_get(v, "$", "string")
-    d = (F.when(is_num, F.try_variant_get(v, "$", "double"))
-         .when(is_bool, F.try_variant_get(v, "$", "boolean").cast("double"))
-         .when(is_str, py_float(s)))
     i_val, i_issue, i_fatal = _int_from_double(d)
     nested_size = F.coalesce(F.size(F.try_variant_get(v, "$", "array<variant>")),
                              F.size(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))))
@@ -135,9 +156,10 @@ def convert_variant(v: Column, arg_type: Column) -> Column:
                .when(is_nested, nested_size > 0))
     as_str = (F.when(is_str, s)
               .when(is_bool, F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
-              # A JSON number with a fraction part is a float: 5.0 is "5.0", not "5".
+              # A JSON number with a fraction part is a float: 5.0 is "5.0", not "5"; beyond
+              # BIGINT a whole number is kept in the same way as one with a fraction part.
               .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"),
-                    F.when(F.to_json(v).rlike("[.eE]"), F.to_json(v))
+                    F.when(F.to_json(v).rlike("[.eE]") | (F.abs(d) >= F.lit(2.0 ** 63)), F.to_json(v))
                     .otherwise(F.concat(F.to_json(v), F.lit(".0"))))
               .otherwise(F.to_json(v)))
     converted = (F.when(arg_type == "int",

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callsmith.functions.convert import VALUE_FIELDS, convert_variant, default_for_type
+from callsmith.functions.convert import (VALUE_FIELDS, convert_read, default_for_type,
+                                         read_number, read_variant)
 
 PICK_TYPE = ("struct<arg_ord:int,arg_name:string,arg_type:string,raw:string,n_cands:int,"
              "c:struct<v_int:bigint,v_float:double,v_bool:boolean,v_str:string,issue:string,"
@@ -106,19 +107,21 @@ def decode_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_
         bad_payload = bad_payload | F.coalesce(is_blank(F.col(text_col)), F.lit(True))
     staged = with_first_function(resolved.withColumn("_bad", bad_payload), catalog)
     # The parsed payload rides in the fold's accumulator so it is parsed once
-    # per call, not once per argument.
+    # per call; each value is then read once (kind and text, then number).
+    read = F.struct(F.lit(None).cast("variant").alias("v"), F.lit("").alias("kind"),
+                    F.lit(None).cast("string").alias("s"))
     init = F.struct(F.try_variant_get(F.col(args_col), "$", "map<string,variant>").alias("m"),
-                    F.array().cast(f"array<{PICK_TYPE}>").alias("picks"))
+                    F.slice(F.array(read), 1, 0).alias("vals"))
 
     def step(acc, a):
-        pick = F.struct(
-            a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
-            a["arg_type"].alias("arg_type"), F.lit(None).cast("string").alias("raw"),
-            F.lit(1).alias("n_cands"),
-            convert_variant(F.try_element_at(acc["m"], a["arg_name"]), a["arg_type"]).alias("c"))
-        return F.struct(acc["m"].alias("m"), F.concat(acc["picks"], F.array(pick)).alias("picks"))
-
-    picks = F.aggregate(F.col("fn_args"), init, step)["picks"]
+        value = read_variant(F.try_element_at(acc["m"], a["arg_name"]))
+        return F.struct(acc["m"].alias("m"), F.concat(acc["vals"], F.array(value)).alias("vals"))
+
+    values = F.transform(F.aggregate(F.col("fn_args"), init, step)["vals"], read_number)
+    picks = F.zip_with("fn_args", values, lambda a, n: F.struct(
+        a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
+        a["arg_type"].alias("arg_type"), F.lit(None).cast("string").alias("raw"),
+        F.lit(1).alias("n_cands"), convert_read(n, a["arg_type"]).alias("c")))
     out = (staged.withColumn("picks", picks)
            .withColumn("is_fallback", F.lit(False))
            .withColumn("call_fatal", F.col("_bad") |

@@ -142,11 +142,66 @@ def unique_prefixes(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens"
             .select("seq_id", (F.col("n") + 1).alias("n")))
 
 
+def _doubling_keys(seqs: DataFrame, id_col: str, tokens_col) -> DataFrame:
+    """``(seq_id, lvl, len, h1, h2, b1, b2)``: a sequence's prefixes of 1, 2, 4, … tokens and
+    the whole sequence, keyed by 128 bits; ``(b1, b2)`` keys the prefix one level shorter."""
+    base = seqs.select(F.col(id_col).alias("seq_id"), _tokens(tokens_col).alias("tokens"))
+    base = base.select("*", F.size("tokens").alias("size")).filter("size > 0")
+    # The least level whose prefix is the whole sequence.
+    last = F.length(F.bin((F.col("size") - 1).cast("bigint"))) - (F.col("size") == 1).cast("int")
+
+    def keys(longest: str) -> Column:
+        n = F.least(F.expr(longest), F.col("size"))
+        head = F.slice("tokens", F.lit(1), n)
+        return F.struct(n.alias("len"), F.xxhash64(head).alias("h1"),
+                        F.xxhash64(F.lit("#"), head).alias("h2"))
+
+    rows = base.select("*", F.explode(F.sequence(F.lit(0), last)).alias("lvl"))
+    rows = rows.select("seq_id", "lvl", keys("shiftleft(1, lvl)").alias("k"),
+                       keys("shiftleft(1, greatest(lvl - 1, 0))").alias("b"))
+    zero = F.lit(0).cast("bigint")
+    return rows.select("seq_id", "lvl", "k.*",
+                       F.when(F.col("lvl") > 0, F.col("b.h1")).otherwise(zero).alias("b1"),
+                       F.when(F.col("lvl") > 0, F.col("b.h2")).otherwise(zero).alias("b2"))
+
+
 def shortest_unique_prefix(seqs: DataFrame, id_col: str = "seq_id",
                            tokens_col="tokens") -> DataFrame:
-    """A4: ``(seq_id, sup_len)``; sequences that are duplicates or prefixes of others get no row."""
-    return (unique_prefixes(seqs, id_col, tokens_col)
-            .groupBy("seq_id").agg(F.min("n").cast("int").alias("sup_len")))
+    """A4: ``(seq_id, sup_len)``; sequences that are duplicates or prefixes of others get no row.
+
+    Uniqueness is monotone in the length, so the prefixes of 1, 2, 4, … tokens (a few rows a
+    sequence) show between which two of them the answer lies.  Only tokens of such a range are
+    then exploded, and only for sequences that share the range's beginning with one whose
+    answer lies in it; the counts are combinable, and no token beyond twice an answer is shuffled.
+    ``seq_id`` must be unique.
+    """
+    # One shuffle of raw rows by id, read by all three uses; tokenising runs after it.
+    seqs = seqs.repartition(F.col(id_col))
+    keys = _doubling_keys(seqs, id_col, tokens_col)
+    alone = (keys.groupBy("lvl", "len", "h1", "h2")
+             .agg(F.count(F.lit(1)).alias("c"), F.min("seq_id").alias("seq_id"),
+                  F.min("b1").alias("b1"), F.min("b2").alias("b2"))
+             .filter("c = 1"))
+    first = alone.groupBy("seq_id").agg(F.min(F.struct("lvl", "b1", "b2")).alias("f"))
+    wanted = first.select("f.*").distinct()
+    # Sequences that begin alike, by id, with the levels whose range they are compared in.
+    levels = (keys.join(wanted, ["lvl", "b1", "b2"], "left_semi")
+              .groupBy("seq_id").agg(F.collect_set(F.struct("lvl", "b1", "b2")).alias("ranges")))
+    texts = seqs.select(F.col(id_col).alias("seq_id"), _tokens(tokens_col).alias("tokens"))
+    ranged = (texts.join(levels, "seq_id")
+              .select("seq_id", "tokens", F.explode("ranges").alias("r"))
+              .select("seq_id", "r.*", F.when(F.col("r.lvl") > 0, F.expr("shiftleft(1, r.lvl - 1)"))
+                      .otherwise(0).alias("skip"), "tokens")
+              .select("seq_id", "lvl", "b1", "b2", "skip", F.posexplode(F.slice(
+                  "tokens", F.col("skip") + 1, F.greatest(F.col("skip"), F.lit(1)))).alias("i", "tok")))
+    n = (F.col("skip") + F.col("i") + 1).cast("int")
+    w = (Window.partitionBy("seq_id", "lvl").orderBy("i")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = ranged.select("seq_id", "lvl", "b1", "b2", n.alias("n"), *[
+        F.sum(g).over(w).alias(f"k{j}") for j, g in enumerate(_parts(F.col("tok"), n))])
+    return (summed.groupBy("n", "b1", "b2", *SELF)
+            .agg(F.count(F.lit(1)).alias("c"), F.min("seq_id").alias("seq_id"))
+            .filter("c = 1").groupBy("seq_id").agg(F.min("n").alias("sup_len")))
 
 
 def prefix_collisions(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:

@@ -480,6 +480,35 @@ SELECT event_id, fn_name, false AS is_fallback, CAST(arg_ord AS INTEGER) AS arg_
 FROM e JOIN specs USING (fn_name)
 """
 
+# Arguments by function and payload shape (event_id % 8), as JSON text; NULL: the call falls back.
+ORACLE["decode_mixed_calls"] = f"""
+WITH e AS (
+  SELECT event_id, event_id % 9 = 0 AS blank, event_id % 8 AS shape, json_extract_string(props, '$.k') AS k,
+         CASE WHEN 'fn_' || event_type IN {EVENT_NAMES} THEN 'fn_' || event_type ELSE 'fn_click' END AS fn
+  FROM events),
+a AS (
+  SELECT event_id, fn, CASE WHEN blank THEN NULL
+    WHEN shape IN (0, 1) THEN NULL
+    WHEN fn = 'fn_click' THEN CASE shape
+      WHEN 2 THEN '{{"k":' || k || ',"v":' || CASE k WHEN '0' THEN '-5.0' ELSE '-' || k || '5.0' END || '}}'
+      WHEN 3 THEN '{{"k":1,"v":0.0}}' WHEN 5 THEN NULL ELSE '{{"k":0,"v":0.0}}' END
+    WHEN fn = 'fn_view' THEN '{{"k":"' || CASE shape
+      WHEN 2 THEN k || '.5' WHEN 3 THEN 'True' WHEN 4 THEN '[' || k || ']' WHEN 5 THEN 'Infinity'
+      WHEN 6 THEN 'yes' ELSE '92233720368547758' || lpad(k, 2, '0') END || '"}}'
+    ELSE '{{"k":' || CASE WHEN shape = 5 THEN 'false' ELSE 'true' END || ',"note":"'
+         || CASE shape WHEN 6 THEN 'n' || k ELSE '' END || '"}}' END AS args
+  FROM e)
+SELECT event_id, CASE WHEN args IS NULL THEN 'fn_click' ELSE fn END AS fn_name, args IS NULL AS is_fallback,
+       coalesce(args, '{{"k":0,"v":0.0}}') AS args
+FROM a
+"""
+
+ORACLE["bind_flag"] = """
+SELECT c_custkey, 'fn_flag' AS fn_name, '{"id":' || c_custkey || ',"active":true,"again":'
+       || CASE WHEN c_nationkey = c_custkey THEN 0 ELSE c_nationkey END || ',"name":"' || c_mktsegment || '"}' AS args
+FROM customer
+"""
+
 # --- prefix index ------------------------------------------------------------------
 
 TOKENS = q(r"[^\t\n\x0b\f\r ]+")

@@ -17,7 +17,7 @@ from callsmith.functions import text as X
 from callsmith.functions.convert import VALUE_FIELDS, convert_text
 from callsmith.operators import catalog as C
 from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
-from callsmith.operators.decode import decode_calls, resolve_function, unknown_calls
+from callsmith.operators.decode import decode_calls, pack_arguments, resolve_function, unknown_calls
 from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests, validation_report
 from callsmith.plans.job import propose_calls, run_job
@@ -356,6 +356,46 @@ def decode_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_picks(d, ["event_id", "fn_name", "is_fallback"])
 
 
+def _mixed_payload():
+    """Raw arguments in eight shapes, by event; ``k`` is the number in the event's props."""
+    k = F.get_json_object("props", "$.k")
+    shapes = [F.lit("null"), F.concat(F.lit('"'), k, F.lit('"')),
+              F.concat(F.lit('{"k":'), k, F.lit('.5,"v":"-'), k, F.lit('.5e1"}')),
+              F.lit('{"k":true,"v":false}'), F.concat(F.lit('{"k":['), k, F.lit('],"v":{"a":1}}')),
+              F.lit('{"k":"Infinity","v":1}'), F.concat(F.lit('{"k":"yes","v":"abc","note":"n'), k, F.lit('"}')),
+              F.concat(F.lit('{"k":92233720368547758'), F.lpad(k, 2, "0"), F.lit('}'))]
+    shape = F.col("event_id") % len(shapes)
+    out = F.lit(None).cast("string")
+    for i, text in enumerate(shapes):
+        out = F.when(shape == i, text).otherwise(out)
+    return out
+
+
+@register("decode_mixed_calls")
+def decode_mixed_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that are null, text, numbers, booleans, nested,
+    infinite or beyond BIGINT, and blank requests; arguments packed as JSON in declared order."""
+    ev = ensure_parallelism(table(spark, sf_dir, "events"))
+    raw = ev.select("event_id", F.concat(F.lit("fn_"), "event_type").alias("raw_fn"),
+                    F.try_parse_json(_mixed_payload()).alias("raw_args"),
+                    F.when(F.col("event_id") % 9 == 0, " \t").otherwise(F.col("props")).alias("prompt"))
+    d = decode_calls(raw, C.catalog_from_rows(spark, EVENT_CATALOG), text_col="prompt")
+    return d.select("event_id", "fn_name", "is_fallback", pack_arguments(F.col("picks")).alias("args"))
+
+
+FLAG_CATALOG = [("fn_flag", [("id", "int"), ("active", "bool"), ("again", "int"), ("name", "str")], "bool")]
+
+
+@register("bind_flag")
+def bind_flag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bool argument between numeric ones; the number bound first is not reused."""
+    req = ensure_parallelism(table(spark, sf_dir, "customer")).select("c_custkey", F.concat(
+        F.lit("Flag customer "), F.col("c_custkey").cast("string"), F.lit(' of "'), F.col("c_mktsegment"),
+        F.lit('" in nation '), F.col("c_nationkey").cast("string")).alias("prompt"))
+    calls = propose_calls(req, C.catalog_from_rows(spark, FLAG_CATALOG))
+    return calls.select("c_custkey", "fn_name", pack_arguments(F.col("picks")).alias("args"))
+
+
 # --- prefix index over whole documents ------------------------------------------
 
 def _document_sequences(spark: SparkSession, sf_dir: str):

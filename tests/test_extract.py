@@ -92,6 +92,7 @@ def test_closed_form_equals_fold(spark):
     ("1d", "float", "v_float", 0.0, "bad_float"), ("TRUE", "bool", "v_bool", True, None),
     ("yes", "bool", "v_bool", False, None), ("x", "date", "v_str", "", "unknown_type"),
     ("1" * 30, "int", "v_int", 0, "int_overflow"),
+    ("9223372036854775808", "int", "v_int", 0, "int_overflow"),
 ])
 def test_convert_text(spark, raw, typ, field, expected, issue):
     r = spark.createDataFrame([(raw, typ)], "v string, t string") \
