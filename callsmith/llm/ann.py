@@ -231,20 +231,34 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         found = found.sort_values("vec_id", kind="stable")
         ids, c = found["vec_id"].to_numpy(), np.stack(found["v"].to_numpy())
+        # Of equal vectors only the k smallest other ids can be among the k nearest.
+        same = pd.Series([x.tobytes() for x in c])
+        first = same.groupby(same).cumcount().to_numpy() < k + np.unique(ids, return_counts=True)[1].max()
+        ids, c = ids[first], c[first]
+        longest = np.sqrt((c * c).sum(axis=1)).max()
         out = []
         for at in range(0, len(queries), 256):
             part = queries.iloc[at:at + 256]
-            q = np.stack(part["q"].to_numpy())
-            scores = np.zeros((len(q), len(c)))
+            asked_ids, q = part["query_id"].to_numpy(), np.stack(part["q"].to_numpy())
+            quick = q @ c.T
+            own = zip(np.searchsorted(ids, asked_ids, "left"), np.searchsorted(ids, asked_ids, "right"))
+            for i, (lo, hi) in enumerate(own):
+                quick[i, lo:hi] = -np.inf
+            least = (np.partition(quick, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k
+                     else np.full(len(q), -np.inf))
+            # Far more than the rounding of a product, so all that may be among the k nearest stay.
+            bound = least - 1e-9 * np.sqrt((q * q).sum(axis=1)) * longest
+            bound = np.where(np.isnan(bound), -np.inf, bound)
+            row, col = np.nonzero((quick >= bound[:, None]) & (quick != -np.inf))
+            scores = np.zeros(len(row))
             for d in range(c.shape[1]):  # in order, so equal vectors get equal scores
-                scores += q[:, d, None] * c[None, :, d]
-            scores[part["query_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            best = np.take_along_axis(scores, order, axis=1)
-            out.append(pd.DataFrame({"query_id": np.repeat(part["query_id"].to_numpy(), order.shape[1]),
-                                     "vec_id": ids[order].ravel(), "score": best.ravel()}))
-        out = pd.concat(out)
-        return out[out["score"] != -np.inf]
+                scores += q[row, d] * c[col, d]
+            order = np.lexsort((ids[col], -scores, row))
+            row, col, scores = row[order], col[order], scores[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
+            out.append(pd.DataFrame({"query_id": asked_ids[row[best]], "vec_id": ids[col[best]],
+                                     "score": scores[best]}))
+        return pd.concat(out)
 
     keys = ["part", "block", "asked_block"]
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
