@@ -17,7 +17,10 @@ a partition holds; each group returns its best ``k`` and these are merged.
 Defined cases: vectors that are null, all zero, of another length than most,
 or with null or non-finite components take no part; rows with the query's own
 vec_id are no candidates; with fewer candidates than k all are returned; equal
-scores go to the smaller vec_id; an empty table gives no rows.
+scores go to the smaller vec_id; an empty table gives no rows.  Repeated rows: equal
+rows (vec_id and vector) ask once and give one list; a vec_id with several
+vectors asks with each, and each gives a whole list of its own under that
+query_id; as candidates all rows count, so a repeated one takes a place for each row.
 """
 
 from __future__ import annotations
@@ -213,8 +216,11 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
             out.append(order[:enough].astype(np.int32))
         return pd.Series(out)
 
-    asked = reliable(placed.filter(is_query).select(
-        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.explode(probes("p")).alias("part")))
+    # One query for each distinct (vec_id, vector); its number holds from the checkpoint on.
+    distinct = placed.filter(is_query).dropDuplicates(["vec_id", "v"]).select(
+        F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"),
+        F.col("v").alias("q"), "p")
+    asked = reliable(distinct.select("query", "query_id", "q", F.explode(probes("p")).alias("part")))
     asked_sizes = {r["part"]: r["count"] for r in asked.groupBy("part").count().collect()}
     # Blocks of each partition (tables of at most ``most`` entries).
     of_rows = F.element_at(F.array(*[F.lit(max(1, -(-int(c) // BLOCK))) for c in counts]), F.col("part") + 1)
@@ -222,13 +228,13 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
                                       for i in range(router.partitions)]), F.col("part") + 1)
     right = placed.select("part", "vec_id", "v", F.pmod(F.xxhash64("vec_id"), of_rows).cast("int").alias("block"),
                           F.explode(F.sequence(F.lit(0), of_asked - 1)).alias("asked_block"))
-    left = asked.select("part", "query_id", "q", F.explode(F.sequence(F.lit(0), of_rows - 1))
+    left = asked.select("part", "query", "query_id", "q", F.explode(F.sequence(F.lit(0), of_rows - 1))
                         .alias("block"),
-                        F.pmod(F.xxhash64("query_id"), of_asked).cast("int").alias("asked_block"))
+                        F.pmod(F.xxhash64("query"), of_asked).cast("int").alias("asked_block"))
 
     def rank(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(found):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
         found = found.sort_values("vec_id", kind="stable")
         ids, c = found["vec_id"].to_numpy(), np.stack(found["v"].to_numpy())
         # Of equal vectors only the k smallest other ids can be among the k nearest.
@@ -239,7 +245,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
         out = []
         for at in range(0, len(queries), 256):
             part = queries.iloc[at:at + 256]
-            asked_ids, q = part["query_id"].to_numpy(), np.stack(part["q"].to_numpy())
+            numbers, asked_ids = part["query"].to_numpy(), part["query_id"].to_numpy()
+            q = np.stack(part["q"].to_numpy())
             quick = q @ c.T
             own = zip(np.searchsorted(ids, asked_ids, "left"), np.searchsorted(ids, asked_ids, "right"))
             for i, (lo, hi) in enumerate(own):
@@ -256,13 +263,13 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
             order = np.lexsort((ids[col], -scores, row))
             row, col, scores = row[order], col[order], scores[order]
             best = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
-            out.append(pd.DataFrame({"query_id": asked_ids[row[best]], "vec_id": ids[col[best]],
-                                     "score": scores[best]}))
+            out.append(pd.DataFrame({"query": numbers[row[best]], "query_id": asked_ids[row[best]],
+                                     "vec_id": ids[col[best]], "score": scores[best]}))
         return pd.concat(out)
 
     keys = ["part", "block", "asked_block"]
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        rank, "query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        rank, "query bigint, query_id bigint, vec_id bigint, score double")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return best.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").filter(
         F.col("rank") <= k)

@@ -379,3 +379,21 @@ def test_token_files_round_trip(spark, docs, empty, tmp_path):
             ids = enc.packed(r.text) + (2).to_bytes(4, "little")
             assert (g.doc_id, g.start, g.n_tokens, bytes(g["ids"])) == (r.doc_id, at, len(ids) // 4, ids)
             at += g.n_tokens
+
+
+def test_neighbours_of_repeated_query_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 8))
+    rows = [(i, x[i].tolist()) for i in range(60)]
+    rows += [(0, x[0].tolist())] * 2 + [(20, rng.normal(size=8).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.search(frame, F.col("vec_id") % 20 == 0, k=20).toPandas()
+    vectors = {0: [rows[0][1]], 20: [rows[20][1], rows[62 + 0][1]], 40: [rows[40][1]]}
+    for q, own in vectors.items():
+        want = []
+        for v in own:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q)[:20]
+            want += [(k + 1, i) for k, (_, i) in enumerate(scored)]
+        mine = got[got.query_id == q]
+        assert sorted(zip(mine["rank"].tolist(), mine.vec_id.tolist())) == sorted(want)
+    assert len(got) == 80
