@@ -397,3 +397,13 @@ def test_neighbours_of_repeated_query_rows(spark):
         mine = got[got.query_id == q]
         assert sorted(zip(mine["rank"].tolist(), mine.vec_id.tolist())) == sorted(want)
     assert len(got) == 80
+
+
+def test_pii_long_runs_do_not_end_the_job(spark):
+    digits, labels = " ".join("1" * 50_000), "a@b" + ".c" * 50_000
+    spelled = "a (at) b" + " (dot) c" * 50_000
+    frame = spark.createDataFrame([(1, digits), (2, labels), (3, spelled)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.made): r.match for r in pii.candidates(frame).filter("match is not null").collect()}
+    assert got[1, "card"] == digits and got[2, "email"] == labels and got[3, "address"] == spelled
+    assert {r.doc_id: r.text for r in pii.redact(frame, pii.Model(None, {})).collect()} == {
+        1: digits, 2: "[EMAIL]", 3: spelled}
