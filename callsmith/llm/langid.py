@@ -24,8 +24,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from callsmith.llm.common import sampled
-
 BINS = 8192
 _STEP = 1 << 20
 
@@ -94,8 +92,8 @@ def held_out(doc_id) -> "F.Column":
 
 
 def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
-    """Fit on (doc_id, text, lang) rows with a non-null lang; about ``sample`` documents a
-    language, drawn by a hash of their texts (copies count once), are clustered; idf counts all rows."""
+    """Fit on (doc_id, text, lang) rows with a non-null lang; ``sample`` distinct texts with
+    a letter a language (all where it has fewer), those with the least hashes, are clustered; idf counts all rows."""
     rows = docs.select(F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).filter("lang is not null")
 
@@ -128,10 +126,18 @@ def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "floor": floor,
                              "centre": [c.tolist() for c in centres]})
 
-    share = rows.groupBy("lang").count().select(
-        F.col("lang").alias("of"), (F.lit(float(sample)) / F.col("count")).alias("share"))
-    drawn = rows.join(F.broadcast(share), rows.lang == F.col("of")).filter(
-        sampled(F.col("text"), F.col("share"))).select("lang", "text").distinct()
+    # Distinct texts are counted, so copies thin no language out.  Twice the sample by share
+    # holds the least hashes; only these few are sorted.
+    lettered = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn(
+        "h", F.pmod(F.xxhash64("text"), F.lit(1 << 53)))
+    hashes = lettered.select("lang", "h").distinct()
+    share = hashes.groupBy("lang").count().select(
+        F.col("lang").alias("of"), (F.lit(2.0 * sample * (1 << 53)) / F.col("count")).alias("below"))
+    least = hashes.join(F.broadcast(share), F.col("lang") == F.col("of")).filter("h < below").groupBy(
+        "of").agg(F.slice(F.array_sort(F.collect_list("h")), 1, sample).alias("hs")).select(
+        "of", F.explode("hs").alias("of_h"))
+    drawn = lettered.join(F.broadcast(least), (F.col("lang") == F.col("of")) & (F.col("h") == F.col("of_h"))
+                          ).select("lang", "text").distinct()
     fitted = drawn.groupBy("lang").applyInPandas(
         fit, "lang string, floor double, centre array<double>").orderBy("lang").collect()
     return Model([r["lang"] for r in fitted],

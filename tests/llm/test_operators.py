@@ -407,3 +407,14 @@ def test_pii_long_runs_do_not_end_the_job(spark):
     assert got[1, "card"] == digits and got[2, "email"] == labels and got[3, "address"] == spelled
     assert {r.doc_id: r.text for r in pii.redact(frame, pii.Model(None, {})).collect()} == {
         1: digits, 2: "[EMAIL]", 3: spelled}
+
+
+def test_language_with_many_copies_stays_in_the_model(spark):
+    texts = {"aa": [f"kalo mira tuno {'pe' * i} sola" for i in range(1, 41)],
+             "bb": [f"zwerk gruft {'sch' * i} pfund" for i in range(1, 501)]}
+    rows = [(t, "aa") for t in texts["aa"] for _ in range(1000)] + [(t, "bb") for t in texts["bb"]]
+    rows += [("123", "aa"), (None, "aa"), (None, "bb")]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    # With as many centroids as texts, each drawn text is one: all 40 and 300 of 500.
+    model = langid.train(frame, sample=300, centroids=300)
+    assert [model.languages.count(x) for x in ("aa", "bb")] == [40, 300]
