@@ -418,3 +418,17 @@ def test_language_with_many_copies_stays_in_the_model(spark):
     # With as many centroids as texts, each drawn text is one: all 40 and 300 of 500.
     model = langid.train(frame, sample=300, centroids=300)
     assert [model.languages.count(x) for x in ("aa", "bb")] == [40, 300]
+
+
+def test_pii_adds_loose_forms(spark):
+    plain = [f"no number in text {i}, only words" for i in range(40)]
+    loose = {"write me (at) host (dot) com today": "write [EMAIL] today", "or me @ host.com, please": "or [EMAIL], please",
+             "call (555) 010-9999 now": "call [PHONE] now"}
+    kept = ["on 2024-03-15 it rained", "the years 1998-2004 here", "order 20391827 came", "12 @ 4.99 each",
+            "token = \"aebccd4559894937c75946a5f6\"", "by 5693240340017844 was", "a population of 1 234 567 people",
+            "thanks @jane.doe for it", "ISBN 978-3-16-148410-0 is", "at 999.1.1.1 or 10.0.19041.1266"]
+    frame = spark.createDataFrame(list(enumerate([*plain, *loose, *kept])), "doc_id bigint, text string")
+    model = pii.train(frame)
+    assert set(model.thresholds) == {"email", "phone"}
+    got = [r.text for r in pii.redact(frame, model).orderBy("doc_id").collect()]
+    assert got == [*plain, *loose.values(), *kept]
