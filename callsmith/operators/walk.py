@@ -8,12 +8,17 @@ wins (lowest id on ties; ids beyond the score vector are not permitted); the
 walk stops with a result as soon as one sequence is left, and without one
 when nothing permitted is left (then the first function is the fallback).
 
-The sequences, whose size is checked, are shipped sorted to every task.  A
+Sequences up to ``MAX_WALK_CHARS`` are shipped sorted to every task.  A
 stretch of prefixes is then a range of rows, so the trie needs no nodes: a
 walk jumps from branch to branch, and only branches that are reached are
 ever looked at.  Each batch of requests walks to its end in one pass,
 whatever the source of the scores (a vector a request, a score table, a
 model asked at every branch); no shuffle, driver loop or checkpoint.
+
+Larger catalogues stay tables: the trie's edges (``allowed_next``) are joined to the
+walkers by node, one level of the trie after the other, with a checkpoint
+after every few levels.  Results are the same.  Only a live model still gets its
+vocabulary (the distinct tokens) as a list, as its interface asks for it.
 """
 
 from __future__ import annotations
@@ -32,10 +37,15 @@ from pyspark.sql import types as T
 
 from callsmith import fixed
 from callsmith.operators.catalog import CatalogError, dedupe_catalog
+from callsmith.operators.prefix import allowed_next
+from callsmith.session import ensure_checkpoint_dir
 
 SEQ_TOKEN_PATTERN = r"[A-Za-z0-9]+|[^A-Za-z0-9\s]"
-# Largest catalogue (characters of its compact JSON) whose sequences are shipped to every task.
-MAX_WALK_CHARS = 1 << 28
+# Largest catalogue (characters of its compact JSON, each name once) whose sequences are collected and
+# shipped to every task: about 2 M tokens, some 200 MB as Python lists on the driver.
+MAX_WALK_CHARS = 1 << 23
+# Levels of the trie that a walk by joins does between two checkpoints.
+LEVELS = 4
 
 WALK_FIELDS = [T.StructField("fn_ord", T.LongType()), T.StructField("fn_name", T.StringType()),
                T.StructField("walk_steps", T.IntegerType()), T.StructField("walk_unique", T.BooleanType()),
@@ -138,18 +148,184 @@ class Paths:
         return self.ords[at], self.names[at], steps, place >= 0, failed
 
 
-def load_paths(catalog: DataFrame) -> Paths:
-    """The sequences of a catalogue (a repeated name once, A1), whose size is checked first."""
+def load_paths(catalog: DataFrame) -> Paths | None:
+    """The sequences of a catalogue (a repeated name once, A1), whose size is checked first; None
+    where they are too large to be collected."""
+    catalog = dedupe_catalog(catalog)
     size = catalog.agg(F.sum(F.length(definition_json())).alias("n")).first()["n"]
     if not size:
         raise CatalogError("function catalogue is empty")
     if size > MAX_WALK_CHARS:
-        raise ValueError(f"catalogue of {size} characters is too large to ship to every task")
-    rows = catalog_sequences(dedupe_catalog(catalog)).collect()
+        return None
+    rows = catalog_sequences(catalog).collect()
     vocab = sorted({t for r in rows for t in r["tokens"]})
     return Paths.of([(r["ord"], r["fn_name"], r["ids"]) for r in rows], vocab)
 
 
+class Trie:
+    """A large catalogue's trie as tables, and walks over it by joins.
+
+    A walk's state has any columns, and ``node, depth`` (where it is; ``depth`` tokens are
+    walked), ``live`` (goes on), ``found`` (ord of the sequence) and ``failed``.
+    """
+
+    def __init__(self, catalog: DataFrame):
+        ensure_checkpoint_dir(catalog.sparkSession)
+        self.seqs = catalog_sequences(dedupe_catalog(catalog)).checkpoint()
+        self.edges = allowed_next(self.seqs, "ord", "ids").checkpoint()
+        top = self.seqs.agg(F.min("ord").alias("first"), F.min_by("fn_name", "ord").alias("name"),
+                            F.max(F.size("ids")).alias("depth")).first()
+        self.first, self.name, self.depth = top["first"], top["name"], top["depth"]
+
+    def nodes(self, below: int | None = None) -> DataFrame:
+        """``(node_seq, depth, edges)``: a node's edges in token order; only tokens below ``below``."""
+        edges = self.edges if below is None else self.edges.filter(F.col("next_token") < below)
+        return edges.groupBy("node_seq", "depth").agg(F.array_sort(F.collect_list(
+            F.struct("next_token", "n_seqs", F.col("child_seq").cast("bigint").alias("child_seq")))).alias(
+            "edges")).checkpoint()
+
+    def start(self, rows: DataFrame) -> DataFrame:
+        return rows.select("*", F.lit(self.first).cast("bigint").alias("node"), F.lit(0).alias("depth"),
+                           F.lit(True).alias("live"), F.lit(None).cast("bigint").alias("found"),
+                           F.lit(False).alias("failed"))
+
+    @staticmethod
+    def at_nodes(state: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
+        """The state with the ``edges`` of each live walker's node (null: none)."""
+        here = nodes.filter(F.col("depth") == level).select(
+            F.col("node_seq").alias("of_node"), F.lit(level).alias("of_depth"), "edges")
+        return state.join(here, F.col("live") & (F.col("node") == F.col("of_node"))
+                          & (F.col("depth") == F.col("of_depth")), "left").drop("of_node", "of_depth")
+
+    @staticmethod
+    def moved(state: DataFrame) -> DataFrame:
+        """Live walkers follow ``pick`` (a struct with n_seqs and child_seq; null: they end)."""
+        on = F.col("live") & F.col("pick").isNotNull()
+        keep = [c for c in state.columns if c not in ("node", "depth", "live", "found", "failed", "pick")]
+        return state.select(
+            *keep, F.when(on, F.col("pick.child_seq")).otherwise(F.col("node")).alias("node"),
+            (F.col("depth") + on.cast("int")).alias("depth"),
+            (on & (F.col("pick.n_seqs") > 1)).alias("live"),
+            F.when(on & (F.col("pick.n_seqs") == 1), F.col("pick.child_seq")).otherwise(
+                F.col("found")).alias("found"), "failed")
+
+    def walk(self, state: DataFrame, step: Callable[[DataFrame, int], DataFrame],
+             levels: int | None = None) -> DataFrame:
+        """All walkers with ``WALK_FIELDS``; ``step(state, level)`` does one level.  A stream takes
+        no checkpoint and does as many levels as the trie has."""
+        ended = None
+        for level in range(self.depth):
+            state = step(state, level)
+            if not state.isStreaming and (level + 1) % (levels or LEVELS) == 0:
+                state = state.checkpoint()
+                done = state.filter(~F.col("live"))
+                ended = done if ended is None else ended.unionByName(done)
+                state = state.filter("live")
+                if state.isEmpty():
+                    break
+        state = state if ended is None else ended.unionByName(state)
+        names = self.seqs.select(F.col("ord").alias("of_ord"), F.col("fn_name").alias("of_name"))
+        state = state.join(names, F.col("found") == F.col("of_ord"), "left")
+        keep = [c for c in state.columns
+                if c not in ("node", "depth", "live", "found", "failed", "of_ord", "of_name")]
+        return state.select(
+            *keep, F.coalesce("found", F.lit(self.first).cast("bigint")).alias("fn_ord"),
+            F.coalesce("of_name", F.lit(self.name)).alias("fn_name"),
+            F.col("depth").cast("int").alias("walk_steps"), F.col("found").isNotNull().alias("walk_unique"),
+            F.col("failed").alias("walk_failed"))
+
+
+def _packed(requests: DataFrame) -> DataFrame:
+    return requests.select(F.struct(*requests.columns).alias("request"))
+
+
+def _unpacked(walked: DataFrame, requests: DataFrame) -> DataFrame:
+    return walked.select(*[F.col("request")[c].alias(c) for c in requests.columns],
+                         *[f.name for f in WALK_FIELDS])
+
+
+def _join_walk_vectors(requests: DataFrame, catalog: DataFrame, scores_col: str) -> DataFrame:
+    trie = Trie(catalog)
+    longest = None if requests.isStreaming else requests.agg(
+        F.max(F.size(scores_col)).alias("n")).first()["n"] or 0
+    nodes = trie.nodes(longest)
+    scores = F.col("request")[scores_col]
+
+    def step(state: DataFrame, level: int) -> DataFrame:
+        usable = F.filter("edges", lambda e: e["next_token"] < F.coalesce(F.size(scores), F.lit(0)))
+        # Largest score first (NaN above all), then the lowest id.
+        ranked = F.transform(usable, lambda e: F.struct(
+            F.coalesce(F.get(scores, e["next_token"]).cast("double"), F.lit(float("-inf"))).alias("score"),
+            (-e["next_token"]).alias("by_id"), e["n_seqs"].alias("n_seqs"), e["child_seq"].alias("child_seq")))
+        at = trie.at_nodes(state, nodes, level).withColumn("pick", F.array_max(ranked)).drop("edges")
+        return trie.moved(at)
+
+    return _unpacked(trie.walk(trie.start(_packed(requests)), step), requests)
+
+
+def _join_walk_table(walkers: DataFrame, catalog: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    trie = Trie(catalog)
+    known = known.select(F.col(key).alias("of_key"), "step", F.col("token_id").alias("token"), "score")
+
+    def step(state: DataFrame, level: int) -> DataFrame:
+        edges = trie.edges.filter(F.col("depth") == level).select("node_seq", "next_token", "n_seqs",
+                                                                       F.col("child_seq").cast("bigint"))
+        best = state.filter("live").join(known.filter(F.col("step") == level),
+                                         F.col("key").eqNullSafe(F.col("of_key"))).join(
+            edges, (F.col("node") == F.col("node_seq")) & (F.col("token") == F.col("next_token"))).groupBy(
+            F.col("key").alias("of_key")).agg(F.max(F.struct(
+                "score", (-F.col("next_token")).alias("by_id"), "n_seqs", "child_seq")).alias("pick"))
+        return trie.moved(state.join(best, F.col("key").eqNullSafe(F.col("of_key")), "left").drop("of_key"))
+
+    state = trie.start(walkers.select(F.col(key).alias("key")).distinct())
+    walked = trie.walk(state, step, levels=1).withColumnRenamed("key", "of_key")
+    return walkers.select(key).join(walked, walkers[key].eqNullSafe(F.col("of_key"))).select(
+        key, *[f.name for f in WALK_FIELDS])
+
+
+def _join_walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
+                     context: bool) -> DataFrame:
+    trie = Trie(catalog)
+    vocab = [r["t"] for r in trie.seqs.select(F.explode("tokens").alias("t")).distinct().collect()]
+    vocab.sort()
+    functions = ", ".join(r["fn_name"] for r in trie.seqs.select("ord", "fn_name").orderBy(
+        "ord").collect()) if context else ""
+    nodes = trie.nodes()
+    picked = T.StructType([T.StructField("n_seqs", T.LongType()), T.StructField("child_seq", T.LongType())])
+    pick_type = pa.struct([("n_seqs", pa.int64()), ("child_seq", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = dict(zip(b.schema.names, b.columns))
+            texts, ids, edges, live, failed = (cols[c].to_pylist() for c in (
+                "text", "ids", "edges", "live", "failed"))
+            if context:
+                texts = [fixed.SELECTION_CONTEXT.format(functions=functions, prompt=t or "") for t in texts]
+            picks: list[dict | None] = [e[0] if on and e else None for e, on in zip(edges, live)]
+            rows = [i for i, e in enumerate(edges) if live[i] and e and len(e) > 1]
+            scored = _asked(scorer, vocab, pd.Series([texts[i] for i in rows], dtype=object),
+                            [ids[i] for i in rows]) if rows else []
+            for i, v in zip(rows, scored):
+                tokens = np.array([e["next_token"] for e in edges[i]], np.int64)
+                usable = tokens[:np.searchsorted(tokens, len(v))] if v is not None else tokens[:0]
+                picks[i] = edges[i][int(np.argmax(v[usable]))] if len(usable) else None
+                failed[i] = v is None
+            ids = [i + [p["next_token"]] if p else i for i, p in zip(ids, picks)]
+            cols |= {"ids": pa.array(ids, pa.list_(pa.int64())), "failed": pa.array(failed, pa.bool_()),
+                     "pick": pa.array([p and {k: p[k] for k in ("n_seqs", "child_seq")} for p in picks], pick_type)}
+            yield pa.RecordBatch.from_arrays([cols[n] for n in names], names)
+
+    names = ["request", "text", "ids", "node", "depth", "live", "found", "failed", "pick"]
+
+    def step(state: DataFrame, level: int) -> DataFrame:
+        schema = T.StructType([*(state.schema[n] for n in names[:-1]), T.StructField("pick", picked)])
+        return trie.moved(trie.at_nodes(state, nodes, level).mapInArrow(run, schema))
+
+    state = trie.start(requests.select(F.struct(*requests.columns).alias("request"), F.col(text_col).alias("text"),
+                                       F.array().cast("array<bigint>").alias("ids")))
+    return _unpacked(trie.walk(state, step, levels=1), requests)
+
+
 def walk_vector(paths: Paths, scores: np.ndarray) -> tuple[int, int]:
     """One request's walk under one score vector (lowest id on ties, NaN above all)."""
     def permitted(_step, tokens):
@@ -184,6 +360,8 @@ def constrained_walk(requests: DataFrame, catalog: DataFrame, scores_col: str) -
     others, a null vector permits nothing.
     """
     paths = load_paths(catalog)
+    if paths is None:
+        return _join_walk_vectors(requests, catalog, scores_col)
     place = requests.columns.index(scores_col)
 
     def results(b: pa.RecordBatch) -> list[tuple]:
@@ -210,6 +388,10 @@ def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataF
     """
     paths = load_paths(catalog)
     names = [f.name for f in WALK_FIELDS]
+    known = scores.select(key, "step", "token_id", F.coalesce(
+        F.col("score").cast("double"), F.lit(float("-inf"))).alias("score"))
+    if paths is None:
+        return _join_walk_table(walkers, catalog, known, key)
 
     def walk(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         table: dict[tuple[int, int], float] = {}
@@ -229,12 +411,32 @@ def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataF
         result = paths.result(*paths.walk(permitted, choose)) if len(own) else ()
         return pd.DataFrame([(k, *result) for k in own[key]], columns=[key, *names])
 
-    known = scores.select(key, "step", "token_id", F.coalesce(
-        F.col("score").cast("double"), F.lit(float("-inf"))).alias("score"))
     schema = T.StructType([walkers.schema[key], *WALK_FIELDS])
     return walkers.select(key).groupBy(key).cogroup(known.groupBy(key)).applyInPandas(walk, schema)
 
 
+def _asked(scorer, vocab: list[str], texts: pd.Series, ids: list[list[int]]) -> list[np.ndarray | None]:
+    """The model's vector for each text and its generated ids; None where it raises or gives none."""
+    def ask(some: slice) -> list[np.ndarray]:
+        own = texts.iloc[some].reset_index(drop=True)
+        given = scorer.vectors(own, pd.Series(ids[some], dtype=object), vocab)
+        given = [np.asarray(v, np.float64).reshape(-1) for v in given]
+        if len(given) != len(own):
+            raise ValueError("the scorer must give one vector a text")
+        return given
+
+    try:
+        return ask(slice(None))
+    except Exception:  # a scorer is user code: only the rows it cannot score fail
+        out: list[np.ndarray | None] = []
+        for i in range(len(texts)):
+            try:
+                out += ask(slice(i, i + 1))
+            except Exception:
+                out.append(None)
+        return out
+
+
 def walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
                context: bool = False) -> DataFrame:
     """Add the walk's columns to every request; a live model (``ModelScorer``) gives the scores.
@@ -247,29 +449,11 @@ def walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
     ``context`` the model is shown the selection context (F20) instead of the bare text.
     """
     paths = load_paths(catalog)
+    if paths is None:
+        return _join_walk_model(requests, catalog, scorer, text_col, context)
     place = requests.columns.index(text_col)
     functions = ", ".join(n for _, n in sorted(zip(paths.ords, paths.names)))
 
-    def vectors(texts: pd.Series, ids: list[list[int]]) -> list[np.ndarray | None]:
-        def ask(some: slice) -> list[np.ndarray]:
-            own = texts.iloc[some].reset_index(drop=True)
-            given = scorer.vectors(own, pd.Series(ids[some], dtype=object), paths.vocab)
-            given = [np.asarray(v, np.float64).reshape(-1) for v in given]
-            if len(given) != len(own):
-                raise ValueError("the scorer must give one vector a text")
-            return given
-
-        try:
-            return ask(slice(None))
-        except Exception:  # a scorer is user code: only the rows it cannot score fail
-            out: list[np.ndarray | None] = []
-            for i in range(len(texts)):
-                try:
-                    out += ask(slice(i, i + 1))
-                except Exception:
-                    out.append(None)
-            return out
-
     def results(b: pa.RecordBatch) -> list[tuple]:
         texts = b.column(place).to_pylist()
         if context:
@@ -302,7 +486,7 @@ def walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
             for i, shared, _, _ in asked:
                 ids[i].extend(shared.tolist())
             rows = [a[0] for a in asked]
-            scored = vectors(texts.iloc[rows], [ids[i] for i in rows]) if rows else []
+            scored = _asked(scorer, paths.vocab, texts.iloc[rows], [ids[i] for i in rows]) if rows else []
             for (i, _, tokens, ranges), v in zip(asked, scored):
                 usable = tokens[:np.searchsorted(tokens, len(v))] if v is not None else tokens[:0]
                 if len(usable):
