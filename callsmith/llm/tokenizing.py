@@ -1,4 +1,4 @@
-"""Token ids of whole texts with a public tokenizer file (operators 3 and 10).
+"""Token ids of whole texts with a public tokenizer file (operators 3, 10 and 12).
 
 Both tokenizers of the contracts treat a run of non-space characters the same
 way wherever it stands, so a text is cut at white space, each distinct run is
@@ -8,6 +8,11 @@ text's ids are then one ``bytes.join``.  Runs of plain Latin characters go
 straight to the library's BPE model; every other run goes through the whole
 library pipeline.
 
+The caches have two generations: what is used moves to the young one, and when that
+is full the old one goes, so frequent runs stay.  An encoder compares itself with the library on
+``PROBES`` when it is built, and leaves every text to the library where they differ (another kind of
+tokenizer file).
+
 Control strings inside a text (``<|endoftext|>``) are ordinary text.  Null
 texts are empty and have no ids.
 """
@@ -17,8 +22,8 @@ from __future__ import annotations
 import re
 from array import array
 
-RUN_ENTRIES = 600_000
-PIECE_ENTRIES = 150_000
+RUN_ENTRIES = 400_000  # of one generation
+PIECE_ENTRIES = 250_000
 
 # Runs that carry their white space the way the byte-level pre-tokenizer does.
 _BYTE_RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -26,7 +31,9 @@ _WORD_RUNS = re.compile(r"\S+")
 # \x1c-\x1f are white space for Python only: texts that hold them are not cut.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
-_SPECIAL = "<|"
+PROBES = ["Plain words, and more words.\nA line\n\n  two  spaces\tand a tab \n", "don't WE'RE I'll 'twas it's",
+          "x=1234.5; y[0]!=7 (a) <|b|> <|", "Été coöperate straße ИМЯ 中文 ﬁ e\u0301 é \u3000wide space",
+          "<|endoftext|> x<|endoftext|>", " lead", "trail ", "\n", "😀 a😀b", "ǅ İi ΑΣ Σ", "odd\x1cspace"]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -58,36 +65,52 @@ class TextEncoder:
 
         class Cache(dict):
             def __init__(self, ids, most: int):
-                self.ids, self.most = ids, most
+                self.ids, self.most, self.old = ids, most, {}
 
             def __missing__(self, key: str) -> bytes:
-                if len(self) >= self.most:
-                    self.clear()
-                packed = self.ids(key)
+                packed = self.old.pop(key, None)
+                if packed is None:
+                    packed = self.ids(key)
                 if len(key) <= 64:
+                    if len(self) >= self.most:
+                        self.old = dict(self)
+                        self.clear()
                     self[key] = packed
                 return packed
 
+        space, tokenize = to_letters[32], model.tokenize
+
         def piece_ids(piece: str) -> bytes:
-            if not piece.isascii() or " " in piece or "\n" in piece:
+            if not piece.isascii() or "\n" in piece:
                 piece = "".join([to_letters[b] for b in piece.encode()])
-            return array("I", [t.id for t in model.tokenize(piece)]).tobytes()
+            elif piece[0] == " ":
+                piece = space + piece[1:]
+            return array("I", [t.id for t in tokenize(piece)]).tobytes()
 
         by_piece = Cache(piece_ids, PIECE_ENTRIES)
 
         def run_ids(run: str) -> bytes:
+            word = run.rstrip(".,")  # most runs are one ASCII word and a mark
+            if word and word.isascii() and (word[1:] if word[0] == " " else word).isalpha():
+                ids = by_piece[word.lower() if words else word]
+                return ids + by_piece[run[len(word):]] if len(word) < len(run) else ids
             if not plain.fullmatch(run):
-                return array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+                return self._library(run)
             return b"".join([by_piece[p] for p in pieces(run.lower() if words else run)])
 
         self.cache = Cache(run_ids, RUN_ENTRIES)
+        self.whole = False
+        self.whole = any(self.packed(p) != self._library(p) for p in PROBES)
+
+    def _library(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def packed(self, text: str | None) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if _ODD_SPACE.search(text):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.whole or _ODD_SPACE.search(text):
+            return self._library(text)
         return b"".join(map(self.cache.__getitem__, self.runs.findall(text)))
 
 
