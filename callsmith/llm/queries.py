@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callsmith.llm import (ann, chat, decontaminate, html_blocks, langid, licenses, packing, pii,
-                           simhash, token_files)
+                           simhash, token_files, whitening)
 from callsmith.llm.common import shared_path
 from callsmith.session import table
 
@@ -90,6 +90,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_decontaminate, op2_simhash, op3_packing, op4_chat, op5_licenses, op6_pii, op7_language,
-    op8_html, op9_neighbours, op10_token_files)}
+    op8_html, op9_neighbours, op10_token_files, op11_whitening)}
