@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callsmith.llm import (ann, chat, decontaminate, html_blocks, langid, licenses, packing, pii,
+from callsmith.llm import (alignment, ann, chat, decontaminate, html_blocks, langid, licenses, packing, pii,
                            simhash, token_files, whitening)
 from callsmith.llm.common import shared_path
 from callsmith.session import table
@@ -94,6 +94,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                                     tokenizer_file("piece_bpe_32k.model"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_decontaminate, op2_simhash, op3_packing, op4_chat, op5_licenses, op6_pii, op7_language,
-    op8_html, op9_neighbours, op10_token_files, op11_whitening)}
+    op8_html, op9_neighbours, op10_token_files, op11_whitening,
+    op12_alignment)}

@@ -36,7 +36,7 @@ PROBES = ["Plain words, and more words.\nA line\n\n  two  spaces\tand a tab \n",
           "<|endoftext|> x<|endoftext|>", " lead", "trail ", "\n", "😀 a😀b", "ǅ İi ΑΣ Σ", "odd\x1cspace"]
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable bytes stand for themselves, the others
     for the code points from 256 on, in byte order."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -54,7 +54,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.runs = _WORD_RUNS if words else _BYTE_RUNS
-        model, letters = self.tokenizer.model, _byte_letters()
+        model, letters = self.tokenizer.model, byte_letters()
         to_letters = [letters[b] for b in range(256)]
         if words:
             plain = re.compile(f"[{_LATIN}0-9.,;:!?%&$#*()\"+@/=-]+")
