@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callsmith.llm import (alignment, ann, chat, decontaminate, html_blocks, langid, licenses, packing, pii,
-                           simhash, token_files, whitening)
+                           simhash, token_counts, token_files, whitening)
 from callsmith.llm.common import shared_path
 from callsmith.session import table
 
@@ -99,7 +99,12 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      tokenizer_file("piece_bpe_32k.model"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return counted.select("*", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_decontaminate, op2_simhash, op3_packing, op4_chat, op5_licenses, op6_pii, op7_language,
     op8_html, op9_neighbours, op10_token_files, op11_whitening,
-    op12_alignment)}
+    op12_alignment, op13_token_counts)}
