@@ -96,9 +96,7 @@ def select_function(requests: DataFrame, catalog: DataFrame, scorer: LexicalScor
     if hasattr(scorer, "walk"):
         specs = dedupe_catalog(catalog).select(F.col("ord").alias("_ord"),
                                                arg_specs_column().alias("fn_args"))
-        # The walk has checked the catalogue's size.
-        walked = scorer.walk(requests, catalog, text_col).join(
-            F.broadcast(specs), F.col("fn_ord") == F.col("_ord"))
+        walked = scorer.walk(requests, catalog, text_col).join(specs, F.col("fn_ord") == F.col("_ord"))
         return walked.select(*requests.columns, "fn_ord", "fn_name", "fn_args",
                              F.col("walk_steps").alias("fn_score"),
                              (~F.col("walk_unique")).alias("fn_fallback"),

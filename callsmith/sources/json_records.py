@@ -6,8 +6,8 @@ with ``v`` a VARIANT.  Objects are kept, bare strings become
 not an array, becomes one reject row; other files still load.  A missing
 path gives empty tables and one ``missing_path`` reject.
 
-A JSON array cannot be split, so each file is read whole by one task; many
-files are read in parallel.  Large inputs should come as JSON Lines (one
+Each array file is read whole by one task; many files are read in parallel.  A large array
+is read in parallel by ``form="split"`` (``json_split``).  Inputs may also come as JSON Lines (one
 value a line, ``form="lines"``, split like any text) or as a DataFrame of a
 parquet file or table, which ``load_catalog`` and ``load_requests`` also take.
 """
@@ -15,7 +15,7 @@ parquet file or table, which ``load_catalog`` and ``load_requests`` also take.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callsmith.operators.catalog import CATALOG_SCHEMA, CatalogError
@@ -25,6 +25,14 @@ RECORDS_SCHEMA = "source string, ord bigint, v variant"
 REJECTS_SCHEMA = "source string, ord bigint, issue string"
 
 
+def strict_json(text: Column) -> Column:
+    """The text's one JSON value as a VARIANT, else null.  ``try_parse_json`` alone takes a value that other
+    text follows; as the first of two elements it must end where the mark after it begins."""
+    mark = "end of the text"
+    pair = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{mark}"]'))), "$", "array<variant>")
+    return F.when((F.size(pair) == 2) & (F.try_variant_get(F.get(pair, 1), "$", "string") == mark), F.get(pair, 0))
+
+
 def load_json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``(records(source, ord, v), rejects(source, ord, issue))``."""
     try:
@@ -38,7 +46,7 @@ def load_json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
         empty = spark.createDataFrame([], RECORDS_SCHEMA)
         rej = spark.createDataFrame([(path, None, "missing_path")], REJECTS_SCHEMA)
         return empty, rej
-    doc = F.try_parse_json(F.col("value"))
+    doc = strict_json(F.col("value"))
     arr = F.try_variant_get(doc, "$", "array<variant>")
     files = raw.select("source", arr.alias("arr"),
                        F.when(F.col("value").isNull(), F.lit("bad_utf8"))
@@ -59,7 +67,7 @@ def load_json_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("ord"),
         F.try_validate_utf8("value").alias("value")).filter("value is null or trim(value) <> ''")
-    parsed = lines.select("source", "ord", F.try_parse_json("value").alias("v"),
+    parsed = lines.select("source", "ord", strict_json(F.col("value")).alias("v"),
                           F.when(F.col("value").isNull(), F.lit("bad_utf8")).otherwise(F.lit("bad_json"))
                           .alias("issue"))
     records, skipped = _as_records(parsed.filter("v is not null"))
@@ -81,31 +89,33 @@ def _as_records(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records, rejects
 
 
-def load_report(spark: SparkSession, path: str) -> DataFrame:
-    """Per file, elements seen, records kept, and whether a non-empty array kept none."""
-    records, rejects = load_json_records(spark, path)
-    kept = records.groupBy("source").agg(F.count(F.lit(1)).alias("n_records"))
-    skipped = (rejects.filter(F.col("ord").isNotNull()).groupBy("source")
-               .agg(F.count(F.lit(1)).alias("n_skipped")))
-    return (kept.join(skipped, "source", "full")
-            .select("source", F.coalesce("n_records", F.lit(0)).alias("n_records"),
-                    F.coalesce("n_skipped", F.lit(0)).alias("n_skipped"))
+def load_report(spark: SparkSession, path: str, form: str = "array") -> DataFrame:
+    """Per file, records kept, elements skipped, whether it could not be read, and whether a
+    non-empty file kept none.  One aggregate over both outputs of the loader."""
+    records, rejects = _loader(form)(spark, path)
+    seen = records.select("source", F.lit(1).alias("kept"), F.lit(0).alias("skipped"), F.lit(0).alias("unread")).unionByName(
+        rejects.select("source", F.lit(0).alias("kept"), F.col("ord").isNotNull().cast("int").alias("skipped"),
+                       F.col("ord").isNull().cast("int").alias("unread")))
+    return (seen.groupBy("source").agg(F.sum("kept").alias("n_records"), F.sum("skipped").alias("n_skipped"),
+                                       (F.max("unread") > 0).alias("unread"))
             .withColumn("no_valid_items", (F.col("n_records") == 0) & (F.col("n_skipped") > 0)))
 
 
-def records_to_catalog(records: DataFrame) -> DataFrame:
-    """Definitions projected from the records (unknown fields ignored)."""
+def records_to_catalog(records: DataFrame, unique_ord: bool = False) -> DataFrame:
+    """Definitions projected from the records (unknown fields ignored); ``unique_ord`` says that
+    ``ord`` does not restart in each file."""
     v = F.col("v")
 
     def str_field(name):
         f = F.try_variant_get(v, f"$.{name}", "variant")
         return F.when(F.schema_of_variant(f) == "STRING", F.try_variant_get(v, f"$.{name}", "string"))
 
-    # ``ord`` restarts in each file; files follow each other in path order.
-    files = records.select("source").distinct().select(
-        F.col("source").alias("_source"),
-        (F.row_number().over(Window.orderBy("source")) - 1).cast("bigint").alias("_file"))
-    records = records.join(F.broadcast(files), F.col("source") == F.col("_source"))
+    if not unique_ord:  # files follow each other in path order
+        files = records.select("source").distinct().select(
+            F.col("source").alias("_source"),
+            (F.row_number().over(Window.orderBy("source")) - 1).cast("bigint").alias("_file"))
+        records = records.join(files, F.col("source") == F.col("_source")).withColumn(
+            "ord", F.col("_file") * F.lit(1 << 32) + F.col("ord"))
 
     def kind(name):
         return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
@@ -123,7 +133,7 @@ def records_to_catalog(records: DataFrame) -> DataFrame:
              .when(F.exists(F.map_values(types), lambda t: F.schema_of_variant(t) != "STRING"),
                    F.lit("args_types")))
     return records.select(
-        (F.col("_file") * F.lit(1 << 32) + F.col("ord")).cast("bigint").alias("ord"),
+        F.col("ord").cast("bigint").alias("ord"),
         str_field("fn_name").alias("fn_name"),
         F.try_variant_get(v, "$.args_names", "array<string>").alias("args_names"),
         F.try_variant_get(v, "$.args_types", "map<string,string>").alias("args_types"),
@@ -146,19 +156,28 @@ def table_to_catalog(definitions: DataFrame) -> DataFrame:
         for f in CATALOG_SCHEMA.fields[1:]])
 
 
+def _loader(form: str):
+    """The loader of a form of files."""
+    from callsmith.sources.json_split import load_json_splits
+    loaders = {"array": load_json_records, "lines": load_json_lines, "split": load_json_splits}
+    if form not in loaders:
+        raise ValueError(f"unknown form {form!r}: one of {', '.join(loaders)}")
+    return loaders[form]
+
+
 def load_catalog(spark: SparkSession, source: str | DataFrame, strict: bool = True,
                  form: str = "array") -> DataFrame:
-    """S8 + P4-P9: a validated catalogue (aborts when strict) from a path to JSON arrays, to JSON
-    Lines (``form="lines"``), or from a DataFrame."""
+    """S8 + P4-P9: a validated catalogue (aborts when strict) from a path to JSON arrays (``form="split"``:
+    large ones, read in parallel), to JSON Lines (``form="lines"``), or from a DataFrame."""
     from callsmith.operators.catalog import dedupe_catalog, validate_catalog
     if isinstance(source, DataFrame):
         definitions = table_to_catalog(source)
     else:
-        records, rejects = (load_json_lines if form == "lines" else load_json_records)(spark, source)
+        records, rejects = _loader(form)(spark, source)
         unread = rejects if form == "lines" else rejects.filter(F.col("ord").isNull())
         if strict and unread.limit(1).count():
             raise ValueError(f"cannot read function definitions from {source}")
-        definitions = records_to_catalog(records)
+        definitions = records_to_catalog(records, unique_ord=form == "lines")
     valid, _ = validate_catalog(definitions, strict=strict)
     return dedupe_catalog(valid).select(*CATALOG_SCHEMA.fieldNames())
 
@@ -167,11 +186,11 @@ def load_requests(spark: SparkSession, source: str | DataFrame, form: str = "arr
                   text_col: str = "prompt") -> tuple[DataFrame, DataFrame]:
     """S9 + P1/P2/P16: ``(valid(source, req_id, prompt), rejects)``; ``req_id`` is 1-based.
 
-    From a path to JSON arrays, to JSON Lines (``form="lines"``, ``req_id`` unique only), or from a
-    DataFrame, whose other columns stay and whose rejects keep them with their ``issue``."""
+    From a path to JSON arrays (``form="split"``: large ones, read in parallel), to JSON Lines
+    (``form="lines"``, ``req_id`` unique only), or from a DataFrame, whose other columns stay and whose rejects keep them with their ``issue``."""
     if isinstance(source, DataFrame):
         return validate_requests(source.withColumnRenamed(text_col, "prompt"), "prompt")
-    records, load_rejects = (load_json_lines if form == "lines" else load_json_records)(spark, source)
+    records, load_rejects = _loader(form)(spark, source)
     p = F.try_variant_get(F.col("v"), "$.prompt", "variant")
     reqs = records.select("source", (F.col("ord") + 1).alias("req_id"),
                           F.try_variant_get(F.col("v"), "$.prompt", "string").alias("prompt"),
