@@ -96,15 +96,16 @@ def decode_calls(raw_calls: DataFrame, catalog: DataFrame, name_col: str = "raw_
     ``args_col`` is a VARIANT holding an object (or NULL = no arguments).  A
     non-object payload cannot be read and turns the call into the fallback (a
     JSON null only where the function declares arguments to look up),
-    as does a blank request text when ``text_col`` is given (P12, P13).
+    as does a blank request text when ``text_col`` is given (P12, P13), which comes back stripped.
     """
     resolved = resolve_function(raw_calls, catalog, name_col)
     kind = F.schema_of_variant(F.col(args_col))
     bad_payload = (F.col(args_col).isNotNull() & ~kind.startswith("OBJECT")
                    & ((kind != "VOID") | (F.size("fn_args") > 0)))
     if text_col is not None:
-        from callsmith.functions.text import is_blank
+        from callsmith.functions.text import is_blank, strip_ws
         bad_payload = bad_payload | F.coalesce(is_blank(F.col(text_col)), F.lit(True))
+        resolved = resolved.withColumn(text_col, strip_ws(F.col(text_col)))
     staged = with_first_function(resolved.withColumn("_bad", bad_payload), catalog)
     # The parsed payload rides in the fold's accumulator so it is parsed once
     # per call; each value is then read once (kind and text, then number).

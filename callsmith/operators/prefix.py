@@ -101,6 +101,46 @@ def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -
                         "n_seqs", "child_seq")
 
 
+def radix_edges(edges: DataFrame) -> DataFrame:
+    """Path-compressed trie edges ``(node_seq, depth, token, run, n_seqs, child_seq, next_edges)`` from
+    those of ``allowed_next``.
+
+    Along a stretch without a branch the same sequences go on, so its edges have one name and one
+    count: one aggregate joins them.  ``run`` holds the tokens that ``token`` forces (none where one
+    sequence is left, which needs no further walk), ``next_edges`` the edges of the node at its end.
+    """
+    runs = edges.groupBy("child_seq", "n_seqs").agg(
+        F.min(F.struct("depth", "next_token", "node_seq")).alias("f"),
+        F.array_sort(F.collect_list(F.when(F.col("n_seqs") > 1, F.struct("depth", "next_token")))).alias("t")).select(
+        "f.node_seq", "f.depth", F.col("f.next_token").alias("token"),
+        F.slice(F.col("t.next_token"), F.lit(2), F.greatest(F.size("t") - 1, F.lit(0))).alias("run"), "n_seqs", "child_seq")
+    widths = runs.groupBy(F.col("node_seq").alias("of"), F.col("depth").alias("at")).agg(
+        F.count(F.lit(1)).alias("next_edges"))
+    return runs.join(widths, (F.col("child_seq") == F.col("of"))
+                     & (F.col("depth") + 1 + F.size("run") == F.col("at")), "left").select(
+        *runs.columns, F.coalesce("next_edges", F.lit(0)).cast("bigint").alias("next_edges"))
+
+
+def dense_ranks(values: DataFrame, col: str) -> DataFrame:
+    """``(col, id)``: the place (from 0) of each distinct value in ascending order, without a one-task window.
+
+    The values are range-partitioned (Spark samples the ranges), counted by range, and
+    ranked within theirs; the driver sees one count a range."""
+    from callsmith.session import ensure_checkpoint_dir
+    spark = values.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = values.select(col).repartitionByRange(n, col).withColumn("_range", F.spark_partition_id()).checkpoint()
+    before, offsets = 0, []
+    for r in sorted(ranged.groupBy("_range").count().collect(), key=lambda r: r["_range"]):
+        offsets.append((r["_range"], before))
+        before += r["count"]
+    starts = spark.createDataFrame(offsets, "_of int, _before bigint")
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(col)) - 1
+    return ranged.withColumn("_at", within).join(F.broadcast(starts), F.col("_range") == F.col("_of")).select(
+        col, (F.col("_before") + F.col("_at")).alias("id"))
+
+
 def prefix_key(tokens: Column) -> Column:
     """Key ``struct(n, p0..p3)`` of a whole token array, equal to ``prefix_rows``'
     parent key of a row at position ``n`` (so a generated prefix can be looked

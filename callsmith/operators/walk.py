@@ -15,10 +15,13 @@ ever looked at.  Each batch of requests walks to its end in one pass,
 whatever the source of the scores (a vector a request, a score table, a
 model asked at every branch); no shuffle, driver loop or checkpoint.
 
-Larger catalogues stay tables: the trie's edges (``allowed_next``) are joined to the
-walkers by node, one level of the trie after the other, with a checkpoint
-after every few levels.  Results are the same.  Only a live model still gets its
-vocabulary (the distinct tokens) as a list, as its interface asks for it.
+Larger catalogues stay tables: the trie's edges (``allowed_next``) are path-compressed, so that an edge carries the
+whole run of tokens that it forces (``radix_edges``).  Each round joins the walkers to the edges of
+their node, one row a permitted edge, and keeps the best by a combinable maximum, so there are as many
+rounds as branches on a path, not tokens, and no node's edges are gathered.  A few rounds
+lie between two checkpoints.  Results are the same.  Token ids come from range-partitioned
+ranks.  Only a live model still gets its vocabulary (the distinct tokens) as a list, as its
+interface asks for it; on a stream, where nothing can be aggregated, a node's edges travel as an array.
 """
 
 from __future__ import annotations
@@ -31,21 +34,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsmith import fixed
 from callsmith.operators.catalog import CatalogError, dedupe_catalog
-from callsmith.operators.prefix import allowed_next
+from callsmith.operators.prefix import allowed_next, dense_ranks, radix_edges
 from callsmith.session import ensure_checkpoint_dir
 
 SEQ_TOKEN_PATTERN = r"[A-Za-z0-9]+|[^A-Za-z0-9\s]"
 # Largest catalogue (characters of its compact JSON, each name once) whose sequences are collected and
 # shipped to every task: about 2 M tokens, some 200 MB as Python lists on the driver.
 MAX_WALK_CHARS = 1 << 23
-# Levels of the trie that a walk by joins does between two checkpoints.
-LEVELS = 4
+# Rounds (branches) that a walk by joins does between two checkpoints.
+ROUNDS = 3
 
 WALK_FIELDS = [T.StructField("fn_ord", T.LongType()), T.StructField("fn_name", T.StringType()),
                T.StructField("walk_steps", T.IntegerType()), T.StructField("walk_unique", T.BooleanType()),
@@ -62,13 +65,12 @@ def catalog_sequences(catalog: DataFrame) -> DataFrame:
     """K9: ``(ord, fn_name, tokens ARRAY<STRING>, ids ARRAY<INT>)``.
 
     Ids are ranks of the distinct tokens of the catalogue (``ord`` unique) in
-    binary string order, joined to the tokens, whatever their number.
+    binary string order (``dense_ranks``), joined to the tokens, whatever their number.
     """
     toks = catalog.select("ord", "fn_name", F.regexp_extract_all(
         definition_json(), F.lit(SEQ_TOKEN_PATTERN), F.lit(0)).alias("tokens"))
     placed = toks.select("ord", F.posexplode("tokens").alias("pos", "token"))
-    ranks = placed.select("token").distinct().select(
-        "token", (F.row_number().over(Window.orderBy("token")) - 1).alias("id"))
+    ranks = dense_ranks(placed.select("token").distinct(), "token").withColumn("id", F.col("id").cast("int"))
     ids = placed.join(ranks, "token").groupBy("ord").agg(
         F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("placed"))
     return toks.join(ids, "ord").select("ord", "fn_name", "tokens", F.col("placed.id").alias("ids"))
@@ -163,26 +165,35 @@ def load_paths(catalog: DataFrame) -> Paths | None:
 
 
 class Trie:
-    """A large catalogue's trie as tables, and walks over it by joins.
+    """A large catalogue's path-compressed trie as tables, and walks over it by joins.
 
     A walk's state has any columns, and ``node, depth`` (where it is; ``depth`` tokens are
     walked), ``live`` (goes on), ``found`` (ord of the sequence) and ``failed``.
     """
 
+    STATE = ("node", "depth", "live", "found", "failed")
+
     def __init__(self, catalog: DataFrame):
         ensure_checkpoint_dir(catalog.sparkSession)
         self.seqs = catalog_sequences(dedupe_catalog(catalog)).checkpoint()
-        self.edges = allowed_next(self.seqs, "ord", "ids").checkpoint()
-        top = self.seqs.agg(F.min("ord").alias("first"), F.min_by("fn_name", "ord").alias("name"),
-                            F.max(F.size("ids")).alias("depth")).first()
-        self.first, self.name, self.depth = top["first"], top["name"], top["depth"]
-
-    def nodes(self, below: int | None = None) -> DataFrame:
-        """``(node_seq, depth, edges)``: a node's edges in token order; only tokens below ``below``."""
-        edges = self.edges if below is None else self.edges.filter(F.col("next_token") < below)
-        return edges.groupBy("node_seq", "depth").agg(F.array_sort(F.collect_list(
-            F.struct("next_token", "n_seqs", F.col("child_seq").cast("bigint").alias("child_seq")))).alias(
-            "edges")).checkpoint()
+        self.edges = radix_edges(allowed_next(self.seqs, "ord", "ids")).select(
+            F.col("node_seq").cast("bigint").alias("parent"), F.col("depth").alias("at"), "token", "run", "n_seqs",
+            F.col("child_seq").cast("bigint").alias("child"), "next_edges").checkpoint()
+        top = self.seqs.agg(F.min("ord").alias("first"), F.min_by("fn_name", "ord").alias("name")).first()
+        self.first, self.name = top["first"], top["name"]
+        self.arrays: DataFrame | None = None
+        self.root_edges = self.edges.filter("at = 0").count()
+
+    def rounds(self) -> int:
+        """The most edges on a path."""
+        here = self.edges.filter("at = 0")
+        found = 0
+        while not here.isEmpty():
+            found += 1
+            ends = here.filter("n_seqs > 1").select(F.col("child").alias("of"), (F.col("at") + 1 + F.size("run")).alias("upto"))
+            here = self.edges.join(ends, (F.col("parent") == F.col("of")) & (F.col("at") == F.col("upto"))).drop(
+                "of", "upto").checkpoint()
+        return found
 
     def start(self, rows: DataFrame) -> DataFrame:
         return rows.select("*", F.lit(self.first).cast("bigint").alias("node"), F.lit(0).alias("depth"),
@@ -190,44 +201,74 @@ class Trie:
                            F.lit(False).alias("failed"))
 
     @staticmethod
-    def at_nodes(state: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
-        """The state with the ``edges`` of each live walker's node (null: none)."""
-        here = nodes.filter(F.col("depth") == level).select(
-            F.col("node_seq").alias("of_node"), F.lit(level).alias("of_depth"), "edges")
-        return state.join(here, F.col("live") & (F.col("node") == F.col("of_node"))
+    def ranked(score: Column, edge: Column | None = None) -> Column:
+        """An edge (a struct, or the row's columns) with its score: the largest is taken (NaN above all,
+        null below), then the lowest token."""
+        def of(c: str) -> Column:
+            return F.col(c) if edge is None else edge[c]
+
+        return F.struct(F.coalesce(score.cast("double"), F.lit(float("-inf"))).alias("score"),
+                        (-of("token")).alias("by_id"), *(of(c).alias(c) for c in ("n_seqs", "child", "run", "next_edges")))
+
+    def best_edges(self, state: DataFrame, key: str, scores: Column) -> DataFrame:
+        """The state with ``pick``, the best permitted edge (null: none) by each walker's score vector:
+        one join, and a maximum by walker, which is nearly all map-side."""
+        if state.isStreaming:
+            return self.best_in_arrays(state, scores)
+        live = F.col("live") & (F.col("node") == F.col("parent")) & (F.col("depth") == F.col("at"))
+        met = state.join(self.edges, live & (F.col("token") < F.coalesce(F.size(scores), F.lit(0))), "left")
+        pick = F.when(F.col("token").isNotNull(), self.ranked(F.get(scores, F.col("token"))))
+        return met.select(*state.columns, pick.alias("pick")).groupBy(key).agg(
+            *[F.any_value(c).alias(c) for c in state.columns if c != key], F.max("pick").alias("pick")).select(
+            *state.columns, "pick")
+
+    def best_in_arrays(self, state: DataFrame, scores: Column) -> DataFrame:
+        """``best_edges`` without an aggregate, for streams: a node's edges travel as one array."""
+        if self.arrays is None:
+            self.arrays = self.edges.groupBy(F.col("parent").alias("of_node"), F.col("at").alias("of_depth")).agg(
+                F.collect_list(F.struct("token", "n_seqs", "child", "run", "next_edges")).alias("edges")).checkpoint()
+        here = state.join(self.arrays, F.col("live") & (F.col("node") == F.col("of_node"))
                           & (F.col("depth") == F.col("of_depth")), "left").drop("of_node", "of_depth")
+        usable = F.filter("edges", lambda e: e["token"] < F.coalesce(F.size(scores), F.lit(0)))
+        return here.withColumn("pick", F.array_max(F.transform(usable, lambda e: self.ranked(
+            F.get(scores, e["token"]), e)))).drop("edges")
 
     @staticmethod
-    def moved(state: DataFrame) -> DataFrame:
-        """Live walkers follow ``pick`` (a struct with n_seqs and child_seq; null: they end)."""
+    def moved(state: DataFrame, walked: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+        """Live walkers follow ``pick`` and the first ``walked`` tokens that it forces (null: all); without a
+        pick, or where not all may be walked, they end.  ``keep``: columns beside the state's own that stay."""
         on = F.col("live") & F.col("pick").isNotNull()
-        keep = [c for c in state.columns if c not in ("node", "depth", "live", "found", "failed", "pick")]
+        alone = F.col("pick.n_seqs") == 1  # ends at once: the rest of the sequence is not walked
+        forced = F.when(alone, 0).otherwise(F.size("pick.run"))
+        done = forced if walked is None else F.least(forced, F.coalesce(walked, forced))
+        other = [c for c in state.columns if c not in (*Trie.STATE, "pick", *keep)]
         return state.select(
-            *keep, F.when(on, F.col("pick.child_seq")).otherwise(F.col("node")).alias("node"),
-            (F.col("depth") + on.cast("int")).alias("depth"),
-            (on & (F.col("pick.n_seqs") > 1)).alias("live"),
-            F.when(on & (F.col("pick.n_seqs") == 1), F.col("pick.child_seq")).otherwise(
-                F.col("found")).alias("found"), "failed")
-
-    def walk(self, state: DataFrame, step: Callable[[DataFrame, int], DataFrame],
-             levels: int | None = None) -> DataFrame:
-        """All walkers with ``WALK_FIELDS``; ``step(state, level)`` does one level.  A stream takes
-        no checkpoint and does as many levels as the trie has."""
+            *other, *keep, F.when(on, F.col("pick.child")).otherwise(F.col("node")).alias("node"),
+            (F.col("depth") + F.when(on, 1 + done).otherwise(0)).cast("int").alias("depth"),
+            F.coalesce(on & ~alone & (done == forced), F.lit(False)).alias("live"),
+            F.when(on & alone, F.col("pick.child")).otherwise(F.col("found")).alias("found"), "failed")
+
+    def walk(self, state: DataFrame, step: Callable[[DataFrame], DataFrame], each: int | None = None) -> DataFrame:
+        """All walkers with ``WALK_FIELDS``; ``step`` does one round.  A stream takes no checkpoint
+        and does as many rounds as the trie has."""
         ended = None
-        for level in range(self.depth):
-            state = step(state, level)
-            if not state.isStreaming and (level + 1) % (levels or LEVELS) == 0:
+        if state.isStreaming:
+            for _ in range(self.rounds()):
+                state = step(state)
+        else:
+            going = True
+            while going:
+                for _ in range(each or ROUNDS):
+                    state = step(state)
                 state = state.checkpoint()
                 done = state.filter(~F.col("live"))
                 ended = done if ended is None else ended.unionByName(done)
                 state = state.filter("live")
-                if state.isEmpty():
-                    break
-        state = state if ended is None else ended.unionByName(state)
+                going = not state.isEmpty()
+            state = ended
         names = self.seqs.select(F.col("ord").alias("of_ord"), F.col("fn_name").alias("of_name"))
         state = state.join(names, F.col("found") == F.col("of_ord"), "left")
-        keep = [c for c in state.columns
-                if c not in ("node", "depth", "live", "found", "failed", "of_ord", "of_name")]
+        keep = [c for c in state.columns if c not in (*self.STATE, "of_ord", "of_name")]
         return state.select(
             *keep, F.coalesce("found", F.lit(self.first).cast("bigint")).alias("fn_ord"),
             F.coalesce("of_name", F.lit(self.name)).alias("fn_name"),
@@ -236,7 +277,12 @@ class Trie:
 
 
 def _packed(requests: DataFrame) -> DataFrame:
-    return requests.select(F.struct(*requests.columns).alias("request"))
+    """The requests as one column, numbered (the numbers hold from the checkpoint on)."""
+    packed = requests.select(F.struct(*requests.columns).alias("request"))
+    if requests.isStreaming:
+        return packed
+    ensure_checkpoint_dir(requests.sparkSession)
+    return packed.withColumn("walker", F.monotonically_increasing_id()).checkpoint()
 
 
 def _unpacked(walked: DataFrame, requests: DataFrame) -> DataFrame:
@@ -244,86 +290,93 @@ def _unpacked(walked: DataFrame, requests: DataFrame) -> DataFrame:
                          *[f.name for f in WALK_FIELDS])
 
 
+def _usable_run(length: Column) -> Column:
+    """How many tokens of ``pick.run`` come before the first one that is not below ``length``."""
+    beyond = F.array_position(F.transform("pick.run", lambda t: t >= length), F.lit(True))
+    return F.when(beyond > 0, beyond - 1).otherwise(F.size("pick.run")).cast("int")
+
+
 def _join_walk_vectors(requests: DataFrame, catalog: DataFrame, scores_col: str) -> DataFrame:
     trie = Trie(catalog)
-    longest = None if requests.isStreaming else requests.agg(
-        F.max(F.size(scores_col)).alias("n")).first()["n"] or 0
-    nodes = trie.nodes(longest)
     scores = F.col("request")[scores_col]
+    length = F.coalesce(F.size(scores), F.lit(0))
 
-    def step(state: DataFrame, level: int) -> DataFrame:
-        usable = F.filter("edges", lambda e: e["next_token"] < F.coalesce(F.size(scores), F.lit(0)))
-        # Largest score first (NaN above all), then the lowest id.
-        ranked = F.transform(usable, lambda e: F.struct(
-            F.coalesce(F.get(scores, e["next_token"]).cast("double"), F.lit(float("-inf"))).alias("score"),
-            (-e["next_token"]).alias("by_id"), e["n_seqs"].alias("n_seqs"), e["child_seq"].alias("child_seq")))
-        at = trie.at_nodes(state, nodes, level).withColumn("pick", F.array_max(ranked)).drop("edges")
-        return trie.moved(at)
+    def step(state: DataFrame) -> DataFrame:
+        return trie.moved(trie.best_edges(state, "walker", scores), _usable_run(length))
 
     return _unpacked(trie.walk(trie.start(_packed(requests)), step), requests)
 
 
 def _join_walk_table(walkers: DataFrame, catalog: DataFrame, known: DataFrame, key: str) -> DataFrame:
     trie = Trie(catalog)
-    known = known.select(F.col(key).alias("of_key"), "step", F.col("token_id").alias("token"), "score")
-
-    def step(state: DataFrame, level: int) -> DataFrame:
-        edges = trie.edges.filter(F.col("depth") == level).select("node_seq", "next_token", "n_seqs",
-                                                                       F.col("child_seq").cast("bigint"))
-        best = state.filter("live").join(known.filter(F.col("step") == level),
-                                         F.col("key").eqNullSafe(F.col("of_key"))).join(
-            edges, (F.col("node") == F.col("node_seq")) & (F.col("token") == F.col("next_token"))).groupBy(
-            F.col("key").alias("of_key")).agg(F.max(F.struct(
-                "score", (-F.col("next_token")).alias("by_id"), "n_seqs", "child_seq")).alias("pick"))
-        return trie.moved(state.join(best, F.col("key").eqNullSafe(F.col("of_key")), "left").drop("of_key"))
+    known = known.select(F.col(key).alias("of_key"), F.col("step").alias("of_step"),
+                         F.col("token_id").alias("of_token"), "score")
+    same = F.col("key").eqNullSafe(F.col("of_key"))
+
+    def step(state: DataFrame) -> DataFrame:
+        best = state.filter("live").join(known, same & (F.col("of_step") == F.col("depth"))).join(
+            trie.edges, (F.col("node") == F.col("parent")) & (F.col("depth") == F.col("at"))
+            & (F.col("of_token") == F.col("token"))).groupBy("key").agg(
+            F.max(trie.ranked(F.col("score"))).alias("pick"), F.any_value("depth").alias("from_depth")).withColumnRenamed(
+            "key", "pick_key")
+        # The forced tokens must have scores too: where the first without one stands.
+        forced = best.filter("pick.n_seqs > 1").select(F.col("pick_key").alias("key"), "from_depth", F.posexplode(
+            "pick.run").alias("i", "forced")).join(known, same & (F.col("of_step") == F.col("from_depth") + 1 + F.col("i"))
+                                                   & (F.col("of_token") == F.col("forced")), "left")
+        stops = forced.filter("of_key IS NULL AND of_token IS NULL").groupBy(F.col("key").alias("stop_key")).agg(F.min("i").alias("walked"))
+        at = state.join(best.drop("from_depth"), F.col("key").eqNullSafe(F.col("pick_key")), "left").drop("pick_key").join(
+            stops, F.col("key").eqNullSafe(F.col("stop_key")), "left").drop("stop_key")
+        return trie.moved(at, F.col("walked")).drop("walked")
 
     state = trie.start(walkers.select(F.col(key).alias("key")).distinct())
-    walked = trie.walk(state, step, levels=1).withColumnRenamed("key", "of_key")
+    walked = trie.walk(state, step, each=1).withColumnRenamed("key", "of_key")
     return walkers.select(key).join(walked, walkers[key].eqNullSafe(F.col("of_key"))).select(
         key, *[f.name for f in WALK_FIELDS])
 
 
 def _join_walk_model(requests: DataFrame, catalog: DataFrame, scorer, text_col: str,
                      context: bool) -> DataFrame:
+    """The model is asked for the walkers at a node with several edges; its vector then ranks the joined edges."""
     trie = Trie(catalog)
     vocab = [r["t"] for r in trie.seqs.select(F.explode("tokens").alias("t")).distinct().collect()]
     vocab.sort()
     functions = ", ".join(r["fn_name"] for r in trie.seqs.select("ord", "fn_name").orderBy(
         "ord").collect()) if context else ""
-    nodes = trie.nodes()
-    picked = T.StructType([T.StructField("n_seqs", T.LongType()), T.StructField("child_seq", T.LongType())])
-    pick_type = pa.struct([("n_seqs", pa.int64()), ("child_seq", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = dict(zip(b.schema.names, b.columns))
-            texts, ids, edges, live, failed = (cols[c].to_pylist() for c in (
-                "text", "ids", "edges", "live", "failed"))
+            texts, ids, width, live, failed = (cols[c].to_pylist() for c in ("text", "ids", "width", "live", "failed"))
             if context:
                 texts = [fixed.SELECTION_CONTEXT.format(functions=functions, prompt=t or "") for t in texts]
-            picks: list[dict | None] = [e[0] if on and e else None for e, on in zip(edges, live)]
-            rows = [i for i, e in enumerate(edges) if live[i] and e and len(e) > 1]
-            scored = _asked(scorer, vocab, pd.Series([texts[i] for i in rows], dtype=object),
-                            [ids[i] for i in rows]) if rows else []
-            for i, v in zip(rows, scored):
-                tokens = np.array([e["next_token"] for e in edges[i]], np.int64)
-                usable = tokens[:np.searchsorted(tokens, len(v))] if v is not None else tokens[:0]
-                picks[i] = edges[i][int(np.argmax(v[usable]))] if len(usable) else None
-                failed[i] = v is None
-            ids = [i + [p["next_token"]] if p else i for i, p in zip(ids, picks)]
-            cols |= {"ids": pa.array(ids, pa.list_(pa.int64())), "failed": pa.array(failed, pa.bool_()),
-                     "pick": pa.array([p and {k: p[k] for k in ("n_seqs", "child_seq")} for p in picks], pick_type)}
+            rows = [i for i, n in enumerate(width) if live[i] and n > 1]
+            # One forced edge needs no model: every token is permitted alike.
+            scores: list = [np.zeros(len(vocab)) if on and n == 1 else None for on, n in zip(live, width)]
+            for i, v in zip(rows, _asked(scorer, vocab, pd.Series([texts[i] for i in rows], dtype=object),
+                                         [ids[i] for i in rows]) if rows else []):
+                scores[i], failed[i] = v, v is None
+            cols |= {"failed": pa.array(failed, pa.bool_()), "scores": pa.array(scores, pa.list_(pa.float64()))}
             yield pa.RecordBatch.from_arrays([cols[n] for n in names], names)
 
-    names = ["request", "text", "ids", "node", "depth", "live", "found", "failed", "pick"]
+    rows = _packed(requests)
+    # A stream's walkers are not numbered: they carry their request.
+    key = "request" if requests.isStreaming else "walker"
+    names = [key, "text", "ids", "width", *Trie.STATE, "scores"]
 
-    def step(state: DataFrame, level: int) -> DataFrame:
-        schema = T.StructType([*(state.schema[n] for n in names[:-1]), T.StructField("pick", picked)])
-        return trie.moved(trie.at_nodes(state, nodes, level).mapInArrow(run, schema))
+    def step(state: DataFrame) -> DataFrame:
+        schema = T.StructType([*(state.schema[n] for n in names[:-1]), T.StructField("scores", T.ArrayType(T.DoubleType()))])
+        picked = trie.best_edges(state.select(*names[:-1]).mapInArrow(ask, schema), key, F.col("scores")).drop("scores")
+        on = F.col("live") & F.col("pick").isNotNull()
+        ids = F.when(on, F.concat("ids", F.array((-F.col("pick.by_id")).cast("bigint")), F.when(
+            F.col("pick.n_seqs") > 1, F.col("pick.run")).otherwise(F.array()).cast("array<bigint>"))).otherwise(F.col("ids"))
+        return trie.moved(picked.withColumn("ids", ids).withColumn(
+            "width", F.when(on, F.col("pick.next_edges")).otherwise(F.col("width"))))
 
-    state = trie.start(requests.select(F.struct(*requests.columns).alias("request"), F.col(text_col).alias("text"),
-                                       F.array().cast("array<bigint>").alias("ids")))
-    return _unpacked(trie.walk(state, step, levels=1), requests)
+    state = trie.start(rows.select(key, F.col("request")[text_col].alias("text"),
+                                   F.array().cast("array<bigint>").alias("ids"),
+                                   F.lit(trie.root_edges).cast("bigint").alias("width")))
+    walked = trie.walk(state, step, each=1)
+    return _unpacked(walked if key == "request" else rows.join(walked, "walker"), requests)
 
 
 def walk_vector(paths: Paths, scores: np.ndarray) -> tuple[int, int]:
@@ -353,13 +406,13 @@ def _with_results(requests: DataFrame, results: Callable[[pa.RecordBatch], list[
     return requests.mapInArrow(run, T.StructType([*requests.schema.fields, *WALK_FIELDS]))
 
 
-def constrained_walk(requests: DataFrame, catalog: DataFrame, scores_col: str) -> DataFrame:
+def constrained_walk(requests: DataFrame, catalog: DataFrame, scores_col: str, form: str = "auto") -> DataFrame:
     """Add ``fn_ord, fn_name, walk_steps, walk_unique, walk_failed`` to every request.
 
     ``scores_col`` is a score vector a request; a null score ranks below all
-    others, a null vector permits nothing.
+    others, a null vector permits nothing.  ``form="join"`` walks by joins whatever the catalogue's size.
     """
-    paths = load_paths(catalog)
+    paths = None if form == "join" else load_paths(catalog)
     if paths is None:
         return _join_walk_vectors(requests, catalog, scores_col)
     place = requests.columns.index(scores_col)

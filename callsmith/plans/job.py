@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
+from callsmith.operators.choose import bind_with_model
 from callsmith.operators.decode import apply_fallback, pack_arguments, with_first_function
 from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests
@@ -22,20 +23,25 @@ from callsmith.operators.validate import validate_requests
 def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
                   text_col: str = "prompt", key_cols: list[str] | None = None,
                   bind_method: str = "auto", candidate_policy: str = "first",
-                  scores_col: str | None = None) -> DataFrame:
+                  scores_col: str | None = None, candidate_scorer=None) -> DataFrame:
     """K4: one call per request: ``fn_ord, fn_name, fn_score, fn_fallback, is_fallback, picks``.
 
     ``candidate_policy='scored'`` with ``scores_col`` (a score vector per
     request) picks among several candidates by the greedy candidate walk.
-    ``scorer`` is lexical by default; a ``TableScorer`` or ``ModelScorer`` selects by a
+    ``candidate_policy='model'`` asks ``candidate_scorer`` (a ``ModelScorer``; default: ``scorer``) at the branches
+    of the candidates' tokens.  ``scorer`` is lexical by default; a ``TableScorer`` or ``ModelScorer`` selects by a
     constrained walk, and a request it raises for becomes the fallback call.
     """
     selected = select_function(requests, catalog, scorer, text_col=text_col, key_cols=key_cols)
-    bound = bind_arguments(selected, text_col=text_col, method=bind_method,
-                           policy=candidate_policy, scores_col=scores_col)
+    if candidate_policy == "model":
+        bound = bind_with_model(selected, candidate_scorer or scorer, text_col)
+    else:
+        bound = bind_arguments(selected, text_col=text_col, method=bind_method,
+                               policy=candidate_policy, scores_col=scores_col)
     typed = type_picks(bound).withColumn("is_fallback", F.lit(False))
-    if "fn_failed" in selected.columns:  # K8: a request the scorer raised for becomes the fallback call
-        typed = typed.withColumn("call_fatal", F.col("call_fatal") | F.col("fn_failed")).drop("fn_failed")
+    for flag in ("fn_failed", "choice_failed"):  # K8: a request a scorer raised for becomes the fallback call
+        if flag in bound.columns:
+            typed = typed.withColumn("call_fatal", F.col("call_fatal") | F.col(flag)).drop(flag)
     return apply_fallback(with_first_function(typed, catalog)).drop("fn_args", "call_fatal")
 
 
@@ -61,11 +67,11 @@ class JobResult:
 def run_job(requests: DataFrame, catalog: DataFrame, scorer=None,
             text_col: str = "prompt", key_cols: list[str] | None = None,
             bind_method: str = "auto", candidate_policy: str = "first",
-            scores_col: str | None = None) -> JobResult:
+            scores_col: str | None = None, candidate_scorer=None) -> JobResult:
     """K7: validated requests → calls, plus the rejected requests."""
     valid, rejects = validate_requests(requests, text_col)
     calls = propose_calls(valid, catalog, scorer, text_col, key_cols, bind_method,
-                          candidate_policy, scores_col)
+                          candidate_policy, scores_col, candidate_scorer)
     return JobResult(calls=calls, rejects=rejects)
 
 

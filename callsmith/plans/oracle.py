@@ -747,3 +747,39 @@ walk(vec_id, s, g, res, steps, done) AS (
 SELECT vec_id, fn_name, CAST(steps AS INTEGER) AS walk_steps, res >= 0 AS walk_unique
 FROM walk JOIN defs ON ord = CASE WHEN res >= 0 THEN res ELSE (SELECT min(ord) FROM defs) END WHERE done
 """
+
+ORACLE["walk_part_catalog_join"] = ORACLE["walk_part_catalog"]
+
+ORACLE["load_request_array"] = """
+SELECT row_number() OVER (ORDER BY o_orderkey) AS req_id,
+       'Note, "max" of ' || o_custkey || ' [and], ' || o_orderkey AS prompt FROM orders
+"""
+
+
+def _choice_walk(name: str, source: str) -> str:
+    """CTEs: the candidates ``cs`` of each ``k`` of ``source`` walked by character; ``name(k, pick)``."""
+    return f"""
+{name}_w AS (
+  SELECT k, cs, '' AS g, 0 AS n, len(cs) <= 1 AS done FROM {source}
+  UNION ALL
+  SELECT k, any_value(cs), any_value(g) || arg_max(ch, (coalesce(times, 0), -ascii(ch))), any_value(n) + 1,
+         list_contains(any_value(cs), any_value(g) || arg_max(ch, (coalesce(times, 0), -ascii(ch))))
+  FROM (SELECT k, cs, g, n, unnest(list_distinct([substr(c, n + 1, 1) for c in cs if starts_with(c, g) and len(c) > n])) AS ch
+        FROM {name}_w WHERE NOT done) AS p
+  LEFT JOIN bigrams ON pair = (CASE WHEN n = 0 THEN ' ' ELSE right(g, 1) END) || ch GROUP BY k),
+{name} AS (SELECT k, CASE WHEN len(cs) <= 1 THEN coalesce(cs[1], '') ELSE g END AS pick FROM {name}_w WHERE done)"""
+
+
+ORACLE["choose_candidates_model"] = rf"""
+WITH RECURSIVE bigrams AS (
+  SELECT substr(t, CAST(i AS INTEGER), 2) AS pair, count(*) AS times
+  FROM (SELECT text AS t FROM documents), unnest(range(1, len(t))) AS r(i)
+  WHERE regexp_full_match(substr(t, CAST(i AS INTEGER), 2), '[ -~]{{2}}') GROUP BY 1),
+req AS (SELECT c_custkey AS k, [CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR),
+               CAST(c_custkey AS VARCHAR), CAST(c_custkey % 97 AS VARCHAR)] AS cs FROM customer),
+{_choice_walk("a", "req")},
+req_b AS (SELECT k, [c for c in cs if c <> pick] AS cs FROM req JOIN a USING (k)),
+{_choice_walk("b", "req_b")}
+SELECT k AS c_custkey, 'fn_max_of_two' AS fn_name, 'a' AS arg_name, CAST(pick AS DOUBLE) AS v_float FROM a
+UNION ALL SELECT k, 'fn_max_of_two', 'b', coalesce(TRY_CAST(pick AS DOUBLE), 0.0) FROM b
+"""

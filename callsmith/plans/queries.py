@@ -6,6 +6,7 @@ columns; ``callsmith.plans.oracle`` holds the DuckDB SQL for the same name.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 from collections.abc import Callable
@@ -551,6 +552,49 @@ def walk_part_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "fn_name", "walk_steps", "walk_unique")
 
 
+@register("walk_part_catalog_join")
+def walk_part_catalog_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 prefix mode, K9, T3 by joins with the path-compressed trie, as for a catalogue that is too large to
+    be shipped: ``walk_part_catalog``'s definitions and scores."""
+    from callsmith.operators.walk import constrained_walk
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.flatten(F.array_repeat("embedding", 32)).alias("scores"))
+    return constrained_walk(e, _part_catalog(spark, sf_dir), "scores", form="join").select(
+        "vec_id", "fn_name", "walk_steps", "walk_unique")
+
+
+@register("choose_candidates_model")
+def choose_candidates_model_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2, J7, T2, X1 in the whole job: both numbers of a request are chosen among three candidates by a
+    character model that is learnt from every document; the second choice leaves the first one out."""
+    from callsmith.operators.choose import bigram_model
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(
+        F.lit("Find the max of "), R.dec_text("c_acctbal"), F.lit(" and "), R.s("c_custkey"), F.lit(" and "),
+        R.s(F.col("c_custkey") % 97)).alias("prompt"))
+    job = run_job(ensure_parallelism(c), C.catalog_from_rows(spark), candidate_policy="model",
+                  candidate_scorer=bigram_model(ensure_parallelism(table(spark, sf_dir, "documents").select("text"))))
+    return explode_picks(job.calls, ["c_custkey", "fn_name"]).select("c_custkey", "fn_name", "arg_name", "v_float")
+
+
+@register("load_request_array")
+def load_request_array_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests of one large JSON array file, read in parallel by splits.  The file is
+    written first from every order, in key order."""
+    from callsmith.session import ensure_checkpoint_dir
+    from callsmith.sources.json_records import load_requests
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(
+        F.concat(F.lit(' Note, "max" of '), R.s("o_custkey"), F.lit(" [and], "), R.s("o_orderkey"), F.lit(" ")).alias("prompt"),
+        F.col("o_orderstatus").alias("status"))).alias("v"))
+    ends = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    lines = o.orderBy("o_orderkey").select(F.concat(
+        F.when(F.col("o_orderkey") == ends[0], "[").otherwise(","), "v",
+        F.when(F.col("o_orderkey") == ends[1], "]").otherwise("")))
+    path = f"{ensure_checkpoint_dir(spark)}/requests-{uuid.uuid4().hex}"
+    lines.coalesce(1).write.text(path)
+    valid, _ = load_requests(spark, path, form="split")
+    return valid.select("req_id", "prompt")
+
+
 @register("catalog_fingerprints")
 def catalog_fingerprints_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-insensitive fingerprint of every definition built from part."""

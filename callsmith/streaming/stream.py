@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from callsmith.operators.validate import validate_requests
-from callsmith.plans.job import propose_calls
+from callsmith.plans.job import calls_wide, propose_calls, run_job
 from callsmith.session import ensure_checkpoint_dir
 
 
@@ -48,3 +48,39 @@ def run_stream_to_parquet(spark: SparkSession, calls: DataFrame, name: str,
               .option("checkpointLocation", ckpt).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start(), out
+
+
+def run_stream_job(spark: SparkSession, requests: DataFrame, catalog: DataFrame, name: str, text_col: str = "prompt",
+                   available_now: bool = True, **options) -> tuple[StreamingQuery, str]:
+    """K7 on a stream, exactly once: calls (with JSON arguments), rejects and a summary row of every micro-batch.
+
+    Each batch writes ``<base>/calls/batch=<id>``, ``rejects/batch=<id>`` and ``summary/batch=<id>``, replacing
+    what a broken run of the same batch has left.  A batch counts as done only when the query's
+    checkpoint has it, so a restart repeats at most the unfinished batch and no row is lost or doubled.
+    ``options`` go to ``run_job``.  Returns the query and the base path (see ``read_stream_job``)."""
+    base = os.path.join(stream_root(spark), f"stream-job-{name}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()  # three outputs, one read of the source
+        try:
+            job = run_job(held, catalog, text_col=text_col, **options)
+            keep = [c for c in held.columns if c != text_col]
+            outputs = (("calls", calls_wide(job.calls, keep, text_col)), ("rejects", job.rejects), ("summary", job.summary()))
+            for kind, rows in outputs:
+                rows.write.mode("overwrite").parquet(os.path.join(base, kind, f"batch={batch_id}"))
+        finally:
+            held.unpersist()
+
+    writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(base, "checkpoint"))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start(), base
+
+
+def read_stream_job(spark: SparkSession, base: str, kind: str) -> DataFrame:
+    """The finished batches' ``calls``, ``rejects`` or ``summary`` rows, with their ``batch``."""
+    commits = os.path.join(base, "checkpoint", "commits")
+    # A batch is finished when the query has committed it.
+    done = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*").load(commits).select(
+        F.regexp_extract("path", r"([0-9]+)$", 1).cast("int").alias("batch"))
+    rows = spark.read.parquet(os.path.join(base, kind))
+    return rows.join(F.broadcast(done), rows["batch"] == done["batch"], "left_semi")
