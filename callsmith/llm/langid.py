@@ -5,8 +5,10 @@ letter is one space), hashed to ``BINS`` bins, weighted by tf-idf and
 normalised.  Document frequencies come from every training document; each language's
 vectors in a bounded sample are clustered into several centroids, in one task
 a language.  A text gets the language of the nearest centroid by cosine.  It is
-rejected where its cosine is below ``margin`` times the least one of that language's
-training sample, or where it has no letter.
+rejected where it has no letter, or where its cosine is below a floor: a quarter of the sample is held out of
+a clustering of the rest, windows of many lengths are cut from it, and the floor of a language at a length
+is ``margin`` times a low quantile of their cosines, since short texts are far from every centroid.
+The centroids are then those of the whole sample.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 without training rows every text is ``und``; equal cosines go to the language
@@ -83,9 +85,41 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 class Model:
     languages: list[str]      # of each centroid
     centres: np.ndarray       # centroids x BINS, unit length
-    floors: dict[str, float]  # least cosine of a language's training sample
+    floors: dict[str, list[float]]  # by size class: a low quantile of held-out windows' cosines
     idf: np.ndarray
 
+    def floor(self, lang: str, counts: np.ndarray) -> float:
+        known = self.floors[lang]
+        return known[min(size_class(counts), len(known) - 1)]
+
+
+CLASSES = 14       # size classes: powers of two of a text's grams, the last for all beyond
+QUANTILE = 0.01
+WINDOWS = 6        # cut from each held-out text for each size class
+
+
+def size_class(counts: np.ndarray) -> int:
+    return int(counts.sum()).bit_length()
+
+
+def length_floors(texts: list[str], centres: np.ndarray, idf: np.ndarray) -> list[float]:
+    """The floor of each size class, from windows of the texts; a class without any has that of the next smaller one."""
+    cosines: list[list[float]] = [[] for _ in range(CLASSES)]
+    for text in texts:
+        for c in range(2, CLASSES):
+            size = max(1, (1 << c) // 4)  # characters of about 3 grams each, in the middle of the class
+            starts = {(len(text) - size) * k // (WINDOWS - 1) for k in range(WINDOWS)} if len(text) > size else {0}
+            for at in starts:
+                counts = gram_counts(text[at:at + size])
+                if counts is not None:
+                    cosines[min(size_class(counts), CLASSES - 1)].append(float((_unit(counts, idf) @ centres.T).max()))
+            if len(text) <= size:
+                break
+    out: list[float] = []
+    for found in cosines:
+        out.append(float(np.quantile(found, QUANTILE)) if found else out[-1] if out else 0.0)
+    return out
+
 
 def held_out(doc_id) -> "F.Column":
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -117,13 +151,18 @@ def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
         idf[b] = np.log((1 + n) / (1 + c)) + 1
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = [c for c in map(gram_counts, pdf["text"]) if c is not None]
+        found = sorted(((t, c) for t, c in zip(pdf["text"], map(gram_counts, pdf["text"])) if c is not None),
+                       key=lambda p: p[0])
+        texts, counts = [t for t, _ in found], [c for _, c in found]
         if not counts:
-            return pd.DataFrame({"lang": [], "floor": [], "centre": []}, dtype=object)
+            return pd.DataFrame({"lang": [], "floors": [], "centre": []}, dtype=object)
         vectors = np.stack([_unit(c, idf) for c in counts])
+        # Floors: centroids of three quarters of the texts, windows of the others.  A few texts hold none out.
+        out = np.arange(0, len(texts), 4) if len(texts) >= 8 else np.arange(0)
+        floors = length_floors([texts[i] for i in out], cluster(np.delete(vectors, out, axis=0), centroids),
+                               idf) if len(out) else [0.0]
         centres = cluster(vectors, centroids)
-        floor = float((vectors @ centres.T).max(axis=1).min())
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "floor": floor,
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "floors": [floors] * len(centres),
                              "centre": [c.tolist() for c in centres]})
 
     # Distinct texts are counted, so copies thin no language out.  Twice the sample by share
@@ -139,10 +178,10 @@ def train(docs: DataFrame, sample: int = 300, centroids: int = 4) -> Model:
     drawn = lettered.join(F.broadcast(least), (F.col("lang") == F.col("of")) & (F.col("h") == F.col("of_h"))
                           ).select("lang", "text").distinct()
     fitted = drawn.groupBy("lang").applyInPandas(
-        fit, "lang string, floor double, centre array<double>").orderBy("lang").collect()
+        fit, "lang string, floors array<double>, centre array<double>").orderBy("lang").collect()
     return Model([r["lang"] for r in fitted],
                  np.array([r["centre"] for r in fitted]).reshape(len(fitted), BINS),
-                 {r["lang"]: r["floor"] for r in fitted}, idf)
+                 {r["lang"]: list(r["floors"]) for r in fitted}, idf)
 
 
 def _predict(model: Model, margin: float):
@@ -159,20 +198,20 @@ def _predict(model: Model, margin: float):
             cosines = _unit(counts, model.idf) @ centres
             best = int(np.argmax(cosines))
             lang, score = model.languages[best], float(np.clip(cosines[best], 0.0, 1.0))
-            out.append((lang, score, score < margin * model.floors[lang]))
+            out.append((lang, score, score < margin * model.floor(lang, counts)))
         return pd.DataFrame(out, columns=["lang", "score", "rejected"])
 
     return predict(F.col("text").cast("string"))
 
 
-def identify(docs: DataFrame, model: Model, margin: float = 0.2) -> DataFrame:
+def identify(docs: DataFrame, model: Model, margin: float = 0.75) -> DataFrame:
     """Per row of ``docs``: doc_id, lang_pred, lang_score, lang_rejected; only the text is read."""
     return docs.select("doc_id", _predict(model, margin).alias("found")).select(
         "doc_id", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("lang_score"),
         F.col("found.rejected").alias("lang_rejected"))
 
 
-def accepted(docs: DataFrame, model: Model, margin: float = 0.2) -> DataFrame:
+def accepted(docs: DataFrame, model: Model, margin: float = 0.75) -> DataFrame:
     """``docs`` without the rows that are rejected."""
     return docs.withColumn("_langid_found", _predict(model, margin)).filter(
         ~F.col("_langid_found.rejected")).select(*docs.columns)
