@@ -1,6 +1,6 @@
 """Operator 10: token ids of whole documents in Simple-8b files.
 
-Documents are range-partitioned and sorted by doc_id, tokenised, and written
+Documents are range-partitioned and sorted by doc_id (and a hash of the text, so a hot id is split), tokenised, and written
 as a Parquet table of coded blocks, one file per range, so Spark's committer
 makes the output whole or absent and a lost task is simply run again.
 
@@ -14,7 +14,7 @@ the selectors give every word's first position by one cumulative sum, and the
 words of one selector are unpacked together.
 
 Defined cases: null text is empty (the end id alone); rows with a null doc_id
-come first; repeated ids follow each other, ordered by text; an empty table gives an empty
+come first; repeated ids follow each other, ordered by a hash of the text; an empty table gives an empty
 file set.
 """
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from callsmith.llm.common import shuffle_partitions
+from callsmith.llm.common import shuffle_partitions, text_hash
 from callsmith.llm.tokenizing import encoder
 
 # Values per word and bits per value, by selector; then the escape.
@@ -178,8 +178,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                  F.col("text").cast("string").alias("text"))
-     .repartitionByRange(shuffle_partitions(spark), "doc_id")
-     .sortWithinPartitions("doc_id", "text")
+     .withColumn("text_hash", text_hash(F.col("text")))  # splits the rows of one hot id
+     .repartitionByRange(shuffle_partitions(spark), "doc_id", "text_hash")
+     .sortWithinPartitions("doc_id", "text_hash", "text").drop("text_hash")
      .mapInArrow(code, ROWS).write.parquet(path))
 
 
