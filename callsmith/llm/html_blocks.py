@@ -124,11 +124,20 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if name in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = True
-        if name in ("html", "body", "p", "li") or heading and name[0] == "h":
+        if open_tags and open_tags[-1][0] == "p":  # a block ends an open paragraph
+            open_tags.pop()
+        if name == "li":  # and an item the item before it in the same list
+            for k in range(len(open_tags) - 1, -1, -1):
+                if open_tags[k][0] in ("ul", "ol"):
+                    break
+                if open_tags[k][0] == "li":
+                    del open_tags[k:]
+                    break
+        if name in ("html", "body") or heading and name[0] == "h":
             continue
         said = " ".join(x.strip("\"'") for x in _CLASS.findall(m[3]))
         inside = any(t[1] for t in open_tags)
-        article = name in _ARTICLE or bool(_SAYS_ARTICLE.search(said))
+        article = name in _ARTICLE or name not in ("p", "li") and bool(_SAYS_ARTICLE.search(said))
         other = (name in _OTHER and not (name == "header" and inside)
                  or bool(_SAYS_OTHER.search(said)) and name not in _ARTICLE
                  or bool(_HIDDEN.search(m[3])))

@@ -432,3 +432,72 @@ def test_pii_adds_loose_forms(spark):
     assert set(model.thresholds) == {"email", "phone"}
     got = [r.text for r in pii.redact(frame, model).orderBy("doc_id").collect()]
     assert got == [*plain, *loose.values(), *kept]
+
+
+def test_language_rejects_untrained_languages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    strange = [
+        "Tämä on suomenkielinen teksti jossa puhutaan säästä ja kahvista. Aamulla satoi lunta mutta päivällä paistoi aurinko.",
+        "Lapset leikkivät pihalla kunnes tuli ilta ja kaikki menivät kotiin syömään. Huomenna lähdemme mökille uimaan järveen.",
+        "Wczoraj wieczorem poszliśmy do kina, ponieważ chcieliśmy zobaczyć nowy film o historii naszego miasta i mieszkańców.",
+        "Każdego ranka dziadek czytał gazetę przy oknie, a babcia przygotowywała śniadanie dla wszystkich wnuków w kuchni.",
+        "for i in range(len(xs)): print(xs[i], end=' '); import numpy as np; def f(x): return x ** 2 + np.sqrt(x) - 1",
+        "xkqz wvvj qqpzx jjkwq zzxv kqwj xvzq pqkx wzjv qxkz vjwq zkxq jqwv xzkp qvjw kzxq wjvq zxkp qjvw"]
+    found = langid.identify(spark.createDataFrame(list(enumerate(strange)), "doc_id int, text string"), model)
+    assert sum(r.lang_rejected for r in found.collect()) >= 5
+    rejected = langid.identify(docs, model).filter("lang_rejected").count()
+    assert rejected <= 0.02 * docs.count()
+
+
+def test_whole_documents_have_the_librarys_ids(spark):
+    texts = [r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    for name, kind in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        enc = TextEncoder(tokenizer_file(name), kind)
+        assert not enc.whole
+        want = [e.ids for e in enc.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        for _ in range(2):  # without and with the caches
+            assert [np.frombuffer(enc.packed(t), "<u4").tolist() for t in texts] == want
+
+
+def test_caches_of_two_generations_and_other_files(monkeypatch):
+    from callsmith.llm import tokenizing
+    monkeypatch.setattr(tokenizing, "RUN_ENTRIES", 5)
+    monkeypatch.setattr(tokenizing, "PIECE_ENTRIES", 3)
+    enc = TextEncoder(tokenizer_file("byte_bpe_50k.json"), False)
+    rng = random.Random(1)
+    for _ in range(200):
+        text = " ".join(rng.choices(["alpha", "beta,", "gamma.", "Straße", "d-e", "\n", "x1", "the", "of"], k=9))
+        assert np.frombuffer(enc.packed(text), "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(enc.cache) <= 5 and len(enc.cache.old) <= 5
+    # The wrong kind for a file differs from the library, so the library gets every text.
+    wrong = TextEncoder(tokenizer_file("word_bpe_49k.json"), False)
+    assert wrong.whole
+    assert np.frombuffer(wrong.packed("Some Words"), "<u4").tolist() == wrong.tokenizer.encode(
+        "Some Words", add_special_tokens=False).ids
+
+
+def test_trees_are_fitted_on_few_partitions(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+    seen = []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, rows, *a: seen.append(rows.rdd.getNumPartitions()) or fit(self, rows, *a))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        pii.train(spark.read.parquet(f"{SMALL}/documents.parquet"), rounds=2, depth=2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen and seen[0] <= pii.FIT_PARTITIONS
+
+
+def test_paragraphs_and_items_that_say_they_are_none():
+    tree = html_blocks.train()
+    page = ("<article><p>Keep this first paragraph of the text</p><p class=\"ad\">Buy now cheap</p><p>and this one too"
+            "<p hidden>secret words<p>the third one<ul><li class='comment'>nice post<li>a real item of the list"
+            "<ul><li>inner item here</li></ul><li class=comment>more</ul><p class='ad'>buy <div>a block in the text</div></article>")
+    assert html_blocks.main_text(page, tree).split("\n") == [
+        "Keep this first paragraph of the text", "and this one too", "the third one", "a real item of the list",
+        "inner item here", "a block in the text"]
+    assert html_blocks.main_text("<article><ul><li class=comment>x y<ul><li>z of it</li></ul> tail</li><li>kept item</li></ul></article>",
+                                 tree) == "kept item"
