@@ -35,11 +35,14 @@ SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8
              (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 15
 BLOCK = 16_384
+_COUNTS = np.array([c for c, _ in SELECTORS] + [1], np.int64)  # an escape holds one value
 
 _BITS16 = np.array([int(i).bit_length() for i in range(1 << 16)], dtype=np.uint8)
 
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
+    if not len(values) or int(values.max()) < 1 << 16:
+        return _BITS16[values.astype(np.uint16)]
     out = np.zeros(len(values), np.uint8)
     rest = values
     for step in range(0, 64, 16):
@@ -72,14 +75,14 @@ def encode_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Simple-8b words and escaped values of one block of unsigned 64-bit values."""
     n = len(values)
     bits = bit_lengths(values)
-    selector = np.full(n, ESCAPE, np.uint8)
-    step = np.ones(n, np.int64)
     maxima = _window_maxima(bits)
-    for s in range(len(SELECTORS) - 1, -1, -1):
-        count, width = SELECTORS[s]
-        fits = maxima[count] <= width
-        selector[fits] = s
-        step[fits] = count
+    # Counts fall as widths rise, so where a selector fits all later ones do: the first that
+    # fits is the number of those that do not.
+    selector = np.zeros(n, np.uint8)
+    for count, width in SELECTORS:
+        selector += maxima[count] > width
+    step = _COUNTS[selector]
+    selector = np.where(selector == len(SELECTORS), np.uint8(ESCAPE), selector)
     starts, at, steps = [], 0, step.tolist()
     while at < n:
         starts.append(at)
@@ -94,8 +97,10 @@ def encode_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             words[mine] |= np.arange(len(mine), dtype=np.uint64)
             continue
         count, width = SELECTORS[s]
+        at, packed = first[mine], words[mine]
         for j in range(count):
-            words[mine] |= padded[first[mine] + j] << np.uint64(j * width)
+            packed |= padded[at + j] << np.uint64(j * width)
+        words[mine] = packed
     return words, values[first[chosen == ESCAPE]]
 
 
@@ -111,8 +116,9 @@ def decode_block(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
             out[first[mine]] = escapes[(words[mine] & np.uint64((1 << 60) - 1)).astype(np.int64)]
             continue
         count, width = SELECTORS[s]
+        at, packed = first[mine], words[mine]
         for j in range(count):
-            out[first[mine] + j] = (words[mine] >> np.uint64(j * width)) & np.uint64((1 << width) - 1)
+            out[at + j] = (packed >> np.uint64(j * width)) & np.uint64((1 << width) - 1)
     return out[:n]
 
 

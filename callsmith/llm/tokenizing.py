@@ -22,12 +22,12 @@ from __future__ import annotations
 import re
 from array import array
 
-RUN_ENTRIES = 400_000  # of one generation
-PIECE_ENTRIES = 250_000
+RUN_ENTRIES = 450_000  # of one generation
+PIECE_ENTRIES = 300_000
+FIRST_ENTRIES = 100_000
 
 # Runs that carry their white space the way the byte-level pre-tokenizer does.
 _BYTE_RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-_WORD_RUNS = re.compile(r"\S+")
 # \x1c-\x1f are white space for Python only: texts that hold them are not cut.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -53,7 +53,6 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.runs = _WORD_RUNS if words else _BYTE_RUNS
         model, letters = self.tokenizer.model, byte_letters()
         to_letters = [letters[b] for b in range(256)]
         if words:
@@ -64,13 +63,13 @@ class TextEncoder:
             pieces = re.compile(f" ?[{_LATIN}]+| ?[0-9]+| ?[^{_LATIN}0-9 \n]+|\n").findall
 
         class Cache(dict):
-            def __init__(self, ids, most: int):
-                self.ids, self.most, self.old = ids, most, {}
+            def __init__(self, ids, most: int, before: str = ""):
+                self.ids, self.most, self.before, self.old = ids, most, before, {}
 
             def __missing__(self, key: str) -> bytes:
                 packed = self.old.pop(key, None)
                 if packed is None:
-                    packed = self.ids(key)
+                    packed = self.ids(self.before + key)
                 if len(key) <= 64:
                     if len(self) >= self.most:
                         self.old = dict(self)
@@ -98,7 +97,10 @@ class TextEncoder:
                 return self._library(run)
             return b"".join([by_piece[p] for p in pieces(run.lower() if words else run)])
 
-        self.cache = Cache(run_ids, RUN_ENTRIES)
+        self.words = words
+        self.cache = Cache(run_ids, RUN_ENTRIES if words else FIRST_ENTRIES)
+        self.spaced = Cache(run_ids, RUN_ENTRIES, " ")  # by the run without its space
+        self.newline = b"" if words else run_ids("\n")
         self.whole = False
         self.whole = any(self.packed(p) != self._library(p) for p in PROBES)
 
@@ -109,9 +111,27 @@ class TextEncoder:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if self.whole or _ODD_SPACE.search(text):
+        if self.whole:
             return self._library(text)
-        return b"".join(map(self.cache.__getitem__, self.runs.findall(text)))
+        if not self.words and _plainly_spaced(text):
+            first, spaced, newline, out = self.cache.__getitem__, self.spaced.__getitem__, self.newline, []
+            for line in text.split("\n"):
+                runs = iter(line.split(" "))
+                out.append(first(next(runs)))
+                out.extend(map(spaced, runs))
+                out.append(newline)
+            out.pop()
+            return b"".join(out)
+        if _ODD_SPACE.search(text):
+            return self._library(text)
+        return b"".join(map(self.cache.__getitem__, text.split() if self.words else _BYTE_RUNS.findall(text)))
+
+
+def _plainly_spaced(text: str) -> bool:
+    """Whether all white space is one space or one newline between two other characters (the space is the only
+    white space that counts as printable)."""
+    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text
+                or "\n " in text) and text.replace("\n", "").isprintable()
 
 
 _ENCODERS: dict[tuple[str, bool], TextEncoder] = {}

@@ -464,6 +464,7 @@ def test_caches_of_two_generations_and_other_files(monkeypatch):
     from callsmith.llm import tokenizing
     monkeypatch.setattr(tokenizing, "RUN_ENTRIES", 5)
     monkeypatch.setattr(tokenizing, "PIECE_ENTRIES", 3)
+    monkeypatch.setattr(tokenizing, "FIRST_ENTRIES", 5)
     enc = TextEncoder(tokenizer_file("byte_bpe_50k.json"), False)
     rng = random.Random(1)
     for _ in range(200):
