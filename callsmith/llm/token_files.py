@@ -34,7 +34,7 @@ from callsmith.llm.tokenizing import encoder
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10),
              (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 15
-BLOCK = 16_384
+BLOCK = 65_536
 _COUNTS = np.array([c for c, _ in SELECTORS] + [1], np.int64)  # an escape holds one value
 
 _BITS16 = np.array([int(i).bit_length() for i in range(1 << 16)], dtype=np.uint8)
@@ -146,7 +146,7 @@ def decode_row(words: bytes, word_at, escapes: bytes, escape_at, n: int) -> np.n
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
-                      row_ids: int = 4 * BLOCK) -> None:
+                      row_ids: int = 2 * BLOCK) -> None:
     """Tokenise all documents and write them in ascending doc_id order."""
     spark = docs.sparkSession
     end = np.array([end_id], dtype="<u4").tobytes()
