@@ -772,9 +772,9 @@ def _choice_walk(name: str, source: str) -> str:
 
 ORACLE["choose_candidates_model"] = rf"""
 WITH RECURSIVE bigrams AS (
-  SELECT substr(t, CAST(i AS INTEGER), 2) AS pair, count(*) AS times
-  FROM (SELECT text AS t FROM documents), unnest(range(1, len(t))) AS r(i)
-  WHERE regexp_full_match(substr(t, CAST(i AS INTEGER), 2), '[ -~]{{2}}') GROUP BY 1),
+  SELECT z[1] || z[2] AS pair, count(*) AS times
+  FROM (SELECT unnest(list_zip(c, list_slice(c, 2, len(c)))) AS z FROM (SELECT string_split(text, '') AS c FROM documents))
+  WHERE regexp_full_match(z[1] || z[2], '[\x20-\x7E]{{2}}') GROUP BY 1),
 req AS (SELECT c_custkey AS k, [CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR),
                CAST(c_custkey AS VARCHAR), CAST(c_custkey % 97 AS VARCHAR)] AS cs FROM customer),
 {_choice_walk("a", "req")},
