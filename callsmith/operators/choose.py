@@ -160,10 +160,9 @@ def bigram_model(texts: DataFrame, text_col: str = "text", name: str = "bigram")
     Only printable ASCII is counted, so the table has 95 x 95 counts at most, whatever the texts."""
     from callsmith.operators.scorer import ModelScorer
     chars = F.split(F.regexp_replace(F.col(text_col), r"[^\x20-\x7E]", "\n"), "")
-    pairs = texts.select(F.explode(F.transform(
-        F.filter(F.sequence(F.lit(1), F.size(chars) - 1), lambda i: i > 0),
-        lambda i: F.concat(F.get(chars, i - 1), F.get(chars, i)))).alias("pair")).filter(
-        ~F.col("pair").contains("\n")).groupBy("pair").count()
+    pairs = texts.select(chars.alias("c")).select(F.explode(F.zip_with(
+        "c", F.slice("c", F.lit(2), F.size("c")), lambda a, b: F.concat(a, b))).alias("pair")).filter(
+        F.col("pair").isNotNull() & ~F.col("pair").contains("\n") & (F.length("pair") == 2)).groupBy("pair").count()
     counts = {r["pair"]: r["count"] for r in pairs.collect()}
 
     def score(_model, asked, generated, vocab):
