@@ -107,6 +107,32 @@ def convert_text(value: Column, arg_type: Column) -> Column:
             .otherwise(default_for_type(arg_type)))
 
 
+def convert_known(value: Column, number: Column, kinds: dict[str, Column | None]) -> Column:
+    """``convert_text`` where the type is known by conditions, not by a column: ``kinds`` has one for each of
+    ``KNOWN_TYPES`` and for ``other``, the types without a conversion (None: never).  ``number`` is the value's ``py_float``.
+    One field, one expression, so the generated code stays small."""
+    def fields(branches):
+        out = None
+        for kind, result in branches:
+            if kinds[kind] is not None:
+                out = F.when(kinds[kind], result) if out is None else out.when(kinds[kind], result)
+        return out
+
+    def or_null(column):
+        return F.lit(None) if column is None else column
+
+    i_val, i_issue, i_fatal = _int_from_double(number)
+    text = or_null(fields([("str", value)]))
+    issue = or_null(fields([("int", F.when(value != "", i_issue)),
+                            ("float", F.when((value != "") & number.isNull(), F.lit("bad_float")))]))
+    if kinds["other"] is not None:
+        text = F.when(kinds["other"], F.lit("")).otherwise(text)
+        issue = F.when(kinds["other"], F.lit("unknown_type")).otherwise(issue)
+    return _struct(or_null(fields([("int", i_val)])), or_null(fields([("float", F.coalesce(number, F.lit(0.0)))])),
+                   or_null(fields([("bool", F.lower(value) == "true")])), text, issue,
+                   F.coalesce(or_null(fields([("int", i_fatal)])).cast("boolean"), F.lit(False)))
+
+
 _NUMERIC_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 
 

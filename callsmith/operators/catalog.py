@@ -137,14 +137,14 @@ def entry_literal(row, kws=None) -> Column:
                     args_literal(row["args_names"], row["args_types"]).alias("args"))
 
 
-def first_entry_literal(catalog: DataFrame) -> Column:
-    """W1 as a constant: the lowest-``ord`` definition (one row read on the driver)."""
+def first_definition(catalog: DataFrame):
+    """The lowest-``ord`` definition (one row read on the driver)."""
     entries = collect_entries(catalog)
     row = entries[0] if entries else \
         fallback_definition(catalog).select("ord", "fn_name", "args_names", "args_types").first()
     if row is None:
         raise CatalogError("function catalogue is empty")
-    return entry_literal(row)
+    return row
 
 
 def explode_arg_specs(catalog: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ PICK_TYPE = ("struct<arg_ord:int,arg_name:string,arg_type:string,raw:string,n_ca
              "fatal:boolean>>")
 from callsmith.operators.catalog import (MAX_BROADCAST_CATALOG, arg_specs_column,
                                          bounded_count, collect_entries, dedupe_catalog,
-                                         first_entry_literal)
+                                         entry_literal, first_definition)
 
 
 def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_CATALOG) -> DataFrame:
@@ -34,17 +34,23 @@ def _catalog_side(catalog: DataFrame, side: DataFrame) -> DataFrame:
     return F.broadcast(side) if collect_entries(catalog) is not None else side
 
 
-def fallback_picks(args: Column) -> Column:
-    """K6: every declared argument with its typed default."""
-    return F.transform(args, lambda a: F.struct(
-        a["arg_ord"].cast("int").alias("arg_ord"), a["arg_name"].alias("arg_name"),
-        a["arg_type"].alias("arg_type"), F.lit(None).cast("string").alias("raw"),
-        F.lit(0).alias("n_cands"), default_for_type(a["arg_type"]).alias("c")))
+def fallback_picks(definition) -> Column:
+    """K6: every declared argument of a definition with its typed default, as a constant."""
+    def pick(i, name):
+        arg_type = F.lit((definition["args_types"] or {}).get(name)).cast("string")
+        return F.struct(F.lit(i).alias("arg_ord"), F.lit(name).alias("arg_name"), arg_type.alias("arg_type"),
+                        F.lit(None).cast("string").alias("raw"), F.lit(0).alias("n_cands"),
+                        default_for_type(arg_type).alias("c"))
+
+    return F.array(*[pick(i, a) for i, a in enumerate(definition["args_names"] or [])]).cast(f"array<{PICK_TYPE}>")
 
 
 def with_first_function(df: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Attach the fallback definition (W1) as a constant column ``_first``."""
-    return df.withColumn("_first", first_entry_literal(catalog))
+    """Attach the fallback call (W1, K6) as a constant column ``_first``: one row read on the driver."""
+    first = first_definition(catalog)
+    entry = entry_literal(first)
+    return df.withColumn("_first", F.struct(entry["ord"].alias("ord"), entry["fn_name"].alias("fn_name"),
+                                            entry["args"].alias("args"), fallback_picks(first).alias("picks")))
 
 
 def apply_fallback(df: DataFrame, fatal_col: str = "call_fatal") -> DataFrame:
@@ -55,8 +61,7 @@ def apply_fallback(df: DataFrame, fatal_col: str = "call_fatal") -> DataFrame:
     fatal = F.coalesce(F.col(fatal_col), F.lit(False))
     return (df.withColumn("fn_name", F.when(fatal, F.col("_first.fn_name")).otherwise(F.col("fn_name")))
             .withColumn("fn_ord", F.when(fatal, F.col("_first.ord")).otherwise(F.col("fn_ord")))
-            .withColumn("picks", F.when(fatal, fallback_picks(F.col("_first.args")))
-                        .otherwise(F.col("picks")))
+            .withColumn("picks", F.when(fatal, F.col("_first.picks")).otherwise(F.col("picks")))
             .withColumn("is_fallback", fatal | F.coalesce(F.col("is_fallback"), F.lit(False)))
             .drop("_first"))
 

@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
 from callsmith.operators.choose import bind_with_model
 from callsmith.operators.decode import apply_fallback, pack_arguments, with_first_function
+from callsmith.operators.rules import bind_compiled
 from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests
 
 
 def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
                   text_col: str = "prompt", key_cols: list[str] | None = None,
-                  bind_method: str = "auto", candidate_policy: str = "first",
-                  scores_col: str | None = None, candidate_scorer=None) -> DataFrame:
+                  bind_method: str = "compiled", candidate_policy: str = "first",
+                  scores_col: str | None = None, candidate_scorer=None, rules=None) -> DataFrame:
     """K4: one call per request: ``fn_ord, fn_name, fn_score, fn_fallback, is_fallback, picks``.
 
     ``candidate_policy='scored'`` with ``scores_col`` (a score vector per
@@ -31,16 +32,27 @@ def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
     ``candidate_policy='model'`` asks ``candidate_scorer`` (a ``ModelScorer``; default: ``scorer``) at the branches
     of the candidates' tokens.  ``scorer`` is lexical by default; a ``TableScorer`` or ``ModelScorer`` selects by a
     constrained walk, and a request it raises for becomes the fallback call.
+
+    ``bind_method='compiled'`` binds by expressions compiled from a catalogue that passes the size check and
+    from ``rules`` (F16, see ``operators.rules``); a larger catalogue, the other methods and policies
+    bind in a fold, by the default rules only.
     """
     selected = select_function(requests, catalog, scorer, text_col=text_col, key_cols=key_cols)
-    if candidate_policy == "model":
-        bound = bind_with_model(selected, candidate_scorer or scorer, text_col)
-    else:
-        bound = bind_arguments(selected, text_col=text_col, method=bind_method,
-                               policy=candidate_policy, scores_col=scores_col)
-    typed = type_picks(bound).withColumn("is_fallback", F.lit(False))
+    typed = None
+    if candidate_policy == "first" and bind_method == "compiled":
+        typed = bind_compiled(selected, catalog, text_col, rules)
+    if typed is None:
+        if rules is not None:
+            raise ValueError("own rules need the compiled form: a size-checked catalogue and the policy 'first'")
+        if candidate_policy == "model":
+            bound = bind_with_model(selected, candidate_scorer or scorer, text_col)
+        else:
+            bound = bind_arguments(selected, text_col=text_col, method="auto" if bind_method == "compiled" else bind_method,
+                                   policy=candidate_policy, scores_col=scores_col)
+        typed = type_picks(bound)
+    typed = typed.withColumn("is_fallback", F.lit(False))
     for flag in ("fn_failed", "choice_failed"):  # K8: a request a scorer raised for becomes the fallback call
-        if flag in bound.columns:
+        if flag in typed.columns:
             typed = typed.withColumn("call_fatal", F.col("call_fatal") | F.col(flag)).drop(flag)
     return apply_fallback(with_first_function(typed, catalog)).drop("fn_args", "call_fatal")
 
@@ -66,12 +78,12 @@ class JobResult:
 
 def run_job(requests: DataFrame, catalog: DataFrame, scorer=None,
             text_col: str = "prompt", key_cols: list[str] | None = None,
-            bind_method: str = "auto", candidate_policy: str = "first",
-            scores_col: str | None = None, candidate_scorer=None) -> JobResult:
+            bind_method: str = "compiled", candidate_policy: str = "first",
+            scores_col: str | None = None, candidate_scorer=None, rules=None) -> JobResult:
     """K7: validated requests → calls, plus the rejected requests."""
     valid, rejects = validate_requests(requests, text_col)
     calls = propose_calls(valid, catalog, scorer, text_col, key_cols, bind_method,
-                          candidate_policy, scores_col, candidate_scorer)
+                          candidate_policy, scores_col, candidate_scorer, rules)
     return JobResult(calls=calls, rejects=rejects)
 
 

@@ -509,6 +509,15 @@ SELECT c_custkey, 'fn_flag' AS fn_name, '{"id":' || c_custkey || ',"active":true
 FROM customer
 """
 
+ORACLE["bind_user_rules"] = f"""
+WITH r AS (SELECT o_orderkey, 'Ship ' || CAST(o_custkey % 50 AS VARCHAR) || ' of #' || CAST(o_orderkey AS VARCHAR)
+                  || ' with code K' || CAST(o_custkey AS VARCHAR) AS p FROM orders),
+a AS (SELECT o_orderkey, regexp_extract_all(p, {NUM}) AS nums, regexp_extract(p, '#([0-9]+)', 1) AS order_no,
+             regexp_extract(p, 'code ([A-Z][0-9]+)', 1) AS code FROM r),
+b AS (SELECT *, coalesce(list_filter(nums, lambda x: x <> order_no AND x <> code)[1], '') AS n FROM a)
+SELECT o_orderkey, 'fn_ship' AS fn_name, {py_int('order_no')} AS order_no, code, {py_int('n')} AS n FROM b
+"""
+
 # --- prefix index ------------------------------------------------------------------
 
 TOKENS = q(r"[^\t\n\x0b\f\r ]+")

@@ -397,6 +397,24 @@ def bind_flag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls.select("c_custkey", "fn_name", pack_arguments(F.col("picks")).alias("args"))
 
 
+SHIP_CATALOG = [("fn_ship", [("order_no", "int"), ("code", "str"), ("n", "int")], "str")]
+SHIP_RULES = [("int", "fn_ship", "order_no", r"regex:#(\d+)"), (None, None, "code", r"regex:code ([A-Z]\d+)"),
+              ("int", None, None, "numbers")]
+
+
+@register("bind_user_rules")
+def bind_user_rules_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F16, K3: a user's extraction rules as rows; the number bound by one rule is no candidate of another."""
+    req = ensure_parallelism(table(spark, sf_dir, "orders")).select("o_orderkey", F.concat(
+        F.lit("Ship "), R.s(F.col("o_custkey") % 50), F.lit(" of #"), R.s("o_orderkey"), F.lit(" with code K"),
+        R.s("o_custkey")).alias("prompt"))
+    rules = spark.createDataFrame([(i, *r) for i, r in enumerate(SHIP_RULES)],
+                                  "ord int, arg_type string, fn_name string, arg_name string, extractor string")
+    calls = propose_calls(req, C.catalog_from_rows(spark, SHIP_CATALOG), rules=rules)
+    return calls.select("o_orderkey", "fn_name", _arg(0, "v_int").alias("order_no"), _arg(1, "v_str").alias("code"),
+                        _arg(2, "v_int").alias("n"))
+
+
 # --- prefix index over whole documents ------------------------------------------
 
 def _document_sequences(spark: SparkSession, sf_dir: str):
