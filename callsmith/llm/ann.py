@@ -163,10 +163,13 @@ def calibrate(router: Router, x: np.ndarray, recall: float, k: int = 5) -> float
     return 1.0
 
 
-def fit(rows: DataFrame, sample: int = 6144, per_partition: int = 4096, most: int = 64,
+def fit(rows: DataFrame, sample: int = 6144, per_partition: int = 4096, least: int = 8,
         recall: float = 0.95) -> Router | None:
     """A router from about ``sample`` rows drawn by a hash of their vectors (equal ones count
-    once); ``rows`` as of ``usable``."""
+    once); ``rows`` as of ``usable``.
+
+    A partition for every ``per_partition`` rows, at least ``least``, each learnt from 32 sampled vectors or
+    more.  With fewer than 50 vectors to calibrate on, a query visits every partition."""
     total = rows.count()
     if not total:
         return None
@@ -175,14 +178,14 @@ def fit(rows: DataFrame, sample: int = 6144, per_partition: int = 4096, most: in
     x = np.unique(np.array([r["v"] for r in drawn.collect()], float), axis=0)
     x = np.random.default_rng(3).permutation(x)
     held, x = x[:len(x) // 4], x[len(x) // 4:]
-    parts = int(min(most, total // per_partition, len(x) // 32))
-    if parts < 2 or len(held) < 50:
+    parts = int(min(max(least, total // per_partition), len(x) // 32))
+    if parts < 2:
         width = rows.select(F.size("v")).first()[0]
         return Router(np.zeros((width + 1, 1)), np.zeros((2, 1)))
     scale = 1 / max(float(np.sqrt((x * x).mean())), 1e-300)
     router = fit_router(x * scale, parts)
     router.hidden[:-1] *= scale
-    router.probability = calibrate(router, held, recall)
+    router.probability = calibrate(router, held, recall) if len(held) >= 50 else 1.0
     return router
 
 

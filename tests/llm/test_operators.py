@@ -356,6 +356,21 @@ def test_neighbours_recall_and_defined_cases(spark):
     assert ann.search(frame.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [90, 400])
+def test_neighbours_have_learned_partitions_in_small_tables(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 8))
+    frame = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    router = ann.fit(ann.usable(frame))
+    assert router.partitions >= 2
+    found = ann.search(frame, F.col("vec_id") % 20 == 0, router=router).collect()
+    hits = 0
+    for q in range(0, n, 20):
+        near = x @ x[q]
+        near[q] = -np.inf
+        hits += len(set(np.argsort(-near)[:20]) & {r.vec_id for r in found if r.query_id == q})
+    assert hits / (20 * len(range(0, n, 20))) >= 0.9
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(2)
     for n in (1, 5, 100, 40_000):
