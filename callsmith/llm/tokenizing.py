@@ -23,6 +23,7 @@ import re
 from array import array
 
 RUN_ENTRIES = 450_000  # of one generation
+WORD_ENTRIES = 200_000  # the same for runs of a word tokenizer: a pipeline's later stages share the worker's memory
 PIECE_ENTRIES = 300_000
 FIRST_ENTRIES = 100_000
 
@@ -98,7 +99,7 @@ class TextEncoder:
             return b"".join([by_piece[p] for p in pieces(run.lower() if words else run)])
 
         self.words = words
-        self.cache = Cache(run_ids, RUN_ENTRIES if words else FIRST_ENTRIES)
+        self.cache = Cache(run_ids, WORD_ENTRIES if words else FIRST_ENTRIES)
         self.spaced = Cache(run_ids, RUN_ENTRIES, " ")  # by the run without its space
         self.newline = b"" if words else run_ids("\n")
         self.whole = False
