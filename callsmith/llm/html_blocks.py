@@ -1,11 +1,11 @@
 """Operator 8: main text of web pages from flat text blocks and a decision tree.
 
-A page is cut into flat text blocks at block-level tags.  Each block has its word
-count and link density, those of its neighbours, and whether it stands in an
-article or in a container that says by its tag, class or id that it is none
-(menu, footer, comments, ...).  A decision tree, trained on the small labelled table below,
-keeps or drops it.  The kept blocks, character references decoded and white space
-turned into single spaces, are joined by newlines.
+A page is cut into flat text blocks at block-level tags.  A block goes where its container says by
+its tag, class or id that it is none of the article (menu, footer, comments, ...), or where it stands
+outside of the article that the page marks.  Each block left has its word count and link density and
+those of the blocks left before and after it; a decision tree, trained on the blocks of the small
+labelled pages below, keeps or drops it.  The kept blocks, character references decoded and white
+space turned into single spaces, are joined by newlines.
 
 Defined cases: null html is empty and gives an empty text; an unfinished tag or
 comment at the end is dropped; an unclosed script ends with the page; repeated
@@ -146,52 +146,134 @@ def blocks(page: str | None) -> list[Block]:
     return out
 
 
-FEATURES = ["in_article", "in_other", "page_has_article", "heading", "words", "link", "words_before",
-            "link_before", "words_after", "link_after"]
+FEATURES = ["marked", "heading", "words", "link", "words_before", "link_before", "words_after", "link_after"]
 
 
-def features(found: list[Block]) -> np.ndarray:
+def features(found: list[Block], marked: bool) -> np.ndarray:
     words = np.array([0, *[b.words for b in found], 0], float)
     link = np.array([0, *[b.linked / b.words for b in found], 0], float)
-    has = float(any(b.in_article and not b.in_other for b in found))
-    own = np.array([[b.in_article, b.in_other, has, b.heading] for b in found], float).reshape(-1, 4)
-    return np.column_stack([own, words[1:-1], link[1:-1], words[:-2], link[:-2], words[2:], link[2:]])
-
-
-# The labelled table: FEATURES of hand-labelled blocks, then 1 for main text.
-LABELLED = [
-    # Article elements: headings, long, short and one-word paragraphs, list items, captions.
-    (1, 0, 1, 1, 9, 0.0, 8, 0.0, 60, 0.0, 1), (1, 0, 1, 1, 3, 0.0, 6, 1.0, 80, 0.0, 1),
-    (1, 0, 1, 0, 80, 0.0, 9, 0.0, 40, 0.0, 1), (1, 0, 1, 0, 40, 0.1, 80, 0.0, 2, 0.0, 1),
-    (1, 0, 1, 0, 2, 0.0, 40, 0.1, 90, 0.0, 1), (1, 0, 1, 0, 1, 0.0, 3, 0.0, 5, 0.5, 1),
-    (1, 0, 1, 0, 5, 0.5, 70, 0.0, 30, 0.0, 1), (1, 0, 1, 0, 6, 1.0, 30, 0.0, 25, 0.0, 1),
-    (1, 0, 1, 0, 25, 0.2, 6, 1.0, 10, 0.0, 1), (1, 0, 1, 0, 1, 0.0, 0, 0.0, 0, 0.0, 1),
-    (1, 0, 1, 0, 300, 0.0, 12, 0.0, 8, 0.2, 1), (1, 0, 1, 0, 4, 0.0, 4, 0.0, 4, 0.0, 1),
-    # Other containers, inside an article or not: menus, adverts, footers, comments, forms.
-    (0, 1, 1, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (0, 1, 1, 0, 2, 1.0, 1, 1.0, 8, 0.0, 0),
-    (0, 1, 1, 0, 8, 0.0, 1, 1.0, 9, 0.0, 0), (0, 1, 1, 0, 30, 0.0, 5, 0.0, 4, 0.5, 0),
-    (0, 1, 1, 1, 2, 0.0, 60, 0.0, 30, 0.0, 0), (0, 1, 1, 0, 12, 0.1, 60, 0.0, 0, 0.0, 0),
-    (0, 1, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (0, 1, 0, 0, 45, 0.0, 2, 1.0, 20, 0.0, 0),
-    (0, 1, 0, 0, 15, 0.2, 50, 0.0, 0, 0.0, 0), (0, 1, 0, 1, 3, 0.0, 50, 0.0, 30, 0.0, 0),
-    (1, 1, 1, 0, 6, 1.0, 70, 0.0, 50, 0.0, 0), (1, 1, 1, 0, 50, 0.0, 6, 1.0, 40, 0.0, 0),
-    (1, 1, 1, 1, 2, 0.0, 90, 0.0, 45, 0.0, 0), (1, 1, 0, 0, 35, 0.0, 40, 0.0, 30, 0.0, 0),
-    (1, 1, 0, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0),
-    # Outside the article of a page that has one.
-    (0, 0, 1, 0, 2, 1.0, 0, 0.0, 2, 1.0, 0), (0, 0, 1, 0, 20, 0.0, 60, 0.0, 4, 0.5, 0),
-    (0, 0, 1, 0, 10, 0.0, 2, 1.0, 9, 0.0, 0), (0, 0, 1, 1, 4, 0.0, 60, 0.0, 6, 1.0, 0),
-    (0, 0, 1, 0, 6, 0.3, 60, 0.0, 0, 0.0, 0), (0, 0, 1, 0, 60, 0.0, 10, 0.0, 30, 0.0, 0),
-    # Pages without a marked article: words, links and neighbours decide.
-    (0, 0, 0, 0, 90, 0.0, 6, 0.0, 70, 0.0, 1), (0, 0, 0, 0, 40, 0.1, 90, 0.0, 12, 0.0, 1),
-    (0, 0, 0, 0, 18, 0.0, 3, 0.0, 60, 0.0, 1), (0, 0, 0, 0, 12, 0.0, 40, 0.1, 55, 0.0, 1),
-    (0, 0, 0, 0, 4, 0.0, 60, 0.0, 45, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 30, 0.0, 25, 0.0, 1),
-    (0, 0, 0, 1, 8, 0.0, 2, 1.0, 70, 0.0, 1), (0, 0, 0, 1, 5, 0.0, 60, 0.0, 50, 0.0, 1),
-    (0, 0, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (0, 0, 0, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
-    (0, 0, 0, 0, 1, 1.0, 80, 0.0, 1, 1.0, 0), (0, 0, 0, 0, 2, 1.0, 40, 0.0, 50, 0.0, 0),
-    (0, 0, 0, 0, 60, 0.0, 50, 0.0, 1, 1.0, 1), (0, 0, 0, 0, 80, 0.0, 0, 0.0, 1, 1.0, 1),
-    (0, 0, 0, 0, 12, 0.8, 2, 1.0, 10, 0.9, 0), (0, 0, 0, 0, 30, 0.9, 3, 1.0, 20, 0.8, 0),
-    (0, 0, 0, 0, 3, 0.0, 2, 1.0, 4, 1.0, 0), (0, 0, 0, 0, 5, 0.0, 4, 1.0, 0, 0.0, 0),
-    (0, 0, 0, 0, 6, 0.4, 3, 0.0, 0, 0.0, 0), (0, 0, 0, 0, 25, 0.7, 40, 0.0, 3, 1.0, 0),
-]
+    heading = np.array([b.heading for b in found], float)
+    return np.column_stack([np.full(len(found), float(marked)), heading, words[1:-1], link[1:-1], words[:-2],
+                            link[:-2], words[2:], link[2:]])
+
+
+def undecided(found: list[Block]) -> tuple[list[Block], bool]:
+    """The blocks that no container rules out, and whether the page marks its article: a block in a
+    container that says it is none goes, and so does one outside of the article of a page that has one."""
+    left = [b for b in found if not b.in_other]
+    marked = any(b.in_article for b in left)
+    return [b for b in left if b.in_article or not marked], marked
+
+
+# Labelled pages, one block a line: + is main text.  Pages that begin with <article> mark theirs.
+LABELLED_PAGES = ["""
+- <div><a href=/>Home</a> <a href=/bread>Bread</a> <a href=/cakes>Cakes</a> <a href=/soups>Soups</a></div>
++ <h1>How long should dough rise</h1>
++ <p>A dough has risen enough when a finger pressed into it leaves a mark that fills again only slowly. In a warm kitchen that takes about an hour, in a cold one three or four, and in the fridge a whole night.</p>
++ <p>Do not look at the clock alone.</p>
++ <p>Flour differs from mill to mill, and so does the water it takes up. Write down what you did, so that the next loaf can be better than the last, and change one thing at a time.</p>
++ <h2>Folding</h2>
++ <p>Fold the dough every half hour while it rises. Four folds are enough for a <a href=/loaf>plain loaf</a>, six for one with much water, and after the last one it should keep its shape on the table.</p>
+- <div><a href=/p1>Rye bread for beginners</a></div>
+- <div><a href=/p2>Ten soups for winter</a></div>
+- <div><a href=/p3>Our best cakes</a></div>
+- <p>Copyright 2019 The Kitchen Table</p>
+""", """
+- <p><a href=/login>Log in</a></p>
+- <p><a href=/cart>Cart</a> (0)</p>
++ <p>The old harbour was closed to large ships in the spring of that year, after the council had argued about it for a decade. Fishing boats still land here every morning, and the market that sells their catch has grown.</p>
++ <p>Visitors like it.</p>
++ <p>The warehouses became flats and studios, the railway line a path for walkers, and the crane that stood at the end of the pier was painted red and left where it was, as a mark for those who come by sea.</p>
++ <p>Nobody has asked for the ships to come back, says the mayor, who was against the plan at first and voted for it at last.</p>
+- <p><a href=/n1>Council votes on new school</a></p>
+- <p><a href=/n2>Rain expected</a></p>
+- <p>Call us on 555 0100</p>
+""", """
+- <td><a href=a>News</a></td>
+- <td><a href=b>Sport</a></td>
+- <td><a href=c>Weather</a></td>
+- <td><a href=d>Travel and holidays</a></td>
++ <h1>Two goals in the last minutes decide the final</h1>
++ <p>For most of the evening it looked as if neither side would score, and the crowd had begun to leave when the substitute took the ball on the left, passed two men and shot from twenty metres.</p>
++ <p>It was his first touch of the ball, and he said later that he had closed his eyes.</p>
++ <p>The second goal came from a corner with the goalkeeper far out of his area.</p>
+- <td><a href=e>All results</a></td>
+- <td><a href=f>Table</a></td>
+- <td>Page 1 of 3</td>
+""", """
+- <li><a href=1>Start</a></li>
+- <li><a href=2>Products</a></li>
+- <li><a href=3>About the company</a></li>
+- <div>Search</div>
+- <li><a href=4>Read more about our offers for schools and libraries this summer</a></li>
++ <p>The pump is delivered with a hose of two metres and a filter. Before the first use, rinse the filter under running water, screw the hose to the upper opening and fill the housing with water up to the mark.</p>
++ <p>Never run the pump dry. The seals are cooled by the water that passes them and burn within a minute without it, which is the most common cause of the repairs that we see.</p>
++ <li>Filter, two pieces</li>
++ <li>Hose of two metres</li>
++ <p>Spare parts can be ordered for at least ten years after the last pump of a series has been sold.</p>
+- <div><a href=5>Terms</a> <a href=6>Privacy</a> <a href=7>Contact</a></div>
+- <div><a href=8>Facebook</a></div>
+""", """
++ <p>Short answer: yes, as long as both tables have the same key and neither has changed since the copy was made. The longer answer depends on how the copy was made and on who may write to it meanwhile.</p>
++ <p>If in doubt, compare the counts first and then the sums of a column that is hard to get right by chance.</p>
+- <p><a href=q1>How do I compare two tables?</a> <a href=q2>How do I copy a table?</a></p>
+- <p><a href=q3>Why is my copy empty?</a></p>
+- <p>12 votes</p>
+- <p><a href=q4>Ask a question</a></p>
+""", """
+- <div>Advertisement</div>
+- <div><a href=x>Shop now</a></div>
++ <h1>Small gardens</h1>
++ <p>Even a balcony has room for herbs. Basil and parsley want sun, mint does with shade and should be kept in a pot of its own, as its roots fill any bed within two summers.</p>
+- <div><a href=y>Pots at half price today only</a></div>
++ <p>Water in the morning, and rather much and seldom than little and often, so that the roots go down to where the soil stays damp. In August a second watering in the evening does no harm.</p>
+- <div><a href=z1>Next</a></div>
+- <div><a href=z2>Previous</a></div>
+- <div>Share</div>
+""", """<article>
++ <h1>Minutes of the meeting</h1>
++ <p>Present: nine members.</p>
++ <p>The minutes of the last meeting were read and accepted without changes. The treasurer reported on the accounts, which had been checked by two members and found to be in order.</p>
++ <p>Accepted.</p>
++ <h2>Summer party</h2>
++ <p><a href=h>The hall of last year</a></p>
++ <p>It is free on both days, and its rent is the same as before.</p>
++ <li>Tables</li>
++ <li>Lamps</li>
++ <p>Closed at ten.</p>
+""", """<article>
++ <p>Yes.</p>
+""", """<article>
++ <p>One</p>
++ <p>Two</p>
+""", """<article>
++ <h1>On the road</h1>
++ <p>We left before sunrise, as the road over the pass is closed to cars from nine on, and had it to ourselves for an hour, with snow on both sides and a fox that did not move.</p>
+- <p><a href=1>Ten passes for summer</a></p>
+- <p><a href=2>Where to sleep</a></p>
+- <p><a href=3>Our maps</a></p>
++ <p>Beyond the pass the valley opens, and the first village has a bakery that sells bread still warm.</p>
+- <p><a href=4>Next part</a></p>
+- <p><a href=5>All parts</a></p>
+""", """<article>
++ <p>The library opens at noon on Sundays (<a href=m>map</a>).</p>
++ <p><a href=r>Rules for readers</a></p>
++ <p>Books may be kept for four weeks and once renewed, if no other reader has asked for them in the meantime.</p>
++ <p>Thank you</p>
+"""]
+
+
+def labelled_blocks(pages=LABELLED_PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """FEATURES of the labelled pages' blocks, by the code that reads every page, and their labels."""
+    rows, labels = [], []
+    for page in pages:
+        head, *lines = page.strip("\n").split("\n") if page.startswith("<") else ["", *page.strip("\n").split("\n")]
+        found, marked = undecided(blocks(head + "".join(line[2:] for line in lines)))
+        if len(found) != len(lines):
+            raise ValueError(f"a labelled page has one block a line: {page[:80]}")
+        rows.append(features(found, marked))
+        labels += [line[0] == "+" for line in lines]
+    return np.concatenate(rows), np.array(labels, float)
 
 
 def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6):
@@ -219,15 +301,13 @@ def classify(tree, row: np.ndarray) -> bool:
     return bool(tree)
 
 
-def train(labelled=LABELLED):
-    table = np.array(labelled, float)
-    return grow(table[:, :-1], table[:, -1])
+def train(pages=LABELLED_PAGES):
+    return grow(*labelled_blocks(pages))
 
 
 def main_text(page: str | None, tree) -> str:
-    found = blocks(page)
-    rows = features(found)
-    return "\n".join(b.text for b, r in zip(found, rows) if classify(tree, r))
+    found, marked = undecided(blocks(page))
+    return "\n".join(b.text for b, r in zip(found, features(found, marked)) if classify(tree, r))
 
 
 def extract(pages: DataFrame, tree=None) -> DataFrame:

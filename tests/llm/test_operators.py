@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -517,3 +518,43 @@ def test_paragraphs_and_items_that_say_they_are_none():
         "inner item here", "a block in the text"]
     assert html_blocks.main_text("<article><ul><li class=comment>x y<ul><li>z of it</li></ul> tail</li><li>kept item</li></ul></article>",
                                  tree) == "kept item"
+
+
+def _asked_features(tree, row):
+    asked = set()
+    while isinstance(tree, tuple):
+        asked.add(html_blocks.FEATURES[tree[0]])
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return asked
+
+
+def test_words_and_links_decide_blocks():
+    """The tree is asked about every block that no container rules out, and it asks for word counts and link density."""
+    tree = html_blocks.train()
+    page = ("<body><div><a href=1>Home</a> <a href=2>News</a></div><div>" + "a sentence of the text " * 12 + "</div><div>Short one.</div><div>"
+            + "more of the text follows " * 9 + "</div><div><a href=3>Read this too</a></div><div><a href=4>And this</a></div></body>")
+    assert html_blocks.main_text(page, tree).split("\n") == [
+        ("a sentence of the text " * 12).strip(), "Short one.", ("more of the text follows " * 9).strip()]
+    html = pd.read_parquet(f"{SMALL}/pages.parquet").html
+    for h in [page, *html]:
+        found, marked = html_blocks.undecided(html_blocks.blocks(h))
+        for row in html_blocks.features(found, marked):
+            assert _asked_features(tree, row) & {"words", "link", "words_before", "link_before", "words_after", "link_after"}
+
+
+def test_labelled_pages_held_out():
+    """Trained on the other labelled pages, the tree is right on most blocks of each left out."""
+    pages = html_blocks.LABELLED_PAGES
+    right = total = 0
+    for i in range(len(pages)):
+        tree = html_blocks.train(pages[:i] + pages[i + 1:])
+        rows, labels = html_blocks.labelled_blocks([pages[i]])
+        right += sum(html_blocks.classify(tree, r) == bool(x) for r, x in zip(rows, labels))
+        total += len(labels)
+    assert right / total > 0.85
+
+
+def test_very_long_page():
+    tree = html_blocks.train()
+    page = "<article>" + "<p>some words of a paragraph</p>" * 20000 + "</article>"
+    assert html_blocks.main_text(page, tree).count("\n") == 19999
