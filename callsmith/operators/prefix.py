@@ -90,9 +90,18 @@ def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -
     reached by ``next_token``.  Grouping by ``(node_seq, depth)`` gives the
     permitted-next-token set of that prefix.
     """
-    rows = prefix_rows(seqs, id_col, tokens_col)
-    edges = rows.groupBy("n", *PARENT, "tok").agg(
+    return named_edges(prefix_edges(seqs, id_col, tokens_col))
+
+
+def prefix_edges(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
+    """Trie edges by prefix key: ``n, p0..p3, tok, n_seqs, child_seq``.  Edges of two sets of sequences
+    combine: ``n_seqs`` adds up, ``child_seq`` is the lesser."""
+    return prefix_rows(seqs, id_col, tokens_col).groupBy("n", *PARENT, "tok").agg(
         F.count(F.lit(1)).alias("n_seqs"), F.min("seq_id").alias("child_seq"))
+
+
+def named_edges(edges: DataFrame) -> DataFrame:
+    """``prefix_edges`` with each node named by the smallest id of its sequences."""
     # Named by a second combinable minimum and an equi-join (which the skew-join rule can
     # split), not a window: the root alone has an edge for every distinct first token.
     nodes = edges.groupBy("n", *PARENT).agg(F.min("child_seq").alias("node_seq"))

@@ -539,6 +539,8 @@ SELECT min(child_seq) OVER (PARTITION BY n, pk) AS node_seq, n AS depth, tok AS
 FROM edges
 """
 
+ORACLE["merge_prefix_index"] = ORACLE["allowed_next_tokens"]
+
 ORACLE["shortest_unique_prefix"] = f"""
 WITH {DOC_PREFIX_ROWS},
 g AS (SELECT n + 1 AS len, count(*) AS c, min(doc_id) AS doc_id FROM h GROUP BY n, k)
@@ -616,6 +618,24 @@ SELECT item_id, count(*) AS n_tokens, count(*) FILTER (WHERE token_id IS NULL) A
 FROM lk GROUP BY item_id
 """
 
+ORACLE["encode_longest"] = f"""
+WITH RECURSIVE {RAW_TOKENS},
+entries AS MATERIALIZED (SELECT token, token_id, length(token) AS size FROM vocab WHERE length(token) > 0),
+sizes AS MATERIALIZED (SELECT DISTINCT substr(token, 1, 1) AS c, size FROM entries),
+walk AS (
+  SELECT item_id, text, 1 AS pos, 0 AS k, CAST(NULL AS BIGINT) AS id FROM benchmark WHERE length(text) > 0
+  UNION ALL
+  SELECT item_id, any_value(text), pos + coalesce(max(size), 1), any_value(k) + 1,
+         coalesce(arg_max(token_id, size), -1 - unicode(substr(any_value(text), pos, 1)))
+  FROM (SELECT w.item_id, w.text, w.pos, w.k, e.token_id, e.size
+        FROM walk w LEFT JOIN sizes z ON z.c = substr(w.text, w.pos, 1)
+        LEFT JOIN entries e ON e.token = substr(w.text, w.pos, z.size)
+        WHERE w.pos <= length(w.text)) GROUP BY item_id, pos)
+SELECT b.item_id, count(w.id) AS n_tokens, count(*) FILTER (WHERE w.id < 0) AS n_unknown,
+       coalesce(string_agg(CAST(w.id AS VARCHAR), ' ' ORDER BY w.k), '') AS ids, any_value(b.text) AS decoded
+FROM benchmark b LEFT JOIN walk w ON w.item_id = b.item_id AND w.k > 0 GROUP BY b.item_id
+"""
+
 ORACLE["catalog_fingerprints"] = """
 SELECT p_partkey AS ord, 'fn_' || replace(p_name, ' ', '_') AS fn_name,
   sha256('{"fn_name":"fn_' || replace(p_name, ' ', '_') || '","args_names":["x","n"],'

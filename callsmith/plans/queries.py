@@ -432,6 +432,20 @@ def allowed_next_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allowed_next(d, "doc_id", toks)
 
 
+@register("merge_prefix_index")
+def merge_prefix_index_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges of ``allowed_next_tokens`` from a stored index, to which the documents are added in two
+    batches by id, each written as its own edges alone."""
+    from callsmith.operators import index_store
+    from callsmith.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/prefix-index-{uuid.uuid4().hex}"
+    d, toks = _document_sequences(spark, sf_dir)
+    even = F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))
+    for name, batch in (("even", d.filter(even)), ("odd", d.filter(~even))):
+        index_store.append_batch(batch, path, name, "doc_id", toks)
+    return index_store.stored_allowed_next(spark, path)
+
+
 @register("shortest_unique_prefix")
 def shortest_unique_prefix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3, A4: where a greedy walk along each document's tokens becomes unique."""
@@ -534,6 +548,21 @@ def encode_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("text").alias("decoded")))
 
 
+@register("encode_longest")
+def encode_longest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark texts cut into the longest entries of the documents' normalised vocabulary, and decoded back."""
+    from callsmith.operators.longest import decode_longest, encode_longest
+    from callsmith.operators.tokens import normalize_token_table
+    from callsmith.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    vocab = normalize_token_table(_raw_token_table(spark, sf_dir)).select("token", "token_id").checkpoint()
+    b = ensure_parallelism(table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    enc = encode_longest(b, vocab, "item_id")
+    dec = decode_longest(enc, vocab, "item_id").withColumnRenamed("text", "decoded")
+    return enc.join(dec, "item_id").select(
+        "item_id", "n_tokens", "n_unknown", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"), "decoded")
+
+
 # --- prefix-mode selection -----------------------------------------------------------
 
 @register("constrained_walk")
