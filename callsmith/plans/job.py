@@ -17,14 +17,17 @@ from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
 from callsmith.operators.choose import bind_with_model
 from callsmith.operators.decode import apply_fallback, pack_arguments, with_first_function
 from callsmith.operators.rules import bind_compiled
+from callsmith.operators.scorer import ModelScorer, TableScorer
 from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests
+from callsmith.session import default_parallelism
 
 
 def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
                   text_col: str = "prompt", key_cols: list[str] | None = None,
                   bind_method: str = "compiled", candidate_policy: str = "first",
-                  scores_col: str | None = None, candidate_scorer=None, rules=None) -> DataFrame:
+                  scores_col: str | None = None, candidate_scorer=None, rules=None,
+                  equal_once: bool = True) -> DataFrame:
     """K4: one call per request: ``fn_ord, fn_name, fn_score, fn_fallback, is_fallback, picks``.
 
     ``candidate_policy='scored'`` with ``scores_col`` (a score vector per
@@ -36,7 +39,14 @@ def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
     ``bind_method='compiled'`` binds by expressions compiled from a catalogue that passes the size check and
     from ``rules`` (F16, see ``operators.rules``); a larger catalogue, the other methods and policies
     bind in a fold, by the default rules only.
+
+    Where a model is asked, equal texts are asked once: the job runs over the distinct texts (counted with map-side
+    combine) and its answers are joined back by the text; a hot text's requests are left to AQE's
+    skew-join split.  ``equal_once=False`` asks for each request, as a stream does and a model must whose answers are drawn.
     """
+    models = isinstance(scorer, ModelScorer) or candidate_policy == "model"
+    if equal_once and models and scores_col is None and not isinstance(scorer, TableScorer) and not requests.isStreaming:
+        return _propose_distinct(requests, catalog, scorer, text_col, bind_method, candidate_policy, candidate_scorer, rules)
     selected = select_function(requests, catalog, scorer, text_col=text_col, key_cols=key_cols)
     typed = None
     if candidate_policy == "first" and bind_method == "compiled":
@@ -57,6 +67,21 @@ def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
     return apply_fallback(with_first_function(typed, catalog)).drop("fn_args", "call_fatal")
 
 
+def _propose_distinct(requests: DataFrame, catalog: DataFrame, scorer, text_col: str, *options) -> DataFrame:
+    bind_method, candidate_policy, candidate_scorer, rules = options
+    spark = requests.sparkSession
+    parts = max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Spread again after the aggregate: AQE would give a few megabytes of texts to one task, and so to one model.
+    texts = requests.select(text_col).distinct().repartition(parts)
+    calls = propose_calls(texts, catalog, scorer, text_col, [text_col], bind_method, candidate_policy,
+                          None, candidate_scorer, rules, equal_once=False)
+    added = [c for c in calls.columns if c != text_col]
+    answers = calls.select(F.col(text_col).alias("_asked_text"), F.struct(*added).alias("_answer"))
+    kept = [c for c in requests.columns if c not in added]
+    joined = requests.join(answers, requests[text_col].eqNullSafe(answers["_asked_text"]))
+    return joined.select(*[requests[c] for c in kept], *[F.col("_answer")[c].alias(c) for c in added])
+
+
 def calls_long(calls: DataFrame, keep: list[str]) -> DataFrame:
     """One row per (call, argument) with typed value columns."""
     return explode_picks(calls, keep)
@@ -79,11 +104,11 @@ class JobResult:
 def run_job(requests: DataFrame, catalog: DataFrame, scorer=None,
             text_col: str = "prompt", key_cols: list[str] | None = None,
             bind_method: str = "compiled", candidate_policy: str = "first",
-            scores_col: str | None = None, candidate_scorer=None, rules=None) -> JobResult:
+            scores_col: str | None = None, candidate_scorer=None, rules=None, equal_once: bool = True) -> JobResult:
     """K7: validated requests → calls, plus the rejected requests."""
     valid, rejects = validate_requests(requests, text_col)
     calls = propose_calls(valid, catalog, scorer, text_col, key_cols, bind_method,
-                          candidate_policy, scores_col, candidate_scorer, rules)
+                          candidate_policy, scores_col, candidate_scorer, rules, equal_once)
     return JobResult(calls=calls, rejects=rejects)
 
 

@@ -125,3 +125,35 @@ def test_decoded_calls_return_the_stripped_text(spark):
     raw = spark.createDataFrame([("fn_a", '{"x": 3}', " \\t text \\n")], "raw_fn string, j string, prompt string").selectExpr(
         "raw_fn", "parse_json(j) AS raw_args", "replace(replace(prompt, '\\\\t', '\t'), '\\\\n', '\n') AS prompt")
     assert decode_calls(raw, cat, text_col="prompt").first().prompt == "text"
+
+
+def test_equal_requests_are_asked_once(spark, catalog, tmp_path):
+    """Function and candidates by a model that notes each text: distinct texts, whatever the copies; same calls."""
+    log = str(tmp_path / "asked")
+
+    def score(_model, texts, generated, vocab):
+        with open(log, "a") as f:
+            f.writelines(f"{len(ids)}|{t}\n" for t, ids in zip(texts, generated))
+        return [np.array([(ord(t[0]) * 5 + len(x) + len(ids)) % 13 for t in vocab], float) for x, ids in zip(texts, generated)]
+
+    def model():
+        return ModelScorer(lambda: None, score, name="noting", per_step=True)
+
+    rows = [(i, f"Find the max of {i % 7} and {i % 3} and 55", "x") for i in range(300)]
+    rows += [(1000 + i, "Find the max of 1 and 2 and 3", None) for i in range(600)] + [(5000, "  ", None), (5001, None, None)]
+    requests = spark.createDataFrame(rows, "k int, prompt string, note string").repartition(5)
+    options = dict(scorer=model(), candidate_policy="model", candidate_scorer=model())
+    job = run_job(requests, catalog, **options)
+    got = job.calls
+    found = sorted(map(tuple, got.collect()))
+    asked = open(log).read().splitlines()
+    distinct = len({p for _, p, _ in rows if p and p.strip()})
+    # The first question about a text (no token generated yet) is put once by each of the two walks.
+    firsts = [a for a in asked if a.startswith("0|")]
+    assert len(firsts) == len(set(firsts)) and len(firsts) <= 3 * distinct
+    os.remove(log)
+    each = run_job(requests, catalog, equal_once=False, **options).calls
+    assert got.columns == each.columns
+    assert found == sorted(map(tuple, each.collect()))
+    assert len(found) == 900 and len(open(log).read().splitlines()) > 10 * len(asked)
+    assert job.rejects.count() == 2
