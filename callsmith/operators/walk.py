@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsmith import fixed
+from callsmith.operators.artefacts import STORE, kept
 from callsmith.operators.catalog import CatalogError, dedupe_catalog
 from callsmith.operators.prefix import allowed_next, dense_ranks, radix_edges
 from callsmith.session import ensure_checkpoint_dir
@@ -159,7 +160,10 @@ def load_paths(catalog: DataFrame) -> Paths | None:
         raise CatalogError("function catalogue is empty")
     if size > MAX_WALK_CHARS:
         return None
-    rows = catalog_sequences(catalog).collect()
+    if catalog.sparkSession.conf.get(STORE, None):
+        rows = kept(catalog, {"sequences": lambda _: catalog_sequences(catalog)})["sequences"].collect()
+    else:
+        rows = catalog_sequences(catalog).collect()
     vocab = sorted({t for r in rows for t in r["tokens"]})
     return Paths.of([(r["ord"], r["fn_name"], r["ids"]) for r in rows], vocab)
 
@@ -174,11 +178,13 @@ class Trie:
     STATE = ("node", "depth", "live", "found", "failed")
 
     def __init__(self, catalog: DataFrame):
-        ensure_checkpoint_dir(catalog.sparkSession)
-        self.seqs = catalog_sequences(dedupe_catalog(catalog)).checkpoint()
-        self.edges = radix_edges(allowed_next(self.seqs, "ord", "ids")).select(
-            F.col("node_seq").cast("bigint").alias("parent"), F.col("depth").alias("at"), "token", "run", "n_seqs",
-            F.col("child_seq").cast("bigint").alias("child"), "next_edges").checkpoint()
+        catalog = dedupe_catalog(catalog)
+        built = kept(catalog, {
+            "sequences": lambda _: catalog_sequences(catalog),
+            "edges": lambda got: radix_edges(allowed_next(got["sequences"], "ord", "ids")).select(
+                F.col("node_seq").cast("bigint").alias("parent"), F.col("depth").alias("at"), "token", "run", "n_seqs",
+                F.col("child_seq").cast("bigint").alias("child"), "next_edges")})
+        self.seqs, self.edges = built["sequences"], built["edges"]
         top = self.seqs.agg(F.min("ord").alias("first"), F.min_by("fn_name", "ord").alias("name")).first()
         self.first, self.name = top["first"], top["name"]
         self.arrays: DataFrame | None = None
