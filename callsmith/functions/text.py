@@ -12,6 +12,8 @@ rejects other digits anyway).
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -66,8 +68,19 @@ def is_blank(text: Column) -> Column:
 
 
 # --- F1: signed decimal literals ---------------------------------------------
-def extract_numbers(text: Column) -> Column:
-    """All matches of ``-?\\d+\\.?\\d*`` in order (ASCII digits)."""
+def ascii_digits(text: Column) -> Column:
+    """Every decimal digit of any script as the ASCII digit of its value."""
+    found = [(chr(c), unicodedata.decimal(chr(c))) for c in range(128, sys.maxunicode + 1)
+             if unicodedata.category(chr(c)) == "Nd"]
+    return F.translate(text, "".join(c for c, _ in found), "".join(str(d) for _, d in found))
+
+
+def extract_numbers(text: Column, unicode_digits: bool = False) -> Column:
+    """All matches of ``-?\\d+\\.?\\d*`` in order (ASCII digits).
+
+    With ``unicode_digits`` the digits of other scripts count too and are given as ASCII digits."""
+    if unicode_digits:
+        text = ascii_digits(text)
     return all_matches(text, fixed.NUMBER_PATTERN, 0, unicode=False)
 
 

@@ -62,7 +62,8 @@ ONE = {
     "longest_quoted": X.extract_longest_quoted,
     "name_after_greet": X.extract_after_keyword,
 }
-MANY = {"numbers": X.extract_numbers, "quoted": X.extract_any_quoted}
+MANY = {"numbers": X.extract_numbers, "unicode_numbers": lambda text: X.extract_numbers(text, unicode_digits=True),
+        "quoted": X.extract_any_quoted}
 CONSTANT = {"truth": fixed.BOOL_CANDIDATES, "nothing": ()}
 REGEX = "regex:"
 

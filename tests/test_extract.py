@@ -1,5 +1,7 @@
 """Argument extraction with the function given: hand-traced goldens and edge cases."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,17 @@ def test_numbers_edge_cases(spark):
     assert got == cases
 
 
+def test_numbers_in_digits_of_any_script(spark):
+    """As Python's own pattern, whose digits are those of any script, and its float give them."""
+    texts = ["\u0663.\u0665 and -\u096a\u0968", "\uff11\uff12 1\u06f2.", "\U0001d7d9\U0001d7ce x 7", "\u00b2 \u2167 \u0bf0", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["n"] for r in df.select("t", X.extract_numbers(F.col("t"), unicode_digits=True).alias("n")).collect()}
+    for t in texts:
+        found = re.findall(r"-?\d+\.?\d*", t)
+        assert [float(x) for x in got[t]] == [float(x) for x in found]
+        assert all(x.isascii() and len(x) == len(y) for x, y in zip(got[t], found))
+
+
 def test_closed_form_equals_fold(spark):
     prompts = ["a 1 2 3", "1 1 2", "5 5 5", "7", "", "-1 1 -1 2", "2.0 2 2."]
     df = spark.createDataFrame([(p,) for p in prompts], "p string")

@@ -115,3 +115,20 @@ def test_rules_are_checked(spark, catalog):
     req = spark.createDataFrame([(1, "add 1 and 2")], "k int, prompt string")
     with pytest.raises(ValueError, match="compiled form"):
         propose_calls(req, catalog, bind_method="fold", rules=R.DEFAULT_RULES)
+
+
+def test_unicode_numbers_rule(spark):
+    """D3: a rule reads digits of any script; the default reads ASCII digits."""
+    cat = catalog_from_rows(spark, [("fn_add_numbers", [("a", "int"), ("b", "float")], "float")])
+    req = spark.createDataFrame([("add \u0664\u0662 and \uff13.5",)], "prompt string")
+    rules = [("int", None, None, "unicode_numbers"), ("float", None, None, "unicode_numbers")]
+    picks = propose_calls(req, cat, rules=rules).first().picks
+    assert [p.raw for p in picks] == ["42", "3.5"] and picks[1].c.v_float == 3.5
+    assert [p.raw for p in propose_calls(req, cat).first().picks] == ["5", ""]
+
+
+def test_no_requests_give_no_calls(spark, catalog):
+    """P10: an empty request set ends in empty calls and rejects and a summary of zeros."""
+    job = run_job(spark.createDataFrame([], "k int, prompt string"), catalog)
+    assert job.calls.count() == 0 and job.rejects.count() == 0
+    assert [job.summary().first()[c] for c in ("n_calls", "n_fallback", "n_rejected")] == [0, 0, 0]
