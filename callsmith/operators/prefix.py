@@ -21,7 +21,8 @@ Partitioning: sequences are hash-partitioned by id *before* exploding, so the
 running-sum window needs no second shuffle of the (much larger) token rows;
 the only other shuffle is the aggregation on the prefix key, which
 pre-aggregates map-side, so a hot prefix (every sequence starts the same way)
-is never collected in one task.
+is never collected in one task.  ``allowed_next`` and the stored index key only the places
+1, 2, 4, … of a sequence, and single tokens only where sequences part.
 """
 
 from __future__ import annotations
@@ -82,6 +83,142 @@ PARENT = [f"p{i}" for i in range(4)]
 SELF = [f"k{i}" for i in range(4)]
 
 
+# A cut: the tokens of one sequence from 0, 1, 2, 4, … up to the next such place.  It is keyed by the
+# tokens before it (h1, h2) and by its own (r1, r2).
+CUT = ("n", "h1", "h2", "r1", "r2")
+
+
+def _holes(tokens: Column) -> Column:
+    """Places of null tokens, which the hash of an array passes over (null: none)."""
+    return F.when(F.exists(tokens, lambda t: t.isNull()), F.filter(
+        F.transform(tokens, lambda t, i: F.when(t.isNull(), i)), lambda i: i.isNotNull()))
+
+
+def _hashes(n: Column, *parts: Column) -> list[Column]:
+    """128 bits of the first ``n`` tokens (the root, without any, has zeros)."""
+    return [F.when(n == 0, F.lit(0).cast("bigint")).otherwise(h) for h in (F.xxhash64(*parts), F.xxhash64(F.lit("#"), *parts))]
+
+
+def _cut_start(n: Column) -> Column:
+    """Where the cut begins that holds place ``n``."""
+    return F.when(n == 0, 0).otherwise(F.call_function("shiftleft", F.lit(1), F.length(F.bin(n.cast("bigint"))) - 1)).cast("int")
+
+
+def cut_key(tokens: Column, n: Column) -> list[Column]:
+    """``h1, h2`` of the first ``n`` tokens."""
+    holes = F.filter(_holes(tokens), lambda i: i < n)
+    return _hashes(n, F.slice(tokens, F.lit(1), n), holes)
+
+
+def _cut_rows(parted: DataFrame, tokens_col) -> DataFrame:
+    """``(seq_id, odd, id_key, n, h1, h2, r1, r2)``, one row per cut of each sequence; ``odd``
+    where several sequences have the id.  The rows lie together by id, so nothing is shuffled."""
+    # No filter before the explode: it would move below the shuffle by id, which then could not serve all uses.
+    base = parted.select("seq_id", "id_key", _tokens(tokens_col).alias("tokens")).select(
+        "seq_id", "id_key", "tokens", F.size("tokens").alias("size"), _holes(F.col("tokens")).alias("holes"))
+    last = F.when(F.col("size") > 1, F.length(F.bin((F.col("size") - 1).cast("bigint")))).otherwise(0)
+    levels = F.when(F.exists("tokens", lambda t: t.isNotNull()), F.sequence(F.lit(0), last))
+    rows = base.select("*", F.explode_outer(levels).alias("lvl")).filter(F.col("lvl").isNotNull())
+    rows = rows.select("*", F.when(F.col("lvl") == 0, 0).otherwise(F.expr("shiftleft(1, lvl - 1)")).cast("int").alias("n"))
+    n, width = F.col("n"), F.least(F.greatest(F.col("n"), F.lit(1)), F.col("size") - F.col("n"))
+    before = _hashes(n, F.slice("tokens", F.lit(1), n), F.filter("holes", lambda i: i < n))
+    own = (F.slice("tokens", n + 1, width), F.filter("holes", lambda i: (i >= n) & (i < n + width)), width)
+    keyed = rows.select("seq_id", "id_key", "n", before[0].alias("h1"), before[1].alias("h2"), F.xxhash64(*own).alias("r1"),
+                        F.xxhash64(F.lit("#"), *own).alias("r2"))
+    times = F.count_if(F.col("n") == 0).over(Window.partitionBy("id_key"))
+    return keyed.select("seq_id", (times > 1).alias("odd"), "id_key", *CUT)
+
+
+def id_key(of: Column) -> Column:
+    """The id as a key that is never null, so that joins and windows keep one partitioning."""
+    return F.coalesce(F.concat(F.lit("#"), of.cast("string")), F.lit(""))
+
+
+def _parted(seqs: DataFrame, id_col: str) -> DataFrame:
+    """The sequences with ``seq_id`` and ``id_key``, together by id and not yet cut into tokens."""
+    keyed = seqs.withColumns({"_seq_id": F.col(id_col), "id_key": id_key(F.col(id_col))})
+    return keyed.repartition("id_key").withColumn("seq_id", F.col("_seq_id"))
+
+
+def _distinct_cuts(cuts: DataFrame) -> DataFrame:
+    return cuts.filter(~F.col("odd")).groupBy(*CUT).agg(F.count(F.lit(1)).alias("n_seqs"), F.min("seq_id").alias("child_seq"))
+
+
+def _odd_edges(parted: DataFrame, cuts: DataFrame, tokens_col) -> DataFrame:
+    """Sequences that share their id: their tokens make one running key (as if merged by position), so all but the root
+    is their own.  Each edge is a cut of one token."""
+    # Read like the other uses of the shuffled rows (the same columns, no semi join, which would move below the shuffle).
+    odd = cuts.filter("odd and n = 0").select(id_key(F.col("seq_id")).alias("id_key")).distinct()
+    rows = prefix_rows(parted.join(odd, "id_key"), "seq_id", tokens_col)
+    root = F.col("n") == 0
+    for p in PARENT:
+        root = root & (F.col(p) == 0)
+    h1, h2 = (F.when(root, F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.lit(mark), *PARENT)) for mark in ("odd", "odd#"))
+    one = F.array("tok")
+    return rows.select("seq_id", "n", h1.alias("h1"), h2.alias("h2"), "tok").groupBy("n", "h1", "h2", "tok").agg(
+        F.count(F.lit(1)).alias("n_seqs"), F.min("seq_id").alias("child_seq")).select(
+        "child_seq", "n", "h1", "h2", F.xxhash64(one, F.lit(None).cast("array<int>"), F.lit(1)).alias("r1"),
+        F.xxhash64(F.lit("#"), one, F.lit(None).cast("array<int>"), F.lit(1)).alias("r2"), "n_seqs", one.alias("run"))
+
+
+def _with_runs(parted: DataFrame, cuts: DataFrame, tokens_col, *more: str) -> DataFrame:
+    """The distinct cuts ``(child_seq, id_key, n, h1, h2, r1, r2, n_seqs, …)`` with their tokens, from the sequence that
+    names each: one join by id, which finds the sequences together by id."""
+    own = cuts.groupBy(id_key(F.col("child_seq")).alias("id_key")).agg(F.collect_list(F.struct(*CUT, "n_seqs", *more)).alias("cuts"))
+    met = parted.join(own, "id_key").select("seq_id", "id_key", "cuts", _tokens(tokens_col).alias("tokens"))
+    met = met.select("seq_id", "id_key", "tokens", F.explode("cuts").alias("c"))
+    # An id may also have empty sequences.
+    return met.filter(F.size("tokens") > F.col("c.n")).select(
+        F.col("seq_id").alias("child_seq"), "id_key", "c.*", F.slice("tokens", F.col("c.n") + 1, F.greatest(F.col("c.n"), F.lit(1))).alias("run"))
+
+
+def cut_edges(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
+    """The trie of the sequences by cuts: ``child_seq, n, h1, h2, r1, r2, n_seqs, run``, one row per distinct cut after a
+    prefix.  The rows of two sets of sequences combine: ``n_seqs`` adds up, ``child_seq`` is the lesser."""
+    parted = _parted(seqs, id_col)
+    cuts = _cut_rows(parted, tokens_col)
+    rows = _with_runs(parted, _distinct_cuts(cuts), tokens_col).drop("id_key")
+    return rows.unionByName(_odd_edges(parted, cuts, tokens_col))
+
+
+def with_shared(cuts: DataFrame) -> DataFrame:
+    """Distinct cuts with ``shared``: whether another cut follows the same prefix (always at the root)."""
+    several = cuts.filter("n > 0").groupBy("n", "h1", "h2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(
+        F.col("n").alias("_n"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"))
+    met = cuts.join(several, (F.col("n") == F.col("_n")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
+    return met.select(*cuts.columns, ((F.col("n") == 0) | F.col("_n").isNotNull()).alias("shared"))
+
+
+def token_edges(cuts: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """The trie edges of ``allowed_next`` from distinct cuts with their tokens and ``shared``.
+
+    All sequences that pass a cut which is not shared pass the whole of it: its edges are ready, without a shuffle.
+    Only the tokens of shared cuts (and of ``more``, cuts of one token) are keyed and counted."""
+    own = cuts.select("child_seq", "n", "n_seqs", F.posexplode_outer(F.when(~F.col("shared"), F.col("run"))).alias("i", "tok")).filter(
+        F.col("tok").isNotNull()).select(
+        F.col("child_seq").alias("node_seq"), (F.col("n") + F.col("i")).cast("int").alias("depth"),
+        F.col("tok").alias("next_token"), "n_seqs", "child_seq")
+    rows = cuts.select("child_seq", "id_key", *CUT, "n_seqs", F.posexplode_outer(F.when(F.col("shared"), F.col("run"))).alias("i", "tok")).filter(
+        F.col("tok").isNotNull())
+    w = Window.partitionBy("id_key", *CUT).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = _parts(F.col("tok"), F.col("i"))
+    summed = rows.select("*", *[g.alias(f"g{j}") for j, g in enumerate(parts)], *[F.sum(g).over(w).alias(f"k{j}") for j, g in enumerate(parts)])
+    before = [F.col(f"k{j}") - F.col(f"g{j}") for j in range(4)]
+    first = F.col("k0") == F.col("g0")
+    for j in range(1, 4):
+        first = first & (F.col(f"k{j}") == F.col(f"g{j}"))
+    keyed = summed.select("child_seq", "n_seqs", (F.col("n") + F.col("i")).cast("int").alias("n"), "tok", *[
+        F.when(first, F.col(h)).otherwise(F.xxhash64(F.col(h), *before)).alias(h) for h in ("h1", "h2")])
+    if more is not None:
+        keyed = keyed.unionByName(more.select("child_seq", "n_seqs", "n", F.get("run", 0).alias("tok"), "h1", "h2"))
+    edges = keyed.groupBy("n", "h1", "h2", "tok").agg(F.sum("n_seqs").alias("n_seqs"), F.min("child_seq").alias("child_seq"))
+    # Nodes are named by a second combinable minimum and an equi-join (which the skew-join rule can
+    # split), not a window: the root alone has an edge for every distinct first token.
+    nodes = edges.groupBy("n", "h1", "h2").agg(F.min("child_seq").alias("node_seq"))
+    return own.unionByName(edges.join(nodes, ["n", "h1", "h2"]).select(
+        "node_seq", F.col("n").alias("depth"), F.col("tok").alias("next_token"), "n_seqs", "child_seq"))
+
+
 def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
     """Trie edges ``(node_seq, depth, next_token, n_seqs, child_seq)``.
 
@@ -89,25 +226,14 @@ def allowed_next(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -
     sequences that continue it (``node_seq``); ``child_seq`` names the node
     reached by ``next_token``.  Grouping by ``(node_seq, depth)`` gives the
     permitted-next-token set of that prefix.
-    """
-    return named_edges(prefix_edges(seqs, id_col, tokens_col))
-
-
-def prefix_edges(seqs: DataFrame, id_col: str = "seq_id", tokens_col="tokens") -> DataFrame:
-    """Trie edges by prefix key: ``n, p0..p3, tok, n_seqs, child_seq``.  Edges of two sets of sequences
-    combine: ``n_seqs`` adds up, ``child_seq`` is the lesser."""
-    return prefix_rows(seqs, id_col, tokens_col).groupBy("n", *PARENT, "tok").agg(
-        F.count(F.lit(1)).alias("n_seqs"), F.min("seq_id").alias("child_seq"))
 
-
-def named_edges(edges: DataFrame) -> DataFrame:
-    """``prefix_edges`` with each node named by the smallest id of its sequences."""
-    # Named by a second combinable minimum and an equi-join (which the skew-join rule can
-    # split), not a window: the root alone has an edge for every distinct first token.
-    nodes = edges.groupBy("n", *PARENT).agg(F.min("child_seq").alias("node_seq"))
-    return edges.join(nodes, ["n", *PARENT]).select(
-                        "node_seq", F.col("n").alias("depth"), F.col("tok").alias("next_token"),
-                        "n_seqs", "child_seq")
+    Each sequence is cut at 1, 2, 4, … tokens.  Only the cuts' hashes (about log2 of its length in rows) are
+    grouped; of equal cuts one sequence gives the edges, and only tokens of cuts where sequences part are shuffled.
+    """
+    parted = _parted(seqs, id_col)
+    cuts = _cut_rows(parted, tokens_col)
+    return token_edges(_with_runs(parted, with_shared(_distinct_cuts(cuts)), tokens_col, "shared"),
+                       _odd_edges(parted, cuts, tokens_col))
 
 
 def radix_edges(edges: DataFrame) -> DataFrame:
