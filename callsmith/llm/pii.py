@@ -4,8 +4,8 @@ High-recall generators propose overlapping spans: the four base patterns (email,
 whose valid matches always stay, and two loose patterns (spelled-out or spaced
 addresses; any run of digits and separators).  Boosted trees (Spark ML) score the
 loose candidates by format and context.  They are fitted on loose candidates whose label
-is known: those of ``LABELLED``, a table of written examples, and those of a bounded
-sample of documents, where a valid email or phone rewritten into a loose form
+is known: those of ``LABELLED``, a table of written examples, and those of
+all documents, where a valid email or phone rewritten into a loose form
 (``rewritten``) is positive, and a number that fails its kind's rule or stands inside a word
 is negative.  The trees are compiled to one SQL expression, a threshold for each
 kind is calibrated for precision on the held-out half of these candidates, and loose
@@ -31,11 +31,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.column import Column
 
-from callsmith.llm.common import reliable, sampled, text_hash
+from callsmith.llm.common import reliable, text_hash
 
 KINDS = ["email", "ip", "card", "phone"]
 CONTEXT = 24  # characters kept on either side of a candidate
-FIT_PARTITIONS = 4  # of the table that the trees are fitted on
+FIT_PARTITIONS = 4  # of a small table that the trees are fitted on
+FIT_ROWS = 200_000  # in a partition of a larger one
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 # kind, pattern, what a text must hold for a match (a cheap test first).  Repeated groups are
@@ -236,21 +237,18 @@ def _tree(node) -> Column:
                   _tree(node.leftChild())).otherwise(_tree(node.rightChild()))
 
 
-def train(docs: DataFrame, sample_docs: int = 4000, precision: float = 0.98,
-          rounds: int = 10, depth: int = 3) -> Model:
-    """Fit and calibrate on about ``sample_docs`` distinct texts, drawn by their hash.
+def train(docs: DataFrame, precision: float = 0.98, rounds: int = 10, depth: int = 3) -> Model:
+    """Fit and calibrate on all documents; equal texts count once.
 
     Only loose candidates are used, with the labels of ``LABELLED``, of ``rewritten`` and of the rules."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    total = docs.select(text_hash(F.col("text"))).distinct().count()
-    if not total:
+    if docs.isEmpty():
         return Model(None, {})
-    part = min(1.0, sample_docs / total)
-    drawn = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(
-        sampled(F.col("text"), part)).dropDuplicates(["text"])
-    found = reliable(candidates(drawn).filter("match is not null"))
+    # The candidates of equal texts are equal: only they are shuffled, not the texts.
+    found = reliable(candidates(docs.select("doc_id", "text")).filter("match is not null").dropDuplicates(
+        ["text_hash", "made", "start", "match"]))
     written = candidates(docs.sparkSession.createDataFrame(labelled(), "doc_id bigint, text string")).filter(
         F.col("made").isin(*LOOSE)).withColumn("label", F.col("doc_id").cast("double"))
     # Numbers that cannot be what their kind says and overlap no base span.
@@ -258,14 +256,15 @@ def train(docs: DataFrame, sample_docs: int = 4000, precision: float = 0.98,
     inside = (F.col("f_left_word") > 0) | (F.col("f_right_word") > 0)
     wrong = F.col("kind").isin("card", "ip") & ~_valid(F.col("kind"), F.col("match"))
     spans = found.filter(_valid(F.col("made"), F.col("match"))).select(
-        F.col("row").alias("of"), F.col("start").alias("from"), F.col("end").alias("to"))
+        F.col("text_hash").alias("of"), F.col("start").alias("from"), F.col("end").alias("to"))
     refused = numbers.filter(inside | wrong).join(
-        spans, (F.col("row") == F.col("of")) & (F.col("from") < F.col("end")) & (F.col("start") < F.col("to")),
+        spans, (F.col("text_hash") == F.col("of")) & (F.col("from") < F.col("end")) & (F.col("start") < F.col("to")),
         "left_anti").select(*found.columns, F.lit(0.0).alias("label"))
     rows = featured(written.unionByName(rewritten(found).withColumn("label", F.lit(1.0))).unionByName(refused))
-    # Bounded by the parameters above, so a few partitions hold them: each level of a tree is a job over all.
+    # Each level of a tree is a job over all, so there are no more partitions than the rows need.
     rows = reliable(rows.withColumn("fold", F.pmod(F.col("text_hash"), F.lit(2))).select(
-        "kind", "made", "label", "fold", *[f"f_{n}" for n in FEATURES]).coalesce(FIT_PARTITIONS))
+        "kind", "made", "label", "fold", *[f"f_{n}" for n in FEATURES]))
+    rows = rows.coalesce(max(FIT_PARTITIONS, rows.count() // FIT_ROWS))
     fit = rows.filter("fold = 0")
     if {r["label"] for r in fit.select("label").distinct().collect()} != {0.0, 1.0}:
         return Model(None, {})
