@@ -67,12 +67,15 @@ def propose_calls(requests: DataFrame, catalog: DataFrame, scorer=None,
     return apply_fallback(with_first_function(typed, catalog)).drop("fn_args", "call_fatal")
 
 
+def spread(texts: DataFrame) -> DataFrame:
+    """Spread again after an aggregate: AQE would give a few megabytes of texts to one task, and so to one model."""
+    spark = texts.sparkSession
+    return texts.repartition(max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _propose_distinct(requests: DataFrame, catalog: DataFrame, scorer, text_col: str, *options) -> DataFrame:
     bind_method, candidate_policy, candidate_scorer, rules = options
-    spark = requests.sparkSession
-    parts = max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Spread again after the aggregate: AQE would give a few megabytes of texts to one task, and so to one model.
-    texts = requests.select(text_col).distinct().repartition(parts)
+    texts = spread(requests.select(text_col).distinct())
     calls = propose_calls(texts, catalog, scorer, text_col, [text_col], bind_method, candidate_policy,
                           None, candidate_scorer, rules, equal_once=False)
     added = [c for c in calls.columns if c != text_col]
@@ -128,18 +131,26 @@ def run_summary(calls: DataFrame, rejects: DataFrame | None = None) -> DataFrame
 def summarize_requests(requests: DataFrame, catalog: DataFrame, scorer=None,
                        text_col: str = "prompt") -> DataFrame:
     """A9/S13 in one pass over the requests: rejected rows ride along (flagged)
-    instead of being counted from a second scan of the input."""
+    instead of being counted from a second scan of the input.  Equal texts are counted first (with map-side
+    combine) and get one call, which counts as often as they come."""
     from callsmith.functions.text import strip_ws
     from callsmith.operators.validate import request_issue
     checked = (requests.withColumn("_issue", request_issue(F.col(text_col)))
                .withColumn(text_col, F.when(F.col("_issue").isNull(), strip_ws(F.col(text_col)))
                            .otherwise(F.lit(""))))
+    checked = checked.withColumn("_times", F.lit(1).cast("bigint"))
+    if not isinstance(scorer, TableScorer) and not requests.isStreaming:
+        checked = spread(checked.groupBy("_issue", text_col).agg(F.sum("_times").alias("_times")))
     calls = propose_calls(checked, catalog, scorer, text_col)
     ok = F.col("_issue").isNull()
+
+    def times(which):
+        return F.coalesce(F.sum(F.when(which, F.col("_times"))), F.lit(0).cast("bigint"))
+
     defaulted = F.exists(F.col("picks"), lambda p: p["c"]["issue"].isNotNull() | (p["n_cands"] == 0))
     return calls.agg(
-        F.count_if(ok).alias("n_calls"),
-        F.count_if(ok & F.col("is_fallback")).alias("n_fallback"),
-        F.count_if(ok & F.col("fn_fallback")).alias("n_unmatched"),
-        F.count_if(ok & defaulted).alias("n_defaulted"),
-        F.count_if(~ok).alias("n_rejected"))
+        times(ok).alias("n_calls"),
+        times(ok & F.col("is_fallback")).alias("n_fallback"),
+        times(ok & F.col("fn_fallback")).alias("n_unmatched"),
+        times(ok & defaulted).alias("n_defaulted"),
+        times(~ok).alias("n_rejected"))
