@@ -29,6 +29,7 @@ from callsmith import fixed
 from callsmith.operators.bind import PICK_TYPE, candidate_features, candidates
 
 _NUMERIC = ("int", "float")
+_STEP = 1 << 20
 
 class _Walk:
     """One row's walk among the candidates of one argument."""
@@ -159,11 +160,22 @@ def bigram_model(texts: DataFrame, text_col: str = "text", name: str = "bigram")
 
     Only printable ASCII is counted, so the table has 95 x 95 counts at most, whatever the texts."""
     from callsmith.operators.scorer import ModelScorer
-    chars = F.split(F.regexp_replace(F.col(text_col), r"[^\x20-\x7E]", "\n"), "")
-    pairs = texts.select(chars.alias("c")).select(F.explode(F.zip_with(
-        "c", F.slice("c", F.lit(2), F.size("c")), lambda a, b: F.concat(a, b))).alias("pair")).filter(
-        F.col("pair").isNotNull() & ~F.col("pair").contains("\n") & (F.length("pair") == 2)).groupBy("pair").count()
-    counts = {r["pair"]: r["count"] for r in pairs.collect()}
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 14, np.int64)
+        for b in batches:
+            for t in b.column(0).cast(pa.binary()):
+                raw = np.frombuffer(t.as_py() or b"", np.uint8)
+                for at in range(0, len(raw), _STEP):  # steps overlap by one character
+                    part = raw[at:at + _STEP + 1].astype(np.uint16)
+                    ok = (part >= 0x20) & (part <= 0x7E)
+                    total += np.bincount((part[:-1] << 7 | part[1:])[ok[:-1] & ok[1:]], minlength=1 << 14)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], ["pair", "n"])
+
+    pairs = texts.select(F.col(text_col).cast("string")).mapInArrow(counted, "pair int, n bigint").groupBy("pair").agg(
+        F.sum("n").alias("n"))
+    counts = {chr(r["pair"] >> 7) + chr(r["pair"] & 127): r["n"] for r in pairs.collect()}
 
     def score(_model, asked, generated, vocab):
         out = []
