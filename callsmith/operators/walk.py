@@ -440,9 +440,9 @@ def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataF
 
     ``scores(key, step, token_id, score)`` holds the scores each walker sees
     at each step (0-based); a token without a score row at that step is not
-    permitted, like an id beyond the score vector.  One shuffle by ``key``
-    brings a walker and its own scores together (a group is one walker: at
-    most steps x vocabulary rows).  Returns
+    permitted, like an id beyond the score vector.  Scores of tokens that no
+    definition has at that step are dropped first; one shuffle by ``key`` brings a walker and
+    the others together (at most the catalogue's distinct tokens a step).  Returns
     ``(key, fn_ord, fn_name, walk_steps, walk_unique, walk_failed)``.
     """
     paths = load_paths(catalog)
@@ -452,9 +452,16 @@ def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataF
     if paths is None:
         return _join_walk_table(walkers, catalog, known, key)
 
-    def walk(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    steps = np.arange(len(paths.flat)) - np.repeat(paths.begin[:-1], np.diff(paths.begin))
+    on_paths = sorted(set(zip(steps.tolist(), paths.flat.tolist())))
+    used = F.broadcast(walkers.sparkSession.createDataFrame(on_paths, "step int, token_id int"))
+    own = known.join(used, ["step", "token_id"], "left_semi").groupBy(F.col(key).alias("_of")).agg(
+        F.collect_list("step").alias("_steps"), F.collect_list("token_id").alias("_tokens"),
+        F.collect_list("score").alias("_scores"))
+
+    def walk(rows_steps: list[int] | None, rows_tokens: list[int] | None, rows_scores: list[float] | None) -> tuple:
         table: dict[tuple[int, int], float] = {}
-        for step, token, score in zip(rows["step"], rows["token_id"], rows["score"]):
+        for step, token, score in zip(rows_steps or (), rows_tokens or (), rows_scores or ()):
             table[step, token] = max(score, table.get((step, token), score))
 
         def permitted(step, tokens):
@@ -467,11 +474,10 @@ def constrained_walk_table(walkers: DataFrame, catalog: DataFrame, scores: DataF
             here = [(table[step, t], -i) for i, t in enumerate(tokens.tolist()) if (step, t) in table]
             return -max(here)[1] if here else None
 
-        result = paths.result(*paths.walk(permitted, choose)) if len(own) else ()
-        return pd.DataFrame([(k, *result) for k in own[key]], columns=[key, *names])
+        return paths.result(*paths.walk(permitted, choose))
 
-    schema = T.StructType([walkers.schema[key], *WALK_FIELDS])
-    return walkers.select(key).groupBy(key).cogroup(known.groupBy(key)).applyInPandas(walk, schema)
+    met = walkers.select(key).join(own, F.col(key).eqNullSafe(F.col("_of")), "left").drop("_of")
+    return _with_results(met, lambda b: [walk(*r) for r in zip(*(c.to_pylist() for c in b.columns[1:]))]).select(key, *names)
 
 
 def _asked(scorer, vocab: list[str], texts: pd.Series, ids: list[list[int]]) -> list[np.ndarray | None]:
