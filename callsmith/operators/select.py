@@ -160,6 +160,9 @@ def _select_inrow(requests, entries, kw, text_col):
 
 
 MAX_BROADCAST_KEYWORDS = 1_000_000
+# Estimated (stored) bytes of requests in a partition of the keyword join, and the most partitions.
+JOIN_BYTES = 4 << 20
+MAX_JOIN_PARTITIONS = 20_000
 
 
 def _select_join(requests, catalog, keywords, text_col, key_cols):
@@ -171,6 +174,11 @@ def _select_join(requests, catalog, keywords, text_col, key_cols):
     """
     from callsmith.operators.decode import maybe_broadcast
     kw = keywords.join(catalog.select("fn_name", "ord"), "fn_name").select("keyword", "ord")
+    # By key once, before any aggregate: the counts, the best and the join back all lie in these partitions, whose
+    # number follows the input, so what a task holds does not grow with it.
+    size = int(str(requests._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    requests = requests.repartition(max(least, min(size // JOIN_BYTES, MAX_JOIN_PARTITIONS)), *key_cols)
     words = requests.select(*key_cols, F.explode(request_words(F.col(text_col))).alias("keyword"))
     hits = words.join(maybe_broadcast(kw, MAX_BROADCAST_KEYWORDS), "keyword")
     best = (hits.groupBy(*key_cols, "ord").agg(F.count(F.lit(1)).alias("score"))
