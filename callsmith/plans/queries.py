@@ -21,8 +21,8 @@ from callsmith.operators.bind import bind_arguments, explode_picks, type_picks
 from callsmith.operators.decode import decode_calls, pack_arguments, resolve_function, unknown_calls
 from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests, validation_report
-from callsmith.plans.job import propose_calls, run_job
-from callsmith.session import ensure_parallelism, table
+from callsmith.plans.job import propose_calls, run_job, spread
+from callsmith.session import default_parallelism, ensure_parallelism, table
 from callsmith.sources import requests as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -637,7 +637,8 @@ def load_request_array_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") == ends[0], "[").otherwise(","), "v",
         F.when(F.col("o_orderkey") == ends[1], "]").otherwise("")))
     path = f"{ensure_checkpoint_dir(spark)}/requests-{uuid.uuid4().hex}"
-    lines.coalesce(1).write.text(path)
+    # Sorted and formatted in parallel; the one task that writes the file only copies its lines.
+    lines.checkpoint().coalesce(1).write.text(path)
     valid, _ = load_requests(spark, path, form="split")
     return valid.select("req_id", "prompt")
 
@@ -658,7 +659,8 @@ def stream_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/lineitem.parquet"
     schema = spark.read.parquet(path).schema
     # As a glob, the table may be one file or a folder of part files.
-    src = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parque[t]")
+    src = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parque[t]").select(
+        "l_orderkey", "l_linenumber", "l_quantity").repartition(default_parallelism(spark))  # a file may be one split
     calls = stream_calls(R.lineitem_sum_requests(src), C.catalog_from_rows(spark))
     flat = calls.select("l_orderkey", "l_linenumber", "fn_name",
                         _arg(0, "v_float").alias("a"), _arg(1, "v_float").alias("b"))
@@ -681,10 +683,11 @@ def model_walk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = C.catalog_from_rows(spark)
     vocab = sorted({t for r in catalog_sequences(cat).select("tokens").collect() for t in r["tokens"]})
     req = ensure_parallelism(R.mixed_requests(spark, sf_dir).select("src", "key", "prompt"))
-    scored = substring_count_model().scores(req, "prompt", vocab)
-    w = constrained_walk(scored, cat, "scores")
-    return w.select("src", "key", "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"),
-                    "walk_unique")
+    # Equal requests are scored and walk once; the answers are joined back by the text.
+    scored = substring_count_model().scores(spread(req.select("prompt").distinct()), "prompt", vocab)
+    w = constrained_walk(scored, cat, "scores").select(
+        F.col("prompt").alias("asked"), "fn_name", F.col("walk_steps").cast("int").alias("walk_steps"), "walk_unique")
+    return req.join(w, F.col("prompt").eqNullSafe(F.col("asked"))).select("src", "key", "fn_name", "walk_steps", "walk_unique")
 
 
 @register("walk_step_scores")
