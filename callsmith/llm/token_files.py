@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -35,6 +36,7 @@ SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8
              (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 15
 BLOCK = 65_536
+SLICE_BYTES = 1 << 23  # of text encoded at once
 _COUNTS = np.array([c for c, _ in SELECTORS] + [1], np.int64)  # an escape holds one value
 
 _BITS16 = np.array([int(i).bit_length() for i in range(1 << 16)], dtype=np.uint8)
@@ -145,11 +147,21 @@ def decode_row(words: bytes, word_at, escapes: bytes, escape_at, n: int) -> np.n
     return np.concatenate(blocks) if blocks else np.zeros(0, np.uint64)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], list[str | None]]]:
+    """doc_ids and texts of a batch, in slices of about ``SLICE_BYTES`` of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:
+            doc_ids, texts = (c.slice(lo, hi - lo).to_pylist() for c in batch.columns)
+            yield doc_ids, texts
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
                       row_ids: int = 2 * BLOCK) -> None:
     """Tokenise all documents and write them in ascending doc_id order."""
     spark = docs.sparkSession
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, False)
@@ -157,7 +169,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         doc_ids, counts, held, size, first = [], [], [], 0, 0
 
         def row() -> pa.RecordBatch:
-            values = np.frombuffer(b"".join(held), "<u4").astype(np.uint64)
+            values = np.concatenate(held).astype(np.uint64)
             words, word_at, escapes, escape_at = encode_row(values)
             longs = pa.list_(pa.int64())
             return pa.RecordBatch.from_arrays(
@@ -169,16 +181,20 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                  "escape_offsets"])
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.packed(text.as_py()) + end
-                doc_ids.append(doc)
-                counts.append(len(ids) // 4)
-                held.append(ids)
-                size += len(ids) // 4
-                if size >= row_ids:
-                    yield row()
-                    first += size
-                    doc_ids, counts, held, size = [], [], [], 0
+            for docs_in, texts in _slices(b):
+                ids, sizes = enc.batch(texts)
+                ids = np.insert(ids, np.cumsum(sizes), end_id)
+                at = 0
+                for doc, n in zip(docs_in, (sizes + 1).tolist()):
+                    doc_ids.append(doc)
+                    counts.append(n)
+                    held.append(ids[at:at + n])
+                    at += n
+                    size += n
+                    if size >= row_ids:
+                        yield row()
+                        first += size
+                        doc_ids, counts, held, size = [], [], [], 0
         if doc_ids:
             yield row()
 

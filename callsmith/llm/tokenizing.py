@@ -6,7 +6,8 @@ tokenised once by the ``tokenizers`` library, and its ids are kept as packed
 little-endian unsigned 32-bit bytes in a per-worker cache of bounded size.  A
 text's ids are then one ``bytes.join``.  Runs of plain Latin characters go
 straight to the library's BPE model; every other run goes through the whole
-library pipeline.
+library pipeline.  ``batch`` does the same for many texts at once: Arrow cuts
+them and numbers their distinct runs, so a run is looked up once a batch.
 
 The caches have two generations: what is used moves to the young one, and when that
 is full the old one goes, so frequent runs stay.  An encoder compares itself with the library on
@@ -19,13 +20,20 @@ texts are empty and have no ids.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
+from itertools import islice
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 RUN_ENTRIES = 450_000  # of one generation
 WORD_ENTRIES = 200_000  # the same for runs of a word tokenizer: a pipeline's later stages share the worker's memory
 PIECE_ENTRIES = 300_000
 FIRST_ENTRIES = 100_000
+CALL_RUNS = 500  # unknown runs given to the library at once
 
 # Runs that carry their white space the way the byte-level pre-tokenizer does.
 _BYTE_RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -52,6 +60,7 @@ class TextEncoder:
     def __init__(self, path: str, words: bool):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         model, letters = self.tokenizer.model, byte_letters()
@@ -102,8 +111,14 @@ class TextEncoder:
         self.cache = Cache(run_ids, WORD_ENTRIES if words else FIRST_ENTRIES)
         self.spaced = Cache(run_ids, RUN_ENTRIES, " ")  # by the run without its space
         self.newline = b"" if words else run_ids("\n")
+        self.young, self.old = {}, {}  # of chunks, see ``batch``
+        vocab = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocab.values()) + 1, bool)  # tokens that begin with a space
+        self.begins[[i for token, i in vocab.items() if token.startswith(space)]] = True
         self.whole = False
-        self.whole = any(self.packed(p) != self._library(p) for p in PROBES)
+        alone = [self._library(p) for p in PROBES]
+        self.whole = (any(self.packed(p) != ids for p, ids in zip(PROBES, alone))
+                      or self.batch(PROBES)[0].tobytes() != b"".join(alone))
 
     def _library(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -127,6 +142,68 @@ class TextEncoder:
             return self._library(text)
         return b"".join(map(self.cache.__getitem__, text.split() if self.words else _BYTE_RUNS.findall(text)))
 
+    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` one after the other, and how many each text has.
+
+        Chunks between spaces are runs that follow a space; a leading newline or tab (no plainly spaced text
+        has tabs) marks a run after a newline or at a text's start.  A text cut in another way is one chunk,
+        named by a vertical tab and its place."""
+        cut, odd = [], {}
+        for i, text in enumerate(texts):
+            if text and (self.words or self.whole or not _plainly_spaced(text)):
+                cut.append(f"\v{i}")
+                odd[cut[-1]] = self.packed(text)
+            else:
+                cut.append("\t" + (text or "").replace("\n", " \n"))
+        chunks = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        coded = chunks.values.dictionary_encode()
+        found = self._chunk_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), odd)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        chunk = coded.indices.to_numpy()
+        lengths = sizes[chunk]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[chunk] - ends[:-1], lengths)
+        at += np.arange(len(at))
+        return ids[at], np.diff(ends[chunks.offsets.to_numpy()])
+
+    def _chunk_ids(self, chunks: list[str], odd: dict[str, bytes]) -> list[bytes]:
+        """The ids of distinct chunks; those not known go to the library together."""
+        found = list(map(self.young.get, chunks))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        old, fresh, new = self.old.get, {}, []
+        for i in missed:
+            chunk = chunks[i]
+            ids = old(chunk)
+            if ids is not None:
+                fresh[chunk] = ids
+            elif chunk > " ":
+                new.append(chunk)
+            elif chunk[0] != "\v":
+                ids = self.cache[chunk[1:]] if len(chunk) > 1 else b""
+                fresh[chunk] = self.newline + ids if chunk[0] == "\n" else ids
+        for lo in range(0, len(new), CALL_RUNS):
+            runs = new[lo:lo + CALL_RUNS]
+            fresh.update(zip(runs, self._spaced_ids(runs)))
+        for i in missed:
+            chunk = chunks[i]
+            found[i] = odd[chunk] if chunk[0] == "\v" else fresh[chunk]
+        kept = {c: ids for c, ids in fresh.items() if len(c) <= 64}
+        if len(self.young) + len(kept) > RUN_ENTRIES:
+            self.old, self.young = self.young, {}
+        self.young.update(islice(kept.items(), RUN_ENTRIES))
+        return found
+
+    def _spaced_ids(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run after a space: one call for all, cut where a token begins with the space."""
+        text = " " + " ".join(runs)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(runs):
+            return [self._library(" " + r) for r in runs]
+        packed, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+
 
 def _plainly_spaced(text: str) -> bool:
     """Whether all white space is one space or one newline between two other characters (the space is the only

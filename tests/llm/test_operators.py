@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -494,6 +495,43 @@ def test_caches_of_two_generations_and_other_files(monkeypatch):
         "Some Words", add_special_tokens=False).ids
 
 
+def test_batches_of_texts_give_each_distinct_run_to_the_library_once(monkeypatch):
+    from callsmith.llm import tokenizing
+    enc = TextEncoder(tokenizer_file("byte_bpe_50k.json"), False)
+    rng = random.Random(4)
+    runs = ["alpha", "beta,", "Straße", "d-e", "x1", "中文", "<|endoftext|>", "'s", "e\u0301", "\u0301", "..", "z" * 80]
+    texts = [" ".join(rng.choices(runs + ["a\nb", "of.\nThe", "two  spaces", "tab\t", "\n\n", "wide\u3000"], k=rng.randrange(9)))
+             for _ in range(300)]
+    texts += [None, "", " ", "\n", " lead", "trail ", "odd\x1cspace", "\v0", "\tb"]
+    want = [enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    asked, whole = [], enc._spaced_ids
+    monkeypatch.setattr(enc, "_spaced_ids", lambda some: asked.extend(some) or whole(some))
+    for most in (tokenizing.RUN_ENTRIES, 5):  # the second time with generations of five chunks
+        monkeypatch.setattr(tokenizing, "RUN_ENTRIES", most)
+        for size in (len(texts), 7):
+            for lo in range(0, len(texts), size):
+                ids, sizes = enc.batch(texts[lo:lo + size])
+                assert sizes.tolist() == [len(w) for w in want[lo:lo + size]]
+                assert ids.tolist() == [i for w in want[lo:lo + size] for i in w]
+            if most > 5 and size > 7:
+                assert len(asked) == len(set(asked)) and set(asked) <= {r for t in texts for r in (t or "").split()}
+    assert len(enc.young) <= 5 and len(enc.old) <= 5
+    assert [len(x) for x in enc.batch([])] == [0, 0]
+    words = TextEncoder(tokenizer_file("word_bpe_49k.json"), True)
+    ids, sizes = words.batch(texts)
+    assert ids.tobytes() == b"".join(words.packed(t) for t in texts) and len(sizes) == len(texts)
+
+
+def test_slices_of_a_batch_keep_every_row(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    texts = ["four", None, "", "a text of more than ten bytes", "x", "é" * 30, "last"]
+    batch = pa.RecordBatch.from_arrays([pa.array([3, None, 1, 3, 4, 5, 6]), pa.array(texts)], ["doc_id", "text"])
+    cut = list(token_files._slices(batch))
+    assert len(cut) > 2 and [x for ids, _ in cut for x in ids] == [3, None, 1, 3, 4, 5, 6]
+    assert [x for _, some in cut for x in some] == texts
+    assert list(token_files._slices(batch.slice(0, 0))) == []
+
+
 def test_trees_are_fitted_on_few_partitions(spark, monkeypatch):
     from pyspark.ml.classification import GBTClassifier
     seen = []
