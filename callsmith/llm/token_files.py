@@ -36,8 +36,11 @@ SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8
              (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 15
 BLOCK = 65_536
-SLICE_BYTES = 1 << 23  # of text encoded at once
+SLICE_BYTES = 1 << 25  # of text encoded at once
 _COUNTS = np.array([c for c, _ in SELECTORS] + [1], np.int64)  # an escape holds one value
+# Maxima over a and then b positions give those over a + b; by the count that needs them first.
+_SUMS = {2: [(1, 1)], 3: [(2, 1)], 4: [(2, 2)], 5: [(4, 1)], 6: [(4, 2)], 7: [(4, 3)], 8: [(4, 4)], 10: [(8, 2)],
+         12: [(8, 4)], 15: [(8, 7)], 20: [(10, 10)], 30: [(15, 15)], 60: [(30, 30)]}
 
 _BITS16 = np.array([int(i).bit_length() for i in range(1 << 16)], dtype=np.uint8)
 
@@ -56,44 +59,39 @@ def bit_lengths(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _window_maxima(bits: np.ndarray) -> dict[int, np.ndarray]:
-    """For each selector's count c, the maximum over the c values from every
-    position on; positions after the end count as 0 bits."""
-    n = len(bits)
-    maxima = {1: bits}
-
-    def joined(a: int, b: int) -> np.ndarray:
-        tail = np.zeros(n, np.uint8)
-        tail[:max(0, n - a)] = maxima[b][a:]
-        return np.maximum(maxima[a], tail)
-
-    for a, b in ((1, 1), (2, 1), (2, 2), (4, 1), (4, 2), (4, 3), (4, 4), (8, 2), (8, 4),
-                 (8, 7), (10, 10), (15, 15), (30, 30)):
-        maxima[a + b] = joined(a, b)
-    return maxima
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """The first selector, by position, whose count of values from there on fits its width; positions after
+    the end count as 0 bits.  Counts fall as widths rise, so where one fits all later ones do: it is the number
+    of those that do not, and none has to be looked at before one that fits nowhere."""
+    maxima, selector = {1: bits}, np.zeros(len(bits), np.uint8)
+    for s in range(len(SELECTORS) - 1, -1, -1):
+        count, width = SELECTORS[s]
+        for a, b in _SUMS.get(count, ()):
+            both = maxima[a].copy()
+            if a < len(bits):
+                np.maximum(both[:-a], maxima[b][a:], out=both[:-a])
+            maxima[a + b] = both
+        unfit = maxima[count] > width
+        if unfit.all():
+            return selector + np.uint8(s + 1)
+        selector += unfit
+    return selector
 
 
 def encode_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Simple-8b words and escaped values of one block of unsigned 64-bit values."""
     n = len(values)
-    bits = bit_lengths(values)
-    maxima = _window_maxima(bits)
-    # Counts fall as widths rise, so where a selector fits all later ones do: the first that
-    # fits is the number of those that do not.
-    selector = np.zeros(n, np.uint8)
-    for count, width in SELECTORS:
-        selector += maxima[count] > width
-    step = _COUNTS[selector]
-    selector = np.where(selector == len(SELECTORS), np.uint8(ESCAPE), selector)
-    starts, at, steps = [], 0, step.tolist()
+    selector = _selectors(bit_lengths(values))
+    at, steps, begins = 0, _COUNTS.astype(np.uint8)[selector].tobytes(), bytearray(n)
     while at < n:
-        starts.append(at)
+        begins[at] = 1
         at += steps[at]
-    first = np.array(starts, np.int64)
+    first = np.flatnonzero(np.frombuffer(begins, np.bool_))
     chosen = selector[first]
+    chosen[chosen == len(SELECTORS)] = ESCAPE
     words = chosen.astype(np.uint64) << np.uint64(60)
     padded = np.concatenate([values, np.zeros(60, np.uint64)])
-    for s in np.unique(chosen):
+    for s in np.flatnonzero(np.bincount(chosen)).tolist():
         mine = np.flatnonzero(chosen == s)
         if s == ESCAPE:
             words[mine] |= np.arange(len(mine), dtype=np.uint64)

@@ -7,7 +7,8 @@ little-endian unsigned 32-bit bytes in a per-worker cache of bounded size.  A
 text's ids are then one ``bytes.join``.  Runs of plain Latin characters go
 straight to the library's BPE model; every other run goes through the whole
 library pipeline.  ``batch`` does the same for many texts at once: Arrow cuts
-them and numbers their distinct runs, so a run is looked up once a batch.
+them and numbers their distinct runs, so a run is looked up once a batch; a run
+that ends in marks is looked up without them too, and all ids lie in flat arrays.
 
 The caches have two generations: what is used moves to the young one, and when that
 is full the old one goes, so frequent runs stay.  An encoder compares itself with the library on
@@ -23,7 +24,8 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import islice
+from codecs import charmap_decode
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ WORD_ENTRIES = 200_000  # the same for runs of a word tokenizer: a pipeline's la
 PIECE_ENTRIES = 300_000
 FIRST_ENTRIES = 100_000
 CALL_RUNS = 500  # unknown runs given to the library at once
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_NONE, _NO_SIZE = np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
 # Runs that carry their white space the way the byte-level pre-tokenizer does.
 _BYTE_RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -65,6 +69,7 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         model, letters = self.tokenizer.model, byte_letters()
         to_letters = [letters[b] for b in range(256)]
+        self.letters = "".join(to_letters)
         if words:
             plain = re.compile(f"[{_LATIN}0-9.,;:!?%&$#*()\"+@/=-]+")
             pieces = re.compile(f"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+").findall
@@ -111,10 +116,12 @@ class TextEncoder:
         self.cache = Cache(run_ids, WORD_ENTRIES if words else FIRST_ENTRIES)
         self.spaced = Cache(run_ids, RUN_ENTRIES, " ")  # by the run without its space
         self.newline = b"" if words else run_ids("\n")
-        self.young, self.old = {}, {}  # of chunks, see ``batch``
+        self.young, self.old = _Runs(), _Runs()  # of chunks, see ``batch``
         vocab = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocab.values()) + 1, bool)  # tokens that begin with a space
         self.begins[[i for token, i in vocab.items() if token.startswith(space)]] = True
+        self.begins_line = np.zeros(len(self.begins), bool)
+        self.begins_line[np.frombuffer(self.newline, "<u4")] = True
         self.whole = False
         alone = [self._library(p) for p in PROBES]
         self.whole = (any(self.packed(p) != ids for p, ids in zip(PROBES, alone))
@@ -142,67 +149,180 @@ class TextEncoder:
             return self._library(text)
         return b"".join(map(self.cache.__getitem__, text.split() if self.words else _BYTE_RUNS.findall(text)))
 
-    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all ``texts`` one after the other, and how many each text has.
+    def batch(self, texts: list[str | None], space: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` one after the other, and how many each text has; with ``space``, of each text
+        after a space.
 
         Chunks between spaces are runs that follow a space; a leading newline or tab (no plainly spaced text
         has tabs) marks a run after a newline or at a text's start.  A text cut in another way is one chunk,
         named by a vertical tab and its place."""
-        cut, odd = [], {}
+        cut, odd, first = [], {"\t": b""}, "" if space else "\t"
         for i, text in enumerate(texts):
-            if text and (self.words or self.whole or not _plainly_spaced(text)):
+            if (text and (self.words or self.whole or not _plainly_spaced(text))) or (space and not text):
                 cut.append(f"\v{i}")
-                odd[cut[-1]] = self.packed(text)
+                odd[cut[-1]] = self.packed(" " + (text or "") if space else text)
             else:
-                cut.append("\t" + (text or "").replace("\n", " \n"))
+                cut.append(first + (text or "").replace("\n", " \n"))
         chunks = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
         coded = chunks.values.dictionary_encode()
-        found = self._chunk_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), odd)
-        ids = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, starts, sizes = self._chunk_ids(coded.dictionary, odd)
         chunk = coded.indices.to_numpy()
         lengths = sizes[chunk]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat((np.cumsum(sizes) - sizes)[chunk] - ends[:-1], lengths)
-        at += np.arange(len(at))
-        return ids[at], np.diff(ends[chunks.offsets.to_numpy()])
-
-    def _chunk_ids(self, chunks: list[str], odd: dict[str, bytes]) -> list[bytes]:
-        """The ids of distinct chunks; those not known go to the library together."""
-        found = list(map(self.young.get, chunks))
-        missed = [i for i, ids in enumerate(found) if ids is None]
-        old, fresh, new = self.old.get, {}, []
-        for i in missed:
-            chunk = chunks[i]
-            ids = old(chunk)
-            if ids is not None:
-                fresh[chunk] = ids
-            elif chunk > " ":
-                new.append(chunk)
-            elif chunk[0] != "\v":
-                ids = self.cache[chunk[1:]] if len(chunk) > 1 else b""
-                fresh[chunk] = self.newline + ids if chunk[0] == "\n" else ids
-        for lo in range(0, len(new), CALL_RUNS):
-            runs = new[lo:lo + CALL_RUNS]
-            fresh.update(zip(runs, self._spaced_ids(runs)))
-        for i in missed:
-            chunk = chunks[i]
-            found[i] = odd[chunk] if chunk[0] == "\v" else fresh[chunk]
-        kept = {c: ids for c, ids in fresh.items() if len(c) <= 64}
-        if len(self.young) + len(kept) > RUN_ENTRIES:
-            self.old, self.young = self.young, {}
-        self.young.update(islice(kept.items(), RUN_ENTRIES))
-        return found
-
-    def _spaced_ids(self, runs: list[str]) -> list[bytes]:
-        """The ids of each run after a space: one call for all, cut where a token begins with the space."""
-        text = " " + " ".join(runs)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        starts = np.flatnonzero(self.begins[ids])
-        if len(starts) != len(runs):
-            return [self._library(" " + r) for r in runs]
-        packed, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-        return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+        return _stretches(ids, starts[chunk], lengths), np.diff(ends[chunks.offsets.to_numpy()])
+
+    def _chunk_ids(self, chunks: pa.Array, odd: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them those of each distinct chunk start and how many they are; chunks not known go
+        to the library together."""
+        young, old, texts = self.young, self.old, _strings(chunks)
+        place = self._known(texts)
+        missed = np.flatnonzero(place < 0)
+        kind = _first_bytes(chunks)[missed]
+        parts, found = [], []
+        for mine, ids_of in ((kind > 32, self._spaced_ids), (kind == 10, self._line_ids),
+                             (kind < 10, lambda some: _flat([self.cache[r[1:]] if len(r) > 1 else b"" for r in some])),
+                             (kind == 11, lambda some: _flat([odd[r] for r in some]))):
+            parts.append(missed[mine])
+            found.append(ids_of([texts[i] for i in parts[-1].tolist()]))
+        order = np.concatenate(parts)
+        fresh_ids, fresh_sizes = map(np.concatenate, zip(*found))
+        place[order] = len(young) + len(old) + np.arange(len(order))
+        known = _Runs(np.concatenate([young.ids, old.ids, fresh_ids]), np.concatenate([young.sizes, old.sizes, fresh_sizes]))
+        kept = np.concatenate([np.flatnonzero((place >= len(young)) & (place < len(young) + len(old))),
+                               *parts[:-1]])  # odd texts are not
+        kept = kept[pc.binary_length(chunks).to_numpy()[kept] <= 64]
+        if len(young) + len(kept) > RUN_ENTRIES:
+            self.old, self.young = young, _Runs()
+        kept = kept[:RUN_ENTRIES]
+        self.young = self.young.joined([texts[i] for i in kept.tolist()], *known.taken(place[kept]))
+        return known.ids, known.starts[place], known.sizes[place]
+
+    def _known(self, runs: list[str]) -> np.ndarray:
+        """Each run's place among the young and then the old ones, -1 where it is neither."""
+        place = np.fromiter(map(self.young.places.get, runs, repeat(-1)), np.int64, len(runs))
+        missed = np.flatnonzero(place < 0)
+        old = map(self.old.places.get, [runs[i] for i in missed.tolist()], repeat(-1 - len(self.young)))
+        place[missed] = np.fromiter(old, np.int64, len(missed)) + len(self.young)
+        return place
+
+    def _spaced_ids(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each run after a space, one after the other, and how many each has."""
+        return self._bare_ids(runs, " ")
+
+    def _line_ids(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs that begin with a newline."""
+        return self._bare_ids(runs, "")
+
+    def _bare_ids(self, runs: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each run after ``before``.  Marks after a letter or digit are a piece of their own, so a run that
+        ends in such marks has the ids of the run without them, which may be known, and those of the marks."""
+        if not runs:
+            return _NONE, _NO_SIZE
+        whole = pa.array(runs, pa.large_string())
+        bare = pc.utf8_rtrim(whole, MARKS)
+        cut = pc.and_(pc.less(pc.binary_length(bare), pc.binary_length(whole)),
+                      pc.match_substring_regex(bare, f"[{_LATIN}0-9]$"))
+        bare = pc.if_else(cut, bare, whole).dictionary_encode()
+        marked, stems, texts = np.flatnonzero(cut), bare.indices.to_numpy(), _strings(bare.dictionary)
+        lengths = pc.utf8_length(bare.dictionary).to_numpy()[stems[marked]]
+        marks = pa.array([runs[i][n:] for i, n in zip(marked.tolist(), lengths.tolist())],
+                         pa.large_string()).dictionary_encode()
+        place = self._known(texts)
+        missed = place < 0
+        latin = pc.match_substring_regex(bare.dictionary, f"^\n?[{_LATIN}]+$").to_numpy(zero_copy_only=False)
+        words, others = np.flatnonzero(missed & latin), np.flatnonzero(missed & ~latin)
+        found = [self._word_ids([texts[i] for i in words.tolist()], before),
+                 self._joined_ids([texts[i] for i in others.tolist()], before),
+                 _flat([self.cache[m] for m in _strings(marks.dictionary)])]
+        first = len(self.young) + len(self.old)
+        place[words] = first + np.arange(len(words))
+        place[others] = first + len(words) + np.arange(len(others))
+        parts = np.insert(place[stems], marked + 1, first + len(words) + len(others) + marks.indices.to_numpy())
+        ids, sizes = zip((self.young.ids, self.young.sizes), (self.old.ids, self.old.sizes), *found)
+        ids, sizes = _Runs(np.concatenate(ids), np.concatenate(sizes)).taken(parts)
+        many = np.ones(len(runs), np.int64)
+        many[marked] = 2
+        return ids, np.diff(np.cumsum(sizes)[np.cumsum(many) - 1], prepend=0)
+
+    def _word_ids(self, runs: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each run of Latin letters after ``before``: one piece for the library's BPE model, after the
+        newline's own."""
+        if not runs:
+            return _NONE, _NO_SIZE
+        text = before + ("\n" + before).join(runs) if before else "".join(runs)[1:]
+        tokenize, ids, sizes = self.tokenizer.model.tokenize, [], []
+        for piece in charmap_decode(text.encode(), "strict", self.letters)[0].split(self.letters[10]):
+            found = [t.id for t in tokenize(piece)]
+            ids += found
+            sizes.append(len(found))
+        ids, sizes = np.array(ids, "<u4"), np.array(sizes, np.int64)
+        if before:
+            return ids, sizes
+        newline = np.frombuffer(self.newline, "<u4")
+        return np.insert(ids, np.repeat(np.cumsum(sizes) - sizes, len(newline)), np.tile(newline, len(runs))), sizes + len(newline)
+
+    def _joined_ids(self, runs: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of any runs after ``before``: one call for many, cut where a token begins with the space or is
+        the newline."""
+        found, sizes = [_NONE], [_NO_SIZE]
+        begins = self.begins if before else self.begins_line
+        for lo in range(0, len(runs), CALL_RUNS):
+            some = runs[lo:lo + CALL_RUNS]
+            text = before + before.join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(begins[ids])
+            if len(starts) == len(some):
+                found.append(ids)
+                sizes.append(np.diff(starts, append=len(ids)))
+            else:
+                ids, counts = _flat([self._library(before + r) for r in some])
+                found.append(ids)
+                sizes.append(counts)
+        return np.concatenate(found), np.concatenate(sizes)
+
+
+def _strings(runs: pa.Array) -> list[str]:
+    return runs.to_numpy(zero_copy_only=False).tolist()
+
+
+def _first_bytes(runs: pa.Array) -> np.ndarray:
+    """The first byte of each run, none of which is empty."""
+    if not len(runs):
+        return np.zeros(0, np.uint8)
+    _, starts, text = runs.buffers()
+    return np.frombuffer(text, np.uint8)[np.frombuffer(starts, np.int64)[runs.offset:runs.offset + len(runs)]]
+
+
+class _Runs:
+    """Ids of distinct runs: ``sizes`` of ``ids`` from ``starts`` on; ``places`` numbers the runs."""
+
+    def __init__(self, ids: np.ndarray = _NONE, sizes: np.ndarray = _NO_SIZE, places: dict[str, int] | None = None):
+        self.ids, self.sizes, self.starts = ids, sizes, np.cumsum(sizes) - sizes
+        self.places = {} if places is None else places
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def joined(self, runs: list[str], ids: np.ndarray, sizes: np.ndarray) -> _Runs:
+        self.places.update(zip(runs, range(len(self), len(self) + len(runs))))
+        return _Runs(np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes]), self.places)
+
+    def taken(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.sizes[places]
+        return _stretches(self.ids, self.starts[places], sizes), sizes
+
+
+def _stretches(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ``sizes`` of ``ids`` from each of ``starts`` on, one after the other."""
+    ends = np.cumsum(sizes)
+    place = np.int32 if len(ends) and max(len(ids), int(ends[-1])) < 1 << 31 else np.int64
+    at = np.repeat((starts - (ends - sizes)).astype(place), sizes)
+    at += np.arange(len(at), dtype=place)
+    return ids[at]
+
+
+def _flat(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(packed), "<u4"), np.fromiter(map(len, packed), np.int64, len(packed)) // 4
 
 
 def _plainly_spaced(text: str) -> bool:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -522,6 +523,34 @@ def test_batches_of_texts_give_each_distinct_run_to_the_library_once(monkeypatch
     assert ids.tobytes() == b"".join(words.packed(t) for t in texts) and len(sizes) == len(texts)
 
 
+def test_batches_ask_for_a_word_once_whatever_marks_end_it():
+    enc = TextEncoder(tokenizer_file("byte_bpe_50k.json"), False)
+    library, asked = enc.tokenizer, []
+    enc.tokenizer = SimpleNamespace(
+        encode=library.encode, model=SimpleNamespace(tokenize=lambda t: asked.append(t) or library.model.tokenize(t)),
+        encode_batch_fast=lambda ts, **kw: asked.extend(ts) or library.encode_batch_fast(ts, **kw))
+    text = "x alphaword alphaword, alphaword. alphaword!? (alphaword) alphaword's alphaword's, 12alphaword$$$"
+    for _ in range(2):
+        assert enc.batch([text, "y alphaword;"])[0].tolist() == [
+            i for t in (text, "y alphaword;") for i in library.encode(t, add_special_tokens=False).ids]
+    # Alone, and in the runs that begin or go on in another way.
+    assert asked.count("Ġalphaword") == 1 and "".join(asked).count("alphaword") == 4
+    rng = random.Random(9)
+    parts = ["ab", "É", "ß", "7", "'", "'s", "'t", ",", ".", "!!", "$", "-", "_", "中", "e\u0301", "²", "½", "“", "Ж"]
+    runs = ["".join(rng.choices(parts, k=rng.randint(1, 5))) for _ in range(4000)]
+    texts = ["".join(r + rng.choice(["\n", " ", " ", " "]) for r in runs[i:i + 9])[:-1] for i in range(0, len(runs), 9)]
+    for size in (len(texts), 50):
+        for space in ("", " "):
+            for lo in range(0, len(texts), size):
+                some = texts[lo:lo + size]
+                want = [library.encode(space + t, add_special_tokens=False).ids for t in some]
+                ids, sizes = enc.batch(some, bool(space))
+                assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    odd = ["", None, " ", "\n", " lead", "trail ", "a  b", "\tx", "x"]
+    want = [library.encode(" " + (t or ""), add_special_tokens=False).ids for t in odd]
+    assert enc.batch(odd, space=True)[0].tolist() == [i for w in want for i in w]
+
+
 def test_slices_of_a_batch_keep_every_row(monkeypatch):
     monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
     texts = ["four", None, "", "a text of more than ten bytes", "x", "é" * 30, "last"]
