@@ -28,10 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from callsmith.llm.common import shared_path
-from callsmith.llm.tokenizing import byte_letters, encoder
+from callsmith.llm.tokenizing import byte_letters, encoder, stretches
 
 BLOCK_LINKS = 1 << 22   # links of a block, from which on it is closed
-BATCH_CHARS = 1 << 20   # of texts that are tokenised together
+BATCH_CHARS = 1 << 20   # of texts that are aligned together
+SLICE_CHARS = 1 << 22   # of texts whose A ids are looked up together
 
 BLOCKS = ("block bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
           "n_links array<bigint>, groups array<string>, pairs array<bigint>, totals array<bigint>, links binary")
@@ -74,12 +75,11 @@ class Aligner:
             if all(c in byte_of for c in entry):
                 self.bytes_a[i] = bytes(byte_of[c] for c in entry)
         self.bytes_b = [self._piece_bytes(i) for i in range(self.pieces.vocab_size())]
-        self.length_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # Each id's text with what may follow it: first those of A (, or |), then those of B (, or ;).
-        self.said = [b"%d%s" % (i, after) for count, marks in ((len(self.bytes_a), (b",", b"|")),
-                                                              (len(self.bytes_b), (b",", b";")))
-                     for i in range(count) for after in marks]
+        self.said = _Strings([b"%d%s" % (i, after) for count, marks in ((len(self.bytes_a), (b",", b"|")),
+                                                                        (len(self.bytes_b), (b",", b";")))
+                              for i in range(count) for after in marks])
+        self.said_a, self.said_b = _Strings(self.bytes_a), _Strings(self.bytes_b)
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -89,29 +89,35 @@ class Aligner:
             return b""
         return piece.replace("▁", " ").encode()
 
-    def align(self, texts: list[str | None]):
+    def ids_a(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The A ids of each text after a space."""
+        ids, sizes = self.encoder.batch(texts, space=True)
+        return np.split(ids.astype(np.int32), np.cumsum(sizes)[:-1]) if texts else []
+
+    def align(self, texts: list[str | None], ids_a: list[np.ndarray] | None = None):
         """(n_a, n_b, n_groups, n_links, groups' digest of each text, pair of each link in text order)."""
         n = len(texts)
         counts = np.zeros((4, n), np.int64)
         digests = [""] * n
         some = [i for i, t in enumerate(texts) if t]
         ids_b = self.pieces.encode([texts[i] for i in some], num_threads=1) if some else []
+        ids_b = [np.array(b, np.int32) for b in ids_b]
+        ids_a = self.ids_a([texts[i] for i in some]) if ids_a is None else [ids_a[i] for i in some]
         kept, all_a, all_b = [], [], []
-        for i, b in zip(some, ids_b):
+        for i, a, b, bytes_a, bytes_b in zip(some, ids_a, ids_b, self.said_a.joined(ids_a), self.said_b.joined(ids_b)):
             raw = (" " + texts[i]).encode()
-            a = np.frombuffer(self.encoder.packed(" " + texts[i]), "<u4").astype(np.int64)
-            if (b"".join(map(self.bytes_b.__getitem__, b)) == raw
-                    and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw):
+            if bytes_a == raw and bytes_b == raw:
                 kept.append(i)
                 all_a.append(a)
-                all_b.append(np.array(b, np.int64))
+                all_b.append(b)
         if not kept:
             return counts, digests, np.zeros(0, np.int64)
         ends_a, ends_b = (np.cumsum([len(x) for x in xs]) for xs in (all_a, all_b))
-        a, b = np.concatenate(all_a), np.concatenate(all_b)
+        a, b = np.concatenate(all_a).astype(np.int64), np.concatenate(all_b).astype(np.int64)
         # The texts follow each other without a gap, so a text's first byte always begins a group.
-        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        start_a, start_b = end_a - self.length_a[a], end_b - self.length_b[b]
+        length_a, length_b = self.said_a.sizes[a], self.said_b.sizes[b]
+        end_a, end_b = np.cumsum(length_a), np.cumsum(length_b)
+        start_a, start_b = end_a - length_a, end_b - length_b
         group_a, group_b = coalesce(start_a, end_a, start_b, end_b)
         in_a, in_b = overlaps(start_a, end_a, start_b, end_b)
         counts[0, kept], counts[1, kept] = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
@@ -124,14 +130,43 @@ class Aligner:
         last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
         said[np.arange(len(a)) + before_b[group_a]] = 2 * a + last_a
         said[np.arange(len(b)) + upto_a[group_b]] = 2 * (len(self.bytes_a) + b) + last_b
-        words = list(map(self.said.__getitem__, said.tolist()))
-        at = 0
-        for i, end in zip(kept, (ends_a + ends_b).tolist()):
-            digests[i] = hashlib.sha256(b"".join(words[at:end])[:-1]).hexdigest()
-            at = end
+        for i, groups in zip(kept, self.said.joined(np.split(said, (ends_a + ends_b)[:-1]))):
+            digests[i] = hashlib.sha256(groups[:-1]).hexdigest()
         return counts, digests, a[in_a] * len(self.bytes_b) + b[in_b]
 
 
+class _Strings:
+    """Byte strings one after the other."""
+
+    def __init__(self, strings: list[bytes]):
+        self.bytes = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.array([len(x) for x in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, places: list[np.ndarray]) -> Iterator[memoryview]:
+        """The strings at each array of places, joined."""
+        if not places:
+            return
+        flat = np.concatenate(places)
+        sizes = self.sizes[flat]
+        text = memoryview(stretches(self.bytes, self.starts[flat], sizes).tobytes())
+        ends, at = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(p) for p in places])].tolist(), 0
+        for end in ends:
+            yield text[at:end]
+            at = end
+
+
+def _distinct(links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs in order, each link's place among them, and their totals."""
+    coded = pa.array(links).dictionary_encode()
+    pairs = coded.dictionary.to_numpy()
+    order = np.argsort(pairs)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    place = rank[coded.indices.to_numpy()]
+    return pairs[order], place, np.bincount(place, minlength=len(order))
+
+
 def _narrow(places: np.ndarray) -> bytes:
     """Places as 2-byte integers where they fit, else as 4-byte ones, after one byte that says which."""
     wide = len(places) > 0 and int(places.max()) >= 1 << 16
@@ -142,6 +177,16 @@ def _wide(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
 
 
+def _first(texts: pa.Array | list[str | None], at: int, chars: int) -> list[str | None]:
+    """The texts from ``at`` on up to the one that reaches ``chars``."""
+    some, held = [], 0
+    while at + len(some) < len(texts) and held < chars:
+        text = texts[at + len(some)]
+        some.append(text.as_py() if isinstance(text, pa.Scalar) else text)
+        held += len(some[-1] or "")
+    return some
+
+
 def _aligner(bytes_file: str, pieces_file: str, held: dict = {}) -> Aligner:
     """One pair of tokenizers per worker process."""
     key = (bytes_file, pieces_file)
@@ -160,7 +205,7 @@ def aligned_blocks(docs: DataFrame, bytes_file: str, pieces_file: str) -> DataFr
 
         def block() -> pa.RecordBatch:
             nonlocal number, held
-            pairs, place, totals = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
+            pairs, place, totals = _distinct(np.concatenate(links))
             n_a, n_b, n_groups, n_links = np.concatenate(counts, axis=1)
             longs = pa.list_(pa.int64())
             row = pa.RecordBatch.from_arrays(
@@ -175,14 +220,15 @@ def aligned_blocks(docs: DataFrame, bytes_file: str, pieces_file: str) -> DataFr
             return row
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            ids, texts, encoded = batch.column(0).to_pylist(), batch.column(1), []
             at = 0
             while at < len(ids):
-                some, chars = [], 0
-                while at + len(some) < len(ids) and chars < BATCH_CHARS:
-                    some.append(texts[at + len(some)].as_py())
-                    chars += len(some[-1] or "")
-                c, d, pairs = aligner.align(some)
+                if not encoded:
+                    ready = _first(texts, at, SLICE_CHARS)
+                    encoded = aligner.ids_a(ready)
+                some = _first(ready, 0, BATCH_CHARS)
+                c, d, pairs = aligner.align(some, encoded[:len(some)])
+                ready, encoded = ready[len(some):], encoded[len(some):]
                 doc_ids.extend(ids[at:at + len(some)])
                 counts.append(c)
                 digests.extend(d)

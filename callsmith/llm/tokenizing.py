@@ -169,7 +169,7 @@ class TextEncoder:
         chunk = coded.indices.to_numpy()
         lengths = sizes[chunk]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        return _stretches(ids, starts[chunk], lengths), np.diff(ends[chunks.offsets.to_numpy()])
+        return stretches(ids, starts[chunk], lengths), np.diff(ends[chunks.offsets.to_numpy()])
 
     def _chunk_ids(self, chunks: pa.Array, odd: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where in them those of each distinct chunk start and how many they are; chunks not known go
@@ -309,10 +309,10 @@ class _Runs:
 
     def taken(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.sizes[places]
-        return _stretches(self.ids, self.starts[places], sizes), sizes
+        return stretches(self.ids, self.starts[places], sizes), sizes
 
 
-def _stretches(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def stretches(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The ``sizes`` of ``ids`` from each of ``starts`` on, one after the other."""
     ends = np.cumsum(sizes)
     place = np.int32 if len(ends) and max(len(ids), int(ends[-1])) < 1 << 31 else np.int64

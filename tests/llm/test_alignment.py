@@ -95,6 +95,29 @@ def test_small_blocks_and_batches_give_the_same(spark, libraries, monkeypatch):
         assert alignment._wide(alignment._narrow(some)).tolist() == some.tolist()
 
 
+def test_ids_of_many_texts_are_looked_up_together(libraries, monkeypatch):
+    texts = [f"some text, number {i % 7}\nof many. {'word ' * (i % 5)}end" for i in range(40)] + [None, "", "a▁b", "end"]
+    aligner = alignment.Aligner(A_FILE, B_FILE)
+    want = [libraries[0].encode(" " + (t or ""), add_special_tokens=False).ids for t in texts]
+    alone = aligner.align(texts)
+    monkeypatch.setattr(aligner.encoder, "packed", lambda text: pytest.fail(text) if text.strip() else b"")
+    ids = aligner.ids_a(texts[:40] + texts[42:])
+    assert [a.tolist() for a in ids] == want[:40] + want[42:]
+    monkeypatch.undo()
+    at, parts, ids = 0, [], aligner.ids_a(texts)
+    while at < len(texts):
+        some = alignment._first(texts, at, 100)
+        assert 0 < len(some) < 10
+        parts.append(aligner.align(some, ids[at:at + len(some)]))
+        at += len(some)
+    assert (alone[0] == np.concatenate([p[0] for p in parts], axis=1)).all()
+    assert alone[1] == [d for p in parts for d in p[1]]
+    assert alone[2].tolist() == np.concatenate([p[2] for p in parts]).tolist()
+    for links in (alone[2], alone[2][:0]):
+        for got, plain_one in zip(alignment._distinct(links), np.unique(links, return_inverse=True, return_counts=True)):
+            assert got.tolist() == plain_one.tolist()
+
+
 def test_long_text_and_empty_table(spark, libraries):
     text = " ".join(f"w{i % 977}" for i in range(60_000))
     schema = "doc_id bigint, text string"
