@@ -19,6 +19,7 @@ row, also with null or repeated ids; an empty table gives no rows.  A document i
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -30,9 +31,11 @@ from pyspark.sql import DataFrame, functions as F
 from callsmith.llm.common import shared_path
 from callsmith.llm.tokenizing import byte_letters, encoder, stretches
 
-BLOCK_LINKS = 1 << 22   # links of a block, from which on it is closed
+BLOCK_LINKS = 1 << 21   # links of a block, from which on it is closed
 BATCH_CHARS = 1 << 20   # of texts that are aligned together
-SLICE_CHARS = 1 << 22   # of texts whose A ids are looked up together
+SLICE_CHARS = 1 << 21   # of texts whose A ids are looked up together
+GROUP_BYTES = 1 << 24   # of a row group of the written blocks, whose size is looked at after every block
+SUM_LINKS = 1 << 18     # links that are added up together
 
 BLOCKS = ("block bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
           "n_links array<bigint>, groups array<string>, pairs array<bigint>, totals array<bigint>, links binary")
@@ -167,6 +170,26 @@ def _distinct(links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pairs[order], place, np.bincount(place, minlength=len(order))
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_distinct`` of all links from that of each part."""
+    pairs = np.unique(np.concatenate([p for p, _, _ in parts]))
+    totals, places = np.zeros(len(pairs), np.int64), []
+    for mine, place, times in parts:
+        at = np.searchsorted(pairs, mine).astype(np.int32)
+        totals[at] += times
+        places.append(at[place])
+    return pairs, np.concatenate(places), totals
+
+
+def _give_back() -> None:
+    """Free memory goes back to the system, else a worker keeps what its largest batch took beside its JVM's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library
+        pass
+
+
 def _narrow(places: np.ndarray) -> bytes:
     """Places as 2-byte integers where they fit, else as 4-byte ones, after one byte that says which."""
     wide = len(places) > 0 and int(places.max()) >= 1 << 16
@@ -177,6 +200,17 @@ def _wide(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
 
 
+def _sums(weights: np.ndarray, links: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each row of ``weights`` its sum over the links up to each of ``ends`` from the one before on."""
+    upto, before = np.zeros((len(weights), len(ends)), np.int64), np.zeros((len(weights), 1), np.int64)
+    for lo in range(0, len(links), SUM_LINKS):
+        total = before + np.cumsum(weights[:, links[lo:lo + SUM_LINKS]], axis=1)
+        a, b = np.searchsorted(ends, [lo, lo + total.shape[1]], "right")
+        upto[:, a:b] = total[:, ends[a:b] - lo - 1]
+        before = total[:, -1:]
+    return np.diff(upto, axis=1, prepend=0)
+
+
 def _first(texts: pa.Array | list[str | None], at: int, chars: int) -> list[str | None]:
     """The texts from ``at`` on up to the one that reaches ``chars``."""
     some, held = [], 0
@@ -205,7 +239,7 @@ def aligned_blocks(docs: DataFrame, bytes_file: str, pieces_file: str) -> DataFr
 
         def block() -> pa.RecordBatch:
             nonlocal number, held
-            pairs, place, totals = _distinct(np.concatenate(links))
+            pairs, place, totals = _merged(links)
             n_a, n_b, n_groups, n_links = np.concatenate(counts, axis=1)
             longs = pa.list_(pa.int64())
             row = pa.RecordBatch.from_arrays(
@@ -232,18 +266,21 @@ def aligned_blocks(docs: DataFrame, bytes_file: str, pieces_file: str) -> DataFr
                 doc_ids.extend(ids[at:at + len(some)])
                 counts.append(c)
                 digests.extend(d)
-                links.append(pairs)
+                links.append(_distinct(pairs))
                 held += len(pairs)
                 at += len(some)
                 if held >= BLOCK_LINKS:
                     yield block()
+                    _give_back()
         if doc_ids:
             yield block()
 
     spark = docs.sparkSession
     path = shared_path(spark, "aligned_blocks")
     docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, BLOCKS).write.option("compression", "zstd").parquet(path)
+        run, BLOCKS).write.options(**{
+            "compression": "zstd", "parquet.block.size": str(GROUP_BYTES), "parquet.block.size.row.check.min": "1",
+            "parquet.page.size.row.check.min": "1"}).parquet(path)
     return spark.read.schema(BLOCKS).parquet(path)
 
 
@@ -263,30 +300,24 @@ def align_documents(docs: DataFrame, bytes_file: str, pieces_file: str) -> DataF
     blocks = aligned_blocks(docs, bytes_file, pieces_file)
     counts = pair_counts(blocks, _aligner(bytes_file, pieces_file).pieces.vocab_size())
     placed = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
-    weights = placed.join(counts.hint("shuffle_hash"), "pair").groupBy("block").agg(
-        F.collect_list(F.struct("place", "links", "best")).alias("weights"))
-    weighed = blocks.drop("pairs", "totals").join(weights, "block", "left").drop("block")
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in ALIGNED.split(", ")]
-        for batch in batches:
-            cols = dict(zip(batch.schema.names, batch.columns))
-            for r in range(batch.num_rows):
-                links = _wide(cols["links"][r].as_py())
-                values = cols["weights"][r].values
-                weights = np.zeros((2, 0 if values is None else len(values)), np.int64)
-                if values is not None:
-                    place = values.field("place").to_numpy()
-                    weights[0, place] = values.field("links").to_numpy()
-                    weights[1, place] = values.field("best").to_numpy(zero_copy_only=False)
-                doc = {n: cols[n][r].values for n in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups")}
-                ends = np.cumsum(doc["n_links"].to_numpy())
-                sums = []
-                for w in weights:
-                    total = np.concatenate([[0], np.cumsum(w[links])])
-                    sums.append(np.diff(total[ends], prepend=0))
-                yield pa.RecordBatch.from_arrays(
+    weights = placed.join(counts.hint("shuffle_hash"), "pair").select(
+        F.col("block").alias("of"), "place", "links", "best")
+    names = [f.split()[0] for f in ALIGNED.split(", ")]
+
+    def add_up(block: pa.Table, weights: pa.Table) -> pa.Table:
+        """One block and the weights of its pairs at a time."""
+        place, found = weights["place"].to_numpy(), np.zeros((2, weights.num_rows), np.int64)
+        found[0, place] = weights["links"].to_numpy()
+        found[1, place] = weights["best"].to_numpy()
+        rows = []
+        for row in block.combine_chunks().to_batches():
+            for r in range(row.num_rows):
+                doc = {n: row[n][r].values for n in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups")}
+                links = np.frombuffer(row["links"][r].as_buffer(), np.uint8)
+                sums = _sums(found, _wide(links), np.cumsum(doc["n_links"].to_numpy()))
+                rows.append(pa.Table.from_arrays(
                     [doc["doc_ids"], doc["n_a"], doc["n_b"], doc["n_groups"], doc["n_links"],
-                     pa.array(sums[1]), pa.array(sums[0]), doc["groups"]], names)
+                     pa.array(sums[1]), pa.array(sums[0]), doc["groups"]], names))
+        return pa.concat_tables(rows)
 
-    return weighed.mapInArrow(add_up, ALIGNED)
+    return blocks.drop("pairs", "totals").groupBy("block").cogroup(weights.groupBy("of")).applyInArrow(add_up, ALIGNED)

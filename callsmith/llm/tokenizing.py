@@ -25,7 +25,6 @@ import os
 import re
 from array import array
 from codecs import charmap_decode
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +33,13 @@ import pyarrow.compute as pc
 RUN_ENTRIES = 450_000  # of one generation
 WORD_ENTRIES = 200_000  # the same for runs of a word tokenizer: a pipeline's later stages share the worker's memory
 PIECE_ENTRIES = 300_000
-FIRST_ENTRIES = 100_000
+FIRST_ENTRIES = 100_000  # of what a byte-level file is asked for text by text, and of its pieces
 CALL_RUNS = 500  # unknown runs given to the library at once
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_NONE, _NO_SIZE = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+_NONE, _NO_SIZE, _NO_RUNS = np.zeros(0, "<u4"), np.zeros(0, np.int64), pa.array([], pa.large_string())
+_NO_KEYS, _NO_PLACE = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+_BYTE_KEYS = np.random.default_rng(11).integers(0, 1 << 64, 256, np.uint64)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 # Runs that carry their white space the way the byte-level pre-tokenizer does.
 _BYTE_RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -101,7 +103,7 @@ class TextEncoder:
                 piece = space + piece[1:]
             return array("I", [t.id for t in tokenize(piece)]).tobytes()
 
-        by_piece = Cache(piece_ids, PIECE_ENTRIES)
+        by_piece = Cache(piece_ids, PIECE_ENTRIES if words else FIRST_ENTRIES)
 
         def run_ids(run: str) -> bytes:
             word = run.rstrip(".,")  # most runs are one ASCII word and a mark
@@ -174,35 +176,41 @@ class TextEncoder:
     def _chunk_ids(self, chunks: pa.Array, odd: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where in them those of each distinct chunk start and how many they are; chunks not known go
         to the library together."""
-        young, old, texts = self.young, self.old, _strings(chunks)
-        place = self._known(texts)
+        young, place = self.young, self._known(chunks)
         missed = np.flatnonzero(place < 0)
-        kind = _first_bytes(chunks)[missed]
+        unknown = chunks.take(pa.array(missed))
+        kind, texts = _first_bytes(unknown), _strings(unknown)
         parts, found = [], []
         for mine, ids_of in ((kind > 32, self._spaced_ids), (kind == 10, self._line_ids),
                              (kind < 10, lambda some: _flat([self.cache[r[1:]] if len(r) > 1 else b"" for r in some])),
                              (kind == 11, lambda some: _flat([odd[r] for r in some]))):
             parts.append(missed[mine])
-            found.append(ids_of([texts[i] for i in parts[-1].tolist()]))
-        order = np.concatenate(parts)
-        fresh_ids, fresh_sizes = map(np.concatenate, zip(*found))
-        place[order] = len(young) + len(old) + np.arange(len(order))
-        known = _Runs(np.concatenate([young.ids, old.ids, fresh_ids]), np.concatenate([young.sizes, old.sizes, fresh_sizes]))
-        kept = np.concatenate([np.flatnonzero((place >= len(young)) & (place < len(young) + len(old))),
-                               *parts[:-1]])  # odd texts are not
+            found.append(ids_of([texts[i] for i in np.flatnonzero(mine).tolist()]))
+        kept = np.concatenate([np.flatnonzero(place >= len(young)), *parts[:-1]])  # odd texts are not
+        held, of_held = self._held(place)
+        order = np.concatenate([*held, *parts])
+        known = _Runs(*map(np.concatenate, zip(*of_held, *found)))
+        place = np.empty(len(chunks), np.int64)
+        place[order] = np.arange(len(order))
         kept = kept[pc.binary_length(chunks).to_numpy()[kept] <= 64]
         if len(young) + len(kept) > RUN_ENTRIES:
             self.old, self.young = young, _Runs()
         kept = kept[:RUN_ENTRIES]
-        self.young = self.young.joined([texts[i] for i in kept.tolist()], *known.taken(place[kept]))
+        self.young = self.young.joined(chunks.take(pa.array(kept)), *known.taken(place[kept]))
         return known.ids, known.starts[place], known.sizes[place]
 
-    def _known(self, runs: list[str]) -> np.ndarray:
+    def _held(self, place: np.ndarray) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+        """Which of ``place`` are young and which old ones, and the ids and sizes of both."""
+        young, old = np.flatnonzero((place >= 0) & (place < len(self.young))), np.flatnonzero(place >= len(self.young))
+        return [young, old], [self.young.taken(place[young]), self.old.taken(place[old] - len(self.young))]
+
+    def _known(self, runs: pa.Array) -> np.ndarray:
         """Each run's place among the young and then the old ones, -1 where it is neither."""
-        place = np.fromiter(map(self.young.places.get, runs, repeat(-1)), np.int64, len(runs))
+        keys = _keys(runs)
+        place = self.young.places(runs, keys)
         missed = np.flatnonzero(place < 0)
-        old = map(self.old.places.get, [runs[i] for i in missed.tolist()], repeat(-1 - len(self.young)))
-        place[missed] = np.fromiter(old, np.int64, len(missed)) + len(self.young)
+        old = self.old.places(runs.take(pa.array(missed)), keys[missed])
+        place[missed] = np.where(old < 0, -1, old + len(self.young))
         return place
 
     def _spaced_ids(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -223,23 +231,22 @@ class TextEncoder:
         cut = pc.and_(pc.less(pc.binary_length(bare), pc.binary_length(whole)),
                       pc.match_substring_regex(bare, f"[{_LATIN}0-9]$"))
         bare = pc.if_else(cut, bare, whole).dictionary_encode()
-        marked, stems, texts = np.flatnonzero(cut), bare.indices.to_numpy(), _strings(bare.dictionary)
+        marked, stems = np.flatnonzero(cut), bare.indices.to_numpy()
         lengths = pc.utf8_length(bare.dictionary).to_numpy()[stems[marked]]
         marks = pa.array([runs[i][n:] for i, n in zip(marked.tolist(), lengths.tolist())],
                          pa.large_string()).dictionary_encode()
-        place = self._known(texts)
+        place = self._known(bare.dictionary)
         missed = place < 0
         latin = pc.match_substring_regex(bare.dictionary, f"^\n?[{_LATIN}]+$").to_numpy(zero_copy_only=False)
         words, others = np.flatnonzero(missed & latin), np.flatnonzero(missed & ~latin)
-        found = [self._word_ids([texts[i] for i in words.tolist()], before),
-                 self._joined_ids([texts[i] for i in others.tolist()], before),
+        found = [self._word_ids(_strings(bare.dictionary.take(pa.array(words))), before),
+                 self._joined_ids(_strings(bare.dictionary.take(pa.array(others))), before),
                  _flat([self.cache[m] for m in _strings(marks.dictionary)])]
-        first = len(self.young) + len(self.old)
-        place[words] = first + np.arange(len(words))
-        place[others] = first + len(words) + np.arange(len(others))
-        parts = np.insert(place[stems], marked + 1, first + len(words) + len(others) + marks.indices.to_numpy())
-        ids, sizes = zip((self.young.ids, self.young.sizes), (self.old.ids, self.old.sizes), *found)
-        ids, sizes = _Runs(np.concatenate(ids), np.concatenate(sizes)).taken(parts)
+        held, of_held = self._held(place)
+        order = np.concatenate([*held, words, others])
+        place[order] = np.arange(len(order))
+        parts = np.insert(place[stems], marked + 1, len(order) + marks.indices.to_numpy())
+        ids, sizes = _Runs(*map(np.concatenate, zip(*of_held, *found))).taken(parts)
         many = np.ones(len(runs), np.int64)
         many[marked] = 2
         return ids, np.diff(np.cumsum(sizes)[np.cumsum(many) - 1], prepend=0)
@@ -293,19 +300,50 @@ def _first_bytes(runs: pa.Array) -> np.ndarray:
     return np.frombuffer(text, np.uint8)[np.frombuffer(starts, np.int64)[runs.offset:runs.offset + len(runs)]]
 
 
+def _keys(runs: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each run: the sum of its bytes' random numbers, each times a power by its place."""
+    if not len(runs):
+        return _NO_KEYS
+    _, offsets, text = runs.buffers()
+    ends = np.frombuffer(offsets, np.int64)[runs.offset:runs.offset + len(runs) + 1]
+    raw, ends = np.frombuffer(text or b"", np.uint8)[ends[0]:ends[-1]], ends - ends[0]
+    sizes = np.diff(ends)
+    powers = np.multiply.accumulate(np.full(int(sizes.max(initial=0)) + 1, _FACTOR))
+    summed = _BYTE_KEYS[raw]
+    summed *= powers[np.arange(len(raw)) - np.repeat(ends[:-1], sizes)]
+    np.add.accumulate(summed, out=summed)
+    return np.diff(np.concatenate([np.zeros(1, np.uint64), summed])[ends])
+
+
 class _Runs:
-    """Ids of distinct runs: ``sizes`` of ``ids`` from ``starts`` on; ``places`` numbers the runs."""
+    """Ids of distinct runs: ``sizes`` of ``ids`` from ``starts`` on.  A run is found by its hash, in ``keys`` in order, and
+    then compared with the run ``at`` that place; arrays take a tenth of the memory of a dict."""
 
-    def __init__(self, ids: np.ndarray = _NONE, sizes: np.ndarray = _NO_SIZE, places: dict[str, int] | None = None):
+    def __init__(self, ids: np.ndarray = _NONE, sizes: np.ndarray = _NO_SIZE, runs: pa.Array = _NO_RUNS,
+                 keys: np.ndarray = _NO_KEYS, at: np.ndarray = _NO_PLACE):
         self.ids, self.sizes, self.starts = ids, sizes, np.cumsum(sizes) - sizes
-        self.places = {} if places is None else places
+        self.runs, self.keys, self.at = runs, keys, at
 
     def __len__(self) -> int:
         return len(self.sizes)
 
-    def joined(self, runs: list[str], ids: np.ndarray, sizes: np.ndarray) -> _Runs:
-        self.places.update(zip(runs, range(len(self), len(self) + len(runs))))
-        return _Runs(np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes]), self.places)
+    def places(self, runs: pa.Array, keys: np.ndarray) -> np.ndarray:
+        """The place of each of ``runs`` here, -1 where there is none."""
+        place = np.full(len(runs), -1)
+        if len(self):
+            near = np.minimum(np.searchsorted(self.keys, keys), len(self) - 1)
+            same = np.flatnonzero(self.keys[near] == keys)
+            at = self.at[near[same]]
+            equal = pc.equal(runs.take(pa.array(same)), self.runs.take(pa.array(at))).to_numpy(zero_copy_only=False)
+            place[same[equal]] = at[equal]
+        return place
+
+    def joined(self, runs: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> _Runs:
+        keys = _keys(runs)
+        order = np.argsort(keys, kind="stable")
+        before = np.searchsorted(self.keys, keys[order], "right")
+        return _Runs(np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes]), pa.concat_arrays([self.runs, runs]),
+                     np.insert(self.keys, before, keys[order]), np.insert(self.at, before, (len(self) + order).astype(np.int32)))
 
     def taken(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.sizes[places]

@@ -139,3 +139,50 @@ def test_alignment_of_the_table(spark, libraries):
             assert got[doc_id].n_a == len(a_lib.encode(" " + text, add_special_tokens=False).ids)
             assert got[doc_id].n_b == len(b_lib.encode(text))
     assert sum(r.n_a > 0 for r in got.values()) > 0.95 * len(got)
+
+
+def test_known_runs_take_few_bytes_and_equal_hashes_are_told_apart(monkeypatch):
+    import gc
+    import tracemalloc
+    from callsmith.llm import tokenizing
+    enc = tokenizing.TextEncoder(A_FILE, False)
+    enc.batch(["start"])
+    tracemalloc.start()
+    enc.batch([" ".join(f"q{i}xz" for i in range(30_000))], space=True)
+    gc.collect()
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(enc.young) > 30_000 and held / 30_000 < 100
+    monkeypatch.setattr(tokenizing, "_BYTE_KEYS", np.zeros(256, np.uint64))
+    enc = tokenizing.TextEncoder(A_FILE, False)
+    for text in ("one two three", "two four one", "four five, two two"):
+        assert enc.batch([text], space=True)[0].tolist() == enc.tokenizer.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_many_blocks_of_a_task_are_many_row_groups(spark, libraries, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+    rows = [(i, f"some text number {i % 7} of many, {'word ' * (i % 5)}".strip() if i % 4 else None) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    for name, most in (("BLOCK_LINKS", 20), ("BATCH_CHARS", 40), ("SLICE_CHARS", 90), ("GROUP_BYTES", 1), ("SUM_LINKS", 3)):
+        monkeypatch.setattr(alignment, name, most)
+    blocks = alignment.aligned_blocks(frame, A_FILE, B_FILE)
+    files = [pq.ParquetFile(f.removeprefix("file:")) for f in blocks.inputFiles()]
+    assert sum(f.metadata.num_row_groups for f in files) == blocks.count() > 8
+    got = [tuple(r) for r in alignment.align_documents(frame, A_FILE, B_FILE).collect()]
+    assert sorted(got, key=str) == sorted(plain(libraries, rows), key=str)
+
+
+def test_sums_and_merged_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    for links in (1, 7, 50):
+        monkeypatch.setattr(alignment, "SUM_LINKS", links)
+        place, weights = rng.integers(0, 9, 40), rng.integers(0, 5, (2, 9))
+        ends = np.array([0, 0, 7, 7, 20, 39, 40, 40])
+        want = [[w[place[a:b]].sum() for a, b in zip([0, *ends[:-1]], ends)] for w in weights]
+        assert alignment._sums(weights, place, ends).tolist() == want
+        assert alignment._sums(weights[:, :0], place[:0], np.zeros(2, int)).tolist() == [[0, 0], [0, 0]]
+    parts = [rng.integers(0, 30, n) for n in (0, 5, 40, 1)]
+    for got, want in zip(alignment._merged([alignment._distinct(p) for p in parts]), alignment._distinct(np.concatenate(parts))):
+        assert got.tolist() == want.tolist()
