@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.column import Column
 
-from callsmith.session import ensure_checkpoint_dir
+from callsmith.session import ensure_checkpoint_dir, shared_path  # noqa: F401 (for the operators)
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -36,10 +34,5 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table in the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

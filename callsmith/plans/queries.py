@@ -22,7 +22,7 @@ from callsmith.operators.decode import decode_calls, pack_arguments, resolve_fun
 from callsmith.operators.select import select_function
 from callsmith.operators.validate import validate_requests, validation_report
 from callsmith.plans.job import propose_calls, run_job, spread
-from callsmith.session import default_parallelism, ensure_parallelism, table
+from callsmith.session import default_parallelism, ensure_parallelism, shared_path, table
 from callsmith.sources import requests as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -627,8 +627,8 @@ def choose_candidates_model_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_request_array_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The requests of one large JSON array file, read in parallel by splits.  The file is
     written first from every order, in key order."""
-    from callsmith.session import ensure_checkpoint_dir
     from callsmith.sources.json_records import load_requests
+    from callsmith.sources.sink import joined_lines
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(
         F.concat(F.lit(' Note, "max" of '), R.s("o_custkey"), F.lit(" [and], "), R.s("o_orderkey"), F.lit(" ")).alias("prompt"),
         F.col("o_orderstatus").alias("status"))).alias("v"))
@@ -636,9 +636,9 @@ def load_request_array_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = o.orderBy("o_orderkey").select(F.concat(
         F.when(F.col("o_orderkey") == ends[0], "[").otherwise(","), "v",
         F.when(F.col("o_orderkey") == ends[1], "]").otherwise("")))
-    path = f"{ensure_checkpoint_dir(spark)}/requests-{uuid.uuid4().hex}"
-    # Sorted and formatted in parallel; the one task that writes the file only copies its lines.
-    lines.checkpoint().coalesce(1).write.text(path)
+    path = shared_path(spark, "requests")
+    # Sorted, formatted and joined in parallel; the one task that writes the file only copies megabytes of lines.
+    joined_lines(lines).checkpoint().coalesce(1).write.text(path)
     valid, _ = load_requests(spark, path, form="split")
     return valid.select("req_id", "prompt")
 

@@ -25,12 +25,29 @@ RECORDS_SCHEMA = "source string, ord bigint, v variant"
 REJECTS_SCHEMA = "source string, ord bigint, issue string"
 
 
+_END = "end of the text"
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once a row: the planner copies no expression through an explode, while a
+    plain column's goes to wherever it is used, and a parse's copies outgrow what Java compiles."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def json_pair(text: Column) -> Column:
+    """The text's JSON value and an end mark as an array of VARIANTs, for ``sole_json``."""
+    return F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))), "$", "array<variant>")
+
+
+def sole_json(pair: Column) -> Column:
+    """The one JSON value of ``json_pair``'s text as a VARIANT, else null."""
+    return F.when((F.size(pair) == 2) & (F.try_variant_get(F.get(pair, 1), "$", "string") == _END), F.get(pair, 0))
+
+
 def strict_json(text: Column) -> Column:
     """The text's one JSON value as a VARIANT, else null.  ``try_parse_json`` alone takes a value that other
     text follows; as the first of two elements it must end where the mark after it begins."""
-    mark = "end of the text"
-    pair = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{mark}"]'))), "$", "array<variant>")
-    return F.when((F.size(pair) == 2) & (F.try_variant_get(F.get(pair, 1), "$", "string") == mark), F.get(pair, 0))
+    return sole_json(json_pair(text))
 
 
 def load_json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -76,12 +93,12 @@ def load_json_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 def _as_records(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(source, ord, v)`` elements → records and rejects by shape."""
-    kind = F.schema_of_variant(F.col("v"))
+    kind = F.col("kind")
     as_record = (F.when(kind.startswith("OBJECT"), F.col("v"))
                  .when(kind == "STRING", F.to_variant_object(
                      F.struct(F.variant_get(F.col("v"), "$", "string").alias("prompt")))))
-    typed = elements.select("source", F.col("ord").cast("bigint").alias("ord"),
-                            as_record.alias("rec"), kind.alias("kind"))
+    typed = once(once(elements.select("source", F.col("ord").cast("bigint").alias("ord"), "v"),
+                      "kind", F.schema_of_variant(F.col("v"))), "rec", as_record)
     records = typed.filter(F.col("rec").isNotNull()).select("source", "ord", F.col("rec").alias("v"))
     rejects = (typed.filter(F.col("rec").isNull())
                .select("source", "ord", F.concat(F.lit("skipped_"), F.lower(
@@ -192,11 +209,11 @@ def load_requests(spark: SparkSession, source: str | DataFrame, form: str = "arr
         return validate_requests(source.withColumnRenamed(text_col, "prompt"), "prompt")
     records, load_rejects = _loader(form)(spark, source)
     p = F.try_variant_get(F.col("v"), "$.prompt", "variant")
-    reqs = records.select("source", (F.col("ord") + 1).alias("req_id"),
-                          F.try_variant_get(F.col("v"), "$.prompt", "string").alias("prompt"),
-                          (F.schema_of_variant(p) == "STRING").alias("is_string"))
-    reqs = reqs.withColumn("prompt", F.when(F.col("is_string") | F.col("prompt").isNull(),
-                                            F.col("prompt")).otherwise(F.lit("")))
+    reqs = once(records, "asked", F.struct(F.try_variant_get(F.col("v"), "$.prompt", "string").alias("prompt"),
+                                           (F.schema_of_variant(p) == "STRING").alias("is_string")))
+    text, is_string = F.col("asked.prompt"), F.col("asked.is_string")
+    reqs = once(reqs, "prompt", F.when(is_string | text.isNull(), text).otherwise(F.lit(""))).select(
+        "source", (F.col("ord") + 1).alias("req_id"), "prompt", is_string.alias("is_string"))
     valid, bad = validate_requests(reqs, "prompt", is_string_col="is_string")
     rejects = (bad.select("source", F.col("req_id").alias("ord"), "issue")
                .unionByName(load_rejects))

@@ -10,8 +10,9 @@ between commas, whatever its size and wherever it lies.  Each task joins its str
 2. ``_states``: a running pass over the summaries of a file (one row a chunk) fixes each
    chunk's state, depth and the number of elements before it.
 3. ``_pieces``: with these every chunk cuts its own text at the commas of depth 1.  Elements within a chunk
-   are ready; the first and last piece of a chunk are put together with their neighbours by
-   element number, so only they are shuffled.
+   are ready and parsed; the first and last piece of a chunk are put together with their neighbours by
+   element number, so only they are shuffled.  The pieces are written once as a table in the shared folder: the
+   verdict on each file and its records both read it, so the text is cut and parsed once.
 
 A file with a byte that is no UTF-8, an element that is no JSON, text before or after the array, or an
 end that is missing is one reject, and gives no records.
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsmith.operators.catalog import bounded_count
-from callsmith.session import ensure_checkpoint_dir
+from callsmith.session import ensure_checkpoint_dir, shared_path
 
 CHUNK = 1 << 20
 # Chunk states that are shipped to every task (one row a chunk, under 100 bytes); more are joined.
@@ -41,6 +42,8 @@ SUMMARIES = ("file bigint, start bigint, no bigint, bytes bigint, valid boolean,
 STATES = ("file bigint, start bigint, no bigint, quoted boolean, depth bigint, opened boolean, before bigint, "
           "n_elements bigint, issue string, is_array boolean")
 PIECES = "file bigint, ord bigint, start bigint, no bigint, whole boolean, bad boolean, text binary"
+HELD = ("file bigint, ord bigint, start bigint, no bigint, whole boolean, bad boolean, blank boolean, v variant, "
+        "text string, sound boolean")
 
 _QUOTE, _SLASH, _COMMA = ord('"'), ord("\\"), ord(",")
 _STEP = np.zeros(256, np.int64)
@@ -52,26 +55,42 @@ _BLANK[[ord(c) for c in " \t\r\n"]] = True
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, int, int, bytes]]:
     """(file, start of the split, number in the split, bytes) from rows of (file, start, stretch)
-    in file order.  Every stretch but a file's first has its comma before it."""
+    in file order.  Every stretch has a comma before it, which a file's first gets from the query only."""
     key, no, held, held_bytes = None, 0, [], 0
     for b in batches:
-        files, starts, texts = (c.to_pylist() for c in b.columns)
-        for file, start, text in zip(files, starts, texts):
-            if key != (file, start):
+        if not b.num_rows:
+            continue
+        files, starts = (c.to_numpy() for c in b.columns[:2])
+        ends, text = _bytes(b.column(2))
+        turns = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
+        for lo, hi in zip([0, *turns.tolist()], [*turns.tolist(), len(files)]):
+            begin = int(ends[lo])
+            if key != (of := (int(files[lo]), int(starts[lo]))):
                 if held:
                     yield (*key, no, b"".join(held))
-                key, no, held, held_bytes = (file, start), 0, [], 0
-            if start or no or held:
-                held.append(b",")
-            held.append(text)
-            held_bytes += len(text) + 1
-            if held_bytes >= size:
-                yield (*key, no, b"".join(held))
-                no, held, held_bytes = no + 1, [], 0
+                key, no, held, held_bytes = of, 0, [], 0
+                begin += key[1] == 0
+            while lo < hi:  # up to the stretch that fills the chunk
+                full = int(np.searchsorted(ends[lo + 1:hi + 1], int(ends[lo]) + size - held_bytes)) + lo + 1
+                upto = min(full, hi)
+                held.append(text[begin:ends[upto]])
+                held_bytes += int(ends[upto] - ends[lo])
+                lo, begin = upto, int(ends[upto])
+                if full <= hi:
+                    yield (*key, no, b"".join(held))
+                    no, held, held_bytes = no + 1, [], 0
     if held:
         yield (*key, no, b"".join(held))
 
 
+def _bytes(column: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """Where each value of a binary column begins, and its last ends, in the bytes of all."""
+    _, offsets, text = column.buffers()
+    wide = np.int64 if pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type) else np.int32
+    return (np.frombuffer(offsets, wide)[column.offset:column.offset + len(column) + 1].astype(np.int64),
+            memoryview(text or b""))
+
+
 def _inside(raw: np.ndarray) -> np.ndarray:
     """Whether each byte follows an odd number of quotes that open or close a string (itself included)."""
     quotes = np.flatnonzero(raw == _QUOTE)
@@ -132,8 +151,8 @@ def _states(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.assign(n_elements=before + 1, issue=issue, is_array=first == "[")
 
 
-def _cut(text: bytes, quoted: bool, depth: int, opened: bool, before: int) -> Iterator[tuple[int, bool, bool, bytes]]:
-    """(element number, whole, bad, text) of a chunk's pieces."""
+def _cut(text: bytes, quoted: bool, depth: int, opened: bool, before: int) -> tuple[np.ndarray, np.ndarray, bool, pa.Array]:
+    """(element number, whole, bad, text) of a chunk's pieces; ``bad`` holds for all of them."""
     raw = np.frombuffer(text, np.uint8)
     outside = _inside(raw) == quoted
     after = depth + np.cumsum(np.where(outside, _STEP[raw], 0))
@@ -142,40 +161,41 @@ def _cut(text: bytes, quoted: bool, depth: int, opened: bool, before: int) -> It
     wrong = (not _BLANK[raw[(level == 0) & (after == 0)]].all() or len(opens) + opened > 1
              or (raw[opens] != ord("[")).any() or (raw[closes] != ord("]")).any() or after.min(initial=0) < 0)
     if wrong:
-        yield before, True, True, b""
-        return
+        return np.array([before]), np.array([True]), True, pa.array([b""])
     begin = int(opens[0]) + 1 if len(opens) else 0
     end = int(closes[0]) if len(closes) else len(text)
     if depth == 0 and not len(opens):  # white space around the array
-        return
-    cuts = np.flatnonzero(outside & (raw == _COMMA) & (after == 1)).tolist()
-    edges = [begin, *cuts, end]
-    for i in range(len(edges) - 1):
-        left = edges[i] + (i > 0)
-        whole = (i > 0 or bool(len(opens))) and (i + 1 < len(edges) - 1 or bool(len(closes)))
-        yield before + i, whole, False, text[left:edges[i + 1]]
+        return np.zeros(0, np.int64), np.zeros(0, bool), False, pa.array([], pa.binary())
+    cuts = np.flatnonzero(outside & (raw == _COMMA) & (after == 1))
+    cuts = cuts[(cuts >= begin) & (cuts < end)] - begin
+    whole = np.ones(len(cuts) + 1, bool)
+    whole[0] &= bool(len(opens))
+    whole[-1] &= bool(len(closes))
+    # The pieces follow each other without the commas between them.
+    pieces = np.delete(raw[begin:end], cuts)
+    ends = np.concatenate([[0], cuts - np.arange(len(cuts)), [len(pieces)]]).astype(np.int32)
+    return before + np.arange(len(whole)), whole, False, pa.Array.from_buffers(
+        pa.binary(), len(whole), [None, pa.py_buffer(ends), pa.py_buffer(pieces)])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for r in b.to_pylist():
+        for at in range(b.num_rows):
+            r = b.slice(at, 1).to_pylist()[0]
             if r["is_array"]:
-                found = list(_cut(r["text"], r["quoted"], r["depth"], r["opened"], r["before"]))
+                ords, whole, bad, texts = _cut(r["text"], r["quoted"], r["depth"], r["opened"], r["before"])
             else:
-                found = [(-1, False, False, r["text"])]
-            for at in range(0, len(found), 4096):
-                ords, whole, bad, texts = zip(*found[at:at + 4096])
-                n = len(ords)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["file"]] * n, pa.int64()), pa.array(ords, pa.int64()),
-                     pa.array([r["start"]] * n, pa.int64()), pa.array([r["no"]] * n, pa.int64()),
-                     pa.array(whole), pa.array(bad), pa.array(texts, pa.binary())], schema=schema)
+                ords, whole, bad, texts = np.array([-1]), np.array([False]), False, pa.array([r["text"]], pa.binary())
+            n = len(ords)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, r["file"])), pa.array(ords.astype(np.int64)), pa.array(np.full(n, r["start"])),
+                 pa.array(np.full(n, r["no"])), pa.array(whole), pa.array(np.full(n, bad)), texts], schema=schema)
 
 
 def load_json_splits(spark: SparkSession, path: str, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """``(records(source, ord, v), rejects(source, ord, issue))`` of files that hold one JSON array
-    each, in as many tasks as Spark makes splits.  The chunk states are computed when this is called."""
-    from callsmith.sources.json_records import RECORDS_SCHEMA, REJECTS_SCHEMA, _as_records, strict_json
+    each, in as many tasks as Spark makes splits.  The pieces are cut and written when this is called."""
+    from callsmith.sources.json_records import RECORDS_SCHEMA, REJECTS_SCHEMA, _as_records, json_pair, once, sole_json
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -196,7 +216,7 @@ def load_json_splits(spark: SparkSession, path: str, chunk: int = CHUNK) -> tupl
 
     stretches = spark.read.text(path, lineSep=",").select(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.col("value").cast("binary").alias("text"))
+        F.concat(F.lit(b","), F.col("value").cast("binary")).alias("text"))
     summaries_as, texts_as, pieces_as = schema(SUMMARIES), schema(
         "file bigint, start bigint, no bigint, text binary"), schema(PIECES)
     summaries = stretches.mapInArrow(lambda b: _summarised(b, chunk, summaries_as), SUMMARIES)
@@ -212,26 +232,33 @@ def load_json_splits(spark: SparkSession, path: str, chunk: int = CHUNK) -> tupl
     pieces = stretches.mapInArrow(texts, "file bigint, start bigint, no bigint, text binary").join(
         F.broadcast(known) if shipped else known, ["file", "start", "no"]).mapInArrow(
         lambda b: _pieces(b, pieces_as), PIECES)
+    blank = F.trim(F.translate("text", "\t\r\n", "   ")) == ""
+    path = shared_path(spark, "json_pieces")
+    texts_of = pieces.select("file", "ord", "start", "no", "whole", "bad", F.col("text").cast("string").alias("text"))
+    once(texts_of, "pair", json_pair(F.when(F.col("whole"), F.col("text")))).select(
+        "file", "ord", "start", "no", "whole", "bad", blank.alias("blank"), sole_json(F.col("pair")).alias("v"),
+        F.when(~F.col("whole"), F.col("text")).alias("text"), sole_json(F.col("pair")).isNotNull().alias("sound")).write.parquet(path)
+    held = spark.read.schema(HELD).parquet(path)
     # Pieces at the edges of chunks, put together by element.
-    edges = pieces.filter(~F.col("whole")).groupBy("file", "ord").agg(
-        F.array_sort(F.collect_list(F.struct("start", "no", F.col("text").cast("string").alias("t")))).alias("parts")).select(
+    edges = held.filter(~F.col("whole")).groupBy("file", "ord").agg(
+        F.array_sort(F.collect_list(F.struct("start", "no", F.col("text").alias("t")))).alias("parts")).select(
         "file", "ord", F.lit(False).alias("bad"), F.array_join("parts.t", "").alias("text"))
-    elements = pieces.filter("whole").select("file", "ord", "bad", F.col("text").cast("string").alias("text")).unionByName(edges)
+    edges = once(edges, "pair", json_pair(F.col("text"))).select("file", "ord", "bad", blank.alias("blank"), sole_json(
+        F.col("pair")).alias("v"), sole_json(F.col("pair")).isNotNull().alias("sound"))
+    parsed = held.filter("whole").select("file", "ord", "bad", "blank", "v", "sound").unionByName(edges)
     totals = states.groupBy("file").agg(F.max("n_elements").alias("n_elements"), F.max("issue").alias("issue"))
-    blank = F.trim(F.translate("text", "\t\r\n", "   ")) == ""
-    parsed = elements.select("file", "ord", "bad", blank.alias("blank"), strict_json(F.col("text")).alias("v"))
-    failed = parsed.filter((F.col("bad") | (F.col("v").isNull() & ~(F.col("blank") & (F.col("ord") == 0)))) & (F.col("ord") >= 0)
-                           | F.col("blank") & (F.col("ord") > 0))
     # A blank first element is an empty array where it is the only one.
-    hollow = parsed.filter("blank and ord = 0").join(totals.filter("n_elements > 1"), "file", "left_semi")
-    no_array = parsed.filter("ord < 0").select("file", F.when(F.col("v").isNull(), F.lit("bad_json")).otherwise(
-        F.lit("not_array")).alias("found"))
-    found = failed.unionByName(hollow).select("file", F.lit("bad_json").alias("found")).unionByName(no_array).groupBy(
-        "file").agg(F.max("found").alias("found"))
+    failed = "ord >= 0 and (bad or not sound and not (blank and ord = 0) or blank and ord > 0)"
+    found = parsed.groupBy("file").agg(
+        F.max(F.when(F.expr(failed) | (F.col("ord") < 0) & ~F.col("sound"), F.lit("bad_json")).when(
+            F.col("ord") < 0, F.lit("not_array"))).alias("found"),
+        F.max(F.expr("blank and ord = 0")).alias("hollow"))
     verdicts = files.join(totals, "file", "left").join(found, "file", "left").select(
         "file", "source", F.when(F.col("n_elements").isNull(), F.lit("bad_json")).otherwise(
-            F.coalesce("issue", "found")).alias("issue"))
-    sound = verdicts.filter("issue is null").select("file", "source")
-    records, skipped = _as_records(parsed.filter("ord >= 0 and not blank").join(sound, "file").select("source", "ord", "v"))
+            F.coalesce("issue", "found", F.when(F.col("hollow") & (F.col("n_elements") > 1), F.lit("bad_json")))).alias("issue"))
+    sound_files = verdicts.filter("issue is null").select("file", "source")
+    # A file's elements stay where they are, unless there are very many files.
+    records, skipped = _as_records(parsed.filter("ord >= 0 and not blank").join(
+        F.broadcast(sound_files) if shipped else sound_files, "file").select("source", "ord", "v"))
     return records, skipped.unionByName(verdicts.filter("issue is not null").select(
         "source", F.lit(None).cast("bigint").alias("ord"), "issue"))

@@ -118,3 +118,46 @@ def test_text_after_the_array_is_rejected_and_reported(spark, tmp_path):
                for r in load_report(spark, str(tmp_path), form).collect()}
         assert got == {"a": (0, 0, True, False), "b": (1, 1, False, False), "c": (0, 2, False, True),
                        "e": (0, 0, True, False)}
+
+
+def test_text_is_cut_and_parsed_once(spark, tmp_path):
+    from callsmith.sources.json_records import load_requests
+    (tmp_path / "one.json").write_text(json.dumps([{"prompt": f"sum of {i}, and {i + 1}"} for i in range(300)] + [7, {"prompt": 3}]))
+    (tmp_path / "two.json").write_text('[{"prompt": "x"},, 2]')
+    for frame in (*load_json_splits(spark, str(tmp_path), 256), *load_requests(spark, str(tmp_path), form="split")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        # Whole elements were cut and parsed when they were written; the records, the skipped elements and the
+        # files' verdicts each put the pieces at the edges of chunks together.
+        assert "MapInArrow" not in plan and plan.count("parseJson") <= 3
+    valid, rejects = load_requests(spark, str(tmp_path), form="split")
+    assert sorted(r.req_id for r in valid.collect()) == list(range(1, 301))
+    assert sorted((r.ord or 0, r.issue) for r in rejects.collect()) == sorted(
+        (r.ord or 0, r.issue) for r in load_requests(spark, str(tmp_path))[1].collect())
+
+
+def test_chunks_do_not_depend_on_batches():
+    import pyarrow as pa
+    from callsmith.sources.json_split import _chunks
+    rng = random.Random(5)
+    rows = [(f, start, f",{'x' * rng.randint(0, 9)}".encode()) for f in (1, 2) for start in (0, 90, 300) for _ in range(rng.randint(1, 30))]
+    want = None
+    for size in (1, 4, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + size])], ["file", "start", "text"])
+                   for i in range(0, len(rows), size)]
+        got = list(_chunks(iter([b.slice(0, 0) for b in batches[:1]] + batches), 25))
+        want = want or got
+        assert got == want
+    for file in (1, 2):
+        assert b"".join(c[3] for c in want if c[0] == file) == b"".join(t for f, _, t in rows if f == file)[1:]
+    assert all(len(c[3]) < 25 + 10 for c in want) and len(want) > 6
+
+
+def test_joined_lines_write_the_same_file(spark, tmp_path):
+    from callsmith.sources.sink import joined_lines
+    lines = spark.range(500, numPartitions=3).selectExpr("IF(id = 7, NULL, IF(id = 8, '', concat('é, ', id))) AS line")
+    joined = joined_lines(lines)
+    assert joined.count() <= 3
+    for name, frame in (("a", lines), ("b", joined)):
+        frame.coalesce(1).write.text(str(tmp_path / name))
+    a, b = (next((tmp_path / n).glob("*.txt")).read_bytes() for n in "ab")
+    assert a == b and a.count(b"\n") == 500
